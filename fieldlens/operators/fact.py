@@ -21,8 +21,8 @@ def unpivot_traits(wide: DataFrame, traits: Mapping[str, str], trait: str = "tra
     if len(traits) == 1:
         (name, column), = traits.items()
         return wide.select(*rest, F.lit(name).alias(trait), F.col(column).alias(value))
-    renamed = wide.select(*rest, *[F.col(c).alias(n) for n, c in traits.items()])
-    return renamed.unpivot(rest, list(traits), trait, value)
+    pairs = [F.struct(F.lit(n).alias(trait), F.col(c).alias(value)) for n, c in traits.items()]
+    return wide.select(*rest, F.inline(F.array(*pairs)))
 
 
 def attach(base: DataFrame, dim: DataFrame, keys: Sequence[str],

@@ -2,10 +2,10 @@
 
 A window over a group runs in one task. That is fine for groups that were
 aggregated down to a handful of rows, but not for raw groups, where one key may
-own a third of the table. The helpers below cut large groups into value ranges
-first: every range is sorted in its own task and shifted by the total of the
-ranges before it. The ranges come from a hash sample of the group's own values,
-so they are repeatable: recomputing a lost stage gives the same ranges.
+own a third of the table. The helpers below cut the sorted order of all groups
+into value ranges first: every range is sorted in its own task and shifted by the
+total of the ranges before it. The cuts come from a hash sample of the entries
+themselves, so they are repeatable: recomputing a lost stage gives the same ranges.
 """
 
 from __future__ import annotations
@@ -15,10 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES = 128          # value ranges per large group, a power of two
-SAMPLE = 1024         # sampled values per large group
-LARGE_GROUP = 200_000  # ordered entries above which a group is cut into ranges
-
+OVERSAMPLE = 8        # sampled entries per range
 _SINGLE = "__all"
 
 
@@ -28,80 +25,78 @@ def _with_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]
     return df.withColumn(_SINGLE, F.lit(0)), [_SINGLE]
 
 
-def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+def _range_count(df: DataFrame) -> int:
+    """A power of two that grows with the shuffle width the session was sized for."""
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return min(8192, max(32, 1 << (2 * width).bit_length()))
+
+
+def _join_ranges(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on keys that treats null as a value, as grouping does."""
+    renamed = right.withColumnsRenamed({k: f"__{k}" for k in keys})
     condition = F.lit(True)
     for key in keys:
-        condition = condition & left[key].eqNullSafe(right[f"r_{key}"])
-    return condition
-
+        condition = condition & left[key].eqNullSafe(renamed[f"__{key}"])
+    return left.join(renamed, condition).drop(*[f"__{k}" for k in keys])
 
-def _attach(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join that also matches null keys, as grouping does."""
-    renamed = right.select(*[F.col(k).alias(f"r_{k}") for k in keys],
-                           *[c for c in right.columns if c not in keys])
-    joined = left.join(renamed, _same_key(left, renamed, keys), "left")
-    return joined.drop(*[f"r_{k}" for k in keys])
 
+def _ranged(entries: DataFrame, keys: list[str], order: str,
+            measures: Sequence[str]) -> DataFrame:
+    """Number the value ranges and add the measure totals around each of them.
 
-def _ranged(entries: DataFrame, keys: list[str], order: str, measures: Sequence[str],
-            large_group: int) -> DataFrame:
-    """Add the range number, the measure totals before the range and of the group.
+    ``entries`` has one row per (keys, order). All entries, sorted by key and
+    value, are cut into ranges of about equal length, so a large group spans many
+    ranges. Columns added: ``range_no``, ``before_<m>`` (the group's total in
+    earlier ranges), ``inside_<m>`` (in this range) and ``total_<m>`` (everywhere).
 
-    ``entries`` has one row per (keys, order). Columns added: ``range_no``,
-    ``before_<m>``, ``inside_<m>`` and ``total_<m>``.
+    The sample reads the same columns as the main branch, so Spark reuses the
+    exchange that produced the entries instead of computing them again.
     """
-    sampled = entries.groupBy(*keys, F.pmod(F.xxhash64(order), F.lit(SAMPLE)).alias("slot")).agg(
-        F.min_by(order, F.xxhash64(F.lit(7), F.col(order))).alias("picked"),
-        F.count(F.lit(1)).alias("entries"),
-        *[F.sum(m).alias(f"total_{m}") for m in measures],
-    )
-    groups = sampled.groupBy(*keys).agg(
-        F.sort_array(F.collect_list("picked")).alias("picks"),   # at most SAMPLE values
-        F.sum("entries").alias("entries"),
-        *[F.sum(f"total_{m}").alias(f"total_{m}") for m in measures],
-    ).withColumn(
-        "cuts",
-        F.when(F.col("entries") > large_group, F.transform(
-            F.sequence(F.lit(1), F.lit(RANGES - 1)),
-            lambda i: F.get("picks", F.floor(i * F.size("picks") / RANGES).cast("int")))),
-    ).drop("picks", "entries")
-
-    placed = _attach(entries, groups, keys).withColumn("range_no", F.lit(0))
-    step = RANGES // 2
-    while step >= 1:   # halving search: range_no = number of cuts below the value
-        probe = F.get("cuts", F.col("range_no") + F.lit(step - 1))
-        placed = placed.withColumn(
-            "range_no",
-            F.col("range_no") + F.when(probe < F.col(order), F.lit(step)).otherwise(F.lit(0)))
-        step //= 2
-    placed = placed.withColumn("cut", F.col("cuts").isNotNull()).drop("cuts")
-
-    ahead = Window.partitionBy(*keys).orderBy("range_no").rowsBetween(
-        Window.unboundedPreceding, -1)
-    ranges = (
-        placed.filter("cut").groupBy(*keys, "range_no")
-        .agg(*[F.sum(m).alias(f"inside_{m}") for m in measures])
-        .select(*keys, "range_no", *[f"inside_{m}" for m in measures],
-                *[F.coalesce(F.sum(f"inside_{m}").over(ahead), F.lit(0)).alias(f"before_{m}")
-                  for m in measures])
-    )
-    shifted = _attach(placed, ranges, [*keys, "range_no"])
-    for m in measures:
-        shifted = shifted.withColumn(
-            f"before_{m}", F.coalesce(f"before_{m}", F.lit(0))).withColumn(
-            f"inside_{m}", F.coalesce(f"inside_{m}", f"total_{m}"))
-    return shifted.drop("cut")
+    ranges = _range_count(entries)
+    # 1. a repeatable hash sample of OVERSAMPLE entries per range, as one sorted array
+    stamp = F.xxhash64(*keys, order, *measures)
+    every = entries.agg(F.greatest(F.lit(1), F.floor(
+        F.count_if(stamp != 0) / F.lit(OVERSAMPLE * ranges))).alias("every")).scalar()
+    picks = entries.filter(F.pmod(stamp, every) == 0).agg(
+        F.sort_array(F.collect_list(F.struct(*keys, order))).alias("picks"))
+    cuts = picks.select(F.transform(
+        F.sequence(F.lit(1), F.lit(ranges - 1)),
+        lambda i: F.get("picks", F.floor(i * F.size("picks") / ranges).cast("int")))).scalar()
+
+    # 2. halving search: range_no = number of cuts below the entry. One projection;
+    #    every step refers to the alias of the step before it.
+    point = F.struct(*keys, order)
+    at, search = F.lit(0), []
+    for i in range(1, ranges.bit_length()):
+        step = ranges >> i
+        found = at + F.when(F.get(cuts, at + F.lit(step - 1)) < point, F.lit(step)).otherwise(
+            F.lit(0))
+        search.append(found.alias(f"__at{step}"))
+        at = F.col(f"__at{step}")
+    placed = entries.select("*", *search).select(*entries.columns, at.alias("range_no"))
+
+    # 3. totals per range, shifted within the group: one row per group and range
+    group = Window.partitionBy(*keys)
+    ahead = group.orderBy("range_no").rowsBetween(Window.unboundedPreceding, -1)
+    totals = placed.groupBy(*keys, "range_no").agg(
+        *[F.sum(m).alias(f"inside_{m}") for m in measures])
+    totals = totals.select(
+        *keys, "range_no", *[f"inside_{m}" for m in measures],
+        *[F.coalesce(F.sum(f"inside_{m}").over(ahead), F.lit(0)).alias(f"before_{m}")
+          for m in measures],
+        *[F.sum(f"inside_{m}").over(group).alias(f"total_{m}") for m in measures])
+    return _join_ranges(placed, totals, [*keys, "range_no"])
 
 
 def prefix_sums(entries: DataFrame, keys: Sequence[str], order: str, measures: Sequence[str],
-                large_group: int = LARGE_GROUP) -> DataFrame:
+                ) -> DataFrame:
     """Sum each measure over the group's entries that sort strictly before the row.
 
     ``entries`` must hold one row per (keys, order). Adds ``prior_<m>`` and
     ``total_<m>``; with no keys the whole table is one group.
     """
     base, by = _with_keys(entries, keys)
-    ranged = _ranged(base, by, order, measures, large_group)
+    ranged = _ranged(base, by, order, measures)
     inside = Window.partitionBy(*by, "range_no").orderBy(order).rowsBetween(
         Window.unboundedPreceding, -1)
     out = ranged.select(
@@ -114,19 +109,18 @@ def prefix_sums(entries: DataFrame, keys: Sequence[str], order: str, measures: S
 
 
 def row_positions(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
-                  name: str = "position", large_group: int = LARGE_GROUP) -> DataFrame:
+                  name: str = "position") -> DataFrame:
     """Zero-based position of each row inside its group; ``order`` must be a total order.
 
     The same as ``row_number() - 1``, without one task per group.
     """
     ordered = df.withColumn("__ord", F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
                             if len(order) > 1 else order[0]).withColumn("__one", F.lit(1))
-    placed = prefix_sums(ordered, keys, "__ord", ["__one"], large_group)
+    placed = prefix_sums(ordered, keys, "__ord", ["__one"])
     return placed.withColumnRenamed("prior___one", name).drop("__ord", "__one", "total___one")
 
 
-def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float],
-                      large_group: int = LARGE_GROUP) -> DataFrame:
+def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
     """Exact percentiles with linear interpolation, one row per group.
 
     ``probs`` maps an output column to a probability. Equal values are counted
@@ -135,7 +129,7 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: dic
     base, by = _with_keys(df.select(*keys, value), keys)
     counted = base.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(
         F.count(F.lit(1)).alias("n"))
-    ranged = _ranged(counted, by, value, ["n"], large_group)
+    ranged = _ranged(counted, by, value, ["n"])
 
     def low(p: float) -> Column:
         return F.floor(F.lit(float(p)) * (F.col("total_n") - 1))
