@@ -211,13 +211,24 @@ def percentile_outliers(df: DataFrame, keys: Sequence[str], value: str, order: S
     return top_per_group(out, keys, [F.col(c) for c in order], first)
 
 
+def trim_to_percentiles(df: DataFrame, value: str, low: float = 0.01,
+                        high: float = 0.99) -> DataFrame:
+    """Rows between two exact percentiles of the whole table (FLT-8).
+
+    The two bounds are computed first and become literals, so the filter reaches
+    the scan instead of dragging the percentile plan along.
+    """
+    cut = exact_percentiles(df, [], value, {"lo": low, "hi": high}).first()
+    if cut is None:
+        return df.filter(F.lit(False))
+    return df.filter(F.col(value).between(cut["lo"], cut["hi"]))
+
+
 def box_summary(df: DataFrame, key: str, value: str, *, min_group: int = 30,
                 trim: tuple[float, float] = (0.01, 0.99)) -> DataFrame:
     """Quartiles, whiskers at 1.5 ranges and points beyond, after trimming (STA-10)."""
     rows = keep_large_groups(df.select(key, value).dropna(), [key], min_group)
-    cut = exact_percentiles(rows, [], value, {"lo": trim[0], "hi": trim[1]}).select(
-        F.struct("lo", "hi").alias("b")).scalar()
-    rows = rows.filter(F.col(value).between(cut["lo"], cut["hi"]))
+    rows = trim_to_percentiles(rows, value, *trim)
     quartiles = exact_percentiles(rows, [key], value, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     # equal values are folded before they meet the quartiles
     folded = rows.groupBy(key, value).agg(F.count(F.lit(1)).alias("n"))

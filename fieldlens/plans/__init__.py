@@ -1,3 +1,4 @@
 """Query plans over the given tables. Importing the package fills the registry."""
 
-from fieldlens.plans import cleaning, descriptive, sql_reports  # noqa: F401
+from fieldlens.plans import (cleaning, descriptive, models, quality_checks,  # noqa: F401
+                             sql_reports, statistics)

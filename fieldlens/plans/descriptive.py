@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from fieldlens.operators import aggregates as agg
 from fieldlens.operators.quality import null_audit as audit_nulls
-from fieldlens.operators.ranking import (exact_percentiles, keep_large_groups, latest_per_key,
-                                         row_positions, top_ranks)
-from fieldlens.operators.stats import paired_correlation
+from fieldlens.operators.ranking import (keep_large_groups, latest_per_key, row_positions,
+                                         top_ranks)
+from fieldlens.operators.stats import paired_correlation, trim_to_percentiles
 from fieldlens.plans.driver import fact, results_wide, table, with_fact
 from fieldlens.plans.registry import query
 
@@ -340,6 +340,4 @@ WHERE l_extendedprice >= (SELECT lo FROM q) AND l_extendedprice <= (SELECT hi FR
 def percentile_trim(spark, sf_dir):
     """Rows within the first and last percentile (FLT-8)."""
     rows = results_wide(spark, sf_dir).select("exp_id", F.col("l_extendedprice").alias("price"))
-    cuts = exact_percentiles(rows, [], "price", {"lo": 0.01, "hi": 0.99})
-    bounds = cuts.select(F.struct("lo", "hi").alias("b")).scalar()
-    return rows.filter(F.col("price").between(bounds["lo"], bounds["hi"]))
+    return trim_to_percentiles(rows, "price")
