@@ -37,7 +37,7 @@ def _col(c: Column | str) -> Column:
 
 
 def clean_name(name: str, upper: bool = False) -> str:
-    cleaned = name.lstrip("﻿").strip()
+    cleaned = name.lstrip("\ufeff").strip()
     return cleaned.upper() if upper else cleaned
 
 

@@ -125,7 +125,7 @@ def regression_metrics(df: DataFrame, actual: str, predicted: str, prefix: str =
     return sums.select(
         F.round("mae", digits).alias(f"{prefix}mae"),
         F.round(F.sqrt("mse"), digits).alias(f"{prefix}rmse"),
-        F.round(1 - F.try_divide("mse", "spread"), digits).alias(f"{prefix}r2"))
+        (F.round(1 - F.try_divide("mse", "spread"), digits) + 0.0).alias(f"{prefix}r2"))
 
 
 def positive_rates(df: DataFrame, label: str, by: str, digits: int = 4) -> DataFrame:

@@ -85,7 +85,8 @@ def fit_classifier(train: DataFrame, features: PipelineModel, label: str,
                    settings: Boosting = CLASSIFICATION):
     """Boosted classification trees (ML-6)."""
     ensure_checkpointing(train.sparkSession)
-    trainer = GBTClassifier(featuresCol="features", labelCol="__label", stepSize=settings.step,
+    trainer = GBTClassifier(featuresCol="features", labelCol="__label",
+                            predictionCol="__class", stepSize=settings.step,
                             maxIter=settings.rounds, maxDepth=settings.depth, maxBins=64,
                             seed=settings.seed, checkpointInterval=10)
     rows = features.transform(train).select("features", F.col(label).cast("double").alias("__label"))

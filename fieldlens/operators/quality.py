@@ -146,9 +146,13 @@ def sparse_columns(df: DataFrame, share: float = 0.95) -> DataFrame:
 
 def cell_counts(df: DataFrame) -> DataFrame:
     """(column, value, n) for every cell. One shuffle serves nulls, distincts and top values."""
-    cells = F.array(*[F.struct(F.lit(c).alias("column_name"),
-                               F.col(f"`{c}`").cast("string").alias("value"))
-                      for c in df.columns])
+    def cell(f):
+        value = F.col(f"`{f.name}`")
+        if f.dataType.simpleString() in ("double", "float"):
+            value = value + 0.0   # one zero, not two
+        return F.struct(F.lit(f.name).alias("column_name"), value.cast("string").alias("value"))
+
+    cells = F.array(*[cell(f) for f in df.schema.fields])
     return df.select(F.inline(cells)).groupBy("column_name", "value").agg(
         F.count(F.lit(1)).alias("n"))
 

@@ -155,7 +155,7 @@ m AS (SELECT avg(result_num) AS guess FROM data WHERE year < (SELECT max(year) F
 t AS (SELECT result_num, guess FROM data, m WHERE year = (SELECT max(year) FROM data))
 SELECT round(avg(abs(result_num - guess)), 4) AS baseline_mae,
        round(sqrt(avg((result_num - guess) * (result_num - guess))), 4) AS baseline_rmse,
-       round(1 - avg((result_num - guess) * (result_num - guess)) / var_pop(result_num), 4) AS baseline_r2
+       round(1 - avg((result_num - guess) * (result_num - guess)) / var_pop(result_num), 4) + 0.0 AS baseline_r2
 FROM t""")
 def regression_baseline(spark, sf_dir):
     """Errors of always predicting the training mean (ML-13)."""
