@@ -18,7 +18,7 @@ from fieldlens.streaming import topics
 
 def _events(spark, sf_dir):
     """The event table as a stream, with a time zone on its clock."""
-    path = f"{sf_dir}/events.parquet"
+    path = f"{sf_dir}/event[s].parquet"   # a pattern, so that one file or a folder of files will do
     stream = topics.read_topic(spark, path, table(spark, sf_dir, "events").schema)
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
