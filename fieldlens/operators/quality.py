@@ -82,8 +82,8 @@ def rows_with_duplicate_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """Excess copies of fully equal rows, in one row (QLT-6)."""
-    copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n"))
-    return copies.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("full_duplicates"))
+    copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n"))
+    return copies.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("full_duplicates"))
 
 
 def contract_report(df: DataFrame, contract: Contract) -> DataFrame:
@@ -92,22 +92,27 @@ def contract_report(df: DataFrame, contract: Contract) -> DataFrame:
     Equal rows are folded into one with their count first; duplicate rows, duplicate
     keys and broken rules are then sums over the folded rows.
     """
-    folded = flagged(df, contract).groupBy(
-        *df.columns, "required_null", "invalid_value").agg(F.count(F.lit(1)).alias("n"))
+    marked = flagged(df, contract)
+    folded = marked.groupBy(*marked.columns).agg(F.count(F.lit(1)).alias("__n"))
+    n = F.col("__n")
+
+    def rows(condition: Column) -> Column:
+        return F.sum(F.when(condition, n).otherwise(0))
+
+    bad, gone = F.col("invalid_value"), F.col("required_null")
     per_key = folded.groupBy(*contract.unique_key).agg(
-        F.sum("n").alias("n"), F.sum(F.col("n") - 1).alias("copies"),
-        F.sum(F.when(F.col("required_null"), F.col("n")).otherwise(0)).alias("nulls"),
-        F.sum(F.when(F.col("invalid_value"), F.col("n")).otherwise(0)).alias("bad"),
-        F.sum(F.when(F.col("required_null") | F.col("invalid_value"), F.col("n")).otherwise(0))
-        .alias("held"))
-    zero = F.lit(0).cast("bigint")
+        F.sum(n).alias("__rows"), F.sum(n - 1).alias("__copies"), rows(gone).alias("__null"),
+        rows(bad).alias("__bad"), rows(gone | bad).alias("__held"))
+
+    def total(c: Column) -> Column:
+        return F.coalesce(F.sum(c), F.lit(0).cast("bigint"))
+
     return per_key.agg(
-        F.coalesce(F.sum("n"), zero).alias("n_rows"),
-        F.coalesce(F.sum("copies"), zero).alias("full_duplicates"),
-        F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), zero).alias("duplicate_key_rows"),
-        F.coalesce(F.sum("nulls"), zero).alias("required_null_rows"),
-        F.coalesce(F.sum("bad"), zero).alias("invalid_value_rows"),
-        F.coalesce(F.sum("held"), zero).alias("quarantined_rows"),
+        total(F.col("__rows")).alias("n_rows"), total(F.col("__copies")).alias("full_duplicates"),
+        total(F.when(F.col("__rows") > 1, F.col("__rows"))).alias("duplicate_key_rows"),
+        total(F.col("__null")).alias("required_null_rows"),
+        total(F.col("__bad")).alias("invalid_value_rows"),
+        total(F.col("__held")).alias("quarantined_rows"),
     ).select(
         F.lit(contract.dataset).alias("dataset"), F.lit(len(df.columns)).alias("n_columns"), "*",
         F.round(F.try_divide("quarantined_rows", "n_rows"), 6).alias("quarantine_rate"),

@@ -128,35 +128,35 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: dic
     """
     base, by = _with_keys(df.select(*keys, value), keys)
     counted = base.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(
-        F.count(F.lit(1)).alias("n"))
-    ranged = _ranged(counted, by, value, ["n"])
+        F.count(F.lit(1)).alias("__n"))
+    ranged = _ranged(counted, by, value, ["__n"])
 
     def low(p: float) -> Column:
-        return F.floor(F.lit(float(p)) * (F.col("total_n") - 1))
+        return F.floor(F.lit(float(p)) * (F.col("total___n") - 1))
 
     def high(p: float) -> Column:
-        return F.ceil(F.lit(float(p)) * (F.col("total_n") - 1))
+        return F.ceil(F.lit(float(p)) * (F.col("total___n") - 1))
 
     def holds(rank: Column, start: str, size: str) -> Column:
         return (rank >= F.col(start)) & (rank < F.col(start) + F.col(size))
 
     wanted = F.lit(False)
     for p in probs.values():
-        wanted = wanted | holds(low(p), "before_n", "inside_n") | holds(
-            high(p), "before_n", "inside_n")
+        wanted = wanted | holds(low(p), "before___n", "inside___n") | holds(
+            high(p), "before___n", "inside___n")
     inside = Window.partitionBy(*by, "range_no").orderBy(value).rowsBetween(
         Window.unboundedPreceding, -1)
     ranked = ranged.filter(wanted).withColumn(
-        "start", F.col("before_n") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
+        "__start", F.col("before___n") + F.coalesce(F.sum("__n").over(inside), F.lit(0)))
     picked = ranked.groupBy(*by).agg(
-        F.max("total_n").alias("total_n"),
-        *[F.max(F.when(holds(rank(p), "start", "n"), F.col(value))).alias(f"{side}_{name}")
+        F.max("total___n").alias("total___n"),
+        *[F.max(F.when(holds(rank(p), "__start", "__n"), F.col(value))).alias(f"{side}_{name}")
           for name, p in probs.items() for side, rank in (("lo", low), ("hi", high))],
     )
     return picked.select(
         *keys,
         *[(F.col(f"lo_{name}") + (F.col(f"hi_{name}") - F.col(f"lo_{name}"))
-           * (F.lit(float(p)) * (F.col("total_n") - 1) - low(p))).alias(name)
+           * (F.lit(float(p)) * (F.col("total___n") - 1) - low(p))).alias(name)
           for name, p in probs.items()],
     )
 
@@ -173,8 +173,8 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
 
 def _edge_per_key(df, keys, order, edge):
     rest = [c for c in df.columns if c not in keys and c not in order]
-    packed = df.groupBy(*keys).agg(edge(F.struct(*order, *rest)).alias("row"))
-    return packed.select(*[F.col(c) if c in keys else F.col(f"row.`{c}`").alias(c)
+    packed = df.groupBy(*keys).agg(edge(F.struct(*order, *rest)).alias("__row"))
+    return packed.select(*[F.col(c) if c in keys else F.col(f"__row.`{c}`").alias(c)
                            for c in df.columns])
 
 
@@ -187,8 +187,8 @@ def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k
 
 def keep_large_groups(df: DataFrame, keys: Sequence[str], minimum: int) -> DataFrame:
     """Rows of groups with at least ``minimum`` rows, by semi join on the group counts."""
-    large = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(
-        F.col("n") >= minimum).select(*keys)
+    large = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(
+        F.col("__n") >= minimum).select(*keys)
     return df.join(large, list(keys), "left_semi")
 
 

@@ -38,7 +38,7 @@ def test_two_group_range_equals_t():
 @pytest.fixture(scope="module")
 def trial_rows(spark):
     rng = np.random.default_rng(5)
-    rows = [("s", f"r{g}", 1e6 + g + float(rng.normal()), 2010 + int(i) % 5)
+    rows = [("s", f"r{g}", 1e6 + g / 4 + float(rng.normal()), 2010 + int(i) % 5)
             for g in range(4) for i in range(40)]
     rows += [("s", "tiny", 5.0, 2011), ("s", None, 9.0, 2012), (None, "r1", 3.0, 2013)]
     return spark.createDataFrame(rows, "species string, region string, v double, year int"), rows
@@ -57,12 +57,15 @@ def test_anova_by_hand(trial_rows):
 
 
 def test_tukey_has_each_pair_once(trial_rows):
-    df, _ = trial_rows
+    df, rows = trial_rows
     pairs = st.with_tukey_p_value(st.tukey(df, ["species"], "region", "v")).collect()
     assert len(pairs) == 6
     far = next(r for r in pairs if (r["level_a"], r["level_b"]) == ("r0", "r3"))
     near = next(r for r in pairs if (r["level_a"], r["level_b"]) == ("r0", "r1"))
-    assert far["diff"] == pytest.approx(3, abs=0.7) and far["p_adj"] < near["p_adj"]
+    means = {g: np.mean([v for s, r, v, _ in rows if s == "s" and r == g]) for g in ("r0", "r1", "r3")}
+    assert far["diff"] == pytest.approx(means["r3"] - means["r0"], abs=1e-6)
+    assert near["diff"] == pytest.approx(means["r1"] - means["r0"], abs=1e-6)
+    assert (far["p_adj"] < near["p_adj"]) == (far["q"] > near["q"])
 
 
 def test_pair_correlation_equals_the_join(spark):
