@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from fieldlens.operators import evaluation as ev
 from fieldlens.operators.quality import require_columns, require_no_duplicates
 from fieldlens.operators.ranking import row_positions
-from fieldlens.session import ensure_checkpointing, work_path
+from fieldlens.session import ensure_checkpointing, stored
 
 
 @dataclass(frozen=True)
@@ -111,9 +111,7 @@ def tune_classifier(train: DataFrame, numeric: Sequence[str], text: Sequence[str
     every fit and every scoring is a distributed job.
     """
     fold_of = ev.group_folds(train, group, folds).select(group, "fold")
-    path = work_path(train.sparkSession, "folds")
-    train.join(fold_of, group).write.parquet(path)
-    held = train.sparkSession.read.parquet(path)
+    held, _ = stored(train.join(fold_of, group), "folds")
     rows = []
     for number, config in enumerate(settings):
         parts = []
@@ -140,15 +138,10 @@ def permutation_importance(test: DataFrame, columns: Sequence[str], label: str,
     without a global sort per feature. All features and repeats are scored and
     compared in one job. ``score`` adds a ``probability`` column to a DataFrame.
     """
-    spark = test.sparkSession
-    path = work_path(spark, "permutation")
-    test.select(*columns, label).withColumn(
-        "row_id", F.monotonically_increasing_id()).write.parquet(path)
-    stored = spark.read.parquet(path)   # row ids are now fixed
-    path = work_path(spark, "permutation")
-    row_positions(stored, [], [F.xxhash64("row_id"), F.col("row_id")], "place").write.parquet(path)
-    rows = spark.read.parquet(path)
-    n = rows.count()
+    held, n = stored(test.select(*columns, label).withColumn(
+        "row_id", F.monotonically_increasing_id()), "test-rows")     # row ids are fixed now
+    rows, _ = stored(row_positions(held, [], [F.xxhash64("row_id"), F.col("row_id")], "place"),
+                     "test-places")
     if n == 0:
         raise ValueError("no test rows")
     shifts = [1 + (r * n) // (repeats + 1) for r in range(1, repeats + 1)]

@@ -6,6 +6,10 @@ own a third of the table. The helpers below cut the sorted order of all groups
 into value ranges first: every range is sorted in its own task and shifted by the
 total of the ranges before it. The cuts come from a hash sample of the entries
 themselves, so they are repeatable: recomputing a lost stage gives the same ranges.
+
+The entries (usually already folded to one row per group and value) are written to
+the shared folder first. That cuts the lineage, and it tells their number: small
+tables then take the plain window or percentile, which needs a single shuffle.
 """
 
 from __future__ import annotations
@@ -15,7 +19,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-OVERSAMPLE = 8        # sampled entries per range
+from fieldlens.session import stored
+
+OVERSAMPLE = 8           # sampled entries per range
+SMALL_TABLE = 1_000_000  # entries of all groups together that one task may sort
 _SINGLE = "__all"
 
 
@@ -40,24 +47,21 @@ def _join_ranges(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Data
     return left.join(renamed, condition).drop(*[f"__{k}" for k in keys])
 
 
-def _ranged(entries: DataFrame, keys: list[str], order: str,
+def _ranged(entries: DataFrame, n_entries: int, keys: list[str], order: str,
             measures: Sequence[str]) -> DataFrame:
     """Number the value ranges and add the measure totals around each of them.
 
-    ``entries`` has one row per (keys, order). All entries, sorted by key and
-    value, are cut into ranges of about equal length, so a large group spans many
-    ranges. Columns added: ``range_no``, ``before_<m>`` (the group's total in
-    earlier ranges), ``inside_<m>`` (in this range) and ``total_<m>`` (everywhere).
-
-    The sample reads the same columns as the main branch, so Spark reuses the
-    exchange that produced the entries instead of computing them again.
+    ``entries`` is a stored table with one row per (keys, order). All entries,
+    sorted by key and value, are cut into ranges of about equal length, so a large
+    group spans many ranges. Columns added: ``range_no``, ``before_<m>`` (the
+    group's total in earlier ranges), ``inside_<m>`` (in this range) and
+    ``total_<m>`` (everywhere).
     """
     ranges = _range_count(entries)
-    # 1. a repeatable hash sample of OVERSAMPLE entries per range, as one sorted array
-    stamp = F.xxhash64(*keys, order, *measures)
-    every = entries.agg(F.greatest(F.lit(1), F.floor(
-        F.count_if(stamp != 0) / F.lit(OVERSAMPLE * ranges))).alias("every")).scalar()
-    picks = entries.filter(F.pmod(stamp, every) == 0).agg(
+    # 1. a repeatable hash sample of about OVERSAMPLE entries per range, as one sorted array
+    every = max(1, n_entries // (OVERSAMPLE * ranges))
+    stamp = F.xxhash64(*keys, order)
+    picks = entries.filter(F.pmod(stamp, F.lit(every)) == 0).agg(
         F.sort_array(F.collect_list(F.struct(*keys, order))).alias("picks"))
     cuts = picks.select(F.transform(
         F.sequence(F.lit(1), F.lit(ranges - 1)),
@@ -96,7 +100,15 @@ def prefix_sums(entries: DataFrame, keys: Sequence[str], order: str, measures: S
     ``total_<m>``; with no keys the whole table is one group.
     """
     base, by = _with_keys(entries, keys)
-    ranged = _ranged(base, by, order, measures)
+    base, n_entries = stored(base, "entries")
+    if n_entries <= SMALL_TABLE:
+        group = Window.partitionBy(*by)
+        ahead = group.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return base.select(
+            *entries.columns,
+            *[F.coalesce(F.sum(m).over(ahead), F.lit(0)).alias(f"prior_{m}") for m in measures],
+            *[F.sum(m).over(group).alias(f"total_{m}") for m in measures])
+    ranged = _ranged(base, n_entries, by, order, measures)
     inside = Window.partitionBy(*by, "range_no").orderBy(order).rowsBetween(
         Window.unboundedPreceding, -1)
     out = ranged.select(
@@ -129,7 +141,13 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: dic
     base, by = _with_keys(df.select(*keys, value), keys)
     counted = base.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(
         F.count(F.lit(1)).alias("__n"))
-    ranged = _ranged(counted, by, value, ["__n"])
+    counted, n_entries = stored(counted, "values")
+    if n_entries <= SMALL_TABLE:
+        picked = counted.groupBy(*by).agg(F.percentile(
+            value, F.array(*[F.lit(float(p)) for p in probs.values()]), F.col("__n")).alias("__p"))
+        return picked.select(*keys, *[F.get("__p", F.lit(i)).alias(name)
+                                      for i, name in enumerate(probs)])
+    ranged = _ranged(counted, n_entries, by, value, ["__n"])
 
     def low(p: float) -> Column:
         return F.floor(F.lit(float(p)) * (F.col("total___n") - 1))

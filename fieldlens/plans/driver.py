@@ -12,23 +12,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from fieldlens.functions.clean import species_label
 from fieldlens.operators.fact import unpivot_traits
+from fieldlens.sources.tables import read_table
 
 TRAITS = {"QTY": "l_quantity", "PRICE": "l_extendedprice", "DISC": "l_discount", "TAX": "l_tax"}
 
 
-_schemas: dict[str, StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. Its schema is inferred once, so later plans skip the footer read."""
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def trials(spark: SparkSession, sf_dir: str) -> DataFrame:

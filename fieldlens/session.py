@@ -6,7 +6,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Settings every job wants: runtime re-planning, skew splitting and UTC clocks.
 ENGINE_CONF = {
@@ -62,3 +63,17 @@ def ensure_checkpointing(spark: SparkSession) -> None:
     """Let iterative jobs cut their lineage in the shared folder."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(work_path(spark, "lineage"))
+
+
+def stored(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """Write an intermediate table to the shared folder; return it and its row count.
+
+    The lineage ends here: several readers share one computation, and a lost
+    executor re-reads files instead of recomputing joins. Rows are counted while
+    they are written.
+    """
+    spark = df.sparkSession
+    path = work_path(spark, label)
+    watch = Observation(label)
+    df.observe(watch, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), watch.get["rows"]

@@ -24,6 +24,29 @@ def read_delimited(spark: SparkSession, path: str, sep: str = ";",
     return null_tokens(df) if nulls else df
 
 
+_known: dict[str, tuple[T.StructType, bool]] = {}
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table (SRC-3).
+
+    Schema and size are looked up once per path. A table of a few megabytes in
+    fewer splits than there are cores is dealt out to all of them; tables with
+    enough splits, which is every large one, are read as they are.
+    """
+    if path not in _known:
+        df = spark.read.parquet(path)
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        size = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(
+            target).getLength()
+        cores = spark.sparkContext.defaultParallelism
+        narrow = (8 << 20) <= size <= (cores * 64 << 20) and df.rdd.getNumPartitions() < cores
+        _known[path] = (df.schema, narrow)
+    schema, narrow = _known[path]
+    df = spark.read.schema(schema).parquet(path)
+    return df.repartition(spark.sparkContext.defaultParallelism) if narrow else df
+
+
 def read_json_document(spark: SparkSession, path: str,
                        schema: T.StructType | None = None) -> DataFrame:
     """One JSON document per file (SRC-7)."""
