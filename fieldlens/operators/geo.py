@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldlens.operators.ranking import first_per_key
+from fieldlens.operators.aggregates import entities
 
 # --- fixed values: the map box and the regions outside the home country -------
 LAT_RANGE = (40, 55)
@@ -43,7 +43,7 @@ def map_points(fact: DataFrame, key: str, columns: Sequence[str], trait: str = "
     sums = folded.groupBy(key).agg(
         F.sum("n").alias("n_measures"),
         F.sort_array(F.collect_set(trait)).alias("traits"))   # one entry per trait name
-    located = first_per_key(fact.filter(in_map_box()).select(key, *columns), [key], list(columns))
+    located = entities(fact.filter(in_map_box()), key, columns)
     return located.join(sums, key).withColumn("country", country_of(region, abroad, home))
 
 

@@ -132,15 +132,17 @@ def row_positions(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     return placed.withColumnRenamed("prior___one", name).drop("__ord", "__one", "total___one")
 
 
-def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
+def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float],
+                      weight: str | None = None) -> DataFrame:
     """Exact percentiles with linear interpolation, one row per group.
 
     ``probs`` maps an output column to a probability. Equal values are counted
     before the shuffle, and only value ranges that hold a wanted rank are sorted.
+    ``weight`` names a column that says how many equal rows each row stands for.
     """
-    base, by = _with_keys(df.select(*keys, value), keys)
+    base, by = _with_keys(df.select(*keys, value, *([weight] if weight else [])), keys)
     counted = base.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(
-        F.count(F.lit(1)).alias("__n"))
+        (F.sum(weight) if weight else F.count(F.lit(1))).alias("__n"))
     counted, n_entries = stored(counted, "values")
     if n_entries <= SMALL_TABLE:
         picked = counted.groupBy(*by).agg(F.percentile(

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from fieldlens.functions.distributions import f_p_value, t_p_value, tukey_p_value
 from fieldlens.operators.aggregates import join_groups
-from fieldlens.operators.ranking import exact_percentiles, keep_large_groups, top_per_group
+from fieldlens.operators.ranking import exact_percentiles, top_per_group
+from fieldlens.session import stored
 
 
 def group_moments(df: DataFrame, keys: Sequence[str], factor: str, value: str,
@@ -211,14 +212,14 @@ def percentile_outliers(df: DataFrame, keys: Sequence[str], value: str, order: S
     return top_per_group(out, keys, [F.col(c) for c in order], first)
 
 
-def trim_to_percentiles(df: DataFrame, value: str, low: float = 0.01,
-                        high: float = 0.99) -> DataFrame:
+def trim_to_percentiles(df: DataFrame, value: str, low: float = 0.01, high: float = 0.99,
+                        weight: str | None = None) -> DataFrame:
     """Rows between two exact percentiles of the whole table (FLT-8).
 
     The two bounds are computed first and become literals, so the filter reaches
     the scan instead of dragging the percentile plan along.
     """
-    cut = exact_percentiles(df, [], value, {"lo": low, "hi": high}).first()
+    cut = exact_percentiles(df, [], value, {"lo": low, "hi": high}, weight).first()
     if cut is None:
         return df.filter(F.lit(False))
     return df.filter(F.col(value).between(cut["lo"], cut["hi"]))
@@ -226,16 +227,21 @@ def trim_to_percentiles(df: DataFrame, value: str, low: float = 0.01,
 
 def box_summary(df: DataFrame, key: str, value: str, *, min_group: int = 30,
                 trim: tuple[float, float] = (0.01, 0.99)) -> DataFrame:
-    """Quartiles, whiskers at 1.5 ranges and points beyond, after trimming (STA-10)."""
-    rows = keep_large_groups(df.select(key, value).dropna(), [key], min_group)
-    rows = trim_to_percentiles(rows, value, *trim)
-    quartiles = exact_percentiles(rows, [key], value, {"q1": 0.25, "median": 0.5, "q3": 0.75})
-    # equal values are folded before they meet the quartiles
-    folded = rows.groupBy(key, value).agg(F.count(F.lit(1)).alias("n"))
+    """Quartiles, whiskers at 1.5 ranges and points beyond, after trimming (STA-10).
+
+    Rows are folded to (group, value, count) and stored once; sizes, trimming,
+    quartiles and whiskers all read the folded table.
+    """
+    folded, _ = stored(df.select(key, value).dropna().groupBy(key, value).agg(
+        F.count(F.lit(1)).alias("__w")), "folded")
+    large = folded.groupBy(key).agg(F.sum("__w").alias("__size")).filter(
+        F.col("__size") >= min_group).select(key)
+    rows = trim_to_percentiles(folded.join(large, key, "left_semi"), value, *trim, weight="__w")
+    quartiles = exact_percentiles(rows, [key], value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, "__w")
     spread = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.col(value).between(F.col("q1") - spread, F.col("q3") + spread)
-    return folded.join(quartiles, key).groupBy(key).agg(
-        F.sum("n").alias("n_rows"), F.max("q1").alias("q1"), F.max("median").alias("median"),
+    return rows.join(quartiles, key).groupBy(key).agg(
+        F.sum("__w").alias("n_rows"), F.max("q1").alias("q1"), F.max("median").alias("median"),
         F.max("q3").alias("q3"), F.min(F.when(inside, F.col(value))).alias("whisker_low"),
         F.max(F.when(inside, F.col(value))).alias("whisker_high"),
-        F.sum(F.when(~inside, F.col("n")).otherwise(0)).alias("n_fliers"))
+        F.sum(F.when(~inside, F.col("__w")).otherwise(0)).alias("n_fliers"))

@@ -16,14 +16,13 @@ from fieldlens.sources.tables import read_delimited
 def save_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Overwrite a Parquet table (SNK-1).
 
-    With partition columns, rows are spread by those columns and a few salts, so
-    one large partition value is written by several tasks (SNK-6).
+    With partition columns the rows are rebalanced on them: Spark merges small
+    partition values and splits a large one over several tasks by size (SNK-6).
     """
     if not partition_by:
         df.write.mode("overwrite").parquet(path)
         return
-    salted = df.withColumn("__salt", F.pmod(F.xxhash64(*df.columns), F.lit(8)))
-    spread = salted.repartition(*[F.col(c) for c in partition_by], F.col("__salt")).drop("__salt")
+    spread = df.hint("rebalance", *[F.col(c) for c in partition_by])
     spread.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 

@@ -24,6 +24,12 @@ def read_delimited(spark: SparkSession, path: str, sep: str = ";",
     return null_tokens(df) if nulls else df
 
 
+def _size(spark: SparkSession, path: str) -> int:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    return target.getFileSystem(conf).getContentSummary(target).getLength()
+
+
 _known: dict[str, tuple[T.StructType, bool]] = {}
 
 
@@ -36,11 +42,8 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     """
     if path not in _known:
         df = spark.read.parquet(path)
-        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        size = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(
-            target).getLength()
         cores = spark.sparkContext.defaultParallelism
-        narrow = (8 << 20) <= size <= (cores * 64 << 20) and df.rdd.getNumPartitions() < cores
+        narrow = df.rdd.getNumPartitions() < cores and (8 << 20) <= _size(spark, path)
         _known[path] = (df.schema, narrow)
     schema, narrow = _known[path]
     df = spark.read.schema(schema).parquet(path)
