@@ -68,13 +68,9 @@ def value_counts(df: DataFrame, column: str, top: int | None = None) -> DataFram
 
 
 def entities(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    """One row per entity of the fact table (AGG-20): smallest attributes win.
-
-    Attributes repeat on every measure of an entity, so equal rows are folded by
-    hash before the smallest is sought.
-    """
-    folded = df.filter(F.col(key).isNotNull()).select(key, *columns).distinct()
-    return first_per_key(folded, [key], list(columns))
+    """One row per entity of the fact table (AGG-20): smallest attributes win."""
+    return first_per_key(df.filter(F.col(key).isNotNull()).select(key, *columns), [key],
+                         list(columns))
 
 
 def entity_counts(df: DataFrame, key: str, by: Sequence[str], name: str = "n_trials") -> DataFrame:

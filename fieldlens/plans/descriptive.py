@@ -9,7 +9,7 @@ from fieldlens.operators.quality import null_audit as audit_nulls
 from fieldlens.operators.ranking import (keep_large_groups, latest_per_key, row_positions,
                                          top_ranks)
 from fieldlens.operators.stats import paired_correlation, trim_to_percentiles
-from fieldlens.plans.driver import fact, results_wide, table, with_fact
+from fieldlens.plans.driver import entries, fact, results_wide, table, with_fact
 from fieldlens.plans.registry import query
 
 YIELD = "QTY"
@@ -74,14 +74,20 @@ SELECT count(DISTINCT exp_id) AS n_trials, count(DISTINCT stock_id) AS n_materia
        string_agg(DISTINCT CAST(year AS VARCHAR), ',' ORDER BY CAST(year AS VARCHAR)) AS years
 FROM fact"""))
 def kpi_global(spark, sf_dir):
-    """The six headline counts and the years covered (AGG-1)."""
-    rows = fact(spark, sf_dir)
-    counts = agg.distinct_counts(rows, {
-        "n_trials": "exp_id", "n_materials": "stock_id", "n_traits": "trait",
-        "n_species": "species", "n_regions": "region"}, rows="n_measures")
+    """The six headline counts and the years covered (AGG-1).
+
+    Trials, materials, species and regions are the same before and after the
+    unpivot, so they are counted on plot entries, a quarter of the rows.
+    """
+    counts = agg.distinct_counts(entries(spark, sf_dir), {
+        "n_trials": "exp_id", "n_materials": "stock_id", "n_species": "species",
+        "n_regions": "region"}, rows="n_entries").drop("n_entries")
+    traits = agg.value_counts(fact(spark, sf_dir, located=False, material=False), "trait").agg(
+        F.struct(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("traits")).alias("t")).scalar()
     years = results_wide(spark, sf_dir).select("year").distinct().agg(F.array_join(F.sort_array(
-        F.collect_list(F.col("year").cast("string"))), ",").alias("years"))
-    return counts.withColumn("years", years.scalar())
+        F.collect_list(F.col("year").cast("string"))), ",").alias("years")).scalar()
+    return counts.select("*", traits["rows"].alias("n_measures"), traits["traits"].alias("n_traits"),
+                         years.alias("years"))
 
 
 @query("kpi_value_counts", with_fact("""

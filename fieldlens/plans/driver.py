@@ -68,7 +68,8 @@ def results_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_partkey").alias("stock_id"),
         F.year("l_shipdate").cast("bigint").alias("year"),
         F.col("l_returnflag").alias("design"),
-        *[(F.col(c) + 0.0).alias(c) for c in TRAITS.values()],   # no negative zeros
+        "l_quantity", "l_extendedprice",
+        *[(F.col(c) + 0.0).alias(c) for c in ("l_discount", "l_tax")],   # no negative zeros
     )
 
 
@@ -80,6 +81,12 @@ def materials(spark: SparkSession, sf_dir: str) -> DataFrame:
         code.alias("species_code"), species_label(code).alias("species_label"))
 
 
+def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plot entries with material and location, traits side by side."""
+    return results_wide(spark, sf_dir).join(materials(spark, sf_dir), "stock_id", "left").join(
+        trials(spark, sf_dir), "exp_id", "left")
+
+
 def fact(spark: SparkSession, sf_dir: str, traits: Sequence[str] = tuple(TRAITS),
          located: bool = True, material: bool = True) -> DataFrame:
     """The long fact table, restricted to the wanted traits and dimensions.

@@ -181,3 +181,12 @@ def test_running_counts_end_with_the_batch_result(spark, tmp_path):
     assert got == want
     kept = topics.retained(df, "ts", F.lit("2024-01-02").cast("timestamp"))
     assert kept.count() == 8
+
+
+def test_intermediate_tables_live_in_the_configured_folder(spark):
+    from fieldlens import session
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    assert session.shared_dir(spark) == (folder or session.shared_dir(spark))
+    table, rows = session.stored(spark.range(5), "probe")
+    assert rows == 5 and table.count() == 5
+    assert session.work_path(spark, "a") != session.work_path(spark, "a")
