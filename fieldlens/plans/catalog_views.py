@@ -161,8 +161,8 @@ def catalog_columns(spark, sf_dir):
     return cat.column_catalog({d: table(spark, sf_dir, d) for d in _COLUMNS})
 
 
-_TOKENS = f"string_split_regex(translate(lower({{t}}), '{cat.ACCENTED}', '{cat.FOLDED}'), '[^\\p{{{{L}}}}\\p{{{{N}}}}]+')"
-_TOKENS = _TOKENS.replace("{{L}}", "{L}").replace("{{N}}", "{N}")
+_TOKENS = "string_split_regex(translate(lower({t}), '%s', '%s'), '%s')" % (
+    cat.ACCENTED, cat.FOLDED, cat.NOT_TOKEN)
 _INDEX_SQL = """idx AS (
   SELECT token, 'document' AS entity_type, entity_id, count(*) AS tf FROM (
     SELECT CAST(doc_id AS VARCHAR) AS entity_id, unnest(%s) AS token FROM documents)
