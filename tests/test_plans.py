@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from fieldlens.plans.registry import QUERIES
 from fieldlens.operators import ranking as rk
 
 FITTED = {"gbt_regression", "prediction_export", "gbt_classifier", "tune_classifier",
           "permutation_importance", "score_batch"}
-LAZY = sorted(n for n in entry.queries() if n not in FITTED and not n.startswith("stream_"))
+LAZY = sorted(n for n in QUERIES if n not in FITTED and not n.startswith("stream_"))
 
 
 def plan(df):

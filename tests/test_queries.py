@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from fieldlens.plans.registry import ORACLES, QUERIES
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
@@ -33,8 +34,8 @@ def same(x, y):
 
 
 def test_registry_is_consistent():
-    assert set(entry.oracle_sql()) <= set(entry.queries())
-    without = set(entry.queries()) - set(entry.oracle_sql())
+    assert set(ORACLES) <= set(QUERIES)
+    without = set(QUERIES) - set(ORACLES)
     assert without == {"anova_region_p", "tukey_p", "ols_p", "gbt_regression", "prediction_export",
                        "gbt_classifier", "tune_classifier", "permutation_importance", "score_batch"}
 
@@ -43,7 +44,7 @@ def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, small, check, name):
     df = entry.queries()[name](spark, small)
     columns = sorted(df.columns)
