@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -83,3 +84,34 @@ def pa_schema(spark: SparkSession, ddl: str) -> pa.Schema:
     from pyspark.sql.types import StructType
 
     return to_arrow_schema(StructType.fromDDL(ddl))
+
+
+def sorted_groups(batches: Iterable[pa.RecordBatch], n_keys: int) -> Iterator[tuple[tuple, list[list]]]:
+    """Groups of a partition whose rows are sorted by their first ``n_keys`` columns, which are returned
+    as the key, with lists of the other columns. One group is held at a time."""
+    key, held = None, []
+    for batch in batches:
+        cols = [c.to_pylist() for c in batch.columns]
+        keys = list(zip(*cols[:n_keys]))
+        begin = 0
+        for i in range(1, len(keys) + 1):
+            if i < len(keys) and keys[i] == keys[begin]:
+                continue
+            part = [c[begin:i] for c in cols[n_keys:]]
+            if key == keys[begin] and held:
+                for have, more in zip(held, part):
+                    have.extend(more)
+            else:
+                if held:
+                    yield key, held
+                key, held = keys[begin], part
+            begin = i
+    if held:
+        yield key, held
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished plans now, not when the driver next collects its
+    garbage: with intermediate results stored, nothing reads them again."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

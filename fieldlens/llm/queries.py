@@ -1,4 +1,4 @@
 """Importing this module fills the registry of the operators' queries."""
 
-from fieldlens.llm import line_windows, mixture  # noqa: F401
+from fieldlens.llm import language, line_windows, minmax, mixture, phrases, spaced_seeds  # noqa: F401
 from fieldlens.llm.common import ORACLES, QUERIES  # noqa: F401

@@ -51,9 +51,12 @@ class Words:
     ``first`` has, for text d, the number of words before it (length: texts + 1).
     """
 
-    def __init__(self, texts, table: np.ndarray = BLANK_SPLIT) -> None:
+    def __init__(self, texts, table: np.ndarray = BLANK_SPLIT, lower: bool = False) -> None:
+        """``lower``: A to Z count as a to z, other letters stay as they are."""
         raw = [t.encode("utf-8", "surrogatepass") if t else b"" for t in texts]
         blob = b" ".join(raw)
+        if lower:
+            blob = blob.lower()
         self.data = np.frombuffer(blob, np.uint8)
         self.blob = blob
         sizes = np.array([len(r) + 1 for r in raw], dtype=np.int64)
