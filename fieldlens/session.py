@@ -77,4 +77,12 @@ def stored(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     path = work_path(spark, label)
     watch = Observation(label)
     df.observe(watch, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), watch.get["rows"]
+    table = spark.read.schema(df.schema).parquet(path)
+    table.stored_path = path
+    return table, watch.get["rows"]
+
+
+def discard(table: DataFrame) -> None:
+    """Delete the files of a table from ``stored``, once no later plan reads them."""
+    path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.stored_path)
+    path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
