@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import itertools
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -43,6 +44,13 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column of ``df`` has."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name += "_"
+    return name
+
+
 def pieces(texts: list[str | None]) -> Iterator[tuple[int, int]]:
     """Slices of a batch that hold at most BATCH_BYTES characters, or one text."""
     begin = size = 0
@@ -115,3 +123,18 @@ def release(spark: SparkSession) -> None:
     garbage: with intermediate results stored, nothing reads them again."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+
+
+_ARROW = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "array<int>": pa.list_(pa.int32())}
+
+
+def ddl(fields: tuple[tuple[str, str], ...]) -> str:
+    return ", ".join(f"{name} {kind}" for name, kind in fields)
+
+
+def batched(rows: Iterable[tuple], fields: tuple[tuple[str, str], ...], size: int = 20_000) -> Iterator[pa.RecordBatch]:
+    """Record batches of up to ``size`` rows."""
+    names, kinds = [n for n, _ in fields], [_ARROW[k] for _, k in fields]
+    rows = iter(rows)
+    while held := list(itertools.islice(rows, size)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds)], names=names)

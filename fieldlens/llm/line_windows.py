@@ -63,16 +63,15 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     """
     cut = removed_lines(docs).select(F.col("doc_id").alias("cut_id"), F.col("text_key").alias("cut_key"),
                                      F.col("lines").alias("cut_lines"))
-    joined = docs.join(cut, docs["doc_id"].eqNullSafe(F.col("cut_id"))
-                       & (text_key(docs["text"]) == F.col("cut_key")), "left")
+    joined = docs.join(cut, docs["doc_id"].eqNullSafe(cut["cut_id"]) & (text_key(docs["text"]) == cut["cut_key"]), "left")
     # A map of the removed lines, for a lookup per line whose cost does not grow with their number.
-    kept = let(F.map_from_arrays(F.col("cut_lines"), F.col("cut_lines")),
+    kept = let(F.map_from_arrays(cut["cut_lines"], cut["cut_lines"]),
                lambda gone: F.filter(F.split(docs["text"], "\n"), lambda _, i: F.element_at(gone, i).isNull()))
-    text = F.when(F.col("cut_lines").isNull(), docs["text"]).otherwise(F.array_join(kept, "\n"))
+    text = F.when(cut["cut_lines"].isNull(), docs["text"]).otherwise(F.array_join(kept, "\n"))
     return joined.select(
         *[text.alias(c) if c == "text" else docs[c] for c in docs.columns],
         F.coalesce(F.size(F.split(docs["text"], "\n")), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("cut_lines"), F.lit(0)).cast("long").alias("n_removed_lines"))
+        F.coalesce(F.size(cut["cut_lines"]), F.lit(0)).cast("long").alias("n_removed_lines"))
 
 
 _SQL = """

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldlens.llm.common import map_texts, query, sorted_groups, table, text_key
+from fieldlens.llm.common import fresh, map_texts, query, sorted_groups, table, text_key
 from fieldlens.llm.links import components
 from fieldlens.llm.wordscan import U, Words, gram_hashes, mix
 from fieldlens.session import stored
@@ -217,11 +217,11 @@ def keep_one(docs: DataFrame, **settings) -> DataFrame:
     keep = near_duplicates(docs, **settings).filter("kept")
     best = keep.filter("root IS NOT NULL").groupBy("root").agg(F.min(F.struct("doc_id", "text_key")).alias("k")).select("k.*") \
         .unionByName(keep.filter("root IS NULL").select("doc_id", "text_key").distinct())
-    best = best.select(F.coalesce("doc_id", F.lit(0)).alias("k1"), F.col("text_key").alias("k2"),
-                       F.col("doc_id").isNull().alias("k3"))
-    own = docs.withColumns({"k1": F.coalesce("doc_id", F.lit(0)), "k2": text_key(F.col("text")),
-                            "k3": F.col("doc_id").isNull()})
-    return own.join(best, ["k1", "k2", "k3"]).dropDuplicates(["k1", "k2", "k3"]).select(docs.columns)
+    names = [fresh(docs, k) for k in ("k1", "k2", "k3")]
+    parts = lambda i, key: [c.alias(n) for c, n in zip((F.coalesce(i, F.lit(0)), key, i.isNull()), names)]
+    best = best.select(*parts(F.col("doc_id"), F.col("text_key")))
+    own = docs.select("*", *parts(F.col("doc_id"), text_key(F.col("text"))))
+    return own.join(best, names).dropDuplicates(names).select(docs.columns)
 
 
 @query("op6_minmax")

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fieldlens.llm.common import WORD, n_words, query, table
+from fieldlens.llm.common import WORD, fresh, n_words, query, table
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -109,14 +109,13 @@ def mixed(docs: DataFrame, **settings) -> DataFrame:
 
     Rows that repeat doc_id, source and text are one document here, with the copies of them all.
     """
-    own = docs.withColumn("mix_digest", order_key(F.col("doc_id"), F.col("text")))
-    counts = systematic_copies(docs, **settings).groupBy("digest", "mix_source").agg(
-        F.sum("copies").alias("mix_copies")).filter("mix_copies > 0")
-    once = own.dropDuplicates(["mix_digest", "source"])
-    joined = once.join(counts, (once["mix_digest"] == counts["digest"])
-                       & once["source"].eqNullSafe(counts["mix_source"]))
-    return joined.select(*[once[c] for c in docs.columns], F.explode(
-        F.sequence(F.lit(1), F.col("mix_copies").cast("int"))).alias("copy_no"))
+    name, copies = fresh(docs, "mix_key"), fresh(docs, "mix_copies")
+    key = lambda digest, source: F.md5(F.concat(digest, F.coalesce(F.concat(F.lit(":"), source), F.lit("")))).alias(name)
+    own = docs.withColumn(name, key(order_key(F.col("doc_id"), F.col("text")), F.col("source")))
+    counts = systematic_copies(docs, **settings).groupBy(key(F.col("digest"), F.col("mix_source"))).agg(
+        F.sum("copies").cast("int").alias(copies)).filter(F.col(copies) > 0)
+    return own.dropDuplicates([name]).join(counts, name).select(
+        *docs.columns, F.explode(F.sequence(F.lit(1), F.col(copies))).alias("copy_no"))
 
 
 _SQL = f"""

@@ -85,6 +85,7 @@ def test_extra_columns_with_clashing_names(make):
     df = make(["a b c", "a b c", "d"]).withColumns({c: F.lit("x") for c in ("root", "node", "k1", "text_key", "kept")})
     kept = keep_one(df)
     assert kept.columns == df.columns and kept.count() == 2
+    assert kept.first().k1 == "x"
 
 
 def test_whole_table(spark, small):

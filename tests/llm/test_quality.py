@@ -1,0 +1,50 @@
+"""The classifier: held-out labels, the prior, odd rows."""
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from fieldlens.llm import quality as q
+from fieldlens.llm.language import held_out
+
+
+def test_held_out_labels(spark):
+    d = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    rows = q.op4_quality(spark, d).filter("held_out").join(labels, "doc_id").collect()
+    assert len(rows) > 50
+    right = np.mean([r.predicted == r.quality for r in rows])
+    pos, neg = ([r.score for r in rows if r.quality == k] for k in (1, 0))
+    auc = np.mean([(a > b) + 0.5 * (a == b) for a in pos for b in neg])
+    assert right >= 0.93 and auc >= 0.95
+    assert q.op4_quality(spark, d).count() == docs.count()
+
+
+def test_prior_and_risk(spark):
+    rng = np.random.default_rng(3)
+    good = rng.random(4000) < 0.7
+    x = rng.random((4000, len(q.FEATURES))) + good[:, None] * 0.5
+    rows = [(v.tolist(), bool(g and k % 2)) for k, (v, g) in enumerate(zip(x, good))]
+    train = spark.createDataFrame(rows, "features array<float>, positive boolean").repartition(4)
+    first = q.fit_weights(train, q.START_PRIOR)
+    prior = q.estimate_prior(train, first)
+    assert 0.6 < prior < 0.8
+    w = q.fit_weights(train, prior, first)
+    said = q.expanded(x.astype(np.float32)) @ w > 0
+    assert np.mean(said == good) > 0.9
+
+
+def test_features_of_junk():
+    rows = q.text_features(["Plain words stand here, in order.", "A!! B!! C!!", "x | y | z", "na na na na na na", None, "", "#$ %& ##"])
+    at = {f: i for i, f in enumerate(q.FEATURES)}
+    assert rows[1, at["exclamations"]] > 1 and rows[2, at["bars"]] > 1 and rows[3, at["doubled"]] > 1 and rows[6, at["symbols"]] > 1
+    assert not rows[4].any() and not rows[5].any() and rows[0, at["bars"]] == 0
+
+
+def test_odd_rows(make, odd, empty):
+    df = make(odd).withColumn("features", F.lit(1))
+    learn = lambda i: i.isNotNull() & ~held_out(i, 5, 0)
+    rows = q.classify(df, df.filter("doc_id = 7").select("doc_id"), learn).collect()
+    assert len(rows) == len(odd) and all(0 <= r.score <= 1 for r in rows)
+    assert len({r.score for r in rows if r.doc_id in (1, 2, 3)}) == 1
+    assert {r.score for r in q.classify(df, df.limit(0).select("doc_id"), learn).collect()} == {0.5}
+    assert q.classify(empty, empty.select("doc_id"), learn).count() == 0
