@@ -27,9 +27,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldlens.llm.common import map_texts, query, release, sorted_groups, table, text_key
+from fieldlens.llm.common import batched, ddl, map_texts, query, release, sorted_groups, table, text_key
 from fieldlens.llm.wordscan import U, Words, _power, gram_hashes, mix, sliding_min
-from fieldlens.session import stored
+from fieldlens.session import discard, stored
 
 WINDOW = 20
 ANCHOR = 8
@@ -83,127 +83,126 @@ def _anchor_rows(cols: list[list]) -> list:
 
 
 def _run_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The words of every candidate run of a batch of documents."""
-    for batch in batches:
-        for k in range(len(batch)):
-            doc_id, key, text, runs = (batch.column(c)[k].as_py() for c in range(4))
-            words = text.encode("utf-8", "surrogatepass").split()
-            runs.sort(key=lambda r: r["start"])
-            spans = [b" ".join(words[r["start"]:r["start"] + r["length"] + WINDOW - 1]).decode("utf-8", "surrogatepass")
-                     for r in runs]
-            n = len(runs)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r["anchor"] for r in runs], pa.int64()), pa.array([r["hot"] for r in runs], pa.bool_()),
-                 pa.array([doc_id] * n, pa.int64()), pa.array([key] * n, pa.int64()),
-                 pa.array([r["start"] for r in runs], pa.int32()), pa.array(spans, pa.string())],
-                names=["anchor", "hot", "doc_id", "text_key", "start", "words"])
-
-
-PASSAGE = "doc_id long, text_key long, passage string, first_id long, first_key long, first_start int"
+    """The words of every candidate run of the documents."""
+    def rows():
+        for batch in batches:
+            for doc_id, key, text, anchors, starts, lengths in zip(*(c.to_pylist() for c in batch.columns)):
+                words = text.encode("utf-8", "surrogatepass").split()
+                for anchor, start, length in zip(anchors, starts, lengths):
+                    yield anchor, doc_id, key, start, b" ".join(words[start:start + length + WINDOW - 1])
+    return batched(rows(), RUNS)
+
+
+def _window_places(run: str) -> list[int]:
+    """Where each word of a run begins, and one place past the end."""
+    places, at = [0], run.find(" ")
+    while at >= 0:
+        places.append(at + 1)
+        at = run.find(" ", at + 1)
+    places.append(len(run) + 1)
+    return places
 
 
 def _passages(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Passages of runs sorted by anchor and place: maximal stretches of windows seen before whose
     first places are consecutive."""
-    for _, (ids, keys, starts, runs) in sorted_groups(batches, 1):
-        first: dict[str, tuple] = {}
-        known: dict[str, list] = {}
-        out: list[tuple] = []
-        before = None
-        for doc_id, key, start, run in zip(ids, keys, starts, runs):
-            if (doc_id, key, start) == before:  # a repeated row
-                continue
-            before = (doc_id, key, start)
-            made = known.get(run)
-            if made is None:
-                words = run.split(" ")
-                places = []
-                fresh = False
-                for i in range(len(words) - WINDOW + 1):
-                    window = " ".join(words[i:i + WINDOW])
-                    place = first.get(window)
-                    if place is None:
-                        first[window] = (doc_id, key, start + i)
-                        fresh = True
-                    places.append(place)
-                made = _stretches(words, places)
-                if not fresh:
-                    known[run] = made
-            out.extend((doc_id, key, *m) for m in made)
-        if out:
-            cols = list(zip(*out))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string()),
-                 pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.int64()), pa.array(cols[5], pa.int32())],
-                names=["doc_id", "text_key", "passage", "first_id", "first_key", "first_start"])
-
-
-def _stretches(words: list[str], places: list[tuple | None]) -> list[tuple]:
+    def rows():
+        for _, (ids, keys, starts, runs) in sorted_groups(batches, 1):
+            first: dict[str, tuple] = {}
+            known: dict[str, list] = {}
+            before = None
+            for doc_id, key, start, run in zip(ids, keys, starts, runs):
+                if (doc_id, key, start) == before:  # a repeated row
+                    continue
+                before = (doc_id, key, start)
+                made = known.get(run)
+                if made is None:
+                    at = _window_places(run)
+                    seen = len(first)
+                    places = []
+                    for i in range(len(at) - WINDOW):
+                        here = (doc_id, key, start + i)
+                        place = first.setdefault(run[at[i]:at[i + WINDOW] - 1], here)
+                        places.append(None if place is here else place)
+                    made = _stretches(run, at, places)
+                    if len(first) == seen:
+                        known[run] = made
+                for passage, place in made:
+                    yield doc_id, key, passage, *place
+    return batched(rows(), PASSAGES)
+
+
+def _stretches(run: str, at: list[int], places: list[tuple | None]) -> list[tuple]:
     made = {}
     i = 0
     while i < len(places):
         if places[i] is None:
             i += 1
             continue
+        first_id, first_key, start = places[i]
         j = i + 1
-        while j < len(places) and places[j] == (*places[i][:2], places[i][2] + j - i):
+        while j < len(places) and places[j] == (first_id, first_key, start + j - i):
             j += 1
-        made[" ".join(words[i:j + WINDOW - 1])] = places[i]
+        made[run[at[i]:at[j + WINDOW - 1] - 1]] = places[i]
         i = j
-    return [(text, *place) for text, place in made.items()]
+    return list(made.items())
 
 
 def _windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per window of the runs of hot anchors."""
-    for batch in batches:
-        for k in range(len(batch)):
-            doc_id, key, start, run = (batch.column(c)[k].as_py() for c in range(4))
-            words = run.split(" ")
-            n = len(words) - WINDOW + 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([doc_id] * n, pa.int64()), pa.array([key] * n, pa.int64()),
-                 pa.array(range(start, start + n), pa.int32()),
-                 pa.array([" ".join(words[i:i + WINDOW]) for i in range(n)], pa.string())],
-                names=["doc_id", "text_key", "start", "passage"])
+    def rows():
+        for batch in batches:
+            for _, doc_id, key, start, run in zip(*(c.to_pylist() for c in batch.columns)):
+                at = _window_places(run)
+                for i in range(len(at) - WINDOW):
+                    yield doc_id, key, start + i, run[at[i]:at[i + WINDOW] - 1]
+    return batched(rows(), WINDOWS)
+
+
+RUNS = (("anchor", "long"), ("doc_id", "long"), ("text_key", "long"), ("start", "int"), ("words", "string"))
+WINDOWS = (("doc_id", "long"), ("text_key", "long"), ("start", "int"), ("passage", "string"))
+PASSAGES = (("doc_id", "long"), ("text_key", "long"), ("passage", "string"), ("first_id", "long"), ("first_key", "long"), ("first_start", "int"))
 
 
 def _locate(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Removed word ranges of the documents of each shard. Passages (kind 0) come before documents (kind 1)."""
-    shard, ready = None, False
-    for batch in batches:
-        cols = [c.to_pylist() for c in batch.columns]
-        out: list[tuple] = []
-        for here, kind, text, doc_id, key, start in zip(*cols):
-            if here != shard:
-                shard, ready, numbers = here, False, {}
-                automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-            if kind == 0:
-                words = tuple(numbers.setdefault(w, len(numbers) + 1) for w in text.split(" "))
-                automaton.add_word(words, (len(words), doc_id, key, start))
-                continue
-            if not ready:
-                if len(automaton):
+    def rows():
+        shard, ready = None, False
+        for batch in batches:
+            for here, kind, text, doc_id, key, start in zip(*(c.to_pylist() for c in batch.columns)):
+                if here != shard:
+                    shard, ready, numbers = here, False, {}
+                    automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+                if kind == 0:
+                    words = tuple([numbers.setdefault(w, len(numbers) + 1) for w in text.encode("utf-8", "surrogatepass").split()])
+                    automaton.add_word(words, (len(words), doc_id, key, start))
+                    continue
+                if not len(automaton):
+                    continue
+                if not ready:
                     automaton.make_automaton()
-                ready = True
-            if not len(automaton):
-                continue
-            words = [w.decode("utf-8", "surrogatepass") for w in text.encode("utf-8", "surrogatepass").split()]
-            step = np.zeros(len(words) + 1, dtype=np.int32)
-            for end, (size, first_id, first_key, first_start) in automaton.iter(tuple(numbers.get(w, 0) for w in words)):
-                begin = end - size + 1
-                if (doc_id, key, begin) != (first_id, first_key, first_start):
-                    step[begin] += 1
-                    step[end + 1] -= 1
-            gone = np.concatenate([[0], (np.cumsum(step[:-1]) > 0).astype(np.int8), [0]])
-            edge = np.diff(gone)
-            begins, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-            if len(begins):
-                out.append((doc_id, key, begins.tolist(), ends.tolist()))
-        if out:
-            ids, keys, begins, ends = zip(*out)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array(begins, pa.list_(pa.int32())),
-                 pa.array(ends, pa.list_(pa.int32()))], names=["doc_id", "text_key", "begins", "ends"])
+                    ready = True
+                found = _occurrences(automaton, numbers, text, (doc_id, key))
+                if len(found[0]):
+                    yield doc_id, key, *found
+    return batched(rows(), RANGES)
+
+
+def _occurrences(automaton, numbers: dict[bytes, int], text: str, own: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """Begins and ends of the word ranges that later occurrences of passages cover."""
+    words = text.encode("utf-8", "surrogatepass").split()
+    begins, ends = [], []
+    for end, (size, first_id, first_key, first_start) in automaton.iter(tuple([numbers.get(w, 0) for w in words])):
+        begin = end - size + 1
+        if begin != first_start or own != (first_id, first_key):
+            begins.append(begin)
+            ends.append(end + 1)
+    step = np.bincount(begins, minlength=len(words) + 1) - np.bincount(ends, minlength=len(words) + 1)
+    gone = np.diff(np.concatenate([[0], np.cumsum(step) > 0, [0]]).astype(np.int8))
+    return np.flatnonzero(gone == 1).astype(np.int32), np.flatnonzero(gone == -1).astype(np.int32)
+
+
+RANGES = (("doc_id", "long"), ("text_key", "long"), ("begins", "array<int>"), ("ends", "array<int>"))
 
 
 def repeated_ranges(docs: DataFrame, hot_runs: int = HOT_RUNS, shard_words: int = SHARD_WORDS) -> DataFrame:
@@ -215,48 +214,57 @@ def repeated_ranges(docs: DataFrame, hot_runs: int = HOT_RUNS, shard_words: int
     slim = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), "text")
     scanned, _ = stored(map_texts(
         slim, _anchor_rows, "doc_id long, text_key long, n_words long, name binary, "
-        "anchors array<long>, starts array<int>, lengths array<int>, again array<boolean>").withColumn("row", F.monotonically_increasing_id()), "anchors")
+        "anchors array<long>, starts array<int>, lengths array<int>, again array<boolean>").withColumn(
+        "row", F.monotonically_increasing_id()), "anchors")
+    own = ["row", "doc_id", "text_key", "n_words"]
     long = scanned.filter(F.col("n_words") >= WINDOW)
     firsts = long.groupBy("name").agg(F.min(F.struct("doc_id", "text_key", "row")).alias("f"))
-    unique = long.join(firsts.select(F.col("f.row").alias("row")), "row")
-    runs = unique.select("row", F.explode(F.arrays_zip("anchors", "starts", "lengths", "again")).alias("r")).select(
-        F.col("r.anchors").alias("anchor"), "row", F.col("r.starts").alias("start"), F.col("r.lengths").alias("length"), F.col("r.again").alias("again"))
+    copies, _ = stored(long.select(*own, "name").join(firsts, "name").filter(
+        F.struct("doc_id", "text_key") != F.struct("f.doc_id", "f.text_key")).select(
+        "doc_id", "text_key", F.array(F.lit(0)).alias("begins"), F.array(F.col("n_words").cast("int")).alias("ends")), "copies")
+    runs = long.join(firsts.select("f.row"), "row").select("row", F.explode(
+        F.arrays_zip("anchors", "starts", "lengths", "again")).alias("r")).select(
+        F.col("r.anchors").alias("anchor"), "row", F.col("r.starts").alias("start"),
+        F.col("r.lengths").alias("length"), F.col("r.again").alias("again"))
     shared = runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.max("again").alias("again")).filter(
         "n > 1 OR again").select("anchor", (F.col("n") > hot_runs).alias("hot"))
-    candidates, _ = stored(runs.join(shared, "anchor").groupBy("row").agg(
-        F.collect_list(F.struct("anchor", "hot", "start", "length")).alias("runs")), "candidates")
+    of_row = runs.join(shared, "anchor").groupBy("row").agg(
+        F.collect_list(F.struct("anchor", "hot", "start", "length")).alias("runs"))
+    candidates, _ = stored(of_row.join(long.select(*own), "row"), "candidates")
+    discard(scanned)
     release(spark)
 
-    keyed = candidates.join(scanned.select("row", F.col("doc_id").alias("run_id"), F.col("text_key").alias("run_key"), "n_words"), "row")
+    keyed = candidates.select(F.col("doc_id").alias("run_id"), F.col("text_key").alias("run_key"), "runs", "n_words")
     texts, _ = stored(slim.join(keyed, slim["doc_id"].eqNullSafe(keyed["run_id"]) & (slim["text_key"] == keyed["run_key"]))
                       .select("doc_id", "text_key", "text", "runs", "n_words"), "texts")
+    discard(candidates)
     release(spark)
 
-    lines = texts.select("doc_id", "text_key", "text", "runs").mapInArrow(
-        _run_rows, "anchor long, hot boolean, doc_id long, text_key long, start int, words string")
-    rows, _ = stored(lines, "runs")
-    by_anchor = rows.filter("NOT hot").drop("hot").repartition("anchor").sortWithinPartitions(
-        "anchor", "doc_id", "text_key", "start").mapInArrow(_passages, PASSAGE)
-    windows = rows.filter("hot").select("doc_id", "text_key", "start", "words").mapInArrow(
-        _windows, "doc_id long, text_key long, start int, passage string")
-    first = windows.groupBy(F.col("passage").alias("p")).agg(F.min(F.struct("doc_id", "text_key", "start")).alias("f"),
-                                                            F.max(F.struct("doc_id", "text_key", "start")).alias("l")).filter("f < l")
-    by_window = windows.join(first, F.col("passage") == F.col("p")).filter(F.struct("doc_id", "text_key", "start") != F.col("f")).select(
+    def runs_of(hot: bool) -> DataFrame:
+        chosen = texts.select("doc_id", "text_key", "text", F.filter("runs", lambda r: r["hot"] == F.lit(hot)).alias("runs"))
+        return chosen.filter(F.size("runs") > 0).select(
+            "doc_id", "text_key", "text", "runs.anchor", "runs.start", "runs.length").mapInArrow(_run_rows, ddl(RUNS))
+
+    by_anchor = runs_of(False).repartition("anchor").sortWithinPartitions("anchor", "doc_id", "text_key", "start").mapInArrow(
+        _passages, ddl(PASSAGES))
+    windows = runs_of(True).mapInArrow(_windows, ddl(WINDOWS))
+    place = F.struct("doc_id", "text_key", "start")
+    first = windows.groupBy(F.col("passage").alias("p")).agg(F.min(place).alias("f"), F.max(place).alias("l")).filter("f < l")
+    by_window = windows.join(first, F.col("passage") == F.col("p")).filter(place != F.col("f")).select(
         "doc_id", "text_key", "passage", F.col("f.doc_id").alias("first_id"),
         F.col("f.text_key").alias("first_key"), F.col("f.start").alias("first_start"))
     shards = texts.agg(F.ceil(F.coalesce(F.sum("n_words"), F.lit(0)) / float(shard_words))).first()[0] or 1
     shard = F.pmod(F.hash("doc_id", "text_key"), F.lit(int(shards))).alias("shard")
-    passages = by_anchor.unionByName(by_window).select(
-        shard, "passage", "first_id", "first_key", "first_start").dropDuplicates(["shard", "passage"])
+    passages, _ = stored(by_anchor.unionByName(by_window).select(
+        shard, "passage", "first_id", "first_key", "first_start").dropDuplicates(["shard", "passage"]), "passages")
+    release(spark)
     stream = passages.select("shard", F.lit(0).alias("kind"), F.col("passage").alias("text"), F.col("first_id").alias("doc_id"),
                              F.col("first_key").alias("text_key"), F.col("first_start").alias("start")).unionByName(
         texts.select(shard, F.lit(1).alias("kind"), "text", "doc_id", "text_key", F.lit(None).cast("int").alias("start")))
-    located = stream.repartition("shard").sortWithinPartitions("shard", "kind").mapInArrow(
-        _locate, "doc_id long, text_key long, begins array<int>, ends array<int>")
-    copies = long.join(firsts, "name").filter(
-        F.struct("doc_id", "text_key") != F.struct("f.doc_id", "f.text_key")).select(
-        "doc_id", "text_key", F.array(F.lit(0)).alias("begins"), F.array(F.col("n_words").cast("int")).alias("ends"))
+    located = stream.repartition("shard").sortWithinPartitions("shard", "kind").mapInArrow(_locate, ddl(RANGES))
     ranges, _ = stored(located.unionByName(copies).dropDuplicates(["doc_id", "text_key"]), "ranges")
+    discard(texts)
+    discard(passages)
     release(spark)
     return ranges
 
