@@ -21,6 +21,7 @@ from fieldlens.llm.wordscan import U, mix
 
 BUCKETS = 1 << 16
 FIT_DOCS = 5_000
+SMALL_LIST = 10_000
 SWITCH = 12.0
 SMOOTH = 0.5
 SCRIPT_SHARE = 0.01
@@ -115,6 +116,8 @@ def fit(labelled: DataFrame, fit_docs: int = FIT_DOCS) -> tuple[list[str], np.nd
     language, whatever the input.
     """
     sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    if sizes.count() <= SMALL_LIST:  # else a plain join
+        sizes = F.broadcast(sizes)
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)
     chosen = labelled.join(sizes, "lang").filter(share < F.lit(float(fit_docs)) / F.col("n")).select("lang", "text")
     found = chosen.mapInArrow(_count_features, "lang string, feature int, n long").groupBy("lang", "feature").agg(
