@@ -6,17 +6,19 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import Imputer, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldlens.operators import boosting as bt
 from fieldlens.operators import evaluation as ev
 from fieldlens.operators.quality import require_columns, require_no_duplicates
-from fieldlens.operators.ranking import row_positions
+from fieldlens.operators.ranking import exact_percentiles, row_positions
 from fieldlens.session import ensure_checkpointing, stored
 
 
@@ -48,11 +50,14 @@ def most_frequent(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
 
 
 def fit_features(train: DataFrame, numeric: Sequence[str], text: Sequence[str]) -> PipelineModel:
-    """Median and mode imputation, ordinal codes with unknown as -1, one vector (ML-2 to ML-4)."""
+    """Exact median and mode imputation, ordinal codes with unknown as -1, one vector (ML-2 to ML-4)."""
     as_double = SQLTransformer(statement="SELECT *, " + ", ".join(
         f"CAST(`{c}` AS DOUBLE) AS `{c}__d`" for c in numeric) + " FROM __THIS__")
-    imputer = Imputer(strategy="median", inputCols=[f"{c}__d" for c in numeric],
-                      outputCols=[f"{c}__f" for c in numeric]).fit(as_double.transform(train))
+    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in numeric])
+    medians = {r["column_name"]: r["middle"] for r in exact_percentiles(
+        train.select(F.inline(cells)), ["column_name"], "value", {"middle": 0.5}).collect()}
+    imputer = SQLTransformer(statement="SELECT *, " + ", ".join(
+        f"coalesce(`{c}__d`, {float(medians.get(c) or 0.0)!r}D) AS `{c}__f`" for c in numeric) + " FROM __THIS__")
     modes = most_frequent(train, text)
 
     def quoted(value: str) -> str:
@@ -93,6 +98,50 @@ def fit_classifier(train: DataFrame, features: PipelineModel, label: str,
     return trainer.fit(rows)
 
 
+def feature_array(df: DataFrame, features: PipelineModel, name: str = "x") -> DataFrame:
+    """``df`` with its features as an array column."""
+    return features.transform(df).select(*df.columns, vector_to_array("features").alias(name))
+
+
+def fit_bounded(train: DataFrame, features: PipelineModel, fits: Sequence[tuple[str, Boosting, bool]],
+                rows: int = bt.FIT_ROWS) -> list[bt.Trees]:
+    """Models (target, settings, logistic) fitted on at most ``rows`` training rows, one task each."""
+    targets = list(dict.fromkeys(t for t, _, _ in fits))
+    held = bt.sample(feature_array(train, features).select("x", *[F.col(t).cast("double").alias(t) for t in targets]),
+                     ["x", *targets], rows)
+    x = np.stack(held["x"].to_numpy()) if len(held) else np.zeros((0, 1))
+    return bt.fit_all(train.sparkSession, [
+        (x, held[t].to_numpy(), s.step, s.rounds, s.depth, logistic) for t, s, logistic in fits])
+
+
+def tune_bounded(train: DataFrame, numeric: Sequence[str], text: Sequence[str], label: str, group: str,
+                 settings: Sequence[Boosting] = SEARCH, folds: int = 3, rows: int = bt.FIT_ROWS) -> DataFrame:
+    """As ``tune_classifier``, with the fits on bounded samples, all of them side by side.
+
+    Every training row is scored by the model that has not seen its fold.
+    """
+    fold_of = ev.group_folds(train, group, folds).select(group, "fold")
+    held, _ = stored(train.join(fold_of, group), "folds")
+    jobs, pieces = [], []
+    for fold in range(folds):
+        fit_rows = held.filter(F.col("fold") != fold)
+        features = fit_features(fit_rows, numeric, text)
+        picked = bt.sample(feature_array(fit_rows, features).select("x", F.col(label).cast("double").alias("y")), ["x", "y"], rows)
+        x, y = np.stack(picked["x"].to_numpy()), picked["y"].to_numpy()
+        jobs += [(x, y, s.step, s.rounds, s.depth, True) for s in settings]
+        pieces.append(feature_array(held.filter(F.col("fold") == fold), features).select(label, "x"))
+    models = bt.fit_all(train.sparkSession, jobs)
+    out = []
+    for number, config in enumerate(settings):
+        scores = reduce(lambda a, b: a.unionByName(b), [
+            part.select(label, bt.scored(F.col("x"), models[fold * len(settings) + number]).alias("probability"))
+            for fold, part in enumerate(pieces)])
+        out.append(ev.best_threshold(ev.threshold_sweep(scores, label, "probability")).select(
+            F.lit(number).alias("config"), F.lit(config.step).alias("step"), F.lit(config.rounds).alias("rounds"),
+            F.lit(config.depth).alias("depth"), F.round("f1", 4).alias("group_cv_f1"), "threshold"))
+    return reduce(lambda a, b: a.unionByName(b), out)
+
+
 def with_probability(df: DataFrame, features: PipelineModel, model, name: str = "probability"):
     scored = model.transform(features.transform(df))
     return scored.withColumn(name, vector_to_array("probability")[1]).select(*df.columns, name)
@@ -174,6 +223,17 @@ def export_predictions(scored: DataFrame, columns: Sequence[str], target: str,
     return require_no_duplicates(out) if check else out
 
 
+def score_bounded(df: DataFrame, numeric: Sequence[str], text: Sequence[str], features: PipelineModel,
+                  regressor: bt.Trees, classifier: bt.Trees, threshold: float) -> DataFrame:
+    """As ``score_rows``, with models from ``fit_bounded``."""
+    require_columns(df, [*numeric, *text], "input rows")
+    return feature_array(df, features).select(
+        *df.columns, F.round(bt.scored(F.col("x"), regressor), 3).alias("prediction"),
+        bt.scored(F.col("x"), classifier).alias("p")).select(
+        *df.columns, "prediction", (F.col("p") >= threshold).alias("high_yield"),
+        F.lit(float(threshold)).alias("decision_threshold"), F.round("p", 4).alias("probability"))
+
+
 def score_rows(df: DataFrame, numeric: Sequence[str], text: Sequence[str], features: PipelineModel,
                regressor, classifier, threshold: float,
                names: Mapping[str, str] | None = None) -> DataFrame:

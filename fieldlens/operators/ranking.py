@@ -2,14 +2,14 @@
 
 A window over a group runs in one task. That is fine for groups that were
 aggregated down to a handful of rows, but not for raw groups, where one key may
-own a third of the table. The helpers below cut the sorted order of all groups
-into value ranges first: every range is sorted in its own task and shifted by the
-total of the ranges before it. The cuts come from a hash sample of the entries
-themselves, so they are repeatable: recomputing a lost stage gives the same ranges.
-
-The entries (usually already folded to one row per group and value) are written to
-the shared folder first. That cuts the lineage, and it tells their number: small
-tables then take the plain window or percentile, which needs a single shuffle.
+own a third of the table. The helpers below deal the entries (usually already
+folded to one row per group and value) into ranges of their sorted order first:
+every range is sorted in its own task and shifted by the total of the ranges
+before it. Spark's range partitioner samples the cuts; the session's shuffle width
+is the number of ranges, so it grows with the input that the session is sized for.
+
+The dealt entries are written to the shared folder once, with the number of their
+range. That cuts the lineage and fixes the ranges: a lost stage finds the same ones.
 """
 
 from __future__ import annotations
@@ -21,8 +21,6 @@ from pyspark.sql import functions as F
 
 from fieldlens.session import stored
 
-OVERSAMPLE = 8           # sampled entries per range
-SMALL_TABLE = 1_000_000  # entries of all groups together that one task may sort
 _SINGLE = "__all"
 
 
@@ -32,12 +30,6 @@ def _with_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]
     return df.withColumn(_SINGLE, F.lit(0)), [_SINGLE]
 
 
-def _range_count(df: DataFrame) -> int:
-    """A power of two that grows with the shuffle width the session was sized for."""
-    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return min(8192, max(32, 1 << (2 * width).bit_length()))
-
-
 def _join_ranges(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Inner join on keys that treats null as a value, as grouping does."""
     renamed = right.withColumnsRenamed({k: f"__{k}" for k in keys})
@@ -47,39 +39,18 @@ def _join_ranges(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Data
     return left.join(renamed, condition).drop(*[f"__{k}" for k in keys])
 
 
-def _ranged(entries: DataFrame, n_entries: int, keys: list[str], order: str,
-            measures: Sequence[str]) -> DataFrame:
-    """Number the value ranges and add the measure totals around each of them.
+def _ranged(entries: DataFrame, keys: list[str], order: str, measures: Sequence[str]) -> DataFrame:
+    """Deal entries into value ranges and add the measure totals around each of them.
 
-    ``entries`` is a stored table with one row per (keys, order). All entries,
-    sorted by key and value, are cut into ranges of about equal length, so a large
-    group spans many ranges. Columns added: ``range_no``, ``before_<m>`` (the
-    group's total in earlier ranges), ``inside_<m>`` (in this range) and
-    ``total_<m>`` (everywhere).
+    ``entries`` has one row per (keys, order). All entries, sorted by key and value,
+    are cut into ranges of about equal length, so a large group spans many ranges.
+    Columns added: ``range_no``, ``before_<m>`` (the group's total in earlier
+    ranges), ``inside_<m>`` (in this range) and ``total_<m>`` (everywhere).
     """
-    ranges = _range_count(entries)
-    # 1. a repeatable hash sample of about OVERSAMPLE entries per range, as one sorted array
-    every = max(1, n_entries // (OVERSAMPLE * ranges))
-    stamp = F.xxhash64(*keys, order)
-    picks = entries.filter(F.pmod(stamp, F.lit(every)) == 0).agg(
-        F.sort_array(F.collect_list(F.struct(*keys, order))).alias("picks"))
-    cuts = picks.select(F.transform(
-        F.sequence(F.lit(1), F.lit(ranges - 1)),
-        lambda i: F.get("picks", F.floor(i * F.size("picks") / ranges).cast("int")))).scalar()
-
-    # 2. halving search: range_no = number of cuts below the entry. One projection;
-    #    every step refers to the alias of the step before it.
-    point = F.struct(*keys, order)
-    at, search = F.lit(0), []
-    for i in range(1, ranges.bit_length()):
-        step = ranges >> i
-        found = at + F.when(F.get(cuts, at + F.lit(step - 1)) < point, F.lit(step)).otherwise(
-            F.lit(0))
-        search.append(found.alias(f"__at{step}"))
-        at = F.col(f"__at{step}")
-    placed = entries.select("*", *search).select(*entries.columns, at.alias("range_no"))
-
-    # 3. totals per range, shifted within the group: one row per group and range
+    ranges = max(2, int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+    placed, _ = stored(entries.repartitionByRange(ranges, *keys, order).withColumn(
+        "range_no", F.spark_partition_id()), "ranges")
+    # one row per group and range
     group = Window.partitionBy(*keys)
     ahead = group.orderBy("range_no").rowsBetween(Window.unboundedPreceding, -1)
     totals = placed.groupBy(*keys, "range_no").agg(
@@ -100,15 +71,7 @@ def prefix_sums(entries: DataFrame, keys: Sequence[str], order: str, measures: S
     ``total_<m>``; with no keys the whole table is one group.
     """
     base, by = _with_keys(entries, keys)
-    base, n_entries = stored(base, "entries")
-    if n_entries <= SMALL_TABLE:
-        group = Window.partitionBy(*by)
-        ahead = group.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-        return base.select(
-            *entries.columns,
-            *[F.coalesce(F.sum(m).over(ahead), F.lit(0)).alias(f"prior_{m}") for m in measures],
-            *[F.sum(m).over(group).alias(f"total_{m}") for m in measures])
-    ranged = _ranged(base, n_entries, by, order, measures)
+    ranged = _ranged(base, by, order, measures)
     inside = Window.partitionBy(*by, "range_no").orderBy(order).rowsBetween(
         Window.unboundedPreceding, -1)
     out = ranged.select(
@@ -143,13 +106,7 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: dic
     base, by = _with_keys(df.select(*keys, value, *([weight] if weight else [])), keys)
     counted = base.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(
         (F.sum(weight) if weight else F.count(F.lit(1))).alias("__n"))
-    counted, n_entries = stored(counted, "values")
-    if n_entries <= SMALL_TABLE:
-        picked = counted.groupBy(*by).agg(F.percentile(
-            value, F.array(*[F.lit(float(p)) for p in probs.values()]), F.col("__n")).alias("__p"))
-        return picked.select(*keys, *[F.get("__p", F.lit(i)).alias(name)
-                                      for i, name in enumerate(probs)])
-    ranged = _ranged(counted, n_entries, by, value, ["__n"])
+    ranged = _ranged(counted, by, value, ["__n"])
 
     def low(p: float) -> Column:
         return F.floor(F.lit(float(p)) * (F.col("total___n") - 1))

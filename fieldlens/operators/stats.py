@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldlens.functions.distributions import f_p_value, t_p_value, tukey_p_value
@@ -33,15 +33,14 @@ def anova(df: DataFrame, keys: Sequence[str], factor: str, value: str, *, min_gr
           min_rows: int = 0) -> DataFrame:
     """One-way analysis of variance per key: levels, sums of squares, F (STA-1, STA-3).
 
-    The window runs over one row per factor level.
+    Two aggregates: one row per factor level, then sums over levels, so a factor with very many levels
+    is never gathered in one task.
     """
     levels = group_moments(df, keys, factor, value, min_group)
-    w = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    centred = levels.withColumn("grand", F.sum(F.col("n") * F.col("m")).over(w)
-                                / F.sum("n").over(w))
-    sums = centred.groupBy(*keys).agg(
+    n, m = F.col("n"), F.col("m")
+    sums = levels.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_levels"), F.sum("n").alias("n_rows"),
-        F.sum(F.col("n") * F.pow(F.col("m") - F.col("grand"), 2)).alias("ss_between"),
+        (F.sum(n * m * m) - F.sum(n * m) * F.sum(n * m) / F.sum(n)).alias("ss_between"),
         F.sum("ss").alias("ss_within"),
     ).filter((F.col("n_levels") >= 2) & (F.col("n_rows") >= min_rows))
     between, within = F.col("n_levels") - 1, F.col("n_rows") - F.col("n_levels")

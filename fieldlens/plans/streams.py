@@ -67,7 +67,7 @@ def topic_stats(spark, sf_dir):
 @query("geo_events", f"""
 WITH {TRIALS_SQL}
 SELECT CAST(exp_id AS VARCHAR) AS experiment_id, round(lat, 4) AS lat, round(lon, 4) AS lon, region,
-       'STATION' AS data_source FROM trials""")
+       'STATION' AS data_source FROM trials WHERE lat IS NOT NULL AND lon IS NOT NULL""")
 def geo_events(spark, sf_dir):
     """One message per located trial, without invented readings (STR-4)."""
     one = topics.first_located(trials(spark, sf_dir), "exp_id")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from fieldlens.operators.quality import Contract, accepted, quarantine
 from fieldlens.operators.ranking import latest_per_key
-from fieldlens.sources.tables import read_delimited
+from fieldlens.sources.tables import path_exists, read_delimited
 
 
 def save_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -34,8 +35,11 @@ def write_delimited(df: DataFrame, path: str, sep: str = ";", bom: bool = False)
 
 
 def write_report(df: DataFrame, path: str) -> None:
-    """A one-row report as a JSON document (SNK-3)."""
-    df.limit(1).coalesce(1).write.mode("overwrite").json(path)
+    """A one-row report as a JSON document (SNK-3). More or fewer rows are an error, and nothing is written."""
+    rows = df.take(2)
+    if len(rows) != 1:
+        raise ValueError("a report has exactly one row")
+    df.sparkSession.createDataFrame(rows, df.schema).coalesce(1).write.mode("overwrite").json(path)
 
 
 def write_json_array(df: DataFrame, path: str, first: int, order: Sequence[str]) -> None:
@@ -51,22 +55,49 @@ def append_json_lines(df: DataFrame, path: str) -> None:
 
 
 def put_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], path: str) -> None:
-    """Keyed put: the last write per key remains (SNK-7)."""
-    latest_per_key(df, keys, order).write.mode("overwrite").parquet(path)
+    """Keyed put: the last write per key remains, and keys outside the batch stay (SNK-7).
+
+    Within the batch ``order`` decides; a batch row replaces a stored one. The new state is written
+    beside the old one, which goes only when the new one is complete.
+    """
+    spark = df.sparkSession
+    state = latest_per_key(df, keys, order)
+    if not path_exists(spark, path):
+        state.write.parquet(path)
+        return
+    batch = df.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
+    old = spark.read.parquet(path)
+    untouched = old.join(batch, _same_keys(old, batch, keys), "left_anti")
+    beside = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+    untouched.unionByName(state, allowMissingColumns=True).write.parquet(beside)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    target = hadoop.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.delete(target, True)
+    if not files.rename(hadoop.Path(beside), target):
+        raise OSError(f"the new state stays at {beside}")
+
+
+def _same_keys(left: DataFrame, renamed: DataFrame, keys: Sequence[str]):
+    condition = F.lit(True)
+    for k in keys:
+        condition = condition & left[k].eqNullSafe(renamed[f"__{k}"])
+    return condition
 
 
 def append_keyed(df: DataFrame, keys: Sequence[str], path: str) -> int:
-    """Append rows whose keys are new, or refuse them all (SNK-8). Returns the rows written."""
+    """Append rows whose keys are new, or refuse them all (SNK-8). Returns the rows written.
+
+    Null is a key like any other. A target that is there but cannot be read is an error.
+    """
     spark = df.sparkSession
     repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count()
     if repeated:
         raise ValueError("row-key collisions inside the batch")
-    try:
-        stored = spark.read.parquet(path)
-    except Exception:   # nothing stored yet
-        stored = None
-    if stored is not None and df.join(stored.select(*keys), list(keys), "left_semi").limit(1).count():
-        raise ValueError("row keys are stored already")
+    if path_exists(spark, path):
+        old = spark.read.parquet(path).select(*[F.col(k).alias(f"__{k}") for k in keys])
+        if df.join(old, _same_keys(df, old, keys), "left_semi").limit(1).count():
+            raise ValueError("row keys are stored already")
     watch = Observation("append")
     df.observe(watch, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(path)
     return watch.get["rows"]

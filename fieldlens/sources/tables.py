@@ -24,30 +24,15 @@ def read_delimited(spark: SparkSession, path: str, sep: str = ";",
     return null_tokens(df) if nulls else df
 
 
-def _size(spark: SparkSession, path: str) -> int:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    return target.getFileSystem(conf).getContentSummary(target).getLength()
-
-
-_known: dict[str, tuple[T.StructType, bool]] = {}
-
-
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet table (SRC-3).
+    """A Parquet table (SRC-3)."""
+    return spark.read.parquet(path)
 
-    Schema and size are looked up once per path. A table of a few megabytes in
-    fewer splits than there are cores is dealt out to all of them; tables with
-    enough splits, which is every large one, are read as they are.
-    """
-    if path not in _known:
-        df = spark.read.parquet(path)
-        cores = spark.sparkContext.defaultParallelism
-        narrow = df.rdd.getNumPartitions() < cores and (8 << 20) <= _size(spark, path)
-        _known[path] = (df.schema, narrow)
-    schema, narrow = _known[path]
-    df = spark.read.schema(schema).parquet(path)
-    return df.repartition(spark.sparkContext.defaultParallelism) if narrow else df
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, by the file system it belongs to; other errors come through."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
 def read_json_document(spark: SparkSession, path: str,
@@ -66,12 +51,9 @@ def describe(df: DataFrame) -> DataFrame:
 
 def open_workspace(spark: SparkSession, folders: Mapping[str, str]) -> DataFrame:
     """Bind names to Parquet paths as temp views and report which exist (SRC-4)."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     report = []
     for name, path in folders.items():
-        target = hadoop.Path(path)
-        exists = target.getFileSystem(conf).exists(target)
+        exists = path_exists(spark, path)
         if exists:
             spark.read.parquet(path).createOrReplaceTempView(name)
         report.append((name, path, exists))

@@ -131,6 +131,9 @@ def test_json_sinks(spark, tmp_path):
     assert json.loads(text) == [{"id": 1, "v": "a"}, {"id": 2, "v": "b"}]
     sinks.write_report(df.agg(F.count(F.lit(1)).alias("n")), str(tmp_path / "report"))
     assert tables.read_json_document(spark, str(tmp_path / "report")).first()["n"] == 3
+    with pytest.raises(ValueError, match="one row"):
+        sinks.write_report(df, str(tmp_path / "report"))
+    assert tables.read_json_document(spark, str(tmp_path / "report")).first()["n"] == 3
 
 
 def test_keyed_writes(spark, tmp_path):
@@ -138,6 +141,16 @@ def test_keyed_writes(spark, tmp_path):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 1, "z")], "k string, t int, v string")
     sinks.put_last(df, ["k"], ["t"], path)
     assert {tuple(r) for r in spark.read.parquet(path).collect()} == {("a", 2, "y"), ("b", 1, "z")}
+    more = spark.createDataFrame([("b", 0, "new"), ("d", 1, "w"), (None, 1, "n")], "k string, t int, v string")
+    sinks.put_last(more, ["k"], ["t"], path)
+    assert {tuple(r) for r in spark.read.parquet(path).collect()} == {
+        ("a", 2, "y"), ("b", 0, "new"), ("d", 1, "w"), (None, 1, "n")}
+    with pytest.raises(ValueError, match="already"):
+        sinks.append_keyed(more.filter("k IS NULL"), ["k"], path)
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part-0.parquet").write_text("no parquet")
+    with pytest.raises(Exception, match="parquet|Parquet|PARQUET|footer"):
+        sinks.append_keyed(more, ["k"], str(tmp_path / "broken"))
     with pytest.raises(ValueError, match="inside"):
         sinks.append_keyed(df, ["k"], path)
     with pytest.raises(ValueError, match="already"):

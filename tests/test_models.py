@@ -87,6 +87,24 @@ def test_models_beat_the_mean(fitted):
     assert auc > 0.9
 
 
+def test_bounded_models_find_the_signal(spark, fitted):
+    df, features, *_ = fitted
+    regressor, classifier = ml.fit_bounded(df, features, [("target", ml.REGRESSION, False), ("label", ml.CLASSIFICATION, True)], rows=400)
+    out = ml.score_bounded(df, ["year", "noise"], ["kind"], features, regressor, classifier, 0.5)
+    rows = out.collect()
+    assert np.mean([abs(r["prediction"] - r["target"]) for r in rows]) < 3
+    assert np.mean([r["high_yield"] == r["label"] for r in rows]) > 0.95
+    tuned = ml.tune_bounded(df, ["year", "noise"], ["kind"], "label", "g", rows=300).collect()
+    assert [(r["step"], r["rounds"], r["depth"]) for r in sorted(tuned)] == [(s.step, s.rounds, s.depth) for s in ml.SEARCH]
+    assert all(r["group_cv_f1"] > 0.9 for r in tuned)
+
+
+def test_medians_are_exact(spark):
+    df = spark.createDataFrame([(float(v), "a") for v in (1, 2, 4, 100)] + [(None, "a")], "v double, k string")
+    features = ml.fit_features(df, ["v"], ["k"])
+    assert {r["features"][0] for r in features.transform(df).collect()} == {1.0, 2.0, 3.0, 4.0, 100.0}
+
+
 def test_importance_finds_the_feature(fitted):
     df, features, _, classifier = fitted
     out = ml.permutation_importance(df, ["year", "noise", "kind"], "label",

@@ -4,7 +4,6 @@ import pytest
 
 import __spark_entry__ as entry
 from fieldlens.plans.registry import QUERIES
-from fieldlens.operators import ranking as rk
 
 FITTED = {"gbt_regression", "prediction_export", "gbt_classifier", "tune_classifier",
           "permutation_importance", "score_batch"}
@@ -42,8 +41,12 @@ def test_top_rows_per_group_are_cut_before_the_shuffle(spark, small):
     assert "WindowGroupLimit" in text and "Partial" in text
 
 
-def test_range_path_has_no_single_partition_window(spark, small, monkeypatch):
-    monkeypatch.setattr(rk, "SMALL_TABLE", 0)
+def test_range_path_has_no_single_partition_window(spark, small):
     text = plan(entry.queries()["roc_auc"](spark, small))
     assert "range_no" in text and "CartesianProduct" not in text
     assert "BroadcastNestedLoopJoin" not in text
+
+
+@pytest.mark.parametrize("name", ["hive_q1", "drill_dq2", "fact_build"])
+def test_reads_are_not_dealt_out_again(spark, small, name):
+    assert "RoundRobinPartitioning" not in plan(entry.queries()[name](spark, small))

@@ -36,8 +36,7 @@ def same(x, y):
 def test_registry_is_consistent():
     assert set(ORACLES) <= set(QUERIES)
     without = set(QUERIES) - set(ORACLES)
-    assert without == {"anova_region_p", "tukey_p", "ols_p", "gbt_regression", "prediction_export",
-                       "gbt_classifier", "tune_classifier", "permutation_importance", "score_batch"}
+    assert not without
 
 
 def test_entry(spark):

@@ -7,12 +7,6 @@ from pyspark.sql import functions as F
 from fieldlens.operators import ranking as rk
 
 
-@pytest.fixture(autouse=True, params=["ranges", "plain"])
-def path(request, monkeypatch):
-    """Every test runs over value ranges and over the plain plan of small tables."""
-    monkeypatch.setattr(rk, "SMALL_TABLE", 0 if request.param == "ranges" else 10 ** 9)
-
-
 @pytest.fixture(scope="module")
 def skewed(spark):
     """One group holds most rows; one key is null; values repeat."""
