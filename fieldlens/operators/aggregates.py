@@ -80,8 +80,11 @@ def entity_counts(df: DataFrame, key: str, by: Sequence[str], name: str = "n_tri
 
 
 def crosstab(df: DataFrame, row: str, column: str, values: Sequence[str], top: int) -> DataFrame:
-    """Counts of row by column with zeros filled, the ``top`` rows by total (AGG-19)."""
+    """Counts of row by column with zeros filled, the ``top`` rows by total (AGG-19).
+
+    ``total`` counts all rows; values outside ``values`` and nulls are in ``other``.
+    """
     counted = df.filter(F.col(row).isNotNull()).groupBy(row).agg(
-        *[F.count_if(F.col(column) == v).alias(v) for v in values])
-    total = sum((F.col(f"`{v}`") for v in values[1:]), F.col(f"`{values[0]}`"))
-    return counted.withColumn("total", total).orderBy(F.col("total").desc(), row).limit(top)
+        *[F.count_if(F.col(column) == v).alias(v) for v in values],
+        F.count_if(F.coalesce(~F.col(column).isin(*values), F.lit(True))).alias("other"), F.count(F.lit(1)).alias("total"))
+    return counted.orderBy(F.col("total").desc(), row).limit(top)

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldlens.operators.quality import cell_counts
+from fieldlens.operators.quality import column_facts, distinct_values
 from fieldlens.operators.ranking import first_per_key
 
 # --- fixed values: letters folded before tokens are compared ------------------
@@ -33,16 +33,11 @@ def column_catalog(datasets: Mapping[str, DataFrame]) -> DataFrame:
     """Type, nullability, null rate and distinct values of every column (CAT-2)."""
     parts = []
     for name, df in datasets.items():
-        types = F.create_map(*[F.lit(x) for f in df.schema.fields
-                               for x in (f.name, f.dataType.simpleString())])
-        parts.append(cell_counts(df).groupBy("column_name").agg(
-            F.sum("n").alias("n_rows"),
-            F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
-            F.count("value").alias("distinct_count"),
-        ).select(F.lit(name).alias("dataset"), "column_name",
-                 types[F.col("column_name")].alias("data_type"),
-                 (F.col("nulls") > 0).alias("nullable"),
-                 F.round(F.try_divide("nulls", "n_rows"), 6).alias("null_rate"), "distinct_count"))
+        parts.append(column_facts(df).join(distinct_values(df), "column_name", "left").select(
+            F.lit(name).alias("dataset"), "column_name", F.col("dtype").alias("data_type"),
+            (F.col("nulls") > 0).alias("nullable"),
+            F.round(F.try_divide("nulls", "n_rows"), 6).alias("null_rate"),
+            F.coalesce("uniques", F.lit(0)).alias("distinct_count")))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
@@ -78,10 +73,16 @@ def token_index(entities: DataFrame, columns: Sequence[str] = ("title", "descrip
     return words.groupBy("token", "entity_type", "entity_id").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def write_index(index: DataFrame, path: str, buckets: int = 64) -> None:
-    """Store the index by token bucket (SNK-9); Spark splits the buckets of frequent tokens."""
-    placed = index.withColumn("bucket", F.pmod(F.xxhash64("token"), F.lit(buckets)).cast("int"))
-    placed.hint("rebalance", F.col("bucket")).write.mode("overwrite").partitionBy("bucket").parquet(path)
+def write_index(index: DataFrame, path: str) -> DataFrame:
+    """Store the index sorted by token and read it back (SNK-9).
+
+    Range partitions and sorted files give every file and row group a narrow span of tokens, so a
+    filter on a token, or on the start of one, skips the others by their statistics. A frequent token
+    spreads over several ranges, because the entity is part of the order.
+    """
+    order = ["token", "entity_type", "entity_id"]
+    index.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+    return index.sparkSession.read.parquet(path)
 
 
 def _fold(word: str) -> str:

@@ -80,19 +80,29 @@ def rows_with_duplicate_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.join(repeated, condition, "left_semi")
 
 
+def digest(columns: Sequence[str | Column]) -> Column:
+    """128 bits that stand for a list of values, nulls included: long values never enter a shuffle key."""
+    parts = []
+    for c in columns:
+        c = F.col(f"`{c}`") if isinstance(c, str) else c
+        parts += [c, c.isNull()]
+    return F.struct(*[F.xxhash64(F.lit(seed), *parts).alias(name) for seed, name in ((1, "a"), (2, "b"))])
+
+
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """Excess copies of fully equal rows, in one row (QLT-6)."""
-    copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n"))
+    copies = df.select(digest(df.columns).alias("row")).groupBy("row").agg(F.count(F.lit(1)).alias("__n"))
     return copies.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("full_duplicates"))
 
 
 def contract_report(df: DataFrame, contract: Contract) -> DataFrame:
     """One row of counts for one table (QLT-9).
 
-    Equal rows are folded into one with their count first; duplicate rows, duplicate
-    keys and broken rules are then sums over the folded rows.
+    Equal rows are folded into one with their count first; duplicate rows, duplicate keys and broken
+    rules are then sums over the folded rows. Rows and keys are shuffled as digests.
     """
-    marked = flagged(df, contract)
+    marked = flagged(df, contract).select(
+        digest(df.columns).alias("row"), digest(contract.unique_key).alias("key"), "invalid_value", "required_null")
     folded = marked.groupBy(*marked.columns).agg(F.count(F.lit(1)).alias("__n"))
     n = F.col("__n")
 
@@ -100,7 +110,7 @@ def contract_report(df: DataFrame, contract: Contract) -> DataFrame:
         return F.sum(F.when(condition, n).otherwise(0))
 
     bad, gone = F.col("invalid_value"), F.col("required_null")
-    per_key = folded.groupBy(*contract.unique_key).agg(
+    per_key = folded.groupBy("key").agg(
         F.sum(n).alias("__rows"), F.sum(n - 1).alias("__copies"), rows(gone).alias("__null"),
         rows(bad).alias("__bad"), rows(gone | bad).alias("__held"))
 
@@ -116,7 +126,7 @@ def contract_report(df: DataFrame, contract: Contract) -> DataFrame:
     ).select(
         F.lit(contract.dataset).alias("dataset"), F.lit(len(df.columns)).alias("n_columns"), "*",
         F.round(F.try_divide("quarantined_rows", "n_rows"), 6).alias("quarantine_rate"),
-        F.lit("PASS").alias("status"))
+        F.when(F.col("quarantined_rows") == 0, "PASS").otherwise("QUARANTINE").alias("status"))
 
 
 def contract_totals(reports: DataFrame) -> DataFrame:
@@ -149,17 +159,32 @@ def sparse_columns(df: DataFrame, share: float = 0.95) -> DataFrame:
         "column_name", F.round(F.lit(100.0) * F.col("nulls") / F.col("n_rows"), 1).alias("pct"))
 
 
-def cell_counts(df: DataFrame) -> DataFrame:
-    """(column, value, n) for every cell. One shuffle serves nulls, distincts and top values."""
-    def cell(f):
-        value = F.col(f"`{f.name}`")
-        if f.dataType.simpleString() in ("double", "float"):
-            value = value + 0.0   # one zero, not two
-        return F.struct(F.lit(f.name).alias("column_name"), value.cast("string").alias("value"))
+def _cell(f) -> Column:
+    value = F.col(f"`{f.name}`")
+    if f.dataType.simpleString() in ("double", "float"):
+        value = value + 0.0   # one zero, not two
+    return value.cast("string")
 
-    cells = F.array(*[cell(f) for f in df.schema.fields])
-    return df.select(F.inline(cells)).groupBy("column_name", "value").agg(
-        F.count(F.lit(1)).alias("n"))
+
+def distinct_values(df: DataFrame) -> DataFrame:
+    """Distinct values of every column (column_name, uniques). The shuffle holds a digest per cell, no text."""
+    cells = F.array(*[F.struct(F.lit(f.name).alias("column_name"), _cell(f).isNotNull().alias("there"),
+                               digest([_cell(f)]).alias("value")) for f in df.schema.fields])
+    one = df.select(F.inline(cells)).filter("there").select("column_name", "value.a", "value.b").distinct()
+    return one.groupBy("column_name").agg(F.count(F.lit(1)).alias("uniques"))
+
+
+def column_facts(df: DataFrame, empty_is_null: bool = False) -> DataFrame:
+    """Type, rows and nulls of every column, from one aggregate without a shuffle of rows."""
+    def missing(f) -> Column:
+        gone = F.col(f"`{f.name}`").isNull()
+        return gone | (F.col(f"`{f.name}`") == "") if empty_is_null and f.dataType.simpleString() == "string" else gone
+
+    fields = df.schema.fields
+    counts = df.agg(F.count(F.lit(1)).alias("n_rows"), *[F.count_if(missing(f)).alias(f"n{i}") for i, f in enumerate(fields)])
+    return counts.select(F.inline(F.array(*[F.struct(
+        F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("dtype"), F.col("n_rows"),
+        F.col(f"n{i}").alias("nulls")) for i, f in enumerate(fields)])))
 
 
 def profile_columns(df: DataFrame) -> DataFrame:
@@ -167,32 +192,27 @@ def profile_columns(df: DataFrame) -> DataFrame:
 
     Numeric columns also get min, max and mean; see ``top_values`` for text columns.
     """
-    counted = cell_counts(df).groupBy("column_name").agg(
-        F.sum("n").alias("n_rows"),
-        F.sum(F.when(F.col("value").isNull() | (F.col("value") == ""), F.col("n")).otherwise(0))
-        .alias("nulls"),
-        F.count("value").alias("uniques"))
+    out = column_facts(df, empty_is_null=True).join(distinct_values(df), "column_name", "left").withColumn(
+        "uniques", F.coalesce("uniques", F.lit(0)))
     numeric = [f.name for f in df.schema.fields if f.dataType.typeName() in (
         "byte", "short", "integer", "long", "float", "double", "decimal")]
-    types = [F.struct(F.lit(f.name).alias("column_name"),
-                      F.lit(f.dataType.simpleString()).alias("dtype")) for f in df.schema.fields]
     if numeric:
         ranges = df.agg(*[F.struct(F.lit(c).alias("column_name"),
                                    F.min(c).cast("double").alias("min"),
                                    F.max(c).cast("double").alias("max"),
                                    F.round(F.avg(c), 4).alias("mean")).alias(c) for c in numeric])
         ranges = ranges.select(F.inline(F.array(*[F.col(f"`{c}`") for c in numeric])))
-        counted = counted.join(ranges, "column_name", "left")
-    typed = counted.withColumn("dtype", F.element_at(F.filter(
-        F.array(*types), lambda t: t["column_name"] == F.col("column_name")), 1)["dtype"])
-    return typed.withColumn("pct_null", F.round(F.lit(100.0) * F.col("nulls") / F.col("n_rows"), 2))
+        out = out.join(ranges, "column_name", "left")
+    return out.withColumn("pct_null", F.round(F.lit(100.0) * F.col("nulls") / F.col("n_rows"), 2))
 
 
 def top_values(df: DataFrame, k: int = 5) -> DataFrame:
     """Most frequent values of each text column, ties in text order."""
     from fieldlens.operators.ranking import top_per_group
-    texts = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
-    counted = cell_counts(df.select(*texts)).filter(F.col("value").isNotNull())
+    texts = [f for f in df.schema.fields if f.dataType.simpleString() == "string"]
+    cells = F.array(*[F.struct(F.lit(f.name).alias("column_name"), _cell(f).alias("value")) for f in texts])
+    counted = df.select(F.inline(cells)).filter(F.col("value").isNotNull()).groupBy("column_name", "value").agg(
+        F.count(F.lit(1)).alias("n"))
     return top_per_group(counted, ["column_name"], [F.col("n").desc(), F.col("value")], k)
 
 

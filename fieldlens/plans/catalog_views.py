@@ -149,6 +149,18 @@ _COLUMNS = {
                  "l_linestatus": "string", "l_shipdate": "timestamp_ntz"},
     "documents": {"doc_id": "bigint", "text": "string", "lang": "string", "source": "string",
                   "n_chars": "bigint"},
+    "region": {"r_regionkey": "int", "r_name": "string"},
+    "nation": {"n_nationkey": "int", "n_name": "string", "n_regionkey": "int"},
+    "customer": {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int", "c_acctbal": "double",
+                 "c_mktsegment": "string"},
+    "supplier": {"s_suppkey": "bigint", "s_name": "string", "s_nationkey": "int", "s_acctbal": "double"},
+    "events": {"event_id": "bigint", "ts": "timestamp_ntz", "user_id": "bigint", "event_type": "string",
+               "value": "double", "props": "string"},
+    "embeddings": {"vec_id": "bigint", "embedding": "array<float>", "label": "int"},
+    "pages": {"page_id": "bigint", "url": "string", "html": "string"},
+    "benchmark": {"item_id": "bigint", "text": "string"},
+    "labels": {"doc_id": "bigint", "quality": "int", "toxic": "int"},
+    "conversations": {"conv_id": "bigint", "turn": "bigint", "role": "string", "text": "string"},
 }
 
 
@@ -157,28 +169,44 @@ _COLUMNS = {
     f"round((count(*) - count({c})) / count(*), 6) AS null_rate, "
     f"count(DISTINCT {c}) AS distinct_count FROM {d}" for d, cs in _COLUMNS.items() for c, t in cs.items()))
 def catalog_columns(spark, sf_dir):
-    """Type, null rate and distinct values of every column of four tables (CAT-2)."""
+    """Type, null rate and distinct values of every column of every table (CAT-2)."""
     return cat.column_catalog({d: table(spark, sf_dir, d) for d in _COLUMNS})
 
 
 _TOKENS = "string_split_regex(translate(lower({t}), '%s', '%s'), '%s')" % (
     cat.ACCENTED, cat.FOLDED, cat.NOT_TOKEN)
-_INDEX_SQL = """idx AS (
-  SELECT token, 'document' AS entity_type, entity_id, count(*) AS tf FROM (
-    SELECT CAST(doc_id AS VARCHAR) AS entity_id, unnest(%s) AS token FROM documents)
-  WHERE token <> '' GROUP BY token, entity_id)""" % _TOKENS.replace("{t}", "concat_ws(' ', lang, text)")
+_INDEX_SQL = f"""idx AS (
+  SELECT token, entity_type, entity_id, count(*) AS tf FROM (
+    SELECT 'document' AS entity_type, CAST(doc_id AS VARCHAR) AS entity_id,
+           unnest({_TOKENS.replace("{t}", "concat_ws(' ', lang, text)")}) AS token FROM documents
+    UNION ALL SELECT 'material', CAST(p_partkey AS VARCHAR),
+           unnest({_TOKENS.replace("{t}", "p_name || ' ' || p_type || ' ' || p_brand")}) FROM part
+    UNION ALL SELECT 'dataset', name, unnest({_TOKENS.replace("{t}", "name || ' raw parquet'")})
+      FROM (SELECT unnest({list(DATASETS)!r}) AS name))
+  WHERE token <> '' GROUP BY token, entity_type, entity_id)"""
 
 
-def _documents(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select(
+def _materials(spark, sf_dir):
+    return cat.entity_rows(materials(spark, sf_dir), "material", "stock_id", "main_name", ["species", "pedigree"])
+
+
+def _entities(spark, sf_dir):
+    """Documents, materials and datasets."""
+    documents = table(spark, sf_dir, "documents").select(
         F.lit("document").alias("entity_type"), F.col("doc_id").cast("string").alias("entity_id"),
         F.col("lang").alias("title"), F.col("text").alias("description"))
+    datasets = spark.createDataFrame([("dataset", d, d, "raw parquet") for d in DATASETS], documents.schema)
+    return documents.unionByName(_materials(spark, sf_dir)).unionByName(datasets)
+
+
+def _stored_index(spark, sf_dir):
+    return cat.write_index(cat.token_index(_entities(spark, sf_dir)), work_path(spark, "search-index"))
 
 
 @query("search_index", f"WITH {_INDEX_SQL} SELECT token, entity_type, entity_id, tf FROM idx")
 def search_index(spark, sf_dir):
-    """Inverted index of all documents, whole texts (CAT-4)."""
-    return cat.token_index(_documents(spark, sf_dir))
+    """Inverted index of documents, materials and datasets, whole texts, stored sorted by token (CAT-4)."""
+    return _stored_index(spark, sf_dir)
 
 
 @query("search_query", f"""
@@ -188,7 +216,7 @@ WHERE token IN ('the', 'and', 'with') GROUP BY entity_type, entity_id
 HAVING count(DISTINCT token) = 3 ORDER BY score DESC, entity_id LIMIT 25""")
 def search_query(spark, sf_dir):
     """Documents that hold all three words (CAT-5)."""
-    return cat.search(cat.token_index(_documents(spark, sf_dir)), "The and WITH")
+    return cat.search(_stored_index(spark, sf_dir), "The and WITH")
 
 
 @query("search_prefix", f"""
@@ -199,7 +227,7 @@ HAVING count(CASE WHEN token = 'les' THEN 1 END) > 0 AND count(CASE WHEN starts_
 ORDER BY score DESC, entity_id LIMIT 25""")
 def search_prefix(spark, sf_dir):
     """A word and the start of another, accents ignored (CAT-5)."""
-    return cat.search(cat.token_index(_documents(spark, sf_dir)), "lés éré*")
+    return cat.search(_stored_index(spark, sf_dir), "lés éré*")
 
 
 @query("search_materials", f"""
@@ -215,9 +243,8 @@ SELECT 'material' AS entity_type, entity_id, score, p_name AS title, p_type || '
 FROM hits JOIN part ON entity_id = CAST(p_partkey AS VARCHAR)""")
 def search_materials(spark, sf_dir):
     """Materials by words of name, species and pedigree, with their titles (CAT-5)."""
-    entities = cat.entity_rows(materials(spark, sf_dir), "material", "stock_id", "main_name",
-                               ["species", "pedigree"])
-    return cat.with_titles(cat.search(cat.token_index(entities), "red promo"), entities)
+    hits = cat.search(_stored_index(spark, sf_dir), "red promo")
+    return cat.with_titles(hits, _materials(spark, sf_dir))
 
 
 _POINTS_SQL = """points AS (
@@ -319,11 +346,11 @@ def partitioned_layer(spark, sf_dir):
 
 
 @query("json_roundtrip", """
-SELECT CAST(s_suppkey AS BIGINT) AS s_suppkey, s_name, s_acctbal FROM supplier""")
+SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier""")
 def json_roundtrip(spark, sf_dir):
     """Appended as JSON lines and read back with a schema (SRC-7, SNK-5)."""
     path = work_path(spark, "lines")
-    rows = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_acctbal")
+    rows = table(spark, sf_dir, "supplier")
     sinks.append_json_lines(rows.filter("s_suppkey % 2 = 0"), path)
     sinks.append_json_lines(rows.filter("s_suppkey % 2 <> 0"), path)
     return spark.read.schema(rows.schema).json(path)

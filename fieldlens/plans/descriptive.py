@@ -16,6 +16,9 @@ YIELD = "QTY"
 YIELD_TRAITS = ["QTY", "PRICE"]
 SPECIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
+# A sanity range: the years of the data lie inside.
+YEARS = (1990, 2025)
+
 
 @query("spark_agg_species_trait", with_fact("""
 SELECT species, trait, count(*) AS nb, round(avg(result_num), 3) AS avg_result,
@@ -208,12 +211,12 @@ def trials_by_species(spark, sf_dir):
 
 @query("trials_by_year", with_fact(f"""
 WITH {_entity_sql("year")}
-SELECT year, count(*) AS n_trials FROM one_row WHERE year BETWEEN 1996 AND 2000 GROUP BY year"""))
+SELECT year, count(*) AS n_trials FROM one_row WHERE year BETWEEN 1990 AND 2025 GROUP BY year"""))
 def trials_by_year(spark, sf_dir):
     """Trials per year within a closed range (AGG-25, FLT-5)."""
     counts = agg.entity_counts(fact(spark, sf_dir, [YIELD], located=False, material=False),
                                "exp_id", ["year"])
-    return counts.filter(F.col("year").between(1996, 2000))
+    return counts.filter(F.col("year").between(*YEARS))
 
 
 @query("top_regions", with_fact(f"""
@@ -232,7 +235,7 @@ _CROSS = ", ".join(f"count(CASE WHEN species = '{s}' THEN 1 END) AS \"{s}\"" for
 
 @query("crosstab_region_species", with_fact(f"""
 WITH {_entity_sql("department, species")}
-SELECT department, {_CROSS}, count(*) AS total FROM one_row WHERE department IS NOT NULL
+SELECT department, {_CROSS}, count(*) FILTER (species IS NULL) AS other, count(*) AS total FROM one_row WHERE department IS NOT NULL
 GROUP BY department ORDER BY total DESC, department LIMIT 15"""))
 def crosstab_region_species(spark, sf_dir):
     """Trials by department and species as a table with zeros (AGG-19)."""
@@ -244,13 +247,13 @@ def crosstab_region_species(spark, sf_dir):
 WITH means AS (
   SELECT year, species, avg(result_num) AS m FROM fact
   WHERE trait IN ('QTY', 'PRICE') AND result_num IS NOT NULL AND species IS NOT NULL
-    AND year BETWEEN 1995 AND 2000 GROUP BY year, species)
+    GROUP BY year, species)
 SELECT year, species, round(m, 6) AS mean FROM means
 WHERE species IN (SELECT species FROM means GROUP BY species HAVING count(*) >= 3)"""))
 def annual_species_mean(spark, sf_dir):
     """Yearly species mean, species with three years or more (AGG-26, FLT-10)."""
     rows = fact(spark, sf_dir, YIELD_TRAITS, located=False).filter(
-        F.col("year").between(1995, 2000)).dropna(subset=["species", "result_num"])
+        F.col("year").between(*YEARS)).dropna(subset=["species", "result_num"])
     means = rows.groupBy("year", "species").agg(F.round(F.avg("result_num"), 6).alias("mean"))
     return keep_large_groups(means, ["species"], 3)
 
@@ -259,13 +262,13 @@ def annual_species_mean(spark, sf_dir):
 WITH means AS (
   SELECT year, species, avg(result_num) AS m, stddev_samp(result_num) / sqrt(count(*)) AS se FROM fact
   WHERE trait IN ('QTY', 'PRICE') AND result_num IS NOT NULL AND species IS NOT NULL
-    AND year BETWEEN 1995 AND 2000 GROUP BY year, species)
+    GROUP BY year, species)
 SELECT year, species, round(m, 6) AS mean_val, round(se, 6) AS se FROM means
 WHERE species IN (SELECT species FROM means GROUP BY species HAVING count(*) >= 3)"""))
 def annual_mean_se(spark, sf_dir):
     """Yearly mean with its standard error (AGG-24)."""
     rows = fact(spark, sf_dir, YIELD_TRAITS, located=False).filter(
-        F.col("year").between(1995, 2000)).dropna(subset=["species", "result_num"])
+        F.col("year").between(*YEARS)).dropna(subset=["species", "result_num"])
     means = rows.groupBy("year", "species").agg(
         F.round(F.avg("result_num"), 6).alias("mean_val"),
         F.round(F.stddev_samp("result_num") / F.sqrt(F.count("result_num")), 6).alias("se"))

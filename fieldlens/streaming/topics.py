@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from fieldlens.operators.ranking import first_per_key
+
 
 def bucket_of(key: Column, buckets: int) -> Column:
     """Stable partition of a key: the same in every run and every process."""
@@ -61,9 +63,17 @@ def outlier_alerts(stream: DataFrame, bounds: DataFrame, keys: Sequence[str], va
     return out.withColumns({"alert_type": F.lit("OUTLIER"), "severity": F.lit(severity)})
 
 
-def first_located(stream: DataFrame, key: str, lat: str = "lat", lon: str = "lon") -> DataFrame:
-    """One message per located trial (STR-4)."""
-    return stream.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull()).dropDuplicates([key])
+def first_located(messages: DataFrame, key: str, lat: str = "lat", lon: str = "lon",
+                  time: str | None = None, lateness: str = "1 day") -> DataFrame:
+    """One message per located trial (STR-4).
+
+    A batch keeps the smallest row of each key. A stream needs ``time``: its state is dropped behind the
+    watermark, so a key that comes again later than ``lateness`` is sent again.
+    """
+    located = messages.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
+    if messages.isStreaming:
+        return distinct_within(located, time, [key], lateness)
+    return first_per_key(located, [key], [c for c in located.columns if c != key])
 
 
 def retained(stream: DataFrame, time: str, since: Column) -> DataFrame:

@@ -50,3 +50,16 @@ def test_range_path_has_no_single_partition_window(spark, small):
 @pytest.mark.parametrize("name", ["hive_q1", "drill_dq2", "fact_build"])
 def test_reads_are_not_dealt_out_again(spark, small, name):
     assert "RoundRobinPartitioning" not in plan(entry.queries()[name](spark, small))
+
+
+def test_search_reads_a_stored_index_with_pushed_tokens(spark, small):
+    text = formatted(entry.queries()["search_query"](spark, small))
+    assert "In(token, [and,the,with])" in text and "Generate" not in text
+    assert "StringStartsWith(token,ere)" in formatted(entry.queries()["search_prefix"](spark, small))
+
+
+@pytest.mark.parametrize("name", ["contract_report", "catalog_columns", "profile_columns"])
+def test_no_text_enters_a_shuffle_key(spark, small, name):
+    text = plan(entry.queries()[name](spark, small))
+    keys = [line for line in text.split("\n") if "Exchange hashpartitioning" in line]
+    assert keys and not any("text#" in k or "p_name#" in k or "value#" in k.split("[")[0] and "value.a" not in k for k in keys if "struct" in k)
