@@ -33,14 +33,17 @@ def anova(df: DataFrame, keys: Sequence[str], factor: str, value: str, *, min_gr
           min_rows: int = 0) -> DataFrame:
     """One-way analysis of variance per key: levels, sums of squares, F (STA-1, STA-3).
 
-    Two aggregates: one row per factor level, then sums over levels, so a factor with very many levels
-    is never gathered in one task.
+    Only rows per factor level and per key meet, in aggregates and a join of them, so a factor with very
+    many levels is never gathered in one task. Deviations are taken from the grand mean, which keeps
+    large values accurate.
     """
     levels = group_moments(df, keys, factor, value, min_group)
     n, m = F.col("n"), F.col("m")
-    sums = levels.groupBy(*keys).agg(
+    means = levels.groupBy(*keys).agg((F.sum(n * m) / F.sum("n")).alias("grand"))
+    centred = join_groups(levels, means, keys) if keys else levels.withColumn("grand", means.scalar())
+    sums = centred.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_levels"), F.sum("n").alias("n_rows"),
-        (F.sum(n * m * m) - F.sum(n * m) * F.sum(n * m) / F.sum(n)).alias("ss_between"),
+        F.sum(n * F.pow(m - F.col("grand"), 2)).alias("ss_between"),
         F.sum("ss").alias("ss_within"),
     ).filter((F.col("n_levels") >= 2) & (F.col("n_rows") >= min_rows))
     between, within = F.col("n_levels") - 1, F.col("n_rows") - F.col("n_levels")

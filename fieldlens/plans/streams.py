@@ -70,7 +70,7 @@ SELECT CAST(exp_id AS VARCHAR) AS experiment_id, round(lat, 4) AS lat, round(lon
        'STATION' AS data_source FROM trials WHERE lat IS NOT NULL AND lon IS NOT NULL""")
 def geo_events(spark, sf_dir):
     """One message per located trial, without invented readings (STR-4)."""
-    one = topics.first_located(trials(spark, sf_dir), "exp_id")
+    one = topics.first_located(trials(spark, sf_dir).select("exp_id", "lat", "lon", "region"), "exp_id")
     return one.select(F.col("exp_id").cast("string").alias("experiment_id"),
                       F.round("lat", 4).alias("lat"), F.round("lon", 4).alias("lon"), "region",
                       F.lit("STATION").alias("data_source"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -38,11 +40,19 @@ def local_session(cpus: int = 8, app: str = "fieldlens", memory: str = "12g",
     return spark
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Give a session from elsewhere, such as a cluster's, the settings that can change at run time."""
+    for key, value in ENGINE_CONF.items():
+        if spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder, from ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a folder of its own: a machine-local
-    path is invisible to other executors.
+    Only a local session may fall back to a folder of its own, which goes when the process ends: a
+    machine-local path is invisible to other executors.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -52,6 +62,7 @@ def shared_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         _own_folders[app_id] = tempfile.mkdtemp(prefix="fieldlens-")
+        atexit.register(shutil.rmtree, _own_folders[app_id], ignore_errors=True)
     return _own_folders[app_id]
 
 
