@@ -181,6 +181,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, bloom_bits: int = BLOOM_BITS
     bloom = docs.sparkSession.sparkContext.broadcast(_bloom(seeds, bloom_bits))
     slim = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), "text")
     clusters, _ = stored(map_texts(slim, _clusters(bloom), CLUSTERS), "clusters")
+    bloom.destroy()  # the clusters are stored: nothing computes them again
     clusters = clusters.dropDuplicates(["doc_id", "text_key", "cluster"])
     hits = clusters.select("doc_id", "text_key", "cluster", F.explode(F.arrays_zip("seeds", "places")).alias("h")).select(
         "doc_id", "text_key", "cluster", F.col("h.seeds").alias("seed"), F.col("h.places").alias("place"))
