@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from fieldlens.functions.distributions import f_p_value, t_p_value, tukey_p_value
 from fieldlens.operators.aggregates import join_groups
 from fieldlens.operators.ranking import exact_percentiles, top_per_group
-from fieldlens.session import stored
+from fieldlens.session import sent_if_small, stored
 
 
 def group_moments(df: DataFrame, keys: Sequence[str], factor: str, value: str,
@@ -122,6 +122,8 @@ def correlation_matrix(df: DataFrame, keys: Sequence[str], traits: Sequence[str]
         *[safe_corr(F.col(a), F.col(b)).alias(f"r_{a}_{b}") for a, b in pairs],
         *[F.when(F.var_pop(F.col(t)) > 0, F.lit(1.0)).alias(f"r_{t}_{t}") for t in traits],
     ).filter(F.col("n_rows") >= min_column)
+    columns = sum(((F.col(f"n_{t}") >= min_column).cast("int") for t in traits), F.lit(0))
+    sums = sums.filter(columns >= 2)   # one column alone has nothing to be compared with
     cells = []
     for a in traits:
         for b in traits:
@@ -206,7 +208,7 @@ def percentile_outliers(df: DataFrame, keys: Sequence[str], value: str, order: S
                         low: float = 0.01, high: float = 0.99, min_rows: int = 10,
                         first: int | None = 5) -> DataFrame:
     """Rows outside the percentile range of their group, the first few by order (STA-9)."""
-    bounds = percentile_bounds(df, keys, value, low, high, min_rows)
+    bounds = sent_if_small(percentile_bounds(df, keys, value, low, high, min_rows), "bounds")
     out = df.join(bounds, list(keys)).filter(
         (F.col(value) < F.col("threshold_min")) | (F.col(value) > F.col("threshold_max")))
     if first is None:
@@ -239,7 +241,8 @@ def box_summary(df: DataFrame, key: str, value: str, *, min_group: int = 30,
     large = folded.groupBy(key).agg(F.sum("__w").alias("__size")).filter(
         F.col("__size") >= min_group).select(key)
     rows = trim_to_percentiles(folded.join(large, key, "left_semi"), value, *trim, weight="__w")
-    quartiles = exact_percentiles(rows, [key], value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, "__w")
+    quartiles = sent_if_small(exact_percentiles(
+        rows, [key], value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, "__w"), "quartiles")
     spread = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.col(value).between(F.col("q1") - spread, F.col("q3") + spread)
     return rows.join(quartiles, key).groupBy(key).agg(

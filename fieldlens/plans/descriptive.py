@@ -9,7 +9,7 @@ from fieldlens.operators.quality import null_audit as audit_nulls
 from fieldlens.operators.ranking import (keep_large_groups, latest_per_key, row_positions,
                                          top_ranks)
 from fieldlens.operators.stats import paired_correlation, trim_to_percentiles
-from fieldlens.plans.driver import entries, fact, results_wide, table, with_fact
+from fieldlens.plans.driver import TRAITS, fact, materials, results_wide, table, trials, with_fact
 from fieldlens.plans.registry import query
 
 YIELD = "QTY"
@@ -79,18 +79,22 @@ FROM fact"""))
 def kpi_global(spark, sf_dir):
     """The six headline counts and the years covered (AGG-1).
 
-    Trials, materials, species and regions are the same before and after the
-    unpivot, so they are counted on plot entries, a quarter of the rows.
+    Each dimension joins the distinct ids of the results, not their rows; measures are counted as
+    columns, so nothing is unpivoted. Three scans of one or a few columns each.
     """
-    counts = agg.distinct_counts(entries(spark, sf_dir), {
-        "n_trials": "exp_id", "n_materials": "stock_id", "n_species": "species",
-        "n_regions": "region"}, rows="n_entries").drop("n_entries")
-    traits = agg.value_counts(fact(spark, sf_dir, located=False, material=False), "trait").agg(
-        F.struct(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("traits")).alias("t")).scalar()
-    years = results_wide(spark, sf_dir).select("year").distinct().agg(F.array_join(F.sort_array(
-        F.collect_list(F.col("year").cast("string"))), ",").alias("years")).scalar()
-    return counts.select("*", traits["rows"].alias("n_measures"), traits["traits"].alias("n_traits"),
-                         years.alias("years"))
+    wide = results_wide(spark, sf_dir)
+    ids = wide.select("exp_id").distinct().join(trials(spark, sf_dir).select("exp_id", "region"), "exp_id", "left")
+    stock = wide.select("stock_id").distinct().join(materials(spark, sf_dir).select("stock_id", "species"), "stock_id", "left")
+    per_region = ids.groupBy("region").agg(F.count("exp_id").alias("n"))
+    per_species = stock.groupBy("species").agg(F.count("stock_id").alias("n"))
+    sized = lambda df, key: df.agg(F.struct(F.coalesce(F.sum("n"), F.lit(0)).alias("ids"), F.count(key).alias("groups")).alias("s")).scalar()
+    trial_counts, material_counts = sized(per_region, "region"), sized(per_species, "species")
+    years = wide.groupBy("year").agg(F.count(F.lit(1)).alias("n"))
+    return years.agg((F.coalesce(F.sum("n"), F.lit(0)) * len(TRAITS)).alias("n_measures"),
+                     F.array_join(F.sort_array(F.collect_list(F.col("year").cast("string"))), ",").alias("years")).select(
+        trial_counts["ids"].alias("n_trials"), material_counts["ids"].alias("n_materials"), "n_measures",
+        F.lit(len(TRAITS)).cast("bigint").alias("n_traits"), material_counts["groups"].alias("n_species"),
+        trial_counts["groups"].alias("n_regions"), "years")
 
 
 @query("kpi_value_counts", with_fact("""

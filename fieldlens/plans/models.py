@@ -189,13 +189,15 @@ def positive_rate_by_year(spark, sf_dir):
 @query("ml_data_quality", f"""
 WITH {DATA_SQL}
 SELECT count(*) AS n_rows, count(DISTINCT exp_id) AS n_groups,
-  round(avg(CAST(year IS NULL AS INTEGER)), 4) AS missing_year,
+  round(avg(CAST(year IS NULL AS INTEGER)), 4) AS missing_year, round(avg(CAST(rep IS NULL AS INTEGER)), 4) AS missing_rep,
+  round(avg(CAST(entry IS NULL AS INTEGER)), 4) AS missing_entry,
   round(avg(CAST(species IS NULL AS INTEGER)), 4) AS missing_species,
+  round(avg(CAST(pedigree IS NULL AS INTEGER)), 4) AS missing_pedigree,
   round(avg(CAST(region IS NULL AS INTEGER)), 4) AS missing_region,
   count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM data)) AS full_duplicates FROM data""")
 def ml_data_quality(spark, sf_dir):
     """Rows, groups, copies and missing rates of the model data (ML-16)."""
-    return ev.data_quality(_data(spark, sf_dir), "exp_id", ["year", "species", "region"])
+    return ev.data_quality(_data(spark, sf_dir), "exp_id", [*NUMERIC, *TEXT])
 
 
 @query("mode_imputation", with_fact("""

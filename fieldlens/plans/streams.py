@@ -12,7 +12,7 @@ from fieldlens.operators.ranking import row_positions
 from fieldlens.operators.stats import percentile_bounds
 from fieldlens.plans.driver import table, trials, TRIALS_SQL
 from fieldlens.plans.registry import query
-from fieldlens.session import stored, work_path
+from fieldlens.session import sent_if_small, work_path
 from fieldlens.streaming import topics
 
 
@@ -97,7 +97,7 @@ SELECT event_id, event_type, value, round(lo, 6) AS threshold_min, round(hi, 6)
 FROM events JOIN b USING (event_type) WHERE value < lo OR value > hi""")
 def stream_alerts(spark, sf_dir):
     """Alerts for values outside the static bounds of their type (STR-3)."""
-    bounds, _ = stored(_bounds(spark, sf_dir), "bounds")      # computed once, then static
+    bounds = sent_if_small(_bounds(spark, sf_dir), "bounds")      # computed once, then static
     alerts = topics.outlier_alerts(
         _events(spark, sf_dir).select("event_id", "event_type", "value"),
         bounds, ["event_type"], "value")

@@ -97,3 +97,13 @@ def discard(table: DataFrame) -> None:
     """Delete the files of a table from ``stored``, once no later plan reads them."""
     path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.stored_path)
     path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def sent_if_small(table: DataFrame, label: str, rows: int = 100_000) -> DataFrame:
+    """A table for the small side of a join: stored, counted, and broadcast only up to ``rows`` rows.
+
+    Few-valued keys would otherwise gather the long side in a few tasks; beyond the limit the keys are
+    many, and an ordinary join spreads them.
+    """
+    saved, n = stored(table, label)
+    return F.broadcast(saved) if n <= rows else saved
