@@ -18,7 +18,7 @@ BLANKS = " \t\n\x0b\x0c\r"
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 # Texts handed to numpy at once; a longer text is a batch of its own.
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 19
 
 
 def query(name: str, sql: str | None = None):
