@@ -1,8 +1,9 @@
-"""Boosted trees on a bounded sample of labelled rows, scored on all rows.
+"""Boosted trees on a bounded sample of labelled rows, scored on all rows: for the classifier only.
 
 Hundreds of small rounds are hundreds of Spark jobs when every round is distributed. Fitting on a
 bounded hash sample needs one task per model instead; scoring stays a distributed column expression.
-``modelling.fit_regressor`` and ``fit_classifier`` are there for fits on all rows.
+The registered regressions are fitted on all rows by ``modelling.fit_regressor``; ``fit_classifier``
+is there for classifiers on all rows.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-FIT_ROWS = 20_000   # labelled rows a model is fitted on
+FIT_ROWS = 20_000   # labelled rows a classifier is fitted on
 BINS = 64
 LEAST_LEAF = 20
 PENALTY = 1.0

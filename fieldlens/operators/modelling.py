@@ -19,7 +19,7 @@ from fieldlens.operators import boosting as bt
 from fieldlens.operators import evaluation as ev
 from fieldlens.operators.quality import require_columns, require_no_duplicates
 from fieldlens.operators.ranking import exact_percentiles, row_positions
-from fieldlens.session import ensure_checkpointing, stored
+from fieldlens.session import discard, ensure_checkpointing, stored
 
 
 @dataclass(frozen=True)
@@ -78,12 +78,19 @@ def fit_features(train: DataFrame, numeric: Sequence[str], text: Sequence[str])
 
 def fit_regressor(train: DataFrame, features: PipelineModel, target: str,
                   settings: Boosting = REGRESSION):
-    """Boosted regression trees (ML-5). Lineage is cut in the shared folder every ten rounds."""
+    """Boosted regression trees on every row of ``train`` (ML-5).
+
+    The features are stored once, so that no round computes them again. Lineage is cut in the shared
+    folder every ten rounds.
+    """
     ensure_checkpointing(train.sparkSession)
+    rows, _ = stored(features.transform(train).select("features", target), "fit-rows")
     trainer = GBTRegressor(featuresCol="features", labelCol=target, stepSize=settings.step,
                            maxIter=settings.rounds, maxDepth=settings.depth, maxBins=64,
                            seed=settings.seed, checkpointInterval=10)
-    return trainer.fit(features.transform(train).select("features", target))
+    model = trainer.fit(rows)
+    discard(rows)
+    return model
 
 
 def fit_classifier(train: DataFrame, features: PipelineModel, label: str,
@@ -224,11 +231,13 @@ def export_predictions(scored: DataFrame, columns: Sequence[str], target: str,
 
 
 def score_bounded(df: DataFrame, numeric: Sequence[str], text: Sequence[str], features: PipelineModel,
-                  regressor: bt.Trees, classifier: bt.Trees, threshold: float) -> DataFrame:
-    """As ``score_rows``, with models from ``fit_bounded``."""
+                  regressor, classifier: bt.Trees, threshold: float) -> DataFrame:
+    """As ``score_rows``, with a classifier from ``fit_bounded`` and either kind of regressor."""
     require_columns(df, [*numeric, *text], "input rows")
-    return feature_array(df, features).select(
-        *df.columns, F.round(bt.scored(F.col("x"), regressor), 3).alias("prediction"),
+    bounded = isinstance(regressor, bt.Trees)
+    rows = feature_array(df if bounded else with_prediction(df, features, regressor, "predicted"), features)
+    return rows.select(
+        *df.columns, F.round(bt.scored(F.col("x"), regressor) if bounded else F.col("predicted"), 3).alias("prediction"),
         bt.scored(F.col("x"), classifier).alias("p")).select(
         *df.columns, "prediction", (F.col("p") >= threshold).alias("high_yield"),
         F.lit(float(threshold)).alias("decision_threshold"), F.round("p", 4).alias("probability"))

@@ -2,7 +2,8 @@
 
 Most score queries use a ready-made score, (quantity - 1) / 49, and the label
 price >= 50000, so their results can be cross-checked. The fitted models use the full
-settings, on a bounded sample of labelled rows (``boosting.FIT_ROWS``); all rows are scored.
+settings. Regressions are fitted on all training rows, classifiers on a bounded sample of labelled
+rows (``boosting.FIT_ROWS``); all rows are scored.
 """
 
 from __future__ import annotations
@@ -242,9 +243,9 @@ def gbt_regression(spark, sf_dir):
     """
     train, test = _parts(spark, sf_dir)
     features = ml.fit_features(train, NUMERIC, TEXT)
-    model, = ml.fit_bounded(train, features, [("result_num", ml.REGRESSION, False)])
+    model = ml.fit_regressor(train, features, "result_num")
     facts = train.agg(F.struct(F.avg("result_num").alias("mean"), F.count(F.lit(1)).alias("n")).alias("s")).scalar()
-    rows = ml.feature_array(test, features).select("result_num", bt.scored(F.col("x"), model).alias("prediction"))
+    rows = ml.with_prediction(test, features, model).select("result_num", "prediction")
     miss = lambda guess: F.avg(F.abs(F.col("result_num") - guess))
     return rows.withColumn("train", facts).groupBy(F.col("train.n").alias("n_train")).agg(
         F.count(F.lit(1)).alias("n_rows"), miss(F.col("prediction")).alias("mae"), miss(F.col("train.mean")).alias("base")).select(
@@ -260,8 +261,8 @@ def prediction_export(spark, sf_dir):
     """
     train, test = _parts(spark, sf_dir)
     features = ml.fit_features(train, NUMERIC, TEXT)
-    model, = ml.fit_bounded(train, features, [("result_num", ml.REGRESSION, False)])
-    rows = ml.feature_array(test, features).withColumn("prediction", bt.scored(F.col("x"), model))
+    model = ml.fit_regressor(train, features, "result_num")
+    rows = ml.with_prediction(test, features, model)
     keys = ["exp_id", "rep", "entry", "year", "species", "region"]
     out = ml.export_predictions(rows, keys, "result_num")
     return out.select(*keys, "result_num", (F.abs(
@@ -312,8 +313,8 @@ def score_batch(spark, sf_dir):
     train, test = _parts(spark, sf_dir)
     features = ml.fit_features(train, NUMERIC, TEXT)
     best = ml.tune_bounded(train, NUMERIC, TEXT, "label", "exp_id", [ml.CLASSIFICATION]).first()
-    regressor, classifier = ml.fit_bounded(train, features, [
-        ("result_num", ml.REGRESSION, False), ("label", ml.CLASSIFICATION, True)])
+    regressor = ml.fit_regressor(train, features, "result_num")
+    classifier, = ml.fit_bounded(train, features, [("label", ml.CLASSIFICATION, True)])
     out = ml.score_bounded(test.select("exp_id", *NUMERIC, *TEXT), NUMERIC, TEXT, features, regressor, classifier, best["threshold"])
     return out.select("exp_id", "rep", "entry", (
         (F.col("high_yield") == (F.col("probability") >= F.col("decision_threshold")))

@@ -4,8 +4,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from fieldlens.operators import boosting as bt
 from fieldlens.operators import evaluation as ev
 from fieldlens.operators import modelling as ml
+from fieldlens.plans import models as plans
 
 
 @pytest.fixture(scope="module")
@@ -138,3 +140,19 @@ def test_export_refuses_duplicates(fitted):
     assert out.columns == ["g", "noise", "target", "prediction", "abs_error"]
     with pytest.raises(ValueError):
         ml.export_predictions(scored.union(scored), ["g", "noise"], "target")
+
+
+@pytest.mark.parametrize("name", ["gbt_regression", "prediction_export", "score_batch"])
+def test_registered_regressions_fit_on_every_training_row(spark, monkeypatch, name):
+    fits = []
+    full = ml.fit_regressor
+
+    def few_rounds(train, features, target, settings=ml.REGRESSION):
+        fits.append((train.count(), settings))
+        return full(train, features, target, ml.Boosting(rounds=2, depth=2))
+    monkeypatch.setattr(ml, "fit_regressor", few_rounds)
+    train, test = plans._parts(spark, "/root/testdata/sf0.01")
+    n = train.count()
+    monkeypatch.setattr(plans, "_parts", lambda *_: (train, test))
+    assert plans.__dict__[name](spark, "/root/testdata/sf0.01").count() > 0
+    assert n > 2 * bt.FIT_ROWS and fits == [(n, ml.REGRESSION)]
