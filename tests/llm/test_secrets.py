@@ -2,6 +2,7 @@
 
 import re
 
+from fieldlens.llm import secrets
 from fieldlens.llm.secrets import find_secrets, guess_bits, spans_of
 
 BASE = (re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A),
@@ -46,3 +47,26 @@ def test_odd_rows(make, odd, empty):
     assert len(rows) == len(odd)
     assert {r.doc_id for r in rows if r.spans} == {11}
     assert find_secrets(empty).count() == 0
+
+
+def test_words_of_the_documents_are_easy(make):
+    words = ["incorrect", "everywhere", "understanding", "mountain", "particularly", "Neighbourhood", "verständlich"]
+    prose = [f"it was {w.lower()} as they said" for w in words]
+    asked = [f"the password is {w}, sorry" for w in words] + ["token: mountain2021", "secret = m0unt41n!"]
+    hard = ["password: xqzvkwjpyt", "secret = Kq7#mountain!vZx9w", "password is hapaxlegomenon"]
+    alone = "the password is wrkqzpvbnd and again: password = wrkqzpvbnd"     # only ever a credential value
+    once = "the hapaxlegomenon occurs in one document"
+    texts = prose + [p + " too" for p in prose] + asked + hard + [alone, once]
+    rows = {r.doc_id: [s.kind for s in r.spans] for r in find_secrets(make(texts)).collect()}
+    kinds = {t: rows[i] for i, t in enumerate(texts)}
+    assert len(rows) == len(texts)
+    assert all("guess" not in kinds[t] for t in asked), [t for t in asked if kinds[t]]
+    assert all(kinds[t].count("guess") == 1 for t in hard), kinds
+    assert kinds[alone].count("guess") == 2
+
+
+def test_lookup_is_skipped_only_where_no_word_can_help():
+    values = ["incorrect", "xK9#vQ2!mZ", "T7q_vv81LmPz", "04dbebab91ab85687d33eeaaf9ac699e1188f962", "understanding-is-key", "z" * 300]
+    for v in values:
+        every = {p: len(secrets.COMMON) + 1 for p in secrets.pieces_of(v)} | secrets._RANK
+        assert (secrets._open_value(v) is not None) == (guess_bits(v, every.get, secrets.LONGEST_WORD) < 34)
