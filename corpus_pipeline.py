@@ -15,7 +15,10 @@ from fieldlens.session import stored
 
 
 def in_one_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or in no language to at least a half, go."""
+    """Documents without a letter, or in no language to at least a half, go.
+
+    The languages are learned from ``docs``; if none has a usable lang, only documents without a letter go.
+    """
     return keep_identified(docs, learned(docs))
 
 

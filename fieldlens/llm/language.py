@@ -248,7 +248,10 @@ def learned(docs: DataFrame) -> tuple:
 
 
 def keep_identified(docs: DataFrame, model: tuple, min_share: float = MIN_SHARE) -> DataFrame:
-    """``docs`` (all columns) without those that are ``und`` or in no language to at least ``min_share``."""
+    """``docs`` (all columns) without those that are ``und`` or in no language to at least ``min_share``.
+
+    A model without languages tells nothing of a text: then only those without a letter go.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     return docs.mapInArrow(_filtering(shared, docs.columns.index("text"), min_share), docs.schema)
 
@@ -260,8 +263,11 @@ def _filtering(shared, at: int, min_share: float):
         for batch in batches:
             texts = batch.column(at).to_pylist()
             for a, b in pieces(texts):
-                _, named, score, _ = spans([[None] * (b - a), texts[a:b]])
-                keep = [n != UNKNOWN and s >= min_share for n, s in zip(named, score)]
+                if shared.value[0]:
+                    _, named, score, _ = spans([[None] * (b - a), texts[a:b]])
+                    keep = [n != UNKNOWN and s >= min_share for n, s in zip(named, score)]
+                else:
+                    keep = np.diff(LetterWords(texts[a:b]).first) > 0
                 yield batch.slice(a, b - a).filter(pa.array(keep, pa.bool_()))
     return run
 

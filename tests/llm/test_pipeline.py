@@ -2,6 +2,7 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline as cp
@@ -49,3 +50,9 @@ def test_sql(spark, small, name):
     want = sorted(rel.fetchall())
     assert len(got) == len(want)
     assert all(a == pytest.approx(b) if isinstance(a, float) else a == b for x, y in zip(got, want) for a, b in zip(x, y))
+
+
+def test_without_a_known_language_only_texts_without_letters_go(spark, make, small):
+    docs = make(["clean prose in some tongue", "чистый текст", "12 34 -- ++", "", None, "x"]).withColumn("lang", F.lit(None).cast("string"))
+    kept = cp.in_one_language(spark, docs, small).collect()
+    assert sorted(r.doc_id for r in kept) == [0, 1, 5]
