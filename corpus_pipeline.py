@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fieldlens.llm.common import table
 from fieldlens.llm.language import keep_identified, learned
 from fieldlens.llm.line_windows import dedup_lines
-from fieldlens.llm.minmax import keep_one
+from fieldlens.llm.minmax import WIDTH, keep_one
 from fieldlens.llm.mixture import mixed
 from fieldlens.llm.spaced_seeds import decontaminate
 from fieldlens.session import stored
@@ -29,7 +29,11 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return keep_one(docs)
+    """One document of each component of op6's graph stays; shingles of two words, as in op6's contract.
+
+    Five words would keep apart most of the near copies that differ in scattered words.
+    """
+    return keep_one(docs, width=WIDTH)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

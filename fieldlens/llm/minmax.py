@@ -30,18 +30,23 @@ from fieldlens.session import stored
 FUNCTIONS = 100
 BAND = 5
 NUMERATOR, DENOMINATOR = 80, 100
+# Words of a shingle, by the operator's contract.
+WIDTH = 2
 # Shingles of a block, 8 bytes each; a larger set is a block of its own.
 BLOCK_SHINGLES = 1_000_000
 
 
-def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
-    """Sorted distinct hashes of the two-word shingles of each text."""
+def shingle_sets(texts: list[str | None], width: int = WIDTH) -> list[np.ndarray]:
+    """Sorted distinct hashes of the shingles of ``width`` words of each text; all its words if they are fewer."""
     words = Words(texts, lower=True)
     single = words.hashes()
-    pairs = gram_hashes(single, 2)
+    grams = gram_hashes(single, width)
     out = []
     for a, b in zip(words.first[:-1], words.first[1:]):
-        out.append(np.unique(pairs[a:b - 1]) if b - a > 1 else mix(single[a:b]))
+        if b - a >= width:
+            out.append(np.unique(grams[a:b - width + 1]))
+        else:
+            out.append(gram_hashes(single[a:b], b - a) if b - a > 1 else mix(single[a:b]))
     return out
 
 
@@ -50,9 +55,9 @@ def _multipliers() -> tuple[np.ndarray, np.ndarray]:
     return seeds[:FUNCTIONS] | U(1), seeds[FUNCTIONS:]
 
 
-def _signature_rows(cols: list[list]) -> list:
+def _signature_rows(cols: list[list], width: int = WIDTH) -> list:
     ids, text_keys, texts = cols
-    sets = shingle_sets(texts)
+    sets = shingle_sets(texts, width)
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
     full = np.flatnonzero(sizes)
     bands = [[] for _ in sets]
@@ -143,22 +148,23 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
 
-def _set_rows(cols: list[list]) -> list:
+def _set_rows(cols: list[list], width: int = WIDTH) -> list:
     ids, texts = cols
-    return [ids, [s.tobytes() for s in shingle_sets(texts)]]
+    return [ids, [s.tobytes() for s in shingle_sets(texts, width)]]
 
 
-def near_duplicates(docs: DataFrame, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+def near_duplicates(docs: DataFrame, block_shingles: int = BLOCK_SHINGLES, width: int = WIDTH) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, text_key, n_shingles, component_id, kept.
 
     A null text, or one without words, has an empty set, links with nothing and is its own component.
     Documents of equal sets are one node of the graph. Different texts under one doc_id are different
     nodes; rows without a doc_id can be joined with others but never name a component, unless all of
     it is without (then its component_id is null and its rows are kept). Rows that repeat are alike.
+    ``width`` is the number of words of a shingle; a shorter text has one shingle of all its words.
     """
     slim = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), "text")
     signed, _ = stored(map_texts(
-        slim, _signature_rows, "doc_id long, text_key long, n_shingles long, name binary, bands array<long>"), "signatures")
+        slim, lambda cols: _signature_rows(cols, width), "doc_id long, text_key long, n_shingles long, name binary, bands array<long>"), "signatures")
     nodes, _ = stored(signed.filter("n_shingles > 0").dropDuplicates(["name"]).withColumn(
         "node", F.monotonically_increasing_id()), "sets")
     keys = nodes.select("node", F.explode("bands").alias("key"))
@@ -172,7 +178,7 @@ def near_duplicates(docs: DataFrame, block_shingles: int = BLOCK_SHINGLES) -> Da
         "node", F.col("doc_id").alias("set_id"), F.col("text_key").alias("set_key")), "node")
     sets, _ = stored(map_texts(slim.join(wanted, slim["doc_id"].eqNullSafe(wanted["set_id"])
                                          & (slim["text_key"] == wanted["set_key"])).select("node", "text"),
-                               _set_rows, "node long, shingles binary"), "shingles")
+                               lambda cols: _set_rows(cols, width), "node long, shingles binary"), "shingles")
     member = pairs.join(blocks, "leader").withColumn("lead", F.col("node") == F.col("leader")).withColumn(
         "block", F.explode(F.when(F.col("lead"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(
             F.array(F.pmod(F.hash("node"), F.col("blocks"))))))

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldlens.llm.links import components
-from fieldlens.llm.minmax import keep_one, link_block, near_duplicates
+from fieldlens.llm.minmax import keep_one, link_block, near_duplicates, shingle_sets
 
 
 def shingles(text):
@@ -104,3 +104,14 @@ def test_link_block_skips_what_is_joined():
     sets = [np.arange(10, dtype=np.uint64), np.arange(10, dtype=np.uint64), np.arange(100, 110, dtype=np.uint64)]
     assert link_block([1, 2, 3], sets) == [(1, 2)]
     assert link_block([1, 2, 3], sets, parts=[5, 5, 6]) == []
+
+
+def test_shingle_width(make):
+    words = [f"w{k}" for k in range(60)]
+    near = list(words)
+    near[15], near[40] = "other", "words"      # 55 of 63 pairs in common, 46 of 66 fives
+    df = make([" ".join(words), " ".join(near), "one two three", "one two three", "one two four"])
+    kept = lambda **s: sorted({r.doc_id for r in near_duplicates(df, **s).filter("kept").collect()})
+    assert kept() == kept(width=2) == [0, 2, 4]
+    assert kept(width=5) == [0, 1, 2, 4]
+    assert [len(s) for s in shingle_sets(["a b c", "a", "", "a b c d e f"], 5)] == [1, 1, 0, 2]
