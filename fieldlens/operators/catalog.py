@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -62,15 +63,21 @@ def entity_rows(df: DataFrame, entity_type: str, key: str, title: str,
     return one.select(F.lit(entity_type).alias("entity_type"), *one.columns)
 
 
-def token_index(entities: DataFrame, columns: Sequence[str] = ("title", "description")) -> DataFrame:
-    """Inverted index: token, entity and its frequency, over whole texts (CAT-4).
+def token_index(entities: DataFrame, columns: Sequence[str] = ("entity_type", "title", "description")) -> DataFrame:
+    """Inverted index: token, entity, its frequency and its places, over whole texts (CAT-4).
 
-    The text is exploded inside each task and counted before the shuffle; the key
-    includes the entity, so a token present everywhere spreads over all tasks.
+    The type of an entity is searchable like its title.
+
+    Places count the tokens of all columns, with a gap between two columns, so that no phrase crosses them. The text
+    is exploded and folded again inside each task; the key includes the entity, so a token present
+    everywhere spreads over all tasks, and the places of one row are those of one entity.
     """
-    words = entities.select(
-        "entity_type", "entity_id", F.explode(tokens(F.concat_ws(" ", *columns))).alias("token"))
-    return words.groupBy("token", "entity_type", "entity_id").agg(F.count(F.lit(1)).alias("tf"))
+    apart = F.array(F.lit(""))
+    lists = [F.coalesce(tokens(F.col(c)), F.array().cast("array<string>")) for c in columns]
+    row = F.concat(*[x for c in lists for x in (c, apart)])
+    words = entities.select("entity_type", "entity_id", F.posexplode(row).alias("place", "token")).filter("token <> ''")
+    return words.groupBy("token", "entity_type", "entity_id").agg(
+        F.count(F.lit(1)).alias("tf"), F.array_sort(F.collect_list("place")).alias("places"))
 
 
 def write_index(index: DataFrame, path: str) -> DataFrame:
@@ -82,50 +89,100 @@ def write_index(index: DataFrame, path: str) -> DataFrame:
     """
     order = ["token", "entity_type", "entity_id"]
     index.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
-    return index.sparkSession.read.parquet(path)
+    return index.sparkSession.read.schema(index.schema).parquet(path)
 
 
 def _fold(word: str) -> str:
     return word.lower().translate(str.maketrans(ACCENTED, FOLDED))
 
 
-def parse_query(query: str) -> list[tuple[str, bool]]:
-    """Words of a query as (token, is_prefix). Empty or unbalanced queries are errors."""
-    if query.count('"') % 2:
+def _words(text: str) -> list[str]:
+    return "".join(c if c.isalnum() else " " for c in _fold(text)).split()
+
+
+@dataclass(frozen=True, order=True)
+class Term:
+    """A word, the start of one, or the words of a phrase."""
+
+    tokens: tuple[str, ...]
+    prefix: bool = False
+
+    def matches(self) -> Column:
+        token = F.col("token")
+        return token.startswith(self.tokens[0]) if self.prefix else token.isin(*self.tokens)
+
+
+def parse_query(query: str) -> list[Term]:
+    """Terms of a query: words, words with a trailing star, quoted phrases. All of them must match.
+
+    A word with signs inside counts as several words. Empty or unbalanced queries are errors.
+    """
+    parts = query.split('"')
+    if len(parts) % 2 == 0:
         raise ValueError("unbalanced quote in the query")
-    terms: list[tuple[str, bool]] = []
-    for word in query.replace('"', " ").split():
-        prefix = word.endswith("*")
-        cleaned = "".join(c if c.isalnum() else " " for c in _fold(word.rstrip("*"))).split()
-        for i, token in enumerate(cleaned):
-            terms.append((token, prefix and i == len(cleaned) - 1))
+    terms = set()
+    for k, part in enumerate(parts):
+        if k % 2:
+            phrase = tuple(_words(part))
+            if phrase:
+                terms.add(Term(phrase))
+            continue
+        for word in part.split():
+            cleaned = _words(word.rstrip("*"))
+            terms |= {Term((token,), word.endswith("*") and i == len(cleaned) - 1) for i, token in enumerate(cleaned)}
     if not terms:
         raise ValueError("the query has no words")
-    return sorted(set(terms))
+    return sorted(terms)
 
 
-def search(index: DataFrame, query: str, limit: int = 25) -> DataFrame:
-    """Entities that hold every word of the query, best match first (CAT-5).
+def _phrase_hits(term: Term) -> Column:
+    """How often the phrase stands in an entity: places of its first word at which all words follow in order."""
+    def begins(token: str, before: int) -> Column:
+        places = F.coalesce(F.max(F.when(F.col("token") == token, F.col("places"))), F.array().cast("array<int>"))
+        return F.transform(places, lambda p: p - before)
+
+    shifted = [begins(t, i) for i, t in enumerate(term.tokens)]
+    return F.size(reduce(F.array_intersect, shifted))
+
 
-    Only the query's tokens leave the index. Order: total frequency, then id.
+def matching(index: DataFrame, terms: Sequence[Term], by: Sequence[str] = ("entity_type", "entity_id")) -> DataFrame:
+    """Every entity that satisfies all terms, with its score; the order of the page is the caller's.
+
+    Only rows with the terms' tokens leave the index. The score is the frequency of the words plus the number of
+    times that the phrases stand.
     """
-    terms = parse_query(query)
+    words = [t for t in terms if len(t.tokens) == 1]
+    phrases = [t for t in terms if len(t.tokens) > 1]
+    any_of = lambda ts: reduce(lambda a, b: a | b, [t.matches() for t in ts], F.lit(False))
+    measures = [F.coalesce(F.sum(F.when(any_of(words), F.col("tf"))), F.lit(0)).alias("score")]
+    measures += [F.max(t.matches().cast("int")).alias(f"m{i}") for i, t in enumerate(words)]
+    measures += [_phrase_hits(t).alias(f"p{i}") for i, t in enumerate(phrases)]
+    found = index.filter(any_of(terms)).groupBy(*by).agg(*measures)
+    for name in [f"m{i}" for i in range(len(words))] + [f"p{i}" for i in range(len(phrases))]:
+        found = found.filter(F.col(name) > 0)
+    score = reduce(lambda a, b: a + b, [F.col(f"p{i}") for i in range(len(phrases))], F.col("score"))
+    return found.select(*by, score.cast("long").alias("score"))
 
-    def matches(token: str, prefix: bool) -> Column:
-        return F.col("token").startswith(token) if prefix else F.col("token") == token
 
-    wanted = reduce(lambda a, b: a | b, [matches(*t) for t in terms])
-    marks = [F.max(matches(*t).cast("int")).alias(f"m{i}") for i, t in enumerate(terms)]
-    found = index.filter(wanted).groupBy("entity_type", "entity_id").agg(
-        F.sum("tf").alias("score"), *marks)
-    every = reduce(lambda a, b: a & b, [F.col(f"m{i}") == 1 for i in range(len(terms))])
-    return found.filter(every).select("entity_type", "entity_id", "score").orderBy(
-        F.col("score").desc(), "entity_type", "entity_id").limit(limit)
+def page(found: DataFrame, limit: int) -> DataFrame:
+    """Best match first: score, then type and id."""
+    return found.orderBy(F.col("score").desc(), "entity_type", "entity_id").limit(limit)
+
+
+def search(index: DataFrame, query: str, limit: int = 25) -> DataFrame:
+    """Entities that satisfy every term of the query, best match first (CAT-5)."""
+    return page(matching(index, parse_query(query)), limit)
 
 
 def with_titles(hits: DataFrame, entities: DataFrame) -> DataFrame:
-    """Add title and description to at most a page of hits."""
-    return entities.join(F.broadcast(hits), ["entity_type", "entity_id"])   # hits are limited
+    """Add title and description to a page of hits.
+
+    The page is limited, so its ids go into the scan of ``entities`` as a filter, which a store sorted by id
+    answers from few row groups.
+    """
+    rows = hits.collect()
+    known = entities.filter(F.col("entity_id").isin(*[r["entity_id"] for r in rows])) if rows else entities.limit(0)
+    return known.join(F.broadcast(hits.sparkSession.createDataFrame(rows, hits.schema)), ["entity_type", "entity_id"])
 
 
 def write_catalog(spark: SparkSession, folder: str, datasets: DataFrame, columns: DataFrame,

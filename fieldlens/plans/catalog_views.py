@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from fieldlens.operators import aggregates as agg
 from fieldlens.operators import catalog as cat
 from fieldlens.operators import geo, wide
+from fieldlens.operators import search_index as si
 from fieldlens.operators.ranking import first_per_key
 from fieldlens.plans.driver import FACT_SQL, fact, materials, table, with_fact
 from fieldlens.plans.registry import query
-from fieldlens.session import work_path
+from fieldlens.session import shared_dir, work_path
 from fieldlens.sources import sinks, tables
+from fieldlens.sources.snapshots import VersionTaken
 
 ABROAD = {"Abroad": ["ASIA", "AFRICA"]}
 
@@ -173,78 +177,127 @@ def catalog_columns(spark, sf_dir):
     return cat.column_catalog({d: table(spark, sf_dir, d) for d in _COLUMNS})
 
 
-_TOKENS = "string_split_regex(translate(lower({t}), '%s', '%s'), '%s')" % (
+_TOKENS = "list_filter(string_split_regex(translate(lower(coalesce({t}, '')), '%s', '%s'), '%s'), lambda x: x <> '')" % (
     cat.ACCENTED, cat.FOLDED, cat.NOT_TOKEN)
-_INDEX_SQL = f"""idx AS (
-  SELECT token, entity_type, entity_id, count(*) AS tf FROM (
-    SELECT 'document' AS entity_type, CAST(doc_id AS VARCHAR) AS entity_id,
-           unnest({_TOKENS.replace("{t}", "concat_ws(' ', lang, text)")}) AS token FROM documents
-    UNION ALL SELECT 'material', CAST(p_partkey AS VARCHAR),
-           unnest({_TOKENS.replace("{t}", "p_name || ' ' || p_type || ' ' || p_brand")}) FROM part
-    UNION ALL SELECT 'dataset', name, unnest({_TOKENS.replace("{t}", "name || ' raw parquet'")})
-      FROM (SELECT unnest({list(DATASETS)!r}) AS name))
-  WHERE token <> '' GROUP BY token, entity_type, entity_id)"""
-
-
-def _materials(spark, sf_dir):
-    return cat.entity_rows(materials(spark, sf_dir), "material", "stock_id", "main_name", ["species", "pedigree"])
+_DOCUMENTS_SQL = "SELECT 'document' AS entity_type, CAST(doc_id AS VARCHAR) AS entity_id, lang AS title, text AS description FROM documents"
+_DATASETS_SQL = f"SELECT 'dataset', name, name, 'raw parquet' FROM (SELECT unnest({list(DATASETS)!r}) AS name)"
+_ENTITIES_SQL = f"""ents AS ({_DOCUMENTS_SQL}
+  UNION ALL SELECT 'material', CAST(p_partkey AS VARCHAR), p_name, p_type || ' ' || p_brand FROM part
+  UNION ALL {_DATASETS_SQL})"""
+_ADDED_SQL = f"""ents AS ({_DOCUMENTS_SQL}
+  UNION ALL SELECT 'material', CAST(p_partkey AS VARCHAR), p_name, p_brand FROM part
+  UNION ALL {_DATASETS_SQL}
+  UNION ALL SELECT 'benchmark', CAST(item_id AS VARCHAR), 'item', text FROM benchmark)"""
+_INDEX_SQL = f"""idx AS (SELECT token, entity_type, entity_id, count(*) AS tf FROM (
+  SELECT entity_type, entity_id, unnest({_TOKENS.replace("{t}", "concat_ws(' ', entity_type, title, description)")}) AS token FROM ents)
+  GROUP BY token, entity_type, entity_id)"""
+# The columns of an entity as one list of tokens with gaps between them, for phrases.
+_PLACED_SQL = f"""placed AS (SELECT entity_type, entity_id, list_concat(list_append({_TOKENS.replace("{t}", "entity_type")}, ''),
+  list_concat(list_append({_TOKENS.replace("{t}", "title")}, ''), {_TOKENS.replace("{t}", "description")})) AS l FROM ents)"""
+
+
+def _materials(spark, sf_dir, description=("species", "pedigree")):
+    return cat.entity_rows(materials(spark, sf_dir), "material", "stock_id", "main_name", list(description))
 
 
 def _entities(spark, sf_dir):
     """Documents, materials and datasets."""
-    documents = table(spark, sf_dir, "documents").select(
-        F.lit("document").alias("entity_type"), F.col("doc_id").cast("string").alias("entity_id"),
-        F.col("lang").alias("title"), F.col("text").alias("description"))
-    datasets = spark.createDataFrame([("dataset", d, d, "raw parquet") for d in DATASETS], documents.schema)
+    documents = cat.entity_rows(table(spark, sf_dir, "documents"), "document", "doc_id", "lang", ["text"])
+    datasets = spark.createDataFrame([("dataset", d, d, "raw parquet") for d in DATASETS], si.ENTITIES)
     return documents.unionByName(_materials(spark, sf_dir)).unionByName(datasets)
 
 
-def _stored_index(spark, sf_dir):
-    return cat.write_index(cat.token_index(_entities(spark, sf_dir)), work_path(spark, "search-index"))
+def _added(spark, sf_dir):
+    """A later batch: benchmark items are new, materials lose their species."""
+    items = cat.entity_rows(table(spark, sf_dir, "benchmark").withColumn("title", F.lit("item")), "benchmark", "item_id", "title", ["text"])
+    return items.unionByName(_materials(spark, sf_dir, ["pedigree"]))
+
+
+def kept_index(spark, sf_dir, version):
+    """The index of these tables: version 1 has all entities, version 2 the later batch too.
+
+    It lies in the shared folder under a mark of the tables it was built from. What is there is opened;
+    only a version that nobody has built yet is built.
+    """
+    root = f"{shared_dir(spark)}/search-{tables.mark(spark, [f'{sf_dir}/{t}.parquet' for t in ('documents', 'part', 'benchmark')])}"
+    have = si.open_index(spark, root)
+    for number, batch in enumerate((_entities, _added), 1):
+        if number > version or (have and have.version.number >= number):
+            continue
+        try:
+            have = si.add(batch(spark, sf_dir), root, have)
+        except VersionTaken:
+            have = si.open_index(spark, root)
+    return si.open_index(spark, root, version)
 
 
-@query("search_index", f"WITH {_INDEX_SQL} SELECT token, entity_type, entity_id, tf FROM idx")
+@query("search_index", f"WITH {_ENTITIES_SQL}, {_INDEX_SQL} SELECT token, entity_type, entity_id, tf FROM idx")
 def search_index(spark, sf_dir):
-    """Inverted index of documents, materials and datasets, whole texts, stored sorted by token (CAT-4)."""
-    return _stored_index(spark, sf_dir)
+    """Inverted index of documents, materials and datasets, whole texts, kept sorted by token (CAT-4)."""
+    return kept_index(spark, sf_dir, 1).postings().select("token", "entity_type", "entity_id", "tf")
 
 
-@query("search_query", f"""
-WITH {_INDEX_SQL}
-SELECT entity_type, entity_id, CAST(sum(tf) AS BIGINT) AS score FROM idx
-WHERE token IN ('the', 'and', 'with') GROUP BY entity_type, entity_id
-HAVING count(DISTINCT token) = 3 ORDER BY score DESC, entity_id LIMIT 25""")
+def _page_sql(hits: str, columns: str = "") -> str:
+    return f"""SELECT {columns}h.entity_type, h.entity_id, e.title, e.description, score
+FROM (SELECT * FROM ({hits}) ORDER BY score DESC, entity_type, entity_id LIMIT 25) h
+JOIN ents e ON h.entity_type = e.entity_type AND h.entity_id = e.entity_id"""
+
+
+_THE_AND_WITH = """SELECT entity_type, entity_id, CAST(sum(tf) AS BIGINT) AS score FROM idx
+WHERE token IN ('the', 'and', 'with') GROUP BY entity_type, entity_id HAVING count(DISTINCT token) = 3"""
+
+
+@query("search_query", f"WITH {_ENTITIES_SQL}, {_INDEX_SQL} {_page_sql(_THE_AND_WITH)}")
 def search_query(spark, sf_dir):
-    """Documents that hold all three words (CAT-5)."""
-    return cat.search(_stored_index(spark, sf_dir), "The and WITH")
+    """Documents that hold all three words, from the kept index (CAT-5)."""
+    return kept_index(spark, sf_dir, 1).search("The and WITH")
 
 
-@query("search_prefix", f"""
-WITH {_INDEX_SQL}
-SELECT entity_type, entity_id, CAST(sum(tf) AS BIGINT) AS score FROM idx
+_LES_ERE = """SELECT entity_type, entity_id, CAST(sum(tf) AS BIGINT) AS score FROM idx
 WHERE token = 'les' OR starts_with(token, 'ere') GROUP BY entity_type, entity_id
-HAVING count(CASE WHEN token = 'les' THEN 1 END) > 0 AND count(CASE WHEN starts_with(token, 'ere') THEN 1 END) > 0
-ORDER BY score DESC, entity_id LIMIT 25""")
+HAVING count(CASE WHEN token = 'les' THEN 1 END) > 0 AND count(CASE WHEN starts_with(token, 'ere') THEN 1 END) > 0"""
+
+
+@query("search_prefix", f"WITH {_ENTITIES_SQL}, {_INDEX_SQL} {_page_sql(_LES_ERE)}")
 def search_prefix(spark, sf_dir):
     """A word and the start of another, accents ignored (CAT-5)."""
-    return cat.search(_stored_index(spark, sf_dir), "lés éré*")
-
-
-@query("search_materials", f"""
-WITH idx AS (
-  SELECT token, entity_id, count(*) AS tf FROM (
-    SELECT CAST(p_partkey AS VARCHAR) AS entity_id,
-           unnest({_TOKENS.replace("{t}", "p_name || ' ' || p_type || ' ' || p_brand")}) AS token FROM part)
-  WHERE token <> '' GROUP BY token, entity_id),
-hits AS (SELECT entity_id, CAST(sum(tf) AS BIGINT) AS score FROM idx
-  WHERE token IN ('red', 'promo') GROUP BY entity_id HAVING count(DISTINCT token) = 2
-  ORDER BY score DESC, entity_id LIMIT 25)
-SELECT 'material' AS entity_type, entity_id, score, p_name AS title, p_type || ' ' || p_brand AS description
-FROM hits JOIN part ON entity_id = CAST(p_partkey AS VARCHAR)""")
+    return kept_index(spark, sf_dir, 1).search("lés éré*")
+
+
+_RED_PROMO = """SELECT entity_type, entity_id, CAST(sum(tf) AS BIGINT) AS score FROM idx
+WHERE token IN ('red', 'promo', 'material') GROUP BY entity_type, entity_id HAVING count(DISTINCT token) = 3"""
+
+
+@query("search_materials", f"WITH {_ENTITIES_SQL}, {_INDEX_SQL} {_page_sql(_RED_PROMO)}")
 def search_materials(spark, sf_dir):
-    """Materials by words of name, species and pedigree, with their titles (CAT-5)."""
-    hits = cat.search(_stored_index(spark, sf_dir), "red promo")
-    return cat.with_titles(hits, _materials(spark, sf_dir))
+    """Materials by words of type, name, species and pedigree (CAT-5)."""
+    return kept_index(spark, sf_dir, 1).search("material red promo")
+
+
+_OF_THE = """SELECT entity_type, entity_id, CAST(n + with_ AS BIGINT) AS score FROM (
+  SELECT entity_type, entity_id, len(list_filter(range(1, len(l)), lambda i: l[i] = 'of' AND l[i + 1] = 'the')) AS n,
+         len(list_filter(l, lambda x: x = 'with')) AS with_ FROM placed) WHERE n > 0 AND with_ > 0"""
+
+
+@query("search_phrase", f"WITH {_ENTITIES_SQL}, {_PLACED_SQL} {_page_sql(_OF_THE)}")
+def search_phrase(spark, sf_dir):
+    """A quoted phrase, matched by the places of its words, and a word (CAT-5)."""
+    return kept_index(spark, sf_dir, 1).search('"of the" with')
+
+
+_AFTER = """SELECT entity_type, entity_id, CAST(sum(tf) AS BIGINT) AS score FROM idx
+WHERE token IN ('{a}', '{b}') GROUP BY entity_type, entity_id HAVING count(DISTINCT token) = 2"""
+
+
+@query("search_added", f"WITH {_ADDED_SQL}, {_INDEX_SQL} " + " UNION ALL ".join(
+    f"SELECT * FROM ({_page_sql(_AFTER.format(a=a, b=b), f"'{a} {b}' AS asked, ")})"
+    for a, b in (("benchmark", "the"), ("material", "promo"), ("material", "red"))))
+def search_added(spark, sf_dir):
+    """The index after a batch that adds entities and replaces others: three searches (CAT-4, CAT-5)."""
+    index = kept_index(spark, sf_dir, 2)
+    asked = ("benchmark the", "material promo", "material red")
+    return reduce(lambda a, b: a.unionByName(b), [
+        index.search(q).select(F.lit(q).alias("asked"), "*") for q in asked])
 
 
 _POINTS_SQL = """points AS (

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import hashlib
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +36,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def mark(spark: SparkSession, paths: Sequence[str]) -> str:
+    """A mark that changes when one of the paths, its size, its number of files or its time changes.
+
+    Reads no data and lists no file names, so it stays small however many files there are.
+    """
+    facts = []
+    for path in paths:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        size = files.getContentSummary(target)
+        facts.append((files.makeQualified(target).toString(), size.getLength(), size.getFileCount(),
+                      files.getFileStatus(target).getModificationTime()))
+    return hashlib.sha256(repr(facts).encode()).hexdigest()[:24]
+
+
 def read_json_document(spark: SparkSession, path: str,
                        schema: T.StructType | None = None) -> DataFrame:
     """One JSON document per file (SRC-7)."""
