@@ -29,7 +29,7 @@ def keyed_put(spark, sf_dir):
     path, rows = work_path(spark, "keyed"), _versions(spark, sf_dir)
     for batch in (rows.filter("event_id % 3 <> 0"), rows.filter("event_id % 3 = 0")):
         sinks.put_last(batch, ["user_id"], ["event_id"], path)
-    return spark.read.parquet(path)
+    return sinks.read_last(spark, ["user_id"], path)
 
 
 @query("keyed_append", """

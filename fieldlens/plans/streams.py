@@ -127,7 +127,7 @@ def stream_daily_counts(spark, sf_dir):
     """Daily tumbling counts with a watermark, final state (ours)."""
     counts = topics.windowed_counts(_events(spark, sf_dir), "ts", ["event_type"], "value")
     sink = work_path(spark, "daily")
-    topics.drain_updates(counts, sink, work_path(spark, "group-daily"))
+    topics.drain_updates(counts, sink, work_path(spark, "group-daily"), ["day", "event_type"])
     state = topics.latest_updates(spark, sink, ["day", "event_type"])
     return state.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "event_type", "n",
                         F.round("total", 2).alias("total"))
@@ -151,5 +151,49 @@ def stream_topic_stats(spark, sf_dir):
     sent = topics.envelope(events, "results", key, ["event_id"], {"source": "EVENTS"}, 3, F.col("ts"))
     counts = sent.groupBy("topic", "bucket").agg(F.count(F.lit(1)).alias("n"))
     sink = work_path(spark, "stats")
-    topics.drain_updates(counts, sink, work_path(spark, "group-stats"))
+    topics.drain_updates(counts, sink, work_path(spark, "group-stats"), ["topic", "bucket"])
     return topics.latest_updates(spark, sink, ["topic", "bucket"])
+
+
+def _topic(spark, sf_dir, files):
+    """The event table written as a topic of several files, cut by event_id."""
+    path = work_path(spark, "topic")
+    events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    events.withColumn("part", F.pmod("event_id", F.lit(files)).cast("int")).repartition(files, "part").write.partitionBy("part").parquet(path)
+    return path, events.schema
+
+
+@query("stream_offsets", f"""
+WITH {_MESSAGES_SQL},
+numbered AS (SELECT bucket, event_id % 2 AS sent, row_number() OVER (PARTITION BY bucket ORDER BY event_id % 2, event_id) - 1 AS o FROM messages)
+SELECT bucket, CAST(sent AS INTEGER) AS sent, count(*) AS n, min(o) AS first_offset, max(o) AS last_offset, CAST(sum(o) AS BIGINT) AS sum_offsets
+FROM numbered GROUP BY bucket, sent""")
+def stream_offsets(spark, sf_dir):
+    """Offsets of a stream, drained twice: the second run goes on where the first ended (STR-1)."""
+    path, schema = _topic(spark, sf_dir, 2)
+    sink, group = work_path(spark, "offsets"), work_path(spark, "group-offsets")
+    key = F.concat(F.col("user_id").cast("string"), F.lit("_"), "event_type")
+    topic = work_path(spark, "topic-sent")
+    for part in (0, 1):
+        spark.read.schema(schema).parquet(f"{path}/part={part}").write.mode("append").parquet(topic)
+        sent = topics.envelope(topics.read_topic(spark, topic, schema), "results", key, ["event_id"], {"source": "EVENTS"}, 3, F.col("ts"))
+        flat = sent.select("topic", "bucket", F.col("value.event_id").alias("event_id"))
+        with topics.counters(spark):
+            topics.drain(topics.stamped(flat, ["event_id"]), sink, group)
+    return spark.read.parquet(sink).groupBy("bucket", F.pmod("event_id", F.lit(2)).cast("int").alias("sent")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"),
+        F.sum("offset").alias("sum_offsets"))
+
+
+@query("stream_groups", """
+SELECT g AS consumer, event_id, event_type, value FROM events, (VALUES ('steady'), ('stopped')) AS t(g)""")
+def stream_groups(spark, sf_dir):
+    """Two consumer groups on one topic, one of them stopped on its way and started again (STR-7)."""
+    path, schema = _topic(spark, sf_dir, 4)
+    stream = topics.read_topic(spark, f"{path}/part=*", schema, files_per_batch=1).select("event_id", "event_type", "value")
+    sinks = {g: (work_path(spark, f"sink-{g}"), work_path(spark, f"group-{g}")) for g in ("steady", "stopped")}
+    topics.drain_some(stream, *sinks["stopped"], batches=2)
+    topics.drain(stream, *sinks["steady"])
+    topics.drain(stream, *sinks["stopped"])
+    read = [spark.read.parquet(sink).select(F.lit(g).alias("consumer"), "*") for g, (sink, _) in sinks.items()]
+    return read[0].unionByName(read[1])

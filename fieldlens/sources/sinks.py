@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import time
-import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fieldlens.operators.quality import Contract, accepted, quarantine
-from fieldlens.operators.ranking import latest_per_key
+from fieldlens.sources.keyed import KeyedTable
 from fieldlens.sources.tables import path_exists, read_delimited
 
 
@@ -57,25 +56,14 @@ def append_json_lines(df: DataFrame, path: str) -> None:
 def put_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], path: str) -> None:
     """Keyed put: the last write per key remains, and keys outside the batch stay (SNK-7).
 
-    Within the batch ``order`` decides; a batch row replaces a stored one. The new state is written
-    beside the old one, which goes only when the new one is complete.
+    Within the batch ``order`` decides; a batch row replaces a stored one. ``read_last`` reads the table.
     """
-    spark = df.sparkSession
-    state = latest_per_key(df, keys, order)
-    if not path_exists(spark, path):
-        state.write.parquet(path)
-        return
-    batch = df.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
-    old = spark.read.parquet(path)
-    untouched = old.join(batch, _same_keys(old, batch, keys), "left_anti")
-    beside = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
-    untouched.unionByName(state, allowMissingColumns=True).write.parquet(beside)
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    target = hadoop.Path(path)
-    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files.delete(target, True)
-    if not files.rename(hadoop.Path(beside), target):
-        raise OSError(f"the new state stays at {beside}")
+    KeyedTable(df.sparkSession, path, keys).put(df, order)
+
+
+def read_last(spark: SparkSession, keys: Sequence[str], path: str) -> DataFrame:
+    """The table that ``put_last`` writes."""
+    return KeyedTable(spark, path, keys).read()
 
 
 def _same_keys(left: DataFrame, renamed: DataFrame, keys: Sequence[str]):

@@ -7,13 +7,15 @@ live in the shared folder, so a restarted query continues where it stopped.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from fieldlens.operators.ranking import first_per_key
+from fieldlens.sources.keyed import KeyedTable
 
 
 def bucket_of(key: Column, buckets: int) -> Column:
@@ -96,20 +98,73 @@ def drain_batches(stream: DataFrame, write: Callable[[DataFrame, int], None], ch
     query.awaitTermination()
 
 
-def drain_updates(stream: DataFrame, sink: str, checkpoint: str) -> None:
-    """Consume a running aggregate; each batch overwrites its own folder, so a replay is harmless."""
+def drain_updates(stream: DataFrame, sink: str, checkpoint: str, keys: Sequence[str]) -> None:
+    """Consume a running aggregate into a keyed table (STR-6).
+
+    A batch writes the keys that it changed; the table merges and compacts its runs, so reading the state costs the same
+    after any number of batches. The table knows the last batch of each checkpoint: a replayed one changes nothing.
+    """
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{sink}/batch={number}")
+        KeyedTable(batch.sparkSession, sink, keys).put(batch, writer=checkpoint, batch=number)
 
     drain_batches(stream, write, checkpoint, mode="update")
 
 
 def latest_updates(spark: SparkSession, sink: str, keys: Sequence[str]) -> DataFrame:
-    """State of a running aggregate: the newest row of each key."""
-    rows = spark.read.parquet(sink)
-    values = [c for c in rows.columns if c not in (*keys, "batch")]
-    newest = rows.groupBy(*keys).agg(F.max(F.struct("batch", *values)).alias("row"))
-    return newest.select(*keys, *[F.col(f"row.{c}").alias(c) for c in values])
+    """State of a running aggregate: one row per key."""
+    return KeyedTable(spark, sink, keys).read()
+
+
+def stamped(messages: DataFrame, order: Sequence[str], offset: str = "offset") -> DataFrame:
+    """A stream of messages (topic, bucket, ...) with the offset of each in its bucket, starting at 0 (STR-1).
+
+    The state is one counter per topic and bucket, so offsets go on where the batch before, or the run
+    before a restart, has stopped. Messages are numbered as they come; those that arrive together follow
+    ``order``. A bucket is read in chunks, never as a whole.
+    """
+    from pyspark.sql.streaming.stateful_processor import StatefulProcessor
+
+    class Numbering(StatefulProcessor):
+        def init(self, handle) -> None:
+            self.next = handle.getValueState("next", "n long")
+
+        def handleInputRows(self, key, rows, timers):
+            n = self.next.get()[0] if self.next.exists() else 0
+            for chunk in rows:
+                chunk = chunk.sort_values(list(order))
+                chunk[offset] = range(n, n + len(chunk))
+                n += len(chunk)
+                yield chunk
+            self.next.update((n,))
+
+        def close(self) -> None:
+            pass
+
+    schema = StructType([*messages.schema.fields, StructField(offset, LongType())])
+    return messages.groupBy("topic", "bucket").transformWithStateInPandas(Numbering(), schema, "Append", "None")
+
+
+@contextmanager
+def counters(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their state in the store that ``stamped`` needs."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def drain_some(stream: DataFrame, sink: str, checkpoint: str, batches: int) -> None:
+    """A consumer that is stopped after at least ``batches`` batches, wherever it is then; ``drain`` goes on from there."""
+    query = (stream.writeStream.format("parquet").option("path", sink)
+             .option("checkpointLocation", checkpoint).start())
+    try:
+        while query.isActive and (query.lastProgress is None or query.lastProgress["batchId"] + 1 < batches):
+            query.awaitTermination(0.1)
+    finally:
+        query.stop()
 
 
 def windowed_counts(stream: DataFrame, time: str, by: Sequence[str], value: str,

@@ -140,11 +140,13 @@ def test_keyed_writes(spark, tmp_path):
     path = str(tmp_path / "kv")
     df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 1, "z")], "k string, t int, v string")
     sinks.put_last(df, ["k"], ["t"], path)
-    assert {tuple(r) for r in spark.read.parquet(path).collect()} == {("a", 2, "y"), ("b", 1, "z")}
+    read = lambda: {tuple(r) for r in sinks.read_last(spark, ["k"], path).collect()}
+    assert read() == {("a", 2, "y"), ("b", 1, "z")}
     more = spark.createDataFrame([("b", 0, "new"), ("d", 1, "w"), (None, 1, "n")], "k string, t int, v string")
     sinks.put_last(more, ["k"], ["t"], path)
-    assert {tuple(r) for r in spark.read.parquet(path).collect()} == {
-        ("a", 2, "y"), ("b", 0, "new"), ("d", 1, "w"), (None, 1, "n")}
+    assert read() == {("a", 2, "y"), ("b", 0, "new"), ("d", 1, "w"), (None, 1, "n")}
+    path = str(tmp_path / "appended")
+    sinks.append_keyed(more, ["k"], path)
     with pytest.raises(ValueError, match="already"):
         sinks.append_keyed(more.filter("k IS NULL"), ["k"], path)
     (tmp_path / "broken").mkdir()
@@ -186,7 +188,7 @@ def test_running_counts_end_with_the_batch_result(spark, tmp_path):
         df.filter(F.col("id") % 3 == part).coalesce(1).write.mode("append").parquet(source)
     stream = topics.read_topic(spark, source, df.schema, files_per_batch=1)
     counts = topics.windowed_counts(stream, "ts", [], "value", lateness="10 days")
-    topics.drain_updates(counts, str(tmp_path / "out"), str(tmp_path / "group"))
+    topics.drain_updates(counts, str(tmp_path / "out"), str(tmp_path / "group"), ["day"])
     got = {r["day"].day: (r["n"], r["total"])
            for r in topics.latest_updates(spark, str(tmp_path / "out"), ["day"]).collect()}
     want = {r["d"]: (r["n"], r["s"]) for r in df.groupBy(F.dayofmonth("ts").alias("d")).agg(
