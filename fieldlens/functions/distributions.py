@@ -5,7 +5,7 @@ They run on test results, one row per test, never on measurements.
 
 from __future__ import annotations
 
-from math import lgamma
+from math import erfc, lgamma
 
 import numpy as np
 import pandas as pd
@@ -61,34 +61,49 @@ def t_tail(t, df) -> np.ndarray:
     return incomplete_beta(df / 2.0, 0.5, df / (df + t * t))
 
 
+# The normal distribution function: a table on a grid, and from its nearest point a Taylor step of four terms.
+_STEP, _REACH = 1.0 / 64, 9.0
+_GRID = np.arange(-_REACH, _REACH + _STEP / 2, _STEP)
+_GRID_CDF = np.array([0.5 * erfc(-z / np.sqrt(2.0)) for z in _GRID])
+
+
 def _normal_cdf(z: np.ndarray) -> np.ndarray:
-    from math import erfc, sqrt
-    return np.vectorize(lambda v: 0.5 * erfc(-v / sqrt(2.0)), otypes=[float])(z)
+    """P(Z <= z) for all of ``z`` at once, to about 1e-13."""
+    at = np.clip(np.rint((z + _REACH) / _STEP), 0, len(_GRID) - 1).astype(int)
+    x, d = _GRID[at], np.clip(z, -_REACH, _REACH) - _GRID[at]
+    terms = 1 + d * (-x / 2 + d * ((x * x - 1) / 6 + d * (x * (3 - x * x) / 24 + d * (x ** 4 - 6 * x * x + 3) / 120)))
+    return np.clip(_GRID_CDF[at] + np.exp(-0.5 * x * x) / np.sqrt(2.0 * np.pi) * d * terms, 0.0, 1.0)
 
 
 _NODES, _WEIGHTS = np.polynomial.legendre.leggauss(64)
+# Rows computed together: each holds a 64 by 64 table of doubles.
+_ROWS = 256
 
 
-def _range_cdf(w: np.ndarray, k: float) -> np.ndarray:
-    """P(range of k standard normals <= w)."""
+def _range_cdf(w: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """P(range of k standard normals <= w), for rows of ``w`` (rows, nodes) and one k a row."""
     z = 8.0 * _NODES                      # the density is negligible beyond |z| = 8
-    density = np.exp(-0.5 * z * z) / np.sqrt(2.0 * np.pi)
-    gap = _normal_cdf(z[None, :] + w[:, None]) - _normal_cdf(z)[None, :]
-    return np.clip(k * np.sum(8.0 * _WEIGHTS * density * gap ** (k - 1.0), axis=1), 0.0, 1.0)
-
-
-def studentized_range_tail(q: float, k: float, df: float) -> float:
-    """P(Q > q) for k groups and df degrees of freedom."""
-    if not q > 0:
-        return 1.0
-    spread = 1.0 / np.sqrt(2.0 * df)
-    low, high = max(1e-8, 1.0 - 8.0 * spread), 1.0 + 8.0 * spread
-    s = 0.5 * (high - low) * _NODES + 0.5 * (high + low)
-    log_density = (np.log(2.0) + (df / 2.0) * np.log(df / 2.0) - lgamma(df / 2.0)
-                   + (df - 1.0) * np.log(s) - df * s * s / 2.0)
-    mass = 0.5 * (high - low) * _WEIGHTS * np.exp(log_density)
-    inside = np.sum(mass * _range_cdf(q * s, k)) / np.sum(mass)
-    return float(np.clip(1.0 - inside, 0.0, 1.0))
+    density = 8.0 * _WEIGHTS * np.exp(-0.5 * z * z) / np.sqrt(2.0 * np.pi)
+    gap = np.clip(_normal_cdf(z + w[:, :, None]) - _normal_cdf(z), 0.0, 1.0)
+    return np.clip(k[:, None] * np.sum(density * gap ** (k[:, None, None] - 1.0), axis=2), 0.0, 1.0)
+
+
+def studentized_range_tail(q, k, df) -> np.ndarray:
+    """P(Q > q) for k groups and df degrees of freedom, a row each; 1 where q is not positive."""
+    q, k, df = (np.atleast_1d(np.asarray(v, dtype=float)) for v in np.broadcast_arrays(q, k, df))
+    out = np.ones(len(q))
+    rows = np.flatnonzero(q > 0)
+    for begin in range(0, len(rows), _ROWS):
+        at = rows[begin:begin + _ROWS]
+        d = df[at, None]
+        spread = 1.0 / np.sqrt(2.0 * d)
+        low, high = np.maximum(1e-8, 1.0 - 8.0 * spread), 1.0 + 8.0 * spread
+        s = 0.5 * (high - low) * _NODES + 0.5 * (high + low)
+        # The density of the estimated deviation up to a factor, which the division below takes out.
+        mass = _WEIGHTS * np.exp((d - 1.0) * np.log(s) - d * (s * s - 1.0) / 2.0)
+        inside = np.sum(mass * _range_cdf(q[at, None] * s, k[at]), axis=1) / np.sum(mass, axis=1)
+        out[at] = np.clip(1.0 - inside, 0.0, 1.0)
+    return out
 
 
 @F.pandas_udf(DoubleType())
@@ -103,5 +118,4 @@ def t_p_value(t: pd.Series, df: pd.Series) -> pd.Series:
 
 @F.pandas_udf(DoubleType())
 def tukey_p_value(q: pd.Series, k: pd.Series, df: pd.Series) -> pd.Series:
-    return pd.Series([studentized_range_tail(a, b, c) if pd.notna(a) else None
-                      for a, b, c in zip(q, k, df)], dtype="float64")
+    return pd.Series(studentized_range_tail(q.fillna(0.0), k, df)).where(q.notna().to_numpy())

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldlens.operators.ranking import exact_percentiles, first_per_key
+from fieldlens.operators.ranking import described, first_per_key
 
 
 def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -29,12 +29,13 @@ def describe_groups(df: DataFrame, keys: Sequence[str], value: str, *, min_count
     rows = df.filter(F.col(value).isNotNull()).select(*keys, value)
     if drop_null_keys:
         rows = rows.dropna(subset=list(keys))
-    out = rows.groupBy(*keys).agg(
-        F.count(value).alias("count"), F.avg(value).alias("mean"),
-        F.stddev_samp(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max"),
-    ).filter(F.col("count") >= min_count)
     if percentiles:
-        out = join_groups(out, exact_percentiles(rows, keys, value, dict(percentiles)), keys)
+        out = described(rows, keys, value, dict(percentiles))
+    else:
+        out = rows.groupBy(*keys).agg(
+            F.count(value).alias("count"), F.avg(value).alias("mean"),
+            F.stddev_samp(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max"))
+    out = out.filter(F.col("count") >= min_count)
     if digits is None:
         return out
     fixed = {*keys, "count"}

@@ -3,23 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
-import numpy as np
-from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldlens.operators import boosting as bt
 from fieldlens.operators import evaluation as ev
 from fieldlens.operators.quality import require_columns, require_no_duplicates
 from fieldlens.operators.ranking import exact_percentiles, row_positions
-from fieldlens.session import discard, ensure_checkpointing, stored
+from fieldlens.session import discard, ensure_checkpointing, sent_if_small, stored
 
 
 @dataclass(frozen=True)
@@ -49,135 +47,115 @@ def most_frequent(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
     return {r["column_name"]: r["best"]["value"] for r in best.collect()}
 
 
-def fit_features(train: DataFrame, numeric: Sequence[str], text: Sequence[str]) -> PipelineModel:
-    """Exact median and mode imputation, ordinal codes with unknown as -1, one vector (ML-2 to ML-4)."""
-    as_double = SQLTransformer(statement="SELECT *, " + ", ".join(
-        f"CAST(`{c}` AS DOUBLE) AS `{c}__d`" for c in numeric) + " FROM __THIS__")
+@dataclass(frozen=True)
+class Features:
+    """What training rows say about missing and unknown values, and how rows become vectors (ML-2 to ML-4).
+
+    ``codes`` has the code of every text value that was seen (column_name, value, code); it stays a table, however
+    many values there are.
+    """
+
+    numeric: tuple[str, ...]
+    text: tuple[str, ...]
+    medians: Mapping[str, float]
+    modes: Mapping[str, str]
+    codes: DataFrame
+
+    def filled(self, df: DataFrame) -> DataFrame:
+        """``df`` with missing values replaced: medians as ``<c>__f``, modes as ``<c>__t``."""
+        return df.withColumns({
+            **{f"{c}__f": F.coalesce(F.col(c).cast("double"), F.lit(float(self.medians.get(c) or 0.0))) for c in self.numeric},
+            **{f"{c}__t": F.coalesce(F.col(c).cast("string"), F.lit(self.modes.get(c, ""))) for c in self.text}})
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` with a vector column ``features``; a text value that was not seen in training is -1."""
+        out = self.filled(df)
+        for c in self.text:
+            known = self.codes.filter(F.col("column_name") == c).select(
+                F.col("value").alias(f"{c}__t"), F.col("code").cast("double").alias(f"{c}__c"))
+            out = out.join(known, f"{c}__t", "left").withColumn(f"{c}__f", F.coalesce(f"{c}__c", F.lit(-1.0)))
+        vector = VectorAssembler(inputCols=[f"{c}__f" for c in (*self.numeric, *self.text)], outputCol="features")
+        return vector.transform(out).select(*df.columns, "features")
+
+
+def fit_features(train: DataFrame, numeric: Sequence[str], text: Sequence[str]) -> Features:
+    """Exact medians and modes for missing values, and ordinal codes of the text values in their order (ML-2 to ML-4).
+
+    The values are ranked where they are: no list of labels reaches the driver or a plan. The code table is
+    broadcast in joins only while it is small.
+    """
     cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in numeric])
     medians = {r["column_name"]: r["middle"] for r in exact_percentiles(
         train.select(F.inline(cells)), ["column_name"], "value", {"middle": 0.5}).collect()}
-    imputer = SQLTransformer(statement="SELECT *, " + ", ".join(
-        f"coalesce(`{c}__d`, {float(medians.get(c) or 0.0)!r}D) AS `{c}__f`" for c in numeric) + " FROM __THIS__")
     modes = most_frequent(train, text)
+    plain = Features(tuple(numeric), tuple(text), medians, modes, train)
+    seen = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"{c}__t").alias("value")) for c in text])
+    values = plain.filled(train).select(F.inline(seen)).distinct()
+    codes = sent_if_small(row_positions(values, ["column_name"], [F.col("value")], "code"), "codes")
+    return Features(plain.numeric, plain.text, medians, modes, codes)
 
-    def quoted(value: str) -> str:
-        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-    filled = SQLTransformer(statement="SELECT *, " + ", ".join(
-        f"coalesce(`{c}`, {quoted(modes.get(c, ''))}) AS `{c}__t`" for c in text) + " FROM __THIS__")
-    indexer = StringIndexer(
-        inputCols=[f"{c}__t" for c in text], outputCols=[f"{c}__i" for c in text],
-        stringOrderType="alphabetAsc", handleInvalid="keep").fit(filled.transform(train))
-    codes = SQLTransformer(statement="SELECT *, " + ", ".join(
-        f"CASE WHEN `{c}__i` >= {len(labels)} THEN -1.0D ELSE CAST(`{c}__i` AS DOUBLE) END "
-        f"AS `{c}__f`" for c, labels in zip(text, indexer.labelsArray)) + " FROM __THIS__")
-    assembler = VectorAssembler(inputCols=[f"{c}__f" for c in [*numeric, *text]],
-                                outputCol="features")
-    return PipelineModel([as_double, imputer, filled, indexer, codes, assembler])
+def _fit(trainer, train: DataFrame, features: Features, target: Column, settings: Boosting, group: str | None):
+    """Fit on all rows of ``train``, with the settings that both kinds of trees share.
 
-
-def fit_regressor(train: DataFrame, features: PipelineModel, target: str,
-                  settings: Boosting = REGRESSION):
-    """Boosted regression trees on every row of ``train`` (ML-5).
-
-    The features are stored once, so that no round computes them again. Lineage is cut in the shared
-    folder every ten rounds.
+    The features are stored once, so that no round computes them again, and lineage is cut in the shared folder.
+    With ``group``, a tenth of the groups is held back: fitting ends when their error no longer falls.
     """
     ensure_checkpointing(train.sparkSession)
-    rows, _ = stored(features.transform(train).select("features", target), "fit-rows")
-    trainer = GBTRegressor(featuresCol="features", labelCol=target, stepSize=settings.step,
-                           maxIter=settings.rounds, maxDepth=settings.depth, maxBins=64,
-                           seed=settings.seed, checkpointInterval=10)
+    held_back = F.pmod(F.xxhash64(group), F.lit(10)) == 0 if group else F.lit(False)
+    rows, _ = stored(features.transform(train).select("features", target.cast("double").alias("__target"),
+                                                      held_back.alias("__held")), "fit-rows")
+    trainer = trainer.setFeaturesCol("features").setLabelCol("__target").setStepSize(settings.step).setMaxIter(
+        settings.rounds).setMaxDepth(settings.depth).setMaxBins(64).setMinInstancesPerNode(20).setSeed(
+        settings.seed).setCheckpointInterval(10)
+    if group:
+        trainer = trainer.setValidationIndicatorCol("__held")
     model = trainer.fit(rows)
     discard(rows)
     return model
 
 
-def fit_classifier(train: DataFrame, features: PipelineModel, label: str,
-                   settings: Boosting = CLASSIFICATION):
-    """Boosted classification trees (ML-6)."""
-    ensure_checkpointing(train.sparkSession)
-    trainer = GBTClassifier(featuresCol="features", labelCol="__label",
-                            predictionCol="__class", stepSize=settings.step,
-                            maxIter=settings.rounds, maxDepth=settings.depth, maxBins=64,
-                            seed=settings.seed, checkpointInterval=10)
-    rows = features.transform(train).select("features", F.col(label).cast("double").alias("__label"))
-    return trainer.fit(rows)
-
-
-def feature_array(df: DataFrame, features: PipelineModel, name: str = "x") -> DataFrame:
-    """``df`` with its features as an array column."""
-    return features.transform(df).select(*df.columns, vector_to_array("features").alias(name))
+def fit_regressor(train: DataFrame, features: Features, target: str, settings: Boosting = REGRESSION,
+                  group: str | None = None):
+    """Boosted regression trees on every row of ``train`` (ML-5)."""
+    return _fit(GBTRegressor(), train, features, F.col(target), settings, group)
 
 
-def fit_bounded(train: DataFrame, features: PipelineModel, fits: Sequence[tuple[str, Boosting, bool]],
-                rows: int = bt.FIT_ROWS) -> list[bt.Trees]:
-    """Models (target, settings, logistic) fitted on at most ``rows`` training rows, one task each."""
-    targets = list(dict.fromkeys(t for t, _, _ in fits))
-    held = bt.sample(feature_array(train, features).select("x", *[F.col(t).cast("double").alias(t) for t in targets]),
-                     ["x", *targets], rows)
-    x = np.stack(held["x"].to_numpy()) if len(held) else np.zeros((0, 1))
-    return bt.fit_all(train.sparkSession, [
-        (x, held[t].to_numpy(), s.step, s.rounds, s.depth, logistic) for t, s, logistic in fits])
+def fit_classifier(train: DataFrame, features: Features, label: str, settings: Boosting = CLASSIFICATION,
+                   group: str | None = None):
+    """Boosted classification trees on every row of ``train`` (ML-6)."""
+    return _fit(GBTClassifier(predictionCol="__class"), train, features, F.col(label), settings, group)
 
 
-def tune_bounded(train: DataFrame, numeric: Sequence[str], text: Sequence[str], label: str, group: str,
-                 settings: Sequence[Boosting] = SEARCH, folds: int = 3, rows: int = bt.FIT_ROWS) -> DataFrame:
-    """As ``tune_classifier``, with the fits on bounded samples, all of them side by side.
-
-    Every training row is scored by the model that has not seen its fold.
-    """
-    fold_of = ev.group_folds(train, group, folds).select(group, "fold")
-    held, _ = stored(train.join(fold_of, group), "folds")
-    jobs, pieces = [], []
-    for fold in range(folds):
-        fit_rows = held.filter(F.col("fold") != fold)
-        features = fit_features(fit_rows, numeric, text)
-        picked = bt.sample(feature_array(fit_rows, features).select("x", F.col(label).cast("double").alias("y")), ["x", "y"], rows)
-        x, y = np.stack(picked["x"].to_numpy()), picked["y"].to_numpy()
-        jobs += [(x, y, s.step, s.rounds, s.depth, True) for s in settings]
-        pieces.append(feature_array(held.filter(F.col("fold") == fold), features).select(label, "x"))
-    models = bt.fit_all(train.sparkSession, jobs)
-    out = []
-    for number, config in enumerate(settings):
-        scores = reduce(lambda a, b: a.unionByName(b), [
-            part.select(label, bt.scored(F.col("x"), models[fold * len(settings) + number]).alias("probability"))
-            for fold, part in enumerate(pieces)])
-        out.append(ev.best_threshold(ev.threshold_sweep(scores, label, "probability")).select(
-            F.lit(number).alias("config"), F.lit(config.step).alias("step"), F.lit(config.rounds).alias("rounds"),
-            F.lit(config.depth).alias("depth"), F.round("f1", 4).alias("group_cv_f1"), "threshold"))
-    return reduce(lambda a, b: a.unionByName(b), out)
-
-
-def with_probability(df: DataFrame, features: PipelineModel, model, name: str = "probability"):
+def with_probability(df: DataFrame, features: Features, model, name: str = "probability"):
     scored = model.transform(features.transform(df))
     return scored.withColumn(name, vector_to_array("probability")[1]).select(*df.columns, name)
 
 
-def with_prediction(df: DataFrame, features: PipelineModel, model, name: str = "prediction"):
+def with_prediction(df: DataFrame, features: Features, model, name: str = "prediction"):
     scored = model.transform(features.transform(df))
     return scored.select(*df.columns, F.col(model.getPredictionCol()).alias(name))
 
 
 def tune_classifier(train: DataFrame, numeric: Sequence[str], text: Sequence[str], label: str,
-                    group: str, settings: Sequence[Boosting] = SEARCH, folds: int = 3) -> DataFrame:
+                    group: str, settings: Sequence[Boosting] = SEARCH, folds: int = 3, at_once: int = 9) -> DataFrame:
     """Best threshold and F1 of each configuration on out-of-fold scores (ML-9).
 
-    Groups stay whole across folds. The loop runs over configurations and folds;
-    every fit and every scoring is a distributed job.
+    Groups stay whole across folds. Every fit and every scoring is a distributed job; ``at_once`` of them
+    are submitted side by side, because the rounds of one fit wait for each other.
     """
     fold_of = ev.group_folds(train, group, folds).select(group, "fold")
     held, _ = stored(train.join(fold_of, group), "folds")
+    parts = [(held.filter(F.col("fold") != k), held.filter(F.col("fold") == k)) for k in range(folds)]
+    features = [fit_features(fit_rows, numeric, text) for fit_rows, _ in parts]
+    jobs = [(config, k) for config in settings for k in range(folds)]
+    with ThreadPoolExecutor(at_once) as pool:
+        models = list(pool.map(lambda job: fit_classifier(parts[job[1]][0], features[job[1]], label, job[0], group), jobs))
     rows = []
     for number, config in enumerate(settings):
-        parts = []
-        for fold in range(folds):
-            fit_rows = held.filter(F.col("fold") != fold)
-            features = fit_features(fit_rows, numeric, text)
-            model = fit_classifier(fit_rows, features, label, config)
-            parts.append(with_probability(held.filter(F.col("fold") == fold), features, model)
-                         .select(label, "probability"))
-        sweep = ev.threshold_sweep(reduce(lambda a, b: a.unionByName(b), parts), label, "probability")
+        scores = [with_probability(parts[k][1], features[k], models[number * folds + k]).select(label, "probability")
+                  for k in range(folds)]
+        sweep = ev.threshold_sweep(reduce(lambda a, b: a.unionByName(b), scores), label, "probability")
         rows.append(ev.best_threshold(sweep).select(
             F.lit(number).alias("config"), F.lit(config.step).alias("step"),
             F.lit(config.rounds).alias("rounds"), F.lit(config.depth).alias("depth"),
@@ -230,20 +208,7 @@ def export_predictions(scored: DataFrame, columns: Sequence[str], target: str,
     return require_no_duplicates(out) if check else out
 
 
-def score_bounded(df: DataFrame, numeric: Sequence[str], text: Sequence[str], features: PipelineModel,
-                  regressor, classifier: bt.Trees, threshold: float) -> DataFrame:
-    """As ``score_rows``, with a classifier from ``fit_bounded`` and either kind of regressor."""
-    require_columns(df, [*numeric, *text], "input rows")
-    bounded = isinstance(regressor, bt.Trees)
-    rows = feature_array(df if bounded else with_prediction(df, features, regressor, "predicted"), features)
-    return rows.select(
-        *df.columns, F.round(bt.scored(F.col("x"), regressor) if bounded else F.col("predicted"), 3).alias("prediction"),
-        bt.scored(F.col("x"), classifier).alias("p")).select(
-        *df.columns, "prediction", (F.col("p") >= threshold).alias("high_yield"),
-        F.lit(float(threshold)).alias("decision_threshold"), F.round("p", 4).alias("probability"))
-
-
-def score_rows(df: DataFrame, numeric: Sequence[str], text: Sequence[str], features: PipelineModel,
+def score_rows(df: DataFrame, numeric: Sequence[str], text: Sequence[str], features: Features,
                regressor, classifier, threshold: float,
                names: Mapping[str, str] | None = None) -> DataFrame:
     """Prediction, probability and decision for input rows (ML-18)."""

@@ -159,19 +159,32 @@ def sparse_columns(df: DataFrame, share: float = 0.95) -> DataFrame:
         "column_name", F.round(F.lit(100.0) * F.col("nulls") / F.col("n_rows"), 1).alias("pct"))
 
 
-def _cell(f) -> Column:
+# Types of at most 64 bits: a 64-bit hash that can be inverted stands for the value itself.
+_SHORT = ("boolean", "byte", "short", "integer", "long", "float", "double", "date", "timestamp", "timestamp_ntz")
+
+
+def cell_value(f) -> Column:
+    """The value of a field as it counts among distinct values: one zero, not two."""
     value = F.col(f"`{f.name}`")
-    if f.dataType.simpleString() in ("double", "float"):
-        value = value + 0.0   # one zero, not two
-    return value.cast("string")
+    return value + 0.0 if f.dataType.typeName() in ("double", "float") else value
 
 
 def distinct_values(df: DataFrame) -> DataFrame:
-    """Distinct values of every column (column_name, uniques). The shuffle holds a digest per cell, no text."""
-    cells = F.array(*[F.struct(F.lit(f.name).alias("column_name"), _cell(f).isNotNull().alias("there"),
-                               digest([_cell(f)]).alias("value")) for f in df.schema.fields])
-    one = df.select(F.inline(cells)).filter("there").select("column_name", "value.a", "value.b").distinct()
-    return one.groupBy("column_name").agg(F.count(F.lit(1)).alias("uniques"))
+    """Distinct values of every column (column_name, uniques).
+
+    A cell is shuffled as the number of its column and one or two hashes of the typed value, never as text; equal cells
+    of a task are one row. Values of up to 64 bits need one hash, which is exact; others have 128 bits.
+    """
+    def cell(i: int, f) -> Column:
+        value = cell_value(f)
+        second = F.lit(0).cast("long") if f.dataType.typeName() in _SHORT else F.xxhash64(F.lit(2), value)
+        return F.struct(F.lit(i).alias("i"), F.when(value.isNotNull(), F.xxhash64(value)).alias("a"), second.alias("b"))
+
+    fields = df.schema.fields
+    one = df.select(F.inline(F.array(*[cell(i, f) for i, f in enumerate(fields)]))).filter("a IS NOT NULL").distinct()
+    names = F.array(*[F.lit(f.name) for f in fields])
+    return one.groupBy("i").agg(F.count(F.lit(1)).alias("uniques")).select(
+        F.element_at(names, F.col("i") + 1).alias("column_name"), "uniques")
 
 
 def column_facts(df: DataFrame, empty_is_null: bool = False) -> DataFrame:
@@ -210,7 +223,7 @@ def top_values(df: DataFrame, k: int = 5) -> DataFrame:
     """Most frequent values of each text column, ties in text order."""
     from fieldlens.operators.ranking import top_per_group
     texts = [f for f in df.schema.fields if f.dataType.simpleString() == "string"]
-    cells = F.array(*[F.struct(F.lit(f.name).alias("column_name"), _cell(f).alias("value")) for f in texts])
+    cells = F.array(*[F.struct(F.lit(f.name).alias("column_name"), F.col(f"`{f.name}`").alias("value")) for f in texts])
     counted = df.select(F.inline(cells)).filter(F.col("value").isNotNull()).groupBy("column_name", "value").agg(
         F.count(F.lit(1)).alias("n"))
     return top_per_group(counted, ["column_name"], [F.col("n").desc(), F.col("value")], k)

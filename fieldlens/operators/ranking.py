@@ -87,12 +87,14 @@ def row_positions(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
                   name: str = "position") -> DataFrame:
     """Zero-based position of each row inside its group; ``order`` must be a total order.
 
-    The same as ``row_number() - 1``, without one task per group.
+    The same as ``row_number() - 1``, without one task per group. Only keys and order are dealt into ranges and
+    stored; the positions are joined back to the rows, on keys and order, which no two rows share.
     """
     ordered = df.withColumn("__ord", F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
-                            if len(order) > 1 else order[0]).withColumn("__one", F.lit(1))
-    placed = prefix_sums(ordered, keys, "__ord", ["__one"])
-    return placed.withColumnRenamed("prior___one", name).drop("__ord", "__one", "total___one")
+                            if len(order) > 1 else order[0])
+    narrow = ordered.select(*keys, "__ord").withColumn("__one", F.lit(1))
+    placed = prefix_sums(narrow, keys, "__ord", ["__one"]).select(*keys, "__ord", F.col("prior___one").alias(name))
+    return _join_ranges(ordered, placed, [*keys, "__ord"]).drop("__ord")
 
 
 def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float],
@@ -103,11 +105,39 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: dic
     before the shuffle, and only value ranges that hold a wanted rank are sorted.
     ``weight`` names a column that says how many equal rows each row stands for.
     """
+    ranged, by = _folded_ranges(df, keys, value, weight, ["__n"])
+    return _picked(ranged, by, value, probs).select(*keys, *probs)
+
+
+def described(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float],
+              weight: str | None = None) -> DataFrame:
+    """count, mean, sample deviation, min, max and exact percentiles, one row per group; null keys are groups.
+
+    Everything comes from one table of (group, value, count), which is dealt out and stored once.
+    """
+    ranged, by = _folded_ranges(df, keys, value, weight, ["__n", "__s"])
+    mean = F.col("total___s") / F.col("total___n")
+    n = F.sum("__n")
+    moments = ranged.groupBy(*by).agg(
+        n.alias("count"), F.max(mean).alias("mean"),
+        F.when(n > 1, F.sqrt(F.sum(F.col("__n") * F.pow(F.col(value) - mean, F.lit(2))) / (n - 1))).alias("std"),
+        F.min(value).alias("min"), F.max(value).alias("max"))
+    return _join_ranges(moments, _picked(ranged, by, value, probs), by).select(
+        *keys, "count", "mean", "std", "min", "max", *probs)
+
+
+def _folded_ranges(df, keys, value, weight, measures):
+    """Equal values counted (and summed), dealt into ranges; and the keys that group them."""
     base, by = _with_keys(df.select(*keys, value, *([weight] if weight else [])), keys)
     counted = base.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(
         (F.sum(weight) if weight else F.count(F.lit(1))).alias("__n"))
-    ranged = _ranged(counted, by, value, ["__n"])
+    if "__s" in measures:
+        counted = counted.withColumn("__s", F.col("__n") * F.col(value).cast("double"))
+    return _ranged(counted, by, value, measures), by
+
 
+def _picked(ranged, by, value, probs):
+    """Percentiles of folded and ranged values; only ranges that hold a wanted rank are sorted."""
     def low(p: float) -> Column:
         return F.floor(F.lit(float(p)) * (F.col("total___n") - 1))
 
@@ -131,7 +161,7 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: dic
           for name, p in probs.items() for side, rank in (("lo", low), ("hi", high))],
     )
     return picked.select(
-        *keys,
+        *by,
         *[(F.col(f"lo_{name}") + (F.col(f"hi_{name}") - F.col(f"lo_{name}"))
            * (F.lit(float(p)) * (F.col("total___n") - 1) - low(p))).alias(name)
           for name, p in probs.items()],

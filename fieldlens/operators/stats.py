@@ -7,7 +7,6 @@ combine map-side and stay accurate for large values.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -100,38 +99,35 @@ def with_tukey_p_value(pairs: DataFrame, digits: int = 6) -> DataFrame:
         "q", F.col("n_levels").cast("double"), F.col("df_within").cast("double")), digits))
 
 
-def safe_corr(x: Column, y: Column) -> Column:
-    """Pearson over rows where both are present; null when one side is constant."""
-    both = x.isNotNull() & y.isNotNull()
-    px, py = F.when(both, x), F.when(both, y)
-    return F.try_divide(F.covar_pop(px, py), F.sqrt(F.var_pop(px) * F.var_pop(py)))
+def trait_correlations(df: DataFrame, keys: Sequence[str], unit: Sequence[str], trait: str, value: str, *,
+                       min_traits: int = 2, min_column: int = 20, digits: int = 3) -> DataFrame:
+    """Pairwise-complete correlations of all traits in the data, from long rows (STA-5, FLT-9).
 
+    Several values of a trait in one unit count as their mean. A unit needs ``min_traits`` traits; a trait needs
+    ``min_column`` units per key, or it is left out, and a key needs two such traits. One row per
+    ordered pair; ``r`` is null where a side does not vary. Rows without a key, trait or value do not count.
 
-def correlation_matrix(df: DataFrame, keys: Sequence[str], traits: Sequence[str], *,
-                       min_values: int = 2, min_column: int = 20, digits: int = 3) -> DataFrame:
-    """Pairwise-complete correlations of wide trait columns, in long form (STA-5, FLT-9).
-
-    Rows need ``min_values`` present traits, columns ``min_column`` values per key.
-    One aggregate computes every pair; the result has a row per ordered pair.
+    No trait becomes a column, so their names need not be known and may be many: a unit is a short list of
+    its traits, whose pairs are summed up before the shuffle. A unit never has more entries than there are traits.
     """
-    kept = df.dropna(thresh=min_values, subset=list(traits)).dropna(subset=list(keys))
-    pairs = list(combinations(traits, 2))
-    sums = kept.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        *[F.count(F.col(t)).alias(f"n_{t}") for t in traits],
-        *[safe_corr(F.col(a), F.col(b)).alias(f"r_{a}_{b}") for a, b in pairs],
-        *[F.when(F.var_pop(F.col(t)) > 0, F.lit(1.0)).alias(f"r_{t}_{t}") for t in traits],
-    ).filter(F.col("n_rows") >= min_column)
-    columns = sum(((F.col(f"n_{t}") >= min_column).cast("int") for t in traits), F.lit(0))
-    sums = sums.filter(columns >= 2)   # one column alone has nothing to be compared with
-    cells = []
-    for a in traits:
-        for b in traits:
-            name = f"r_{a}_{b}" if (a, b) in pairs or a == b else f"r_{b}_{a}"
-            ok = (F.col(f"n_{a}") >= min_column) & (F.col(f"n_{b}") >= min_column)
-            cells.append(F.struct(F.lit(a).alias("trait_a"), F.lit(b).alias("trait_b"),
-                                  F.round(name, digits).alias("r"), ok.alias("ok")))
-    return sums.select(*keys, F.inline(F.array(*cells))).filter("ok").drop("ok")
+    rows = df.dropna(subset=[*keys, trait, value]).groupBy(*keys, *unit, F.col(trait).alias("__t")).agg(F.avg(value).alias("__v"))
+    units = rows.groupBy(*keys, *unit).agg(F.sort_array(F.collect_list(F.struct("__t", "__v"))).alias("__u")).filter(
+        F.size("__u") >= min_traits)
+    pairs = units.select(*keys, F.posexplode("__u").alias("__i", "a"), "__u").select(
+        *keys, "a", F.explode(F.slice("__u", F.col("__i") + 1, F.size("__u"))).alias("b"))
+    x, y = F.col("a.__v"), F.col("b.__v")
+    sums, _ = stored(pairs.groupBy(*keys, F.col("a.__t").alias("trait_a"), F.col("b.__t").alias("trait_b")).agg(
+        F.count(F.lit(1)).alias("n"), F.covar_pop(x, y).alias("xy"), F.var_pop(x).alias("xx"), F.var_pop(y).alias("yy")), "trait-pairs")
+    columns = sums.filter((F.col("trait_a") == F.col("trait_b")) & (F.col("n") >= min_column)).select(*keys, F.col("trait_a").alias("trait"))
+    enough = columns.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n >= 2").select(*keys)
+    columns = columns.join(enough, list(keys), "left_semi")
+    r = F.round(F.when(F.col("trait_a") == F.col("trait_b"), F.when(F.col("xx") > 0, F.lit(1.0))).otherwise(
+        F.try_divide("xy", F.sqrt(F.col("xx") * F.col("yy")))), digits)
+    kept = sums.select(*keys, "trait_a", "trait_b", r.alias("r"))
+    for side in ("trait_a", "trait_b"):
+        kept = kept.join(columns.withColumnRenamed("trait", side), [*keys, side], "left_semi")
+    mirrored = kept.filter("trait_a <> trait_b").select(*keys, F.col("trait_b").alias("trait_a"), F.col("trait_a").alias("trait_b"), "r")
+    return kept.select(*keys, "trait_a", "trait_b", "r").unionByName(mirrored)
 
 
 def paired_correlation(left: DataFrame, right: DataFrame, key: str, x: str, y: str,

@@ -12,8 +12,12 @@ from fieldlens.functions.clean import composite_key
 
 def wide_rows(df: DataFrame, key_parts: Sequence[Column | str],
               families: Mapping[str, Sequence[str]], sep: str = "#") -> DataFrame:
-    """``row_key`` plus a struct column per family (KV-1 to KV-3)."""
-    return df.select(composite_key(*key_parts, sep=sep).alias("row_key"),
+    """``row_key`` plus a struct column per family (KV-1 to KV-3).
+
+    ``ids`` keeps the parts of the key as they are, so that a join on one of them need not take the text apart.
+    """
+    ids = [F.col(k) if isinstance(k, str) else k for k in key_parts]
+    return df.select(composite_key(*key_parts, sep=sep).alias("row_key"), F.struct(*ids).alias("ids"),
                      *[F.struct(*columns).alias(name) for name, columns in families.items()])
 
 
@@ -31,7 +35,10 @@ def key_part(position: int, sep: str = "#", key: str = "row_key") -> Column:
 
 
 def join_on_key_part(left: DataFrame, left_part: int, right: DataFrame, right_part: int) -> DataFrame:
-    """Join two wide tables on ids inside their keys: an equality, not a pattern match (JN-9)."""
-    a = left.withColumn("__id", key_part(left_part)).withColumnRenamed("row_key", "left_key")
-    b = right.withColumn("__id", key_part(right_part)).withColumnRenamed("row_key", "right_key")
+    """Join two wide tables on ids inside their keys: an equality, not a pattern match (JN-9).
+
+    For tables from elsewhere, whose keys are text alone; rows from ``wide_rows`` carry their ``ids``.
+    """
+    a = left.drop("ids").withColumn("__id", key_part(left_part)).withColumnRenamed("row_key", "left_key")
+    b = right.drop("ids").withColumn("__id", key_part(right_part)).withColumnRenamed("row_key", "right_key")
     return a.join(b, "__id").drop("__id")

@@ -10,6 +10,8 @@ from fieldlens.operators import aggregates as agg
 from fieldlens.operators import catalog as cat
 from fieldlens.operators import geo, wide
 from fieldlens.operators import search_index as si
+from fieldlens.operators import sketches
+from fieldlens.operators.quality import distinct_values
 from fieldlens.operators.ranking import first_per_key
 from fieldlens.plans.driver import FACT_SQL, fact, materials, table, with_fact
 from fieldlens.plans.registry import query
@@ -20,13 +22,20 @@ from fieldlens.sources.snapshots import VersionTaken
 ABROAD = {"Abroad": ["ASIA", "AFRICA"]}
 
 
-def _trial_rows(spark, sf_dir):
-    columns = ["species", "year", "region", "department", "lat", "lon", "fiability_experimental",
-               "fiability_breeder"]
-    one = agg.entities(fact(spark, sf_dir, ["QTY"]), "exp_id", columns)
-    return wide.wide_rows(one, ["year", "exp_id"], {
-        "info": ["species", "year"], "geo": ["region", "department", "lat", "lon"],
-        "quality": ["fiability_experimental", "fiability_breeder"]})
+_TRIAL_CELLS = {"info": ["species", "year"], "geo": ["region", "department", "lat", "lon"],
+                "quality": ["fiability_experimental", "fiability_breeder"]}
+
+
+def _trial_rows(spark, sf_dir, cells=None):
+    """Trials as wide rows; with ``cells``, a leading part of them only, and just what these need is read."""
+    columns = [c for family in _TRIAL_CELLS.values() for c in family]
+    chosen = list(cells or columns)
+    assert columns[:len(chosen)] == chosen      # the smallest row of a trial is found by its cells in this order
+    located = any(c in chosen for c in columns[2:])
+    one = agg.entities(fact(spark, sf_dir, ["QTY"], located=located), "exp_id", chosen)
+    families = {f: [c for c in cs if c in chosen] for f, cs in _TRIAL_CELLS.items()}
+    keys = ["year", "exp_id"] if "year" in chosen else ["exp_id"]
+    return wide.wide_rows(one, keys, {f: cs for f, cs in families.items() if cs})
 
 
 _TRIAL_ROWS_SQL = """one AS (
@@ -110,21 +119,24 @@ def kv_scan_filter(spark, sf_dir):
 
 
 @query("kv_join_scan", with_fact(f"""
-WITH {_TRIAL_ROWS_SQL}
-SELECT o.species, l.trait, count(*) AS n, round(avg(l.result_num), 2) AS avg_val,
-       round(min(l.result_num), 2) AS min_val, round(max(l.result_num), 2) AS max_val
-FROM long l JOIN one o USING (exp_id) WHERE l.trait IN ('QTY', 'PRICE')
-GROUP BY o.species, l.trait ORDER BY avg_val DESC, species, trait LIMIT 10"""))
+WITH {_TRIAL_ROWS_SQL},
+cells AS (SELECT exp_id, trait, result_num AS v FROM long WHERE trait IN ('PRICE', 'QTY') AND result_num IS NOT NULL)
+SELECT t.species, c.trait, count(c.v) AS measures, round(sum(c.v) / count(c.v), 2) AS mean, round(min(c.v), 2) AS lowest,
+       round(max(c.v), 2) AS highest
+FROM kv_trials t, cells c WHERE split_part(t.row_key, '#', 2) = CAST(c.exp_id AS VARCHAR) GROUP BY ALL"""))
 def kv_join_scan(spark, sf_dir):
-    """Wide results joined to wide trials on the id inside both keys (KV-5, JN-9)."""
-    joined = wide.join_on_key_part(_result_rows(spark, sf_dir, ["QTY", "PRICE"]), 1,
-                                   _trial_rows(spark, sf_dir), 1)
-    value = F.col("measurement.result_num")
-    return joined.groupBy(F.col("info.species").alias("species"),
-                          F.col("measurement.trait").alias("trait")).agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.avg(value), 2).alias("avg_val"),
-        F.round(F.min(value), 2).alias("min_val"), F.round(F.max(value), 2).alias("max_val"),
-    ).orderBy(F.col("avg_val").desc(), "species", "trait").limit(10)
+    """Wide results joined to wide trials on the id that both keys hold (KV-5, JN-9).
+
+    Results are folded per trial and trait first; the ids are compared as they are, not as text.
+    """
+    cells = _result_rows(spark, sf_dir, ["QTY", "PRICE"]).select(
+        F.col("ids.exp_id").alias("exp_id"), F.col("measurement.trait").alias("trait"), F.col("measurement.result_num").alias("v"))
+    folded = cells.groupBy("exp_id", "trait").agg(
+        F.count("v").alias("n"), F.sum("v").alias("s"), F.min("v").alias("low"), F.max("v").alias("high"))
+    species = _trial_rows(spark, sf_dir, ["species"]).select(F.col("ids.exp_id").alias("exp_id"), F.col("info.species").alias("species"))
+    return folded.join(species, "exp_id").groupBy("species", "trait").agg(
+        F.sum("n").alias("measures"), F.round(F.sum("s") / F.sum("n"), 2).alias("mean"),
+        F.round(F.min("low"), 2).alias("lowest"), F.round(F.max("high"), 2).alias("highest"))
 
 
 DATASETS = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -177,6 +189,49 @@ def catalog_columns(spark, sf_dir):
     return cat.column_catalog({d: table(spark, sf_dir, d) for d in _COLUMNS})
 
 
+_SKETCHED = [d for d in _COLUMNS if d not in ("documents", "pages")]
+
+
+@query("sketch_columns", " UNION ALL ".join(
+    f"SELECT '{d}' AS dataset, '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS nulls, "
+    f"count(DISTINCT {c}) AS distinct_count, true AS within_error FROM {d}" for d in _SKETCHED for c in _COLUMNS[d]))
+def sketch_columns(spark, sf_dir):
+    """Distinct values by sketches of files, merged per table, next to the exact count (AGG-16, CAT-2, QLT-1)."""
+    parts = []
+    for d in _SKETCHED:
+        df = table(spark, sf_dir, d)
+        told = sketches.with_estimate(sketches.merged(sketches.file_sketches(df), ["column_name"]))
+        exact = distinct_values(df).withColumnRenamed("uniques", "distinct_count")
+        parts.append(told.join(exact, "column_name", "left").fillna(0, ["distinct_count"]).select(
+            F.lit(d).alias("dataset"), "column_name", "n_rows", "nulls", "distinct_count",
+            sketches.within_error(F.col("distinct_estimate"), F.col("distinct_count")).alias("within_error")))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+_FOOTERS = {"orders": "o_orderkey", "lineitem": "l_quantity", "part": "p_retailprice", "customer": "c_acctbal", "events": "event_id",
+            "documents": "n_chars", "embeddings": "vec_id", "conversations": "conv_id"}
+
+
+@query("file_summary", " UNION ALL ".join(
+    f"SELECT '{d}' AS dataset, count(*) AS n_rows, CAST(min({c}) AS DOUBLE) AS lowest, CAST(max({c}) AS DOUBLE) AS highest FROM {d}"
+    for d, c in _FOOTERS.items()))
+def file_summary(spark, sf_dir):
+    """Rows and range of a column per table, from the footers of its files (SRC-9)."""
+    rows = [(d, *tables.footer_summary(spark, f"{sf_dir}/{d}.parquet", c).first()) for d, c in _FOOTERS.items()]
+    return spark.createDataFrame([(d, n, float(a), float(b)) for d, n, a, b in rows],
+                                 "dataset string, n_rows long, lowest double, highest double")
+
+
+@query("file_rows", " UNION ALL ".join(
+    f"SELECT '{d}' AS dataset, 1::BIGINT AS n_files, count(*) AS n_rows FROM {d}" for d in ("orders", "lineitem", "part")))
+def file_rows(spark, sf_dir):
+    """Files and rows per table, counted per file (SRC-9)."""
+    parts = [tables.file_rows(table(spark, sf_dir, d)).agg(
+        F.count(F.lit(1)).alias("n_files"), F.sum("n_rows").alias("n_rows")).select(F.lit(d).alias("dataset"), "*")
+        for d in ("orders", "lineitem", "part")]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 _TOKENS = "list_filter(string_split_regex(translate(lower(coalesce({t}, '')), '%s', '%s'), '%s'), lambda x: x <> '')" % (
     cat.ACCENTED, cat.FOLDED, cat.NOT_TOKEN)
 _DOCUMENTS_SQL = "SELECT 'document' AS entity_type, CAST(doc_id AS VARCHAR) AS entity_id, lang AS title, text AS description FROM documents"
@@ -231,6 +286,28 @@ def kept_index(spark, sf_dir, version):
     return si.open_index(spark, root, version)
 
 
+_STORED = ["orders", "part", "customer"]
+
+
+@query("catalog_tables", f"""
+WITH ents AS (SELECT 'material' AS entity_type, CAST(p_partkey AS VARCHAR) AS entity_id, p_name AS title, p_type || ' ' || p_brand AS description FROM part),
+{_INDEX_SQL}
+SELECT 'datasets' AS stored, count(*) AS n_rows, CAST(sum(n) AS BIGINT) AS total FROM ({" UNION ALL ".join(f"SELECT count(*) AS n FROM {d}" for d in _STORED)})
+UNION ALL SELECT 'columns', count(*), CAST(sum(n) AS BIGINT) FROM ({" UNION ALL ".join(f"SELECT count(DISTINCT {c}) AS n FROM {d}" for d in _STORED for c in _COLUMNS[d])})
+UNION ALL SELECT 'lineage', 2, NULL
+UNION ALL SELECT 'search_index', count(*), CAST(sum(tf) AS BIGINT) FROM idx""")
+def catalog_tables(spark, sf_dir):
+    """The four catalog tables written in one run and read back: rows and a total of each (SNK-9)."""
+    folder = work_path(spark, "catalog")
+    given = {d: table(spark, sf_dir, d) for d in _STORED}
+    cat.write_catalog(spark, folder, cat.dataset_catalog(given, {}), cat.column_catalog(given),
+                      cat.lineage(spark, [("orders", "fact", "join"), ("part", "fact", "join")]), cat.token_index(_materials(spark, sf_dir)))
+    totals = {"datasets": F.sum("n_rows"), "columns": F.sum("distinct_count"), "lineage": F.lit(None), "search_index": F.sum("tf")}
+    return reduce(lambda a, b: a.unionByName(b), [
+        spark.read.parquet(f"{folder}/{name}").agg(F.count(F.lit(1)).alias("n_rows"), total.cast("long").alias("total")).select(
+            F.lit(name).alias("stored"), "*") for name, total in totals.items()])
+
+
 @query("search_index", f"WITH {_ENTITIES_SQL}, {_INDEX_SQL} SELECT token, entity_type, entity_id, tf FROM idx")
 def search_index(spark, sf_dir):
     """Inverted index of documents, materials and datasets, whole texts, kept sorted by token (CAT-4)."""
@@ -370,14 +447,15 @@ def delimited_roundtrip(spark, sf_dir):
     return tables.read_delimited(spark, path)
 
 
-@query("ingest_report", """
-SELECT 'part' AS name, count(*) AS n_rows, 6 AS n_columns, 'SUCCEEDED' AS status FROM part
-UNION ALL SELECT 'customer', count(*), 5, 'SUCCEEDED' FROM customer
-UNION ALL SELECT 'supplier', count(*), 4, 'SUCCEEDED' FROM supplier""")
+_IMPORTED = ("part", "customer", "supplier", "orders", "nation", "region")
+
+
+@query("ingest_report", " UNION ALL ".join(
+    f"SELECT '{d}' AS name, count(*) AS n_rows, {WIDTHS[d]} AS n_columns, 'SUCCEEDED' AS status FROM {d}" for d in _IMPORTED))
 def ingest_report(spark, sf_dir):
-    """Import jobs from delimited text to Parquet, one report row each (SRC-2)."""
+    """Six import jobs from delimited text to Parquet, one report row each (SRC-2)."""
     sources = {}
-    for name in ("part", "customer", "supplier"):
+    for name in _IMPORTED:
         sources[name] = work_path(spark, f"csv-{name}")
         sinks.write_delimited(table(spark, sf_dir, name), sources[name])
     report = sinks.ingest(spark, sources, work_path(spark, "raw"))

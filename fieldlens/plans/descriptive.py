@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from fieldlens.operators import aggregates as agg
@@ -89,11 +91,13 @@ def kpi_global(spark, sf_dir):
     per_species = stock.groupBy("species").agg(F.count("stock_id").alias("n"))
     sized = lambda df, key: df.agg(F.struct(F.coalesce(F.sum("n"), F.lit(0)).alias("ids"), F.count(key).alias("groups")).alias("s")).scalar()
     trial_counts, material_counts = sized(per_region, "region"), sized(per_species, "species")
-    years = wide.groupBy("year").agg(F.count(F.lit(1)).alias("n"))
-    return years.agg((F.coalesce(F.sum("n"), F.lit(0)) * len(TRAITS)).alias("n_measures"),
+    years = wide.groupBy("year").agg(*[F.count(F.lit(1)).alias(t) for t in TRAITS])    # rows that the unpivot would make of each trait
+    rows = [F.coalesce(F.sum(t), F.lit(0)) for t in TRAITS]
+    return years.agg(reduce(lambda a, b: a + b, rows).alias("n_measures"),
+                     reduce(lambda a, b: a + b, [(r > 0).cast("bigint") for r in rows]).alias("n_traits"),
                      F.array_join(F.sort_array(F.collect_list(F.col("year").cast("string"))), ",").alias("years")).select(
         trial_counts["ids"].alias("n_trials"), material_counts["ids"].alias("n_materials"), "n_measures",
-        F.lit(len(TRAITS)).cast("bigint").alias("n_traits"), material_counts["groups"].alias("n_species"),
+        "n_traits", material_counts["groups"].alias("n_species"),
         trial_counts["groups"].alias("n_regions"), "years")
 
 
@@ -297,15 +301,14 @@ def top_regions_dense_rank(spark, sf_dir):
 
 
 @query("trait_scan", with_fact("""
-SELECT trait, count(*) AS n, round(avg(result_num), 2) AS avg_val, round(min(result_num), 2) AS min_val,
-       round(max(result_num), 2) AS max_val
-FROM fact WHERE trait IN ('QTY', 'PRICE', 'DISC') GROUP BY trait"""))
+WITH chosen AS (SELECT trait, result_num AS v FROM long WHERE trait <> 'TAX' AND result_num IS NOT NULL)
+SELECT trait, count(v) AS measures, round(sum(v) / count(v), 2) AS mean, round(min(v), 2) AS lowest, round(max(v), 2) AS highest
+FROM chosen GROUP BY ALL"""))
 def trait_scan(spark, sf_dir):
     """Count, mean and range of three traits (AGG-29)."""
-    out = agg.describe_groups(fact(spark, sf_dir, ["QTY", "PRICE", "DISC"], located=False,
-                                   material=False), ["trait"], "result_num", digits=2)
-    return out.select("trait", F.col("count").alias("n"), F.col("mean").alias("avg_val"),
-                      F.col("min").alias("min_val"), F.col("max").alias("max_val"))
+    rows = fact(spark, sf_dir, ["QTY", "PRICE", "DISC"], located=False, material=False)
+    return agg.describe_groups(rows, ["trait"], "result_num", digits=2).select(
+        "trait", F.col("count").alias("measures"), "mean", F.col("min").alias("lowest"), F.col("max").alias("highest"))
 
 
 @query("large_group_rows", with_fact("""

@@ -136,11 +136,16 @@ def duplicate_keys(spark, sf_dir):
 
 
 @query("duplicate_rows", """
-SELECT CAST(sum(n - 1) AS BIGINT) AS full_duplicates FROM (
-  SELECT count(*) AS n FROM conversations GROUP BY role, text)""")
+SELECT 'conversations' AS rows_of, CAST(sum(n - 1) AS BIGINT) AS full_duplicates FROM (
+  SELECT count(*) AS n FROM conversations GROUP BY conv_id, turn, role, text)
+UNION ALL SELECT 'turns', CAST(sum(n - 1) AS BIGINT) FROM (SELECT count(*) AS n FROM conversations GROUP BY role, text)
+UNION ALL SELECT 'texts', CAST(sum(n - 1) AS BIGINT) FROM (SELECT count(*) AS n FROM documents GROUP BY text, lang, source, n_chars)""")
 def duplicate_rows(spark, sf_dir):
-    """Excess copies of equal rows (QLT-6): turns that repeat another one word by word."""
-    return ql.duplicate_rows(table(spark, sf_dir, "conversations").select("role", "text"))
+    """Excess copies of fully equal rows (QLT-6): of a table, of turns without their place, of documents without their id."""
+    turns = table(spark, sf_dir, "conversations")
+    checked = {"conversations": turns, "turns": turns.select("role", "text"), "texts": table(spark, sf_dir, "documents").drop("doc_id")}
+    return reduce(lambda a, b: a.unionByName(b), [
+        ql.duplicate_rows(df).select(F.lit(name).alias("rows_of"), "full_duplicates") for name, df in checked.items()])
 
 
 _PROFILE = {"l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int",

@@ -103,43 +103,50 @@ e AS (SELECT count(*) AS k, sum(n) - count(*) AS df, sum(ss) / (sum(n) - count(*
 pairs AS (SELECT a.region AS level_a, b.region AS level_b, k, df,
                  abs(b.m - a.m) / sqrt(mse / 2 * (1.0 / a.n + 1.0 / b.n)) AS q
           FROM levels a JOIN levels b ON a.region < b.region, e),
--- the normal distribution function on a grid of step 1/200, summed by the midpoint rule
-steps AS (SELECT i, exp(-((i + 0.5) / 200.0) * ((i + 0.5) / 200.0) / 2) / sqrt(2 * pi()) / 200 AS mass FROM range(-1800, 3600) AS t(i)),
-cdf AS (SELECT i + 1 AS i, sum(mass) OVER (ORDER BY i) AS phi FROM steps),
+-- the normal distribution function on a grid of step 1/200: Simpson's rule in each cell
+steps AS (SELECT i, (exp(-0.5 * pow(i / 200.0, 2)) + 4 * exp(-0.5 * pow((i + 0.5) / 200.0, 2)) + exp(-0.5 * pow((i + 1) / 200.0, 2)))
+            / sqrt(2 * pi()) / 1200 AS mass FROM range(-1800, 3600) AS t(i)),
+cdf AS (SELECT i + 1 AS i, (i + 1) / 200.0 AS x, sum(mass) OVER (ORDER BY i) AS phi, exp(-0.5 * pow((i + 1) / 200.0, 2)) / sqrt(2 * pi()) AS pdf FROM steps),
 -- the spread of the estimated deviation, as a midpoint sum over 80 cells
 s AS (SELECT p.*, 1 + 8 / sqrt(2 * df) * ((j + 0.5) / 40 - 1) AS s FROM pairs p, range(0, 80) AS t(j)),
-w AS (SELECT level_a, level_b, q, k, CAST(round(q * s * 200) AS BIGINT) AS shift,
-             exp((df - 1) * ln(s) - df * s * s / 2 + df / 2.0) AS mass FROM s),
-r AS (SELECT w.level_a, w.level_b, w.q, w.mass,
-             least(1, any_value(w.k) * sum(exp(-(z.i / 200.0) * (z.i / 200.0) / 2) / sqrt(2 * pi()) / 200 * pow(greatest(u.phi - z.phi, 0), w.k - 1))) AS inside
-      FROM w JOIN cdf z ON z.i BETWEEN -1600 AND 1600 JOIN cdf u ON u.i = least(z.i + w.shift, 3600)
-      GROUP BY w.level_a, w.level_b, w.q, w.mass)
-SELECT level_a, level_b, round(q, 6) AS q, round(1 - sum(mass * inside) / sum(mass), 2) + 0.0 AS p_adj FROM r GROUP BY level_a, level_b, q"""))
+w AS (SELECT level_a, level_b, q, k, s, exp((df - 1) * ln(s) - df * s * s / 2 + df / 2.0) AS mass FROM s),
+-- every tenth of the range of z; the upper end of the range lies beside a grid point, from where a Taylor step leads to it
+z AS (SELECT w.*, c.x AS z, c.phi AS below, c.pdf AS density, c.x + w.q * w.s AS u, least(CAST(round((c.x + w.q * w.s) * 200) AS BIGINT), 3600) AS at
+      FROM w JOIN cdf c ON c.i % 20 = 0 AND c.i BETWEEN -1600 AND 1600),
+g AS (SELECT z.level_a, z.level_b, z.q, z.k, z.s, z.mass, z.density, least(z.u, 18) - c.x AS d, c.x, c.phi - z.below AS gap, c.pdf FROM z JOIN cdf c ON c.i = z.at),
+r AS (SELECT level_a, level_b, q, mass, any_value(k) * sum(density / 10
+        * pow(greatest(gap + pdf * d * (1 - x * d / 2 + (x * x - 1) * d * d / 6), 0), k - 1)) AS inside FROM g GROUP BY level_a, level_b, q, s, mass)
+SELECT level_a, level_b, round(q, 6) AS q, round(1 - sum(mass * inside) / sum(mass), 6) + 0.0 AS p_adj FROM r GROUP BY level_a, level_b, q"""))
 def tukey_p(spark, sf_dir):
-    """Adjusted probabilities of the same pairs (STA-4), to the two digits that the cross-check's sums give."""
+    """Adjusted probabilities of the same pairs, to six digits (STA-4)."""
     rows = fact(spark, sf_dir, ["QTY"]).filter("species = 'PROMO'")
     pairs = st.with_tukey_p_value(st.tukey(rows, ["species"], "region", "result_num"))
-    return pairs.select("level_a", "level_b", F.round("q", 6).alias("q"), F.round("p_adj", 2).alias("p_adj"))
-
-
-def _corr_cells() -> str:
-    return " UNION ALL ".join(
-        f"SELECT species, '{a}' AS trait_a, '{b}' AS trait_b, "
-        f"round(corr(\"{a}\", \"{b}\"), 3) AS r FROM wide GROUP BY species"
-        for a in TRAITS for b in TRAITS)
-
-
-@query("corr_matrix", with_fact("WITH wide AS (SELECT * FROM (SELECT species, exp_id, rep, entry, "
-       + ", ".join(f"avg(CASE WHEN trait = '{t}' THEN result_num END) AS \"{t}\"" for t in TRAITS)
-       + " FROM fact WHERE result_num IS NOT NULL GROUP BY species, exp_id, rep, entry)) "
-       + _corr_cells()))
+    return pairs.select("level_a", "level_b", F.round("q", 6).alias("q"), "p_adj")
+
+
+@query("corr_matrix", with_fact(f"""
+WITH more AS (SELECT species, exp_id, rep, entry, trait, result_num AS v FROM fact UNION ALL
+  SELECT species, exp_id, rep, entry, 'RARE', l_quantity / (1 + l_tax) FROM results_wide LEFT JOIN materials USING (stock_id) WHERE exp_id % 1000 = 0),
+means AS (SELECT species, exp_id, rep, entry, trait, avg(v) AS v FROM more WHERE v IS NOT NULL AND species IS NOT NULL GROUP BY ALL),
+plots AS (SELECT species, exp_id, rep, entry FROM means GROUP BY ALL HAVING count(*) >= 2),
+kept AS (SELECT m.* FROM means m JOIN plots p ON m.species = p.species AND m.exp_id IS NOT DISTINCT FROM p.exp_id
+  AND m.rep IS NOT DISTINCT FROM p.rep AND m.entry IS NOT DISTINCT FROM p.entry),
+cols AS (SELECT species, trait FROM kept GROUP BY ALL HAVING count(*) >= 20),
+enough AS (SELECT species FROM cols GROUP BY species HAVING count(*) >= 2)
+SELECT a.species, a.trait AS trait_a, b.trait AS trait_b, round(corr(a.v, b.v), 3) AS r
+FROM kept a JOIN kept b ON a.species = b.species AND a.exp_id = b.exp_id AND a.rep = b.rep AND a.entry = b.entry
+SEMI JOIN cols ca ON ca.species = a.species AND ca.trait = a.trait SEMI JOIN cols cb ON cb.species = b.species AND cb.trait = b.trait
+SEMI JOIN enough e ON e.species = a.species GROUP BY ALL"""))
 def corr_matrix(spark, sf_dir):
-    """Correlation of every pair of traits per species, over plot means (STA-5)."""
-    wide = results_wide(spark, sf_dir).join(
-        materials(spark, sf_dir).select("stock_id", "species"), "stock_id", "left")
-    means = wide.groupBy("species", "exp_id", "rep", "entry").agg(
-        *[F.avg(c).alias(t) for t, c in TRAITS.items()])
-    return st.correlation_matrix(means, ["species"], list(TRAITS))
+    """Correlation of every pair of traits that the data have, per species, over plot means (STA-5, FLT-9).
+
+    A fifth trait was measured in one trial of a thousand; where it has fewer than twenty values, it is left out.
+    """
+    plots = ["exp_id", "rep", "entry"]
+    rare = results_wide(spark, sf_dir).filter("exp_id % 1000 = 0").join(materials(spark, sf_dir), "stock_id", "left").select(
+        "species", *plots, F.lit("RARE").alias("trait"), (F.col("l_quantity") / (1 + F.col("l_tax"))).alias("result_num"))
+    rows = fact(spark, sf_dir, located=False).select("species", *plots, "trait", "result_num").unionByName(rare)
+    return st.trait_correlations(rows, ["species"], plots, "trait", "result_num")
 
 
 @query("ols_by_species", with_fact("""

@@ -90,6 +90,18 @@ def register_table(spark: SparkSession, name: str, path: str, columns: Mapping[s
         spark.catalog.recoverPartitions(name)
 
 
+def footer_summary(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """Rows, smallest and largest value of a numeric column of a Parquet table, from the files' footers (SRC-9).
+
+    The aggregates go into the scan, so no data page is read. A session of its own reads the table by the
+    reader that can do so; other queries keep theirs.
+    """
+    reader = spark.newSession()
+    reader.conf.set("spark.sql.sources.useV1SourceList", "")
+    reader.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return reader.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows"), F.min(column).alias("lowest"), F.max(column).alias("highest"))
+
+
 def file_rows(df: DataFrame) -> DataFrame:
     """Rows per source file, from the scan's own metadata (SRC-9)."""
     return df.select(F.col("_metadata.file_path").alias("file_path")).groupBy("file_path").agg(

@@ -4,10 +4,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fieldlens.operators import boosting as bt
 from fieldlens.operators import evaluation as ev
 from fieldlens.operators import modelling as ml
 from fieldlens.plans import models as plans
+from fieldlens.plans.registry import ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -89,18 +89,6 @@ def test_models_beat_the_mean(fitted):
     assert auc > 0.9
 
 
-def test_bounded_models_find_the_signal(spark, fitted):
-    df, features, *_ = fitted
-    regressor, classifier = ml.fit_bounded(df, features, [("target", ml.REGRESSION, False), ("label", ml.CLASSIFICATION, True)], rows=400)
-    out = ml.score_bounded(df, ["year", "noise"], ["kind"], features, regressor, classifier, 0.5)
-    rows = out.collect()
-    assert np.mean([abs(r["prediction"] - r["target"]) for r in rows]) < 3
-    assert np.mean([r["high_yield"] == r["label"] for r in rows]) > 0.95
-    tuned = ml.tune_bounded(df, ["year", "noise"], ["kind"], "label", "g", rows=300).collect()
-    assert [(r["step"], r["rounds"], r["depth"]) for r in sorted(tuned)] == [(s.step, s.rounds, s.depth) for s in ml.SEARCH]
-    assert all(r["group_cv_f1"] > 0.9 for r in tuned)
-
-
 def test_medians_are_exact(spark):
     df = spark.createDataFrame([(float(v), "a") for v in (1, 2, 4, 100)] + [(None, "a")], "v double, k string")
     features = ml.fit_features(df, ["v"], ["k"])
@@ -142,17 +130,73 @@ def test_export_refuses_duplicates(fitted):
         ml.export_predictions(scored.union(scored), ["g", "noise"], "target")
 
 
-@pytest.mark.parametrize("name", ["gbt_regression", "prediction_export", "score_batch"])
-def test_registered_regressions_fit_on_every_training_row(spark, monkeypatch, name):
-    fits = []
-    full = ml.fit_regressor
-
-    def few_rounds(train, features, target, settings=ml.REGRESSION):
-        fits.append((train.count(), settings))
-        return full(train, features, target, ml.Boosting(rounds=2, depth=2))
-    monkeypatch.setattr(ml, "fit_regressor", few_rounds)
-    train, test = plans._parts(spark, "/root/testdata/sf0.01")
-    n = train.count()
-    monkeypatch.setattr(plans, "_parts", lambda *_: (train, test))
-    assert plans.__dict__[name](spark, "/root/testdata/sf0.01").count() > 0
-    assert n > 2 * bt.FIT_ROWS and fits == [(n, ml.REGRESSION)]
+def test_codes_are_a_table(spark):
+    """Values are coded in their order, however many; nulls count as the mode; what is new is -1."""
+    words = [f"w{k:05d}" for k in range(3000)]
+    df = spark.createDataFrame([(float(k), w) for k, w in enumerate(words)] + [(0.0, "w00007"), (1.0, None)], "v double, k string")
+    features = ml.fit_features(df, ["v"], ["k"])
+    assert {r["value"]: r["code"] for r in features.codes.collect()} == {w: k for k, w in enumerate(words)}
+    new = spark.createDataFrame([(1.0, "w02999"), (1.0, "new"), (None, None)], "v double, k string")
+    assert sorted(tuple(r["features"].toArray())[1] for r in features.transform(new).collect()) == [-1.0, 7.0, 2999.0]
+    assert features.transform(df.limit(0)).collect() == []
+
+
+class Constant:
+    """A model that says the same of every row."""
+
+    def __init__(self, value):
+        self.value = value
+
+    def getPredictionCol(self):
+        return "constant"
+
+    def transform(self, df):
+        from pyspark.ml.functions import array_to_vector
+        return df.withColumn("constant", F.lit(self.value)).withColumn(
+            "probability", array_to_vector(F.array(F.lit(1 - self.value), F.lit(self.value))))
+
+
+@pytest.fixture(scope="module")
+def parts(spark):
+    return plans._parts(spark, "/root/testdata/sf0.001")
+
+
+def expected(name):
+    import duckdb
+    con = duckdb.connect()
+    for t in ("orders", "customer", "nation", "region", "lineitem", "part"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '/root/testdata/sf0.001/{t}.parquet'")
+    return con.execute(ORACLES[name]).df()
+
+
+@pytest.mark.parametrize("name, kind, value", [
+    ("gbt_regression", "fit_regressor", 60.0), ("prediction_export", "fit_regressor", 60.0),
+    ("gbt_classifier", "fit_classifier", 0.7), ("permutation_importance", "fit_classifier", 0.7)])
+def test_a_constant_model_fails_the_checks(spark, monkeypatch, parts, name, kind, value):
+    """The same query agrees with its cross-check when the model is fitted, and does not when it says nothing."""
+    monkeypatch.setattr(plans, "_parts", lambda *_: parts)
+    want = expected(name)
+
+    def agrees():
+        got = plans.__dict__[name](spark, "/root/testdata/sf0.001").toPandas()[list(want.columns)]
+        sort = lambda d: sorted(map(tuple, d.astype(str).values.tolist()))
+        return sort(got.astype(want.dtypes.to_dict(), errors="ignore")) == sort(want)
+    assert agrees()
+    monkeypatch.setattr(ml, kind, lambda *a, **k: Constant(value))
+    assert not agrees()
+
+
+def test_fits_use_every_row_and_the_full_settings(spark, monkeypatch, parts):
+    seen = []
+    whole = ml.stored
+
+    def count(df, label):
+        out = whole(df, label)
+        if label == "fit-rows":
+            seen.append(out[1])
+        return out
+    monkeypatch.setattr(ml, "stored", count)
+    train = parts[0]
+    features = ml.fit_features(train, plans.MODEL_NUMERIC, plans.MODEL_TEXT)
+    model = ml.fit_classifier(train, features, "label", ml.Boosting(rounds=3, depth=2), group="exp_id")
+    assert seen == [train.count()] and model.getMaxIter() == 3 and model.getNumTrees <= 3

@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -29,6 +31,25 @@ def test_studentized_range_five_percent_points(q, k, df):
     assert dist.studentized_range_tail(q, k, df) == pytest.approx(0.05, abs=2e-4)
 
 
+def test_studentized_range_of_many_rows(spark):
+    """All rows at once, by the package's own t distribution and by a plain double sum."""
+    rng = np.random.default_rng(3)
+    q, k, df = rng.uniform(0.1, 9, 700), rng.integers(2, 12, 700).astype(float), rng.integers(3, 500, 700).astype(float)
+    got = dist.studentized_range_tail(q, k, df)
+    two = np.flatnonzero(k == 2)
+    assert np.abs(got[two] - dist.t_tail(q[two] / np.sqrt(2), df[two])).max() < 1e-9
+    z = np.arange(-8, 8, 0.05)
+    phi = np.vectorize(lambda v: 0.5 * math.erfc(-v / math.sqrt(2)))
+    for i in range(0, 700, 50):
+        s = 1 + 8 / np.sqrt(2 * df[i]) * np.linspace(-1, 1, 400)
+        s = s[s > 0]
+        mass = np.exp((df[i] - 1) * np.log(s) - df[i] * (s * s - 1) / 2)
+        inside = [k[i] * np.sum(np.exp(-z * z / 2) / np.sqrt(2 * np.pi) * 0.05 * (phi(z + q[i] * t) - phi(z)) ** (k[i] - 1)) for t in s]
+        assert got[i] == pytest.approx(1 - np.sum(mass * inside) / mass.sum(), abs=1e-7)
+    rows = spark.createDataFrame([(3.877, 3.0, 10.0), (None, 3.0, 10.0), (-1.0, 3.0, 10.0)], "q double, k double, df double")
+    assert [r["p"] and round(r["p"], 3) for r in rows.select(dist.tukey_p_value("q", "k", "df").alias("p")).collect()] == [0.05, None, 1.0]
+
+
 def test_two_group_range_equals_t():
     for q, df in [(1.0, 8), (2.5, 30), (4.0, 12)]:
         assert dist.studentized_range_tail(q, 2, df) == pytest.approx(
@@ -82,23 +103,48 @@ def test_pair_correlation_equals_the_join(spark):
     assert st.paired_correlation(a, flat, "k", "x", "y").first()["r"] is None
 
 
+def correlated(wide, traits, **settings):
+    """The columns as long rows, one unit a row."""
+    long = wide.withColumn("unit", F.monotonically_increasing_id()).unpivot(["species", "unit"], traits, "trait", "v")
+    return st.trait_correlations(long, ["species"], ["unit"], "trait", "v", **settings).collect()
+
+
 def test_correlation_matrix_is_pairwise_complete(spark):
     rng = np.random.default_rng(2)
     rows = [("s", float(v), float(v * 2 + rng.normal()), None if i % 4 else 1.0, float(rng.normal()))
             for i, v in enumerate(rng.normal(size=60))]
     df = spark.createDataFrame(rows, "species string, a double, b double, c double, d double")
     cells = {(r["trait_a"], r["trait_b"]): r["r"]
-             for r in st.correlation_matrix(df, ["species"], ["a", "b", "c", "d"], digits=9).collect()}
+             for r in correlated(df, ["a", "b", "c", "d"], digits=9)}
     x = np.array([[r[1], r[2], r[4]] for r in rows]).T
     assert cells[("a", "b")] == pytest.approx(np.corrcoef(x[0], x[1])[0, 1], abs=1e-8)
     assert cells[("d", "a")] == cells[("a", "d")] and cells[("a", "a")] == 1.0
     assert ("c", "a") not in cells          # 15 values are too few
     wide = df.withColumn("c", F.lit(3.0))
     flat = {(r["trait_a"], r["trait_b"]): r["r"]
-            for r in st.correlation_matrix(wide, ["species"], ["a", "c"]).collect()}
+            for r in correlated(wide, ["a", "c"])}
     assert flat[("a", "c")] is None and flat[("c", "c")] is None
 
 
+def test_correlations_find_the_traits_and_ignore_what_is_missing(spark):
+    rng = np.random.default_rng(6)
+    names = [f"t{k}" for k in range(12)]
+    rows = [(s, u, t, float(rng.normal() + u * k)) for s in "xy" for u in range(40) for k, t in enumerate(names)
+            if rng.random() < 0.8]
+    rows += [("x", 1, "t0", 5.0), ("x", 1, None, 1.0), (None, 1, "t0", 1.0), ("x", 2, "t1", None), ("z", 1, "t0", 1.0), ("x", 900, "t3", 9.0)]
+    df = spark.createDataFrame(rows, "s string, u int, t string, v double")
+    got = {(r["s"], r["trait_a"], r["trait_b"]): r["r"] for r in st.trait_correlations(df, ["s"], ["u"], "t", "v", digits=9).collect()}
+    table = df.toPandas().dropna().groupby(["s", "u", "t"])["v"].mean().unstack()
+    for s in "xy":
+        part = table.loc[s]
+        want = part[part.notna().sum(axis=1) >= 2].corr()
+        for a in names:
+            for b in names:
+                assert got[(s, a, b)] == pytest.approx(want.loc[a, b], abs=1e-8)
+    assert len(got) == 2 * 12 * 12
+    assert st.trait_correlations(df.limit(0), ["s"], ["u"], "t", "v").collect() == []
+
+
 def test_trend_equals_least_squares(trial_rows):
     df, rows = trial_rows
     got = st.with_t_p_value(st.trend(df, ["species"], "year", "v")).collect()
