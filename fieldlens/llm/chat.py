@@ -33,7 +33,9 @@ class Layout:
     """Either ``turns`` (a list of objects with role and text) or ``steps`` (role, field) in order.
 
     Fields in ``optional`` may be absent. Consecutive steps of one role become one turn, joined by a
-    blank line. ``order`` names a field that sorts the turns; ``roles`` renames roles.
+    blank line. ``order`` names a field that sorts the turns; ``roles`` renames roles. ``ignored`` fields of a turn
+    may be there and say nothing. Where ``parts`` names a field, the text may also be a list of parts that have
+    their text there; they follow each other in one turn, with a line break between.
     """
 
     name: str
@@ -43,6 +45,8 @@ class Layout:
     order: str = ""
     steps: tuple[tuple[str, str], ...] = ()
     optional: tuple[str, ...] = ()
+    ignored: tuple[str, ...] = ()
+    parts: str = ""
     roles: dict[str, str] = field(default_factory=dict, hash=False)
 
     def shapes(self) -> list[list[str]]:
@@ -52,14 +56,29 @@ class Layout:
         fixed = [prefix + f for f in fields if f not in self.optional]
         free = [prefix + f for f in fields if f in self.optional]
         shapes = [fixed + list(c) for k in range(len(free) + 1) for c in itertools.combinations(free, k)]
+        if self.parts:      # all texts plain, all in parts, or some of either
+            inside, none = f"{prefix}{self.text}[].{self.parts}", f"{prefix}{self.text}[]"
+            shapes = [[*(p for p in s if p != prefix + self.text), *have] for s in shapes for have in (
+                [prefix + self.text], [inside], [none], [prefix + self.text, inside], [prefix + self.text, none], [inside, none],
+                [prefix + self.text, inside, none])]
         return shapes + ([[f"{self.turns}[]"]] if self.turns else [])
 
+    def silent(self) -> tuple[str, ...]:
+        """Paths below which nothing counts for the layout."""
+        if not self.turns:
+            return self.ignored
+        parts = tuple(f"{self.turns}[].{self.text}[].{f}" for f in PART_FIELDS) if self.parts else ()
+        return tuple(f"{self.turns}[].{f}" for f in self.ignored) + parts
 
+
+# Fields of a turn, and of a part of its text, that say nothing about the layout.
+TURN_FIELDS = ("name", "id", "weight", "timestamp", "metadata", "finish_reason", "model")
+PART_FIELDS = ("type", "id", "index")
 NAMES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 LAYOUTS = (
     Layout("turn rows", turns="rows", role="role", text="text", order="turn"),
-    Layout("messages", turns="messages", role="role", text="content"),
-    Layout("named speakers", turns="conversations", role="from", text="value", roles=NAMES),
+    Layout("messages", turns="messages", role="role", text="content", parts="text", ignored=TURN_FIELDS),
+    Layout("named speakers", turns="conversations", role="from", text="value", roles=NAMES, ignored=TURN_FIELDS),
     Layout("instruction", steps=(("system", "system"), ("user", "instruction"), ("user", "input"), ("assistant", "output")),
            optional=("system", "input")),
     Layout("prompt", steps=(("system", "system"), ("user", "prompt"), ("assistant", "completion")), optional=("system",)),
@@ -83,6 +102,13 @@ def fingerprint(paths) -> str:
     return hashlib.sha256("\n".join(sorted(paths)).encode("utf-8", "surrogatepass")).hexdigest()[:16]
 
 
+def shape_of(record: dict, layouts=LAYOUTS) -> set[str]:
+    """Paths of a record without those that no layout counts."""
+    silent = tuple(dict.fromkeys(p for layout in layouts for p in layout.silent()))
+    return {p for p in paths_of({k: v for k, v in record.items() if k not in METADATA})
+            if not any(p == s or p.startswith((f"{s}.", f"{s}[]")) for s in silent)}
+
+
 def known_layouts(layouts=LAYOUTS) -> dict[str, Layout]:
     known: dict[str, Layout] = {}
     for layout in layouts:
@@ -110,7 +136,13 @@ def turns_of(record: dict, layout: Layout) -> list[tuple[str, str]]:
     items = [t for t in record[layout.turns] if isinstance(t, dict)]
     if layout.order:
         items.sort(key=lambda t: (t.get(layout.order) is not None, t.get(layout.order) or 0))
-    return [(layout.roles.get(as_text(t.get(layout.role)), as_text(t.get(layout.role))), as_text(t.get(layout.text))) for t in items]
+    return [(layout.roles.get(as_text(t.get(layout.role)), as_text(t.get(layout.role))), text_of(t.get(layout.text), layout)) for t in items]
+
+
+def text_of(value, layout: Layout) -> str:
+    if layout.parts and isinstance(value, list):
+        return "\n".join(as_text(p.get(layout.parts)) if isinstance(p, dict) else as_text(p) for p in value)
+    return as_text(value)
 
 
 def escape(text: str) -> str:
@@ -159,7 +191,7 @@ def _format_rows(cols: list[list]) -> list:
             value = None
         print_ = layout = formatted = mask = None
         if isinstance(value, dict):
-            print_ = fingerprint(paths_of({k: v for k, v in value.items() if k not in METADATA}))
+            print_ = fingerprint(shape_of(value))
             found = known.get(print_)
             if found:
                 layout = found.name
@@ -181,14 +213,21 @@ def format_chats(records: DataFrame) -> DataFrame:
                      "conv_id long, fingerprint string, layout string, formatted string, loss_mask array<struct<begin:int,end:int>>")
 
 
+def fingerprints(chats: DataFrame) -> DataFrame:
+    """Every fingerprint met by ``format_chats`` with its layout (null: no mapping is declared), the number of records and one of them."""
+    return chats.groupBy("fingerprint", "layout").agg(F.count(F.lit(1)).alias("n_records"), F.min("conv_id").alias("example"))
+
+
 def rows_as_records(rows: DataFrame) -> DataFrame:
     """One JSON record per conversation from rows (conv_id, turn, role, text), in the layout of turn rows.
 
     Rows of one turn number count in the order of role and text. A conversation is one record, as it is
-    one training example; rows without a conv_id are one conversation.
+    one training example; a row without a conv_id belongs to no other row and is a record of its own.
     """
     turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("rows")).select(
+    whole = rows.filter("conv_id IS NOT NULL").groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("rows"))
+    alone = rows.filter("conv_id IS NULL").select("conv_id", F.array(turn).alias("rows"))
+    return whole.unionByName(alone).select(
         "conv_id", F.to_json(F.struct("rows"), {"ignoreNullFields": "false"}).alias("record"))
 
 

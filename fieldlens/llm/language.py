@@ -26,6 +26,7 @@ SWITCH = 12.0
 SMOOTH = 0.5
 SCRIPT_SHARE = 0.01
 STEP = 256
+PATH_CELLS = 1 << 23
 MIN_SHARE = 0.5
 UNKNOWN = "und"
 
@@ -144,26 +145,52 @@ def word_scores(words: LetterWords, logs: np.ndarray, open_: np.ndarray) -> np.n
 def best_path(scores: np.ndarray, first: np.ndarray, switch: float = SWITCH) -> np.ndarray:
     """Labels of the best path of each text; text d has the words first[d] to first[d + 1].
 
-    Texts are cut into stretches of STEP words that are worked off side by side: first the best
+    Texts of like length are worked off together, as many as keep the tables below PATH_CELLS numbers, however
+    many languages there are; a longer text is a group of its own.
+    """
+    n = scores.shape[1]
+    size = np.diff(first)
+    labels = np.empty(len(scores), np.int16)
+    order = np.argsort(size, kind="stable")
+    order = order[size[order] > 0]
+    step = np.minimum(size[order], STEP)        # of a group that ends with this text
+    cells = -(-size[order] // STEP) * (n * n + 2 * n * step)
+    begin = 0
+    while begin < len(order):
+        # Lengths rise, so a group costs its texts times what its longest text costs each.
+        many = np.arange(1, len(order) - begin + 1)
+        end = begin + max(1, int(np.searchsorted(many * cells[begin:], PATH_CELLS, side="right")))
+        group = order[begin:end]
+        own = np.concatenate([[0], np.cumsum(size[group])])
+        words = np.arange(own[-1]) + np.repeat(first[group] - own[:-1], size[group])
+        labels[words] = _paths(scores[words], own, switch, int(step[end - 1]))
+        begin = end
+    return labels
+
+
+def _paths(scores: np.ndarray, first: np.ndarray, switch: float, step: int) -> np.ndarray:
+    """The paths of a group of texts.
+
+    Texts are cut into stretches of ``step`` words that are worked off side by side: first the best
     total of each stretch from every label to every label, then the labels at the seams, text by
     text, then the path inside each stretch. The result is that of one pass over each text.
     """
     n_words, n = scores.shape
     size = np.diff(first)
-    per_text = -(-size // STEP)
+    per_text = -(-size // step)
     seam = np.cumsum(per_text) - per_text
     total = int(per_text.sum())
     text = np.repeat(np.arange(len(size)), size)
     inside = np.arange(n_words) - first[text]
-    row, col = seam[text] + inside // STEP, inside % STEP
-    padded = np.zeros((STEP, n, total), np.float32)
+    row, col = seam[text] + inside // step, inside % step
+    padded = np.zeros((step, n, total), np.float32)
     padded[col, :, row] = scores
     across = np.empty((n, n, total), np.float32)  # [to, from, stretch]
     block = max(1, (1 << 20) // (n * n))
     for a in range(0, total, block):
         v = np.repeat(np.where(np.eye(n, dtype=bool), 0, -switch).astype(np.float32)[:, :, None], min(block, total - a), axis=2)
         v += padded[0, :, None, a:a + block]
-        for t in range(1, STEP):
+        for t in range(1, step):
             np.maximum(v, v.max(axis=0) - np.float32(switch), out=v)
             v += padded[t, :, None, a:a + block]
         across[:, :, a:a + block] = v
@@ -181,21 +208,21 @@ def best_path(scores: np.ndarray, first: np.ndarray, switch: float = SWITCH) ->
         here = seam[live] + k
         end[here] = state[live]
         state[live] = start[here] = came[state[live], here]
-    labels = np.empty((STEP, total), np.int16)
+    labels = np.empty((step, total), np.int16)
     for a in range(0, total, block):
         b = min(a + block, total)
         each = np.arange(b - a)
         v = np.full((n, b - a), -switch, np.float32)
         v[start[a:b], each] = 0
         v += padded[0, :, a:b]
-        stay, top = np.zeros((STEP, n, b - a), bool), np.zeros((STEP, b - a), np.int16)
-        for t in range(1, STEP):
+        stay, top = np.zeros((step, n, b - a), bool), np.zeros((step, b - a), np.int16)
+        for t in range(1, step):
             floor = v.max(axis=0) - np.float32(switch)
             top[t] = v.argmax(axis=0)
             stay[t] = v >= floor
             v = np.maximum(v, floor) + padded[t, :, a:b]
         label = end[a:b]
-        for t in range(STEP - 1, 0, -1):
+        for t in range(step - 1, 0, -1):
             labels[t, a:b] = label
             label = np.where(stay[t, label, each], label, top[t, each])
         labels[0, a:b] = label

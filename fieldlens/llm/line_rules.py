@@ -1,7 +1,7 @@
 """Line-first cleaning: rules decide on every line, and a document that loses too much goes.
 
-A line fails if it is navigation (separators between short items), boilerplate (fixed phrases), mostly
-symbols, mostly exclamation marks, or a sentence that nothing ends: four words or more without closing
+A line fails if it is navigation (separators between short items), boilerplate (mostly fixed phrases of four
+languages), mostly symbols, mostly exclamation marks, or a sentence that nothing ends: four words or more without closing
 punctuation. Failing lines are removed. The document is rejected if less than half of its words are
 left, if it has fewer than 20 words, or if eight-word windows that occur twice cover more than 30 % of it.
 
@@ -25,9 +25,18 @@ MIN_KEPT = 50
 SYMBOLS = "#*$%&|<>"
 SEPARATORS = "|»›•·>"
 ENDINGS = ".!?…:;\"'”’»)]。！？"
-BOILERPLATE = ("all rights reserved", "privacy policy", "terms of use", "terms of service", "cookie",
-               "copyright", "licensed under", "is licensed", "sign up", "log in", "subscribe", "click here",
-               "enable javascript", "skip to content")
+BOILERPLATE = ("all rights reserved", "privacy policy", "terms of use", "terms of service", "terms and conditions",
+               "cookie policy", "cookie settings", "accept cookies", "accept all cookies", "uses cookies", "use cookies",
+               "copyright", "licensed under", "is licensed", "released under", "sign up", "sign in", "log in", "subscribe",
+               "click here", "read more", "enable javascript", "skip to content", "skip to main content", "back to top",
+               "alle rechte vorbehalten", "datenschutzerklärung", "nutzungsbedingungen", "impressum", "cookies akzeptieren",
+               "jetzt anmelden", "newsletter abonnieren", "hier klicken", "weiterlesen", "zum inhalt springen",
+               "tous droits réservés", "politique de confidentialité", "mentions légales", "conditions d'utilisation",
+               "accepter les cookies", "se connecter", "s'inscrire", "cliquez ici", "lire la suite", "aller au contenu",
+               "todos los derechos reservados", "política de privacidad", "aviso legal", "términos de uso", "aceptar cookies",
+               "iniciar sesión", "suscríbete", "haga clic aquí", "leer más", "saltar al contenido")
+# A line is boilerplate if such phrases, as whole words, are at least a quarter of its characters.
+PHRASES = f"(^|[^\\p{{L}}\\p{{N}}])({'|'.join(BOILERPLATE)})([^\\p{{L}}\\p{{N}}]|$)"
 
 
 def count_of(text: Column, characters: str) -> Column:
@@ -45,8 +54,8 @@ def size_of(text: Column) -> Column:
 def repeated_words(text: Column) -> Column:
     """Words that lie in an eight-word window found twice or more in the text, first places included.
 
-    Windows are compared by 64-bit hashes within one text. Hashes are sorted; only a text with equal
-    neighbours goes on to places. Sorted arrays and neighbours keep the cost near n log n for any length.
+    Windows are compared by 64-bit hashes within one text. A hash set tells whether any is there twice; only such
+    a text goes on to places. Sorted arrays and neighbours keep their cost near n log n for any length.
     """
     def covered(keys: Column) -> Column:
         placed = F.sort_array(F.transform(keys, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
@@ -60,10 +69,7 @@ def repeated_words(text: Column) -> Column:
         return let(let(placed, twice), gaps)
 
     def with_keys(keys: Column) -> Column:
-        ordered = F.sort_array(keys)
-        any_twice = let(ordered, lambda s: F.exists(F.transform(s, lambda x, i: F.coalesce(x == F.get(s, i + 1), F.lit(False))),
-                                                     lambda b: b))
-        return F.when(any_twice, covered(keys)).otherwise(F.lit(0))
+        return F.when(F.size(F.array_distinct(keys)) < F.size(keys), covered(keys)).otherwise(F.lit(0))
 
     def windows(hashes: Column) -> Column:
         count = F.size(hashes) - (WINDOW - 1)
@@ -78,7 +84,8 @@ def line_fails(line: Column) -> Column:
     """The verdict of the rules on one line; lines without words never fail."""
     n = size_of(line)
     low = F.lower(line)
-    boilerplate = low.rlike("|".join(BOILERPLATE))
+    said = F.length(low) - F.length(F.regexp_replace(low, PHRASES, ""))
+    boilerplate = low.rlike(PHRASES) & (4 * said >= F.length(low))
     navigation = let(count_of(line, SEPARATORS), lambda k: (k >= 2) & (5 * k >= n))
     symbols = 10 * count_of(line, SYMBOLS) > F.length(line)
     shouting = (n >= 3) & (2 * count_of(line, "!") > n)
@@ -110,6 +117,7 @@ def apply_rules(docs: DataFrame) -> DataFrame:
 
 
 _W = "[^\\x20\\x09-\\x0D]+"
+_PHRASES = PHRASES.replace("'", "''")
 _SQL = f"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT doc_id, text, regexp_extract_all(text, '{_W}') AS ws, string_split(text, chr(10)) AS ls FROM t),
@@ -123,7 +131,7 @@ l AS (SELECT doc_id, line, len(regexp_extract_all(line, '{_W}')) AS n, lower(lin
 k AS (SELECT doc_id, sum(n) AS kept_words,
              count(*) FILTER (WHERE worded) - count(DISTINCT line) FILTER (WHERE worded) AS dup
       FROM (SELECT doc_id, line, n > 0 AS worded,
-                   CASE WHEN n > 0 AND (regexp_matches(low, '{"|".join(BOILERPLATE)}') OR (sep >= 2 AND 5 * sep >= n) OR 10 * sym > len(line)
+                   CASE WHEN n > 0 AND ((regexp_matches(low, '{_PHRASES}') AND 4 * (len(low) - len(regexp_replace(low, '{_PHRASES}', '', 'g'))) >= len(low)) OR (sep >= 2 AND 5 * sep >= n) OR 10 * sym > len(line)
                         OR (n >= 3 AND 2 * bang > n)
                         OR (n >= 4 AND NOT contains('{ENDINGS.replace("'", "''")}', right(rtrim(line, ' '), 1)))) THEN 0 ELSE n END AS n
             FROM l) GROUP BY doc_id),

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldlens.llm.common import query, table, text_key
+from fieldlens.llm.common import fresh, query, table, text_key
 
 LINES = 3
 
@@ -59,7 +59,8 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     A null text stays null with no lines; a text of fewer than three lines stays as it is, as do
     windows of blank lines. A text whose lines all go becomes empty. Rows that repeat doc_id and text
     are one document: all of them keep what the document keeps. Different texts under one doc_id, or
-    without one, count in the order of their text hash; null ids come first. Other columns pass through.
+    without one, count in the order of their text hash; null ids come first. Other columns pass through; if one
+    has the name of a count, the count is named with underscores behind (``fresh`` tells the name).
     """
     cut = removed_lines(docs).select(F.col("doc_id").alias("cut_id"), F.col("text_key").alias("cut_key"),
                                      F.col("lines").alias("cut_lines"))
@@ -70,8 +71,8 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     text = F.when(cut["cut_lines"].isNull(), docs["text"]).otherwise(F.array_join(kept, "\n"))
     return joined.select(
         *[text.alias(c) if c == "text" else docs[c] for c in docs.columns],
-        F.coalesce(F.size(F.split(docs["text"], "\n")), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size(cut["cut_lines"]), F.lit(0)).cast("long").alias("n_removed_lines"))
+        F.coalesce(F.size(F.split(docs["text"], "\n")), F.lit(0)).cast("long").alias(fresh(docs, "n_lines")),
+        F.coalesce(F.size(cut["cut_lines"]), F.lit(0)).cast("long").alias(fresh(docs, "n_removed_lines")))
 
 
 _SQL = """

@@ -102,27 +102,65 @@ def link_block(ids: list[int], sets: list[np.ndarray], parts: list[int] | None =
         root[i] = seen.setdefault(part, i)
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
     begin = np.cumsum(sizes) - sizes
-    distinct, place = np.unique(np.concatenate(sets), return_inverse=True)
+    distinct, place, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     flag = np.zeros(len(distinct), dtype=bool)
     found = []
-    for x in range(m):
-        if asked is not None:
-            if not asked[x]:
-                continue
-        elif x and find(x) == find(0):
-            continue
-        own = place[begin[x]:begin[x] + sizes[x]]
-        flag[own] = True
-        both = np.add.reduceat(flag[place].astype(np.int64), begin)
-        flag[own] = False
-        for y in np.flatnonzero(DENOMINATOR * both >= NUMERATOR * (sizes + sizes[x] - both)):
+
+    def join(x: int, others: np.ndarray, both: np.ndarray) -> None:
+        near = DENOMINATOR * both >= NUMERATOR * (sizes[others] + sizes[x] - both)
+        for y in others[near]:
             a, b = find(x), find(int(y))
             if a != b:
                 root[max(a, b)] = min(a, b)
                 found.append((ids[x], ids[y]))
+
+    if asked is None:       # everything is compared with the leader
+        flag[place[:sizes[0]]] = True
+        join(0, np.arange(m), np.add.reduceat(flag[place].astype(np.int64), begin))
+        flag[place[:sizes[0]]] = False
+    alone = [x for x in range(m) if (asked[x] if asked is not None else find(x) != find(0))]
+    if not alone:
+        return found
+    rare, holders, bounds = _rare_shingles(place, often, sizes, begin)
+    for x in alone:
+        if asked is None and find(x) == find(0):
+            continue
+        shared = [holders[bounds[s]:bounds[s + 1]] for s in rare[x]]
+        others = np.unique(np.concatenate(shared))
+        least, most = np.minimum(sizes[others], sizes[x]), np.maximum(sizes[others], sizes[x])
+        others = others[(others != x) & (DENOMINATOR * least >= NUMERATOR * most)]
+        if not len(others):
+            continue
+        own = place[begin[x]:begin[x] + sizes[x]]
+        flag[own] = True
+        spread = np.cumsum(sizes[others]) - sizes[others]
+        at = np.arange(sizes[others].sum()) + np.repeat(begin[others] - spread, sizes[others])
+        join(x, others, np.add.reduceat(flag[place[at]].astype(np.int64), spread))
+        flag[own] = False
     return found
 
 
+def _rare_shingles(place: np.ndarray, often: np.ndarray, sizes: np.ndarray, begin: np.ndarray):
+    """The rarest shingles of each set, and for each shingle the sets that have it among theirs.
+
+    Two sets that are near share at least 0.8 of the larger one; with all shingles in one order, by rarity, they then
+    share one of the first ``n - ceil(0.8 n) + 1`` of either. Sets that have only common shingles in
+    common never meet, so a group of texts from one template costs little.
+    """
+    m = len(sizes)
+    doc = np.repeat(np.arange(m), sizes)
+    rank = np.empty(len(often), np.int64)
+    rank[np.lexsort((np.arange(len(often)), often))] = np.arange(len(often))
+    order = np.lexsort((rank[place], doc))
+    first = sizes - -(-NUMERATOR * sizes // DENOMINATOR) + 1
+    taken = order[np.arange(len(place)) - np.repeat(begin, sizes) < np.repeat(first, sizes)]
+    ends = np.cumsum(first)
+    rare = [place[taken[e - f:e]] for e, f in zip(ends, first)]
+    by_shingle = taken[np.argsort(place[taken], kind="stable")]
+    bounds = np.searchsorted(place[by_shingle], np.arange(len(often) + 1))
+    return rare, doc[by_shingle], bounds
+
+
 def _links_of_groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for _, (ids, lead, sets) in sorted_groups(batches, 2):
         once: dict[int, np.ndarray] = {}

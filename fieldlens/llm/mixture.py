@@ -107,7 +107,8 @@ def systematic_copies(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, ca
 def mixed(docs: DataFrame, **settings) -> DataFrame:
     """The mix itself: the columns of ``docs`` plus ``copy_no``, each document once per copy.
 
-    Rows that repeat doc_id, source and text are one document here, with the copies of them all.
+    Rows that repeat doc_id, source and text are one document here, with the copies of them all. If ``docs`` has
+    a column copy_no already, the new one is named with underscores behind.
     """
     name, copies = fresh(docs, "mix_key"), fresh(docs, "mix_copies")
     key = lambda digest, source: F.md5(F.concat(digest, F.coalesce(F.concat(F.lit(":"), source), F.lit("")))).alias(name)
@@ -115,7 +116,7 @@ def mixed(docs: DataFrame, **settings) -> DataFrame:
     counts = systematic_copies(docs, **settings).groupBy(key(F.col("digest"), F.col("mix_source"))).agg(
         F.sum("copies").cast("int").alias(copies)).filter(F.col(copies) > 0)
     return own.dropDuplicates([name]).join(counts, name).select(
-        *docs.columns, F.explode(F.sequence(F.lit(1), F.col(copies))).alias("copy_no"))
+        *docs.columns, F.explode(F.sequence(F.lit(1), F.col(copies))).alias(fresh(docs, "copy_no")))
 
 
 _SQL = f"""

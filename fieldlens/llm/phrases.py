@@ -9,7 +9,7 @@ somewhere (smaller doc_id, then text hash, then place) is a repeat, and its word
    count once: all their windows start earlier in the first copy.
 2. *Confirmed passages.* The words of the remaining runs meet by anchor, in order of place, and are
    compared as words. Windows seen before make up passages, with the place where each starts first.
-   An anchor with more runs than HOT_RUNS is resolved by window instead, with map-side combining.
+   An anchor whose runs have more than HOT_WORDS words is resolved by window instead, with map-side combining.
 3. *Automata.* Documents are dealt to shards of about SHARD_WORDS words. The passages that matter in a
    shard are compiled into one automaton over word numbers, and all its documents are streamed
    through it. Every occurrence but the first place of a passage is removed.
@@ -33,7 +33,8 @@ from fieldlens.session import discard, stored
 
 WINDOW = 20
 ANCHOR = 8
-HOT_RUNS = 20_000
+# Words of the runs of one anchor that a task holds together.
+HOT_WORDS = 500_000
 SHARD_WORDS = 1_000_000
 
 
@@ -205,7 +206,7 @@ def _occurrences(automaton, numbers: dict[bytes, int], text: str, own: tuple) ->
 RANGES = (("doc_id", "long"), ("text_key", "long"), ("begins", "array<int>"), ("ends", "array<int>"))
 
 
-def repeated_ranges(docs: DataFrame, hot_runs: int = HOT_RUNS, shard_words: int = SHARD_WORDS) -> DataFrame:
+def repeated_ranges(docs: DataFrame, hot_words: int = HOT_WORDS, shard_words: int = SHARD_WORDS) -> DataFrame:
     """Word ranges to remove: doc_id, text_key, begins, ends (exclusive), for documents that lose words.
 
     Documents are told apart by doc_id and text; rows that repeat both are one document.
@@ -226,8 +227,9 @@ def repeated_ranges(docs: DataFrame, hot_runs: int = HOT_RUNS, shard_words: int
         F.arrays_zip("anchors", "starts", "lengths", "again")).alias("r")).select(
         F.col("r.anchors").alias("anchor"), "row", F.col("r.starts").alias("start"),
         F.col("r.lengths").alias("length"), F.col("r.again").alias("again"))
-    shared = runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.max("again").alias("again")).filter(
-        "n > 1 OR again").select("anchor", (F.col("n") > hot_runs).alias("hot"))
+    shared = runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.max("again").alias("again"),
+                                        F.sum(F.col("length") + (WINDOW - 1)).alias("words")).filter(
+        "n > 1 OR again").select("anchor", (F.col("words") > hot_words).alias("hot"))
     of_row = runs.join(shared, "anchor").groupBy("row").agg(
         F.collect_list(F.struct("anchor", "hot", "start", "length")).alias("runs"))
     candidates, _ = stored(of_row.join(long.select(*own), "row"), "candidates")

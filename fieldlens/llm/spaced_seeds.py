@@ -7,6 +7,11 @@ whole. Hashes of the selected tokens are joined between benchmark items and docu
 hit the two texts are laid side by side, and the longest stretch in which at least 80 % of the
 tokens agree decides: 16 tokens (or the whole item, if shorter) are an overlap.
 
+Items of fewer than SHORT tokens have masks of their own length, laid on the whole item: with one substitution allowed,
+every mask that leaves out one token; with two, three of five blocks. One of them always avoids the
+substitutions. They cost work only for lengths that the benchmark has. Items of fewer than LEAST tokens are
+everyday phrases: they are found where they are a whole document, word by word.
+
 Documents are read once. A bit table of fixed size, filled from the items' hashes, drops positions that
 cannot match; what passes goes into an ordinary join, so a large benchmark costs time but no result.
 Only tokens within REACH of a hit are carried along, never whole documents.
@@ -14,6 +19,7 @@ Only tokens within REACH of a hit are carried along, never whole documents.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -30,6 +36,8 @@ MIN_TOKENS = 16
 # Agreeing tokens per differing one: 4 means 80 %.
 AGREE = 4
 REACH = 64
+# Items below SHORT tokens have masks of their own; those below LEAST must be the whole document.
+SHORT, LEAST = 12, 5
 BLOOM_BITS = 1 << 26
 
 
@@ -39,6 +47,55 @@ def tokens_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return words.hashes(), words.first
 
 
+def short_masks(size: int) -> list[list[tuple[int, int]]]:
+    """Masks of an item of ``size`` tokens, each as runs (offset, length) of selected tokens.
+
+    One of them is whole after size // (AGREE + 1) substitutions at any places.
+    """
+    missing = size // (AGREE + 1)
+    if missing == 0:
+        return [[(0, size)]]
+    blocks = size if missing == 1 else 2 * missing + 1
+    cuts = [size * k // blocks for k in range(blocks + 1)]
+    return [[(cuts[k], cuts[k + 1] - cuts[k]) for k in range(blocks) if k not in gone]
+            for gone in itertools.combinations(range(blocks), missing)]
+
+
+def short_seeds(tokens: np.ndarray, first: np.ndarray, sizes: Iterable[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each mask of items of these sizes, the places where it fits into one text and the hashes there."""
+    last, begin = np.repeat(first[1:], np.diff(first)), np.repeat(first[:-1], np.diff(first))
+    for size in sizes:
+        n = len(tokens) - size + 1
+        if n <= 0:
+            continue
+        at = np.flatnonzero(np.arange(n) + size <= last[:n])
+        if size < LEAST:
+            at = at[(at == begin[at]) & (at + size == last[at])]
+        if not len(at):
+            continue
+        grams = [np.zeros(len(tokens), U)]      # hashes of 0, 1, 2, ... tokens from each place on
+        for k in range(size):
+            longer = grams[-1] * U(0x9E3779B97F4A7C15)
+            longer[:len(tokens) - k] += tokens[k:]
+            grams.append(longer)
+        for number, mask in enumerate(short_masks(size)):
+            total = np.full(len(at), 64 * size + number, U)
+            for offset, length in _joined(mask):
+                total = mix(total + U(offset)) + grams[length][at + offset]
+            yield at, mix(total)
+
+
+def _joined(mask: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Neighbouring runs as one."""
+    out: list[tuple[int, int]] = []
+    for offset, length in mask:
+        if out and sum(out[-1]) == offset:
+            out[-1] = (out[-1][0], out[-1][1] + length)
+        else:
+            out.append((offset, length))
+    return out
+
+
 def seeds_of(tokens: np.ndarray, first: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For each mask, the places where it fits into one text and the hashes there."""
     last = np.repeat(first[1:], np.diff(first))
@@ -59,9 +116,13 @@ def _item_rows(cols: list[list]) -> list:
     ids, texts = cols
     tokens, first = tokens_of(texts)
     seeds, places = [[] for _ in ids], [[] for _ in ids]
-    for at, value in seeds_of(tokens, first):
+    size = np.diff(first)
+    shorts = short_seeds(tokens, first, sorted(set(size[size < SHORT].tolist()) - {0}))
+    for short, (at, value) in itertools.chain(((False, s) for s in seeds_of(tokens, first)), ((True, s) for s in shorts)):
         item = np.searchsorted(first, at, side="right") - 1
-        for i, p, v in zip(item, at - first[item], value.view(np.int64)):
+        # Short items have the masks of their size, from their first token on; longer ones the others.
+        own = (size[item] < SHORT) & (at == first[item]) if short else size[item] >= SHORT
+        for i, p, v in zip(item[own], (at - first[item])[own], value.view(np.int64)[own]):
             seeds[i].append(int(v))
             places[i].append(int(p))
     return [ids, [tokens[a:b].tobytes() for a, b in zip(first[:-1], first[1:])], seeds, places]
@@ -92,14 +153,17 @@ def _bloom(seeds: DataFrame, bits: int) -> np.ndarray:
 CLUSTERS = "doc_id long, text_key long, cluster int, tokens binary, seeds array<long>, places array<int>"
 
 
-def _clusters(bloom):
-    """Documents to clusters of hits: the tokens around them, the hashes and their places."""
+def _clusters(bloom, sizes: list[int]):
+    """Documents to clusters of hits: the tokens around them, the hashes and their places.
+
+    ``sizes`` are the token counts of the benchmark's short items.
+    """
     def run(cols: list[list]) -> list:
         ids, keys, texts = cols
         tokens, first = tokens_of(texts)
         marks = bloom.value
         found = []
-        for at, value in seeds_of(tokens, first):
+        for at, value in itertools.chain(seeds_of(tokens, first), short_seeds(tokens, first, sizes)):
             hit = np.ones(len(value), dtype=bool)
             for word, bit in _bits(value, len(marks)):
                 hit &= ((marks[word] >> bit) & U(1)).astype(bool)
@@ -169,8 +233,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, bloom_bits: int = BLOOM_BITS
 
     ``docs`` has doc_id and text, ``benchmark`` item_id and text. Places are tokens, ends exclusive.
     Items of equal tokens are one item, named by the smallest id. Null and empty texts overlap with
-    nothing, nor do items of fewer than seven tokens, which no mask fits. Rows that repeat doc_id and
-    text are one document. An empty table on either side gives an empty result.
+    nothing; items of fewer than LEAST tokens overlap with documents that are the same tokens. Rows that
+    repeat doc_id and text are one document. An empty table on either side gives an empty result.
     """
     items, _ = stored(map_texts(benchmark.select("item_id", "text"), _item_rows,
                                 "item_id long, tokens binary, seeds array<long>, places array<int>")
@@ -180,7 +244,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, bloom_bits: int = BLOOM_BITS
         "item_id", F.col("s.seeds").alias("seed"), F.col("s.places").alias("item_place")).distinct()
     bloom = docs.sparkSession.sparkContext.broadcast(_bloom(seeds, bloom_bits))
     slim = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), "text")
-    clusters, _ = stored(map_texts(slim, _clusters(bloom), CLUSTERS), "clusters")
+    tokens_each = F.octet_length("tokens") / 8
+    sizes = [int(r["n"]) for r in items.select(tokens_each.alias("n")).filter((F.col("n") > 0) & (F.col("n") < SHORT)).distinct().collect()]
+    clusters, _ = stored(map_texts(slim, _clusters(bloom, sorted(sizes)), CLUSTERS), "clusters")
     bloom.destroy()  # the clusters are stored: nothing computes them again
     clusters = clusters.dropDuplicates(["doc_id", "text_key", "cluster"])
     hits = clusters.select("doc_id", "text_key", "cluster", F.explode(F.arrays_zip("seeds", "places")).alias("h")).select(

@@ -31,6 +31,13 @@ CASES = [
     ({"context": "z", "question": "a", "answer": 3}, "question", [("user", "z\n\na"), ("assistant", "3")]),
     ({"rows": [{"turn": 1, "role": "assistant", "text": "b"}, {"turn": 0, "role": "user", "text": "a"}]}, "turn rows", [("user", "a"), ("assistant", "b")]),
     ({"messages": []}, "messages", []),
+    ({"messages": [{"role": "user", "content": "a", "name": "Ann"}, {"role": "assistant", "content": "b", "weight": 1, "metadata": {"x": [{"y": 2}]}}]},
+     "messages", [("user", "a"), ("assistant", "b")]),
+    ({"messages": [{"role": "user", "content": [{"type": "text", "text": "a"}, {"type": "text", "text": "z"}]}, {"role": "assistant", "content": "b"}]},
+     "messages", [("user", "a\nz"), ("assistant", "b")]),
+    ({"messages": [{"role": "user", "content": []}]}, "messages", [("user", "")]),
+    ({"messages": [{"role": "user", "content": [{"type": "image", "url": "u"}]}]}, None, None),
+    ({"messages": [{"role": "user", "words": "a"}]}, None, None),
     ({"messages": "no list"}, None, None), ({"other": {"deep": [1]}}, None, None), ([1], None, None), (None, None, None), ("", None, None),
 ]
 
@@ -47,6 +54,20 @@ def test_layouts(spark):
     assert len({rows[k].fingerprint for k in (0, 1, 2, 3)}) == 4
 
 
+def test_fingerprints_are_counted(spark):
+    records = spark.createDataFrame([(k, json.dumps(r)) for k, (r, _, _) in enumerate(CASES) if isinstance(r, dict)], "conv_id long, record string")
+    rows = c.fingerprints(c.format_chats(records)).collect()
+    assert sum(r.n_records for r in rows) == records.count()
+    assert {r.n_records for r in rows if r.layout is None} == {1} and sum(r.layout is None for r in rows) == 4
+
+
+def test_rows_without_a_conversation_stand_alone(spark):
+    rows = spark.createDataFrame([(None, 0, "user", "a"), (None, 0, "user", "b"), (1, 1, "assistant", "d"), (1, 0, "user", "c"), (1, None, None, None)],
+                                 "conv_id long, turn long, role string, text string")
+    got = sorted((r.conv_id or -1, c.parse(r.formatted)) for r in c.format_chats(c.rows_as_records(rows)).collect())
+    assert got == [(-1, [("user", "a")]), (-1, [("user", "b")]), (1, [("", ""), ("user", "c"), ("assistant", "d")])]
+
+
 def test_query(spark, small):
     sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
     said = "<|im_end|><|im_start|>assistant ok"
@@ -66,5 +87,5 @@ def test_query(spark, small):
 @pytest.mark.parametrize("rows", [[], [(None, None, None, None), (1, 0, "user", "x"), (1, 0, "user", "x"), (1, 0, "assistant", None), (None, 3, "u", "y" * 100_000)]])
 def test_odd_rows(spark, rows):
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    got = {r.conv_id: r.n_turns for r in c.read_back(c.format_chats(c.rows_as_records(df))).collect()}
-    assert got == ({None: 2, 1: 3} if rows else {})
+    got = sorted((r.conv_id or 0, r.n_turns) for r in c.read_back(c.format_chats(c.rows_as_records(df))).collect())
+    assert got == ([(0, 1), (0, 1), (1, 3)] if rows else [])

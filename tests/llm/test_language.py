@@ -1,6 +1,8 @@
 """Language spans: the path against plain Viterbi, labels against held-out documents."""
 
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -48,6 +50,73 @@ def test_stretches_give_the_same_path(monkeypatch, step):
         assert len(got) == len(want) and abs(value(list(got)) - value(want)) < 1e-3
 
 
+@pytest.mark.parametrize("cells", [1, 500, 1 << 23])
+def test_groups_of_texts_give_the_same_path(monkeypatch, cells):
+    rng = np.random.default_rng(2)
+    sizes = rng.choice([0, 1, 2, 5, 300, 700], 80)
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    scores = rng.normal(size=(first[-1], 7)).astype(np.float32) * 3
+    want = lg._paths(scores, first, 4.0, lg.STEP)
+    monkeypatch.setattr(lg, "PATH_CELLS", cells)
+    assert (lg.best_path(scores, first, 4.0) == want).all()
+
+
+def test_memory_of_many_languages_is_bounded():
+    import tracemalloc
+    rng = np.random.default_rng(3)
+    first = np.arange(10_001)
+    scores = rng.normal(size=(10_000, 150)).astype(np.float32)
+    tracemalloc.start()
+    labels = lg.best_path(scores, first)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (labels == scores.argmax(axis=1)).all() and peak < 300e6
+
+
+def by_hand(text, langs, logs, open_):
+    """Scores word by word: trigrams of letters with breaks around, the word as a whole, open scripts."""
+    letter, script = lg._character_tables()
+    mixed = lambda v: int(lg.mix(np.array([v], lg.U))[0])
+    rows, words = [], []
+    for word in re.findall(r"[^\W\d_]+", text):
+        low = [int(letter[ord(c)]) for c in word]
+        total = np.zeros(len(langs))
+        for a, b, c in zip([0, *low], low, [*low[1:], 0]):
+            total += logs[mixed((a << 42) | (b << 21) | c) % lg.BUCKETS]
+        whole = sum(mixed(c + (k << 22)) for k, c in enumerate(low)) % (1 << 64)
+        total += logs[mixed((whole + 7) % (1 << 64)) % lg.BUCKETS]
+        may = open_[script[ord(word[0])]]
+        rows.append([t if m or not may.any() else -1e4 for t, m in zip(total, may)])
+        words.append(word)
+    return words, rows
+
+
+def test_scores_and_query_word_by_word(spark, small, model):
+    """The score of every word, the script rule, and from them the query's columns, without numpy over whole batches."""
+    langs, logs, open_ = model
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
+    texts = [t[:600] for _, t in docs[:25]] + ["Привет мир", "the и le", "日本 x", "straße ǅ ÿ"]
+    batch = lg.LetterWords(texts)
+    scores = lg.word_scores(batch, logs, open_)
+    for d, text in enumerate(texts):
+        words, rows = by_hand(text, langs, logs, open_)
+        assert batch.first[d + 1] - batch.first[d] == len(words)
+        assert np.allclose(scores[batch.first[d]:batch.first[d + 1]], rows, atol=1e-2) if words else True
+    said = {r.doc_id: r for r in lg.op9_language(spark, small).collect()}
+    for i, text in docs[::10]:
+        words, rows = by_hand(text or "", langs, logs, open_)
+        path = plain_path(np.array(rows, np.float32), [0, len(rows)], lg.SWITCH)
+        letters = Counter()
+        for word, k in zip(words, path):
+            letters[k] += len(word)
+        if not words:
+            assert (said[i].lang_pred, said[i].score) == (lg.UNKNOWN, 0.0)
+            continue
+        most = max(letters.values())
+        assert said[i].lang_pred in [langs[k] for k, n in letters.items() if n == most]
+        assert abs(said[i].score - most / sum(letters.values())) < 0.02
+
+
 @pytest.fixture(scope="module")
 def model(spark, small):
     return lg.learned(spark.read.parquet(f"{small}/documents.parquet"))

@@ -4,7 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from fieldlens.llm.line_rules import apply_rules, repeated_words
+from fieldlens.llm.line_rules import apply_rules, line_fails, repeated_words
 
 
 def words(text):
@@ -39,6 +39,16 @@ def test_lines(make):
     assert not apply_rules(make([junk])).first().kept
 
 
+def test_boilerplate_is_whole_phrases_and_most_of_a_line(spark):
+    fails = ["Log in", "Sign up | Log in", "We use cookies.", "Alle Rechte vorbehalten.", "Tous droits réservés.", "Iniciar sesión",
+             "Copyright 2020", "Released under the MIT License.", "Click here!", "Read more: click here."]
+    stays = ["He sat down to have a dialog in the garden.", "Fortune cookies were on the table.", "", "   ",
+             "They had to sign up every single child of the village before the long summer had even begun.",
+             "The log indicates nothing.", "Une copyrightée."]
+    df = spark.createDataFrame([(t,) for t in [*fails, *stays]], "line string").select("line", line_fails(F.col("line")).alias("fails"))
+    assert {r.line for r in df.collect() if r.fails} == set(fails)
+
+
 def test_labels_agree(spark, small):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = apply_rules(docs).join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id").select("quality", "kept", "n_words").collect()

@@ -2,11 +2,14 @@
 
 import random
 import string
+import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from fieldlens.llm.links import components
+from fieldlens.llm.wordscan import U
 from fieldlens.llm.minmax import keep_one, link_block, near_duplicates, shingle_sets
 
 
@@ -52,6 +55,41 @@ def test_as_by_all_pairs(make, crowd, block):
     assert sum(not r.kept for r in found) > 30
 
 
+def test_template_texts_that_do_not_link_cost_little():
+    """Sets that share two thirds of their shingles meet in bands but not in a block, whose work stays near its size."""
+    rng = np.random.default_rng(4)
+    shared = rng.integers(0, 1 << 60, 12).astype(U)
+    took = {}
+    for m in (4_000, 16_000):
+        sets = [np.unique(np.concatenate([shared, rng.integers(0, 1 << 60, 6).astype(U)])) for _ in range(m)]
+        sets[5] = np.unique(np.concatenate([sets[4][:-1], sets[4][:1] + U(1)]))     # one pair that does
+        start = time.process_time()
+        assert {frozenset(p) for p in link_block(list(range(m)), sets)} == {frozenset((4, 5))}
+        took[m] = time.process_time() - start
+    assert took[16_000] < 8 * max(took[4_000], 0.05) and took[16_000] < 5
+
+
+def test_blocks_equal_all_pairs():
+    rng = np.random.default_rng(8)
+    for _ in range(60):
+        pool = rng.integers(0, 60, 60).astype(U)
+        sets = [np.unique(rng.choice(pool[:rng.integers(1, 40)], rng.integers(1, 25))) for _ in range(rng.integers(2, 30))]
+        near = lambda a, b: 100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b))
+        want, got = list(range(len(sets))), list(range(len(sets)))
+
+        def merge(root, a, b):
+            x, y = root[a], root[b]
+            root[:] = [min(x, y) if r in (x, y) else r for r in root]
+        for a in range(len(sets)):
+            for b in range(a):
+                if near(sets[a], sets[b]):
+                    merge(want, a, b)
+        for a, b in link_block(list(range(len(sets))), sets):
+            assert near(sets[a], sets[b])
+            merge(got, a, b)
+        assert got == want
+
+
 def test_large_group_in_blocks(make):
     rng = random.Random(3)
     base = [f"w{k}" for k in range(80)]

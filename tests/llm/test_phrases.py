@@ -38,7 +38,7 @@ def compare(df, **settings):
     return got
 
 
-@pytest.mark.parametrize("settings", [{}, {"hot_runs": 0}, {"hot_runs": 3, "shard_words": 500}])
+@pytest.mark.parametrize("settings", [{}, {"hot_words": 0}, {"hot_words": 300, "shard_words": 500}])
 def test_as_by_definition(make, crowd, settings):
     got = compare(make(crowd), **settings)
     assert sum(g[3] for g in got) > 500

@@ -33,9 +33,26 @@ def test_odd_rows(spark, make, odd, empty, small):
             df, _ = cp.stored(stage(spark, df, small), "test")
 
 
+CLASHES = ("copy_no", "n_lines", "n_removed_lines", "component_id", "kept", "root", "text_key", "n_shingles", "k1", "bad_id", "bad_key",
+           "item_id", "tokens", "mix_key", "mix_copies", "cut_id", "cut_lines", "lang_pred", "score", "spans", "size", "target", "line")
+
+
+def test_columns_with_names_of_their_own(spark, make, crowd, small):
+    """Every stage and the whole pipeline with a column for each internal or added name."""
+    extra = make(crowd).withColumns({c: F.lit("theirs") for c in CLASHES})
+    df = extra
+    for name, stage in cp.STAGES:
+        df, n = cp.stored(stage(spark, df, small), "test")
+        assert n and df.columns[:len(extra.columns)] == extra.columns, name
+        assert df.select(*CLASHES).distinct().collect() == [tuple(["theirs"] * len(CLASHES))], name
+    assert df.columns[len(extra.columns):] == ["copy_no_"] and df.agg(F.min("copy_no_")).first()[0] == 1
+    plain, _ = cp.stored(make(crowd).select("text", "lang", "source", "doc_id"), "test")
+    assert cp.without_repeated_lines(spark, plain, small).columns == plain.columns
+
+
 def test_registry():
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(QUERIES)
-    assert sorted(q.split("_")[0] for q in QUERIES) == sorted([*(f"op{n}" for n in range(1, 11)), "pipeline"])
+    assert sorted(q.split("_")[0] for q in QUERIES) == sorted([*(f"op{n}" for n in range(1, 14)), "pipeline"])
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
