@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldlens.llm.common import table
+from fieldlens.llm.common import fresh, table
 from fieldlens.llm.language import keep_identified, learned
 from fieldlens.llm.line_windows import dedup_lines
 from fieldlens.llm.minmax import WIDTH, keep_one
@@ -23,9 +23,15 @@ def in_one_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated three-line windows are cut; a document that loses its last word goes."""
-    cut = dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
-    return cut.filter((F.col("n_removed_lines") == 0) | F.col("text").rlike("[^\\x20\\x09-\\x0D]")).select(docs.columns)
+    """Repeated three-line windows are cut; a document that loses its last word goes.
+
+    n_chars follows the text that is left; all other columns stay as they are.
+    """
+    removed = F.col(fresh(docs, "n_removed_lines"))
+    cut = dedup_lines(docs)
+    if "n_chars" in docs.columns:
+        cut = cut.withColumn("n_chars", F.length("text").cast("long"))
+    return cut.filter((removed == 0) | F.col("text").rlike("[^\\x20\\x09-\\x0D]")).select(docs.columns)
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,10 +43,15 @@ def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that overlap with a benchmark item go (null and empty texts overlap with none); repeated rows share their fate."""
     return decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document once per copy that its source's target gives it, with the number of the copy in an additional last column.
+
+    Rows equal in doc_id, source and text count as one document with the copies of them all; a null source is a source.
+    """
     return mixed(docs)
 
 
@@ -57,7 +68,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage; every stage is written to the shared folder and read again."""
+    """The rows of the last stage; every stage is written to the shared folder and read again.
+
+    Null texts and texts without a letter go in the first stage, one of several equal rows stays in the third. Columns
+    beyond those of documents pass through, whatever their names. An empty table gives an empty result.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs, _ = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
