@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldlens.operators.quality import column_facts, distinct_values
+from fieldlens.operators.quality import column_counts
 from fieldlens.operators.ranking import first_per_key
 
 # --- fixed values: letters folded before tokens are compared ------------------
@@ -32,14 +32,9 @@ def dataset_catalog(datasets: Mapping[str, DataFrame], facts: Mapping[str, Mappi
 
 def column_catalog(datasets: Mapping[str, DataFrame]) -> DataFrame:
     """Type, nullability, null rate and distinct values of every column (CAT-2)."""
-    parts = []
-    for name, df in datasets.items():
-        parts.append(column_facts(df).join(distinct_values(df), "column_name", "left").select(
-            F.lit(name).alias("dataset"), "column_name", F.col("dtype").alias("data_type"),
-            (F.col("nulls") > 0).alias("nullable"),
-            F.round(F.try_divide("nulls", "n_rows"), 6).alias("null_rate"),
-            F.coalesce("uniques", F.lit(0)).alias("distinct_count")))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    return column_counts(datasets).select(
+        "dataset", "column_name", F.col("dtype").alias("data_type"), (F.col("nulls") > 0).alias("nullable"),
+        F.round(F.try_divide("nulls", "n_rows"), 6).alias("null_rate"), F.col("uniques").alias("distinct_count"))
 
 
 def lineage(spark: SparkSession, edges: Sequence[tuple[str, str, str]]) -> DataFrame:

@@ -169,35 +169,45 @@ def cell_value(f) -> Column:
     return value + 0.0 if f.dataType.typeName() in ("double", "float") else value
 
 
-def distinct_values(df: DataFrame) -> DataFrame:
-    """Distinct values of every column (column_name, uniques).
+def _cells(number: int, df: DataFrame) -> DataFrame:
+    """Number of the table, number of the column and one or two hashes of the typed value, never text; null has no hash.
 
-    A cell is shuffled as the number of its column and one or two hashes of the typed value, never as text; equal cells
-    of a task are one row. Values of up to 64 bits need one hash, which is exact; others have 128 bits.
+    Values of up to 64 bits need one hash, which is exact; others have 128 bits.
     """
     def cell(i: int, f) -> Column:
         value = cell_value(f)
         second = F.lit(0).cast("long") if f.dataType.typeName() in _SHORT else F.xxhash64(F.lit(2), value)
-        return F.struct(F.lit(i).alias("i"), F.when(value.isNotNull(), F.xxhash64(value)).alias("a"), second.alias("b"))
+        return F.struct(F.lit(number).alias("d"), F.lit(i).alias("i"), F.when(value.isNotNull(), F.xxhash64(value)).alias("a"),
+                        F.when(value.isNotNull(), second).alias("b"))
+    return df.select(F.inline(F.array(*[cell(i, f) for i, f in enumerate(df.schema.fields)])))
+
 
-    fields = df.schema.fields
-    one = df.select(F.inline(F.array(*[cell(i, f) for i, f in enumerate(fields)]))).filter("a IS NOT NULL").distinct()
-    names = F.array(*[F.lit(f.name) for f in fields])
-    return one.groupBy("i").agg(F.count(F.lit(1)).alias("uniques")).select(
-        F.element_at(names, F.col("i") + 1).alias("column_name"), "uniques")
+def column_counts(tables: Mapping[str, DataFrame], empty_is_null: bool = False) -> DataFrame:
+    """Type, rows, nulls and distinct values of every column of every table: dataset, column_name, dtype, n_rows, nulls, uniques.
 
+    Each table is scanned once and all of them go through one shuffle, in which equal cells of a task are one row with
+    their number; rows, nulls and distinct values follow from these. With ``empty_is_null`` an empty
+    text counts as missing too (and still as a value). Columns of an empty table have zeros.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    cells = reduce(lambda a, b: a.unionByName(b), [_cells(k, df) for k, df in enumerate(tables.values())])
+    counted = cells.groupBy("d", "i", "a", "b").agg(F.count(F.lit(1)).alias("n"))
+    blank = F.lit(False)
+    if empty_is_null:
+        texts = F.array(*[F.struct(F.lit(k).alias("d"), F.lit(i).alias("i")) for k, df in enumerate(tables.values())
+                          for i, f in enumerate(df.schema.fields) if f.dataType.simpleString() == "string"] or [F.lit(None)])
+        blank = F.array_contains(texts, F.struct("d", "i")) & (F.col("a") == F.xxhash64(F.lit(""))) & (F.col("b") == F.xxhash64(F.lit(2), F.lit("")))
+    facts = counted.groupBy("d", "i").agg(
+        F.sum("n").alias("n_rows"), F.sum(F.when(F.col("a").isNull() | blank, F.col("n")).otherwise(0)).alias("nulls"),
+        F.count("a").alias("uniques"))
+    names = [(k, i, name, f.name, f.dataType.simpleString()) for k, (name, df) in enumerate(tables.items()) for i, f in enumerate(df.schema.fields)]
+    known = spark.createDataFrame(names, "d int, i int, dataset string, column_name string, dtype string")
+    return known.join(facts, ["d", "i"], "left").fillna(0, ["n_rows", "nulls", "uniques"]).drop("d", "i")
 
-def column_facts(df: DataFrame, empty_is_null: bool = False) -> DataFrame:
-    """Type, rows and nulls of every column, from one aggregate without a shuffle of rows."""
-    def missing(f) -> Column:
-        gone = F.col(f"`{f.name}`").isNull()
-        return gone | (F.col(f"`{f.name}`") == "") if empty_is_null and f.dataType.simpleString() == "string" else gone
 
-    fields = df.schema.fields
-    counts = df.agg(F.count(F.lit(1)).alias("n_rows"), *[F.count_if(missing(f)).alias(f"n{i}") for i, f in enumerate(fields)])
-    return counts.select(F.inline(F.array(*[F.struct(
-        F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("dtype"), F.col("n_rows"),
-        F.col(f"n{i}").alias("nulls")) for i, f in enumerate(fields)])))
+def distinct_values(df: DataFrame) -> DataFrame:
+    """Distinct values of every column that has any (column_name, uniques)."""
+    return column_counts({"": df}).filter("uniques > 0").select("column_name", "uniques")
 
 
 def profile_columns(df: DataFrame) -> DataFrame:
@@ -205,8 +215,7 @@ def profile_columns(df: DataFrame) -> DataFrame:
 
     Numeric columns also get min, max and mean; see ``top_values`` for text columns.
     """
-    out = column_facts(df, empty_is_null=True).join(distinct_values(df), "column_name", "left").withColumn(
-        "uniques", F.coalesce("uniques", F.lit(0)))
+    out = column_counts({"": df}, empty_is_null=True).drop("dataset")
     numeric = [f.name for f in df.schema.fields if f.dataType.typeName() in (
         "byte", "short", "integer", "long", "float", "double", "decimal")]
     if numeric:

@@ -11,7 +11,7 @@ from fieldlens.operators import catalog as cat
 from fieldlens.operators import geo, wide
 from fieldlens.operators import search_index as si
 from fieldlens.operators import sketches
-from fieldlens.operators.quality import distinct_values
+from fieldlens.operators.quality import column_counts
 from fieldlens.operators.ranking import first_per_key
 from fieldlens.plans.driver import FACT_SQL, fact, materials, table, with_fact
 from fieldlens.plans.registry import query
@@ -197,15 +197,13 @@ _SKETCHED = [d for d in _COLUMNS if d not in ("documents", "pages")]
     f"count(DISTINCT {c}) AS distinct_count, true AS within_error FROM {d}" for d in _SKETCHED for c in _COLUMNS[d]))
 def sketch_columns(spark, sf_dir):
     """Distinct values by sketches of files, merged per table, next to the exact count (AGG-16, CAT-2, QLT-1)."""
-    parts = []
-    for d in _SKETCHED:
-        df = table(spark, sf_dir, d)
-        told = sketches.with_estimate(sketches.merged(sketches.file_sketches(df), ["column_name"]))
-        exact = distinct_values(df).withColumnRenamed("uniques", "distinct_count")
-        parts.append(told.join(exact, "column_name", "left").fillna(0, ["distinct_count"]).select(
-            F.lit(d).alias("dataset"), "column_name", "n_rows", "nulls", "distinct_count",
-            sketches.within_error(F.col("distinct_estimate"), F.col("distinct_count")).alias("within_error")))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    given = {d: table(spark, sf_dir, d) for d in _SKETCHED}
+    told = reduce(lambda a, b: a.unionByName(b), [
+        sketches.merged(sketches.file_sketches(df), ["column_name"]).withColumn("dataset", F.lit(d)) for d, df in given.items()])
+    exact = column_counts(given).select("dataset", "column_name", F.col("uniques").alias("distinct_count"))
+    return sketches.with_estimate(told).join(exact, ["dataset", "column_name"]).select(
+        "dataset", "column_name", "n_rows", "nulls", "distinct_count",
+        sketches.within_error(F.col("distinct_estimate"), F.col("distinct_count")).alias("within_error"))
 
 
 _FOOTERS = {"orders": "o_orderkey", "lineitem": "l_quantity", "part": "p_retailprice", "customer": "c_acctbal", "events": "event_id",
