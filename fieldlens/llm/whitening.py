@@ -296,7 +296,7 @@ class Whitening:
     def deviations(self, x: np.ndarray) -> np.ndarray:
         """Sum of squares of n * x - S, exact; beyond 64 bits it is an error."""
         apart = x * self.n - self.sums
-        if len(apart) and int(np.abs(apart).max()) ** 2 * apart.shape[1] >= 2 ** 63:
+        if len(apart) and (apart.astype(float) ** 2).sum(axis=1).max() >= 0.999 * 2.0 ** 63:
             raise OverflowError("the deviation of a row does not fit a long")
         return (apart * apart).sum(axis=1)
 

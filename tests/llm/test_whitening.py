@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from fieldlens.llm.queries import QUERIES
-from fieldlens.llm.whitening import Moments, Spectrum, fit, secular_roots, whiten, whole_rows
+from fieldlens.llm.whitening import Moments, Spectrum, Whitening, fit, secular_roots, whiten, whole_rows
 
 
 def scatter(rows):
@@ -137,6 +137,13 @@ def test_no_component(spark):
     assert {r.component for r in flat.collect()} == {1}
 
 
+def test_deviations_up_to_the_end_of_a_long():
+    model = Whitening(1, np.zeros(3, np.int64), np.ones(1), np.zeros((3, 1)), 1.0)
+    assert model.deviations(np.array([[3_000_000_000, 0, 1]])).tolist() == [9 * 10 ** 18 + 1]
+    with pytest.raises(OverflowError):
+        model.deviations(np.array([[3_000_000_000, 1_000_000_000, 1]]))
+
+
 def test_components_are_fitted_on_all_rows(spark):
     rows, d = whole_rows(spark.createDataFrame([(k, [k / 7.0, (k * k % 11) / 3.0]) for k in range(500)],
                                                "vec_id long, embedding array<double>").repartition(33))
