@@ -11,7 +11,7 @@ from fieldlens.llm.line_windows import dedup_lines
 from fieldlens.llm.minmax import WIDTH, keep_one
 from fieldlens.llm.mixture import mixed
 from fieldlens.llm.spaced_seeds import decontaminate
-from fieldlens.session import stored
+from fieldlens.session import discard, stored
 
 
 def in_one_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -73,7 +73,10 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     Null texts and texts without a letter go in the first stage, one of several equal rows stays in the third. Columns
     beyond those of documents pass through, whatever their names. An empty table gives an empty result.
     """
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs, _ = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if before is not None:
+            discard(before)
+        before = docs
     return docs
