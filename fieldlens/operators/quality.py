@@ -225,7 +225,7 @@ def profile_columns(df: DataFrame) -> DataFrame:
                                    F.round(F.avg(c), 4).alias("mean")).alias(c) for c in numeric])
         ranges = ranges.select(F.inline(F.array(*[F.col(f"`{c}`") for c in numeric])))
         out = out.join(ranges, "column_name", "left")
-    return out.withColumn("pct_null", F.round(F.lit(100.0) * F.col("nulls") / F.col("n_rows"), 2))
+    return out.withColumn("pct_null", F.round(F.try_divide(F.lit(100.0) * F.col("nulls"), "n_rows"), 2))
 
 
 def top_values(df: DataFrame, k: int = 5) -> DataFrame:

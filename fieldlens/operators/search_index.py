@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from fieldlens.operators import catalog as cat
 from fieldlens.sources.snapshots import Snapshots, Version, VersionTaken
 
+# Goes up when the folders of a segment change, so that a kept index of another kind is not read.
+FORMAT = 1
 ENTITY = ["entity_type", "entity_id"]
 POSTINGS = "token string, entity_type string, entity_id string, tf long, places array<int>"
 ENTITIES = "entity_type string, entity_id string, title string, description string"
@@ -54,12 +56,15 @@ class KeptIndex:
         """Every live entity with title and description."""
         return self._live(self._all("entities", ENTITIES)).select(*ENTITY, "title", "description")
 
-    def search(self, query: str, limit: int = 25) -> DataFrame:
-        """Hits with title, description and score, best first."""
+    def hits(self, query: str, limit: int = 25) -> DataFrame:
+        """The best entities with their score; the tokens of the query reach the scan of the postings."""
         terms = cat.parse_query(query)
         found = cat.matching(self._all("postings", POSTINGS), terms, ["segment", *ENTITY])
-        hits = cat.page(self._live(found).drop("segment"), limit)
-        return cat.page(cat.with_titles(hits, self.entities()), limit)
+        return cat.page(self._live(found).drop("segment"), limit)
+
+    def search(self, query: str, limit: int = 25) -> DataFrame:
+        """Hits with title, description and score, best first. The page of hits is found now, its texts when they are read."""
+        return cat.page(cat.with_titles(self.hits(query, limit), self.entities()), limit)
 
 
 def open_index(spark: SparkSession, root: str, version: int | None = None) -> KeptIndex | None:

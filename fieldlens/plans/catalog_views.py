@@ -215,9 +215,11 @@ _FOOTERS = {"orders": "o_orderkey", "lineitem": "l_quantity", "part": "p_retailp
     for d, c in _FOOTERS.items()))
 def file_summary(spark, sf_dir):
     """Rows and range of a column per table, from the footers of its files (SRC-9)."""
-    rows = [(d, *tables.footer_summary(spark, f"{sf_dir}/{d}.parquet", c).first()) for d, c in _FOOTERS.items()]
-    return spark.createDataFrame([(d, n, float(a), float(b)) for d, n, a, b in rows],
-                                 "dataset string, n_rows long, lowest double, highest double")
+    rows = []
+    for d, c in _FOOTERS.items():
+        n, *ends = tables.footer_summary(spark, f"{sf_dir}/{d}.parquet", c).first()
+        rows.append((d, n, *[None if x is None else float(x) for x in ends]))
+    return spark.createDataFrame(rows, "dataset string, n_rows long, lowest double, highest double")
 
 
 @query("file_rows", " UNION ALL ".join(
@@ -272,7 +274,8 @@ def kept_index(spark, sf_dir, version):
     It lies in the shared folder under a mark of the tables it was built from. What is there is opened;
     only a version that nobody has built yet is built.
     """
-    root = f"{shared_dir(spark)}/search-{tables.mark(spark, [f'{sf_dir}/{t}.parquet' for t in ('documents', 'part', 'benchmark')])}"
+    marks = tables.mark(spark, [f"{sf_dir}/{t}.parquet" for t in ("documents", "part", "benchmark")])
+    root = f"{shared_dir(spark)}/search-{si.FORMAT}-{marks}"
     have = si.open_index(spark, root)
     for number, batch in enumerate((_entities, _added), 1):
         if number > version or (have and have.version.number >= number):

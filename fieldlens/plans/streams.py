@@ -7,6 +7,7 @@ topics; an unbounded topic needs them, so they are ours.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from fieldlens.operators.ranking import row_positions
 from fieldlens.operators.stats import percentile_bounds
@@ -175,7 +176,8 @@ def stream_offsets(spark, sf_dir):
     key = F.concat(F.col("user_id").cast("string"), F.lit("_"), "event_type")
     topic = work_path(spark, "topic-sent")
     for part in (0, 1):
-        spark.read.schema(schema).parquet(f"{path}/part={part}").write.mode("append").parquet(topic)
+        sent = spark.read.schema(StructType([*schema.fields, StructField("part", IntegerType())])).parquet(path)
+        sent.filter(F.col("part") == part).drop("part").write.mode("append").parquet(topic)
         sent = topics.envelope(topics.read_topic(spark, topic, schema), "results", key, ["event_id"], {"source": "EVENTS"}, 3, F.col("ts"))
         flat = sent.select("topic", "bucket", F.col("value.event_id").alias("event_id"))
         with topics.counters(spark):
@@ -190,10 +192,10 @@ SELECT g AS consumer, event_id, event_type, value FROM events, (VALUES ('steady'
 def stream_groups(spark, sf_dir):
     """Two consumer groups on one topic, one of them stopped on its way and started again (STR-7)."""
     path, schema = _topic(spark, sf_dir, 4)
-    stream = topics.read_topic(spark, f"{path}/part=*", schema, files_per_batch=1).select("event_id", "event_type", "value")
+    stream = topics.read_topic(spark, path, schema, files_per_batch=1).select("event_id", "event_type", "value")
     sinks = {g: (work_path(spark, f"sink-{g}"), work_path(spark, f"group-{g}")) for g in ("steady", "stopped")}
     topics.drain_some(stream, *sinks["stopped"], batches=2)
     topics.drain(stream, *sinks["steady"])
     topics.drain(stream, *sinks["stopped"])
-    read = [spark.read.parquet(sink).select(F.lit(g).alias("consumer"), "*") for g, (sink, _) in sinks.items()]
+    read = [spark.read.schema(stream.schema).parquet(sink).select(F.lit(g).alias("consumer"), "*") for g, (sink, _) in sinks.items()]
     return read[0].unionByName(read[1])

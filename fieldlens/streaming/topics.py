@@ -47,14 +47,18 @@ def envelope(df: DataFrame, topic: str, key: Column, value: Sequence[str | Colum
         timestamp.alias("timestamp"))
 
 
-def result_events(df: DataFrame, fields: Mapping[str, Column], event_type: str = "NEW_RESULT",
-                  ) -> DataFrame:
+# --- fixed values: words that consumers of the messages look for ----------------
+NEW_RESULT, OUTLIER, WARNING = "NEW_RESULT", "OUTLIER", "WARNING"
+# ------------------------------------------------------------------------------
+
+
+def result_events(df: DataFrame, fields: Mapping[str, Column], event_type: str = NEW_RESULT) -> DataFrame:
     """Messages for new results (STR-2). Works on batches and streams alike."""
     return df.select(*[c.alias(n) for n, c in fields.items()], F.lit(event_type).alias("event_type"))
 
 
 def outlier_alerts(stream: DataFrame, bounds: DataFrame, keys: Sequence[str], value: str,
-                   severity: str = "WARNING") -> DataFrame:
+                   severity: str = WARNING) -> DataFrame:
     """Values outside the bounds of their group (STR-3).
 
     ``bounds`` is a static table with ``threshold_min`` and ``threshold_max`` per
@@ -62,7 +66,7 @@ def outlier_alerts(stream: DataFrame, bounds: DataFrame, keys: Sequence[str], va
     """
     out = stream.join(bounds, list(keys)).filter(
         (F.col(value) < F.col("threshold_min")) | (F.col(value) > F.col("threshold_max")))
-    return out.withColumns({"alert_type": F.lit("OUTLIER"), "severity": F.lit(severity)})
+    return out.withColumns({"alert_type": F.lit(OUTLIER), "severity": F.lit(severity)})
 
 
 def first_located(messages: DataFrame, key: str, lat: str = "lat", lon: str = "lon",
@@ -157,11 +161,13 @@ def counters(spark: SparkSession) -> Iterator[None]:
 
 
 def drain_some(stream: DataFrame, sink: str, checkpoint: str, batches: int) -> None:
-    """A consumer that is stopped after at least ``batches`` batches, wherever it is then; ``drain`` goes on from there."""
+    """A consumer that is stopped after at least ``batches`` batches, or when nothing is left; ``drain`` goes on from there."""
     query = (stream.writeStream.format("parquet").option("path", sink)
              .option("checkpointLocation", checkpoint).start())
     try:
-        while query.isActive and (query.lastProgress is None or query.lastProgress["batchId"] + 1 < batches):
+        while query.isActive and query.status["message"] != "Waiting for data to arrive":
+            if query.lastProgress and query.lastProgress["batchId"] + 1 >= batches:
+                break
             query.awaitTermination(0.1)
     finally:
         query.stop()

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from fieldlens.plans.catalog_views import kept_index
 from fieldlens.plans.registry import QUERIES
 
 FITTED = {"gbt_regression", "prediction_export", "gbt_classifier", "tune_classifier",
@@ -53,9 +54,12 @@ def test_reads_are_not_dealt_out_again(spark, small, name):
 
 
 def test_search_reads_a_stored_index_with_pushed_tokens(spark, small):
-    text = formatted(entry.queries()["search_query"](spark, small))
+    index = kept_index(spark, small, 1)
+    text = formatted(index.hits("The and WITH"))
     assert "EqualTo(token,with)" in text and "Generate" not in text
-    assert "PushedFilters: [Or(StringStartsWith(token,ere)" in formatted(entry.queries()["search_prefix"](spark, small))
+    assert "PushedFilters: [Or(StringStartsWith(token,ere)" in formatted(index.hits("lés éré*"))
+    page = formatted(entry.queries()["search_query"](spark, small))
+    assert "In(entity_id, [" in page and "Generate" not in page
 
 
 @pytest.mark.parametrize("name", ["contract_report", "catalog_columns", "profile_columns"])

@@ -9,6 +9,7 @@ from fieldlens.operators import search_index as si
 from fieldlens.operators.catalog import Term, parse_query
 from fieldlens.plans import catalog_views
 from fieldlens.plans.registry import QUERIES
+from fieldlens.sources import tables
 from fieldlens.sources.snapshots import Snapshots, VersionTaken
 
 SCHEMA = "entity_type string, entity_id string, title string, description string"
@@ -103,6 +104,15 @@ def test_a_filter_on_tokens_reaches_the_files(built):
     assert "PushedFilters: [IsNotNull(token), EqualTo(token,ble)]" in plan
 
 
+def test_the_mark_follows_the_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(5).write.parquet(path)
+    first = tables.mark(spark, [path])
+    assert first == tables.mark(spark, [path]) != tables.mark(spark, [path, path])
+    spark.range(5).write.mode("append").parquet(path)
+    assert tables.mark(spark, [path]) != first
+
+
 def test_queries_find_the_index_again(spark, small):
     """The second query reads what the first has built."""
     first = catalog_views.kept_index(spark, small, 1)
