@@ -200,12 +200,18 @@ def permutation_importance(test: DataFrame, columns: Sequence[str], label: str,
 
 
 def export_predictions(scored: DataFrame, columns: Sequence[str], target: str,
-                       check: bool = True) -> DataFrame:
-    """Rounded prediction with its absolute error; equal rows are refused (ML-17)."""
+                       check: bool = True, source_row: Sequence[str] = ()) -> DataFrame:
+    """Rounded prediction with its absolute error; equal rows are refused (ML-17).
+
+    ``source_row`` has columns that tell rows apart without being exported: rows of the source that are equal in
+    what is shown are kept, and the same row twice is refused.
+    """
     rounded = F.round("prediction", 3)
-    out = scored.select(*columns, target, rounded.alias("prediction"),
-                        F.round(F.abs(F.col(target) - rounded), 3).alias("abs_error"))
-    return require_no_duplicates(out) if check else out
+    shown = [*columns, target, rounded.alias("prediction"),
+             F.round(F.abs(F.col(target) - rounded), 3).alias("abs_error")]
+    if check:
+        require_no_duplicates(scored.select(*source_row, *shown))
+    return scored.select(*shown)
 
 
 def score_rows(df: DataFrame, numeric: Sequence[str], text: Sequence[str], features: Features,

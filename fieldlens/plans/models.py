@@ -233,8 +233,8 @@ def _parts(spark, sf_dir):
     rule = (F.lit(30) + F.when(quantity >= 25, 30).otherwise(0) + F.when(design == "A", 0).when(design == "N", 10).otherwise(20)
             + F.when(F.col("species") >= "PROMO", 5).otherwise(0))
     deviation = (F.pmod(F.col("exp_id") + 3 * F.col("rep"), F.lit(7)) - 3) / 10.0
-    rows = entries(spark, sf_dir).select(
-        "exp_id", "rep", F.when(F.col("rep") < 7, F.col("entry")).alias("entry"), "year", "trial_year", "species", "pedigree", "region",
+    rows = entries(spark, sf_dir, "source_row").select(
+        "source_row", "exp_id", "rep", F.when(F.col("rep") < 7, F.col("entry")).alias("entry"), "year", "trial_year", "species", "pedigree", "region",
         "design", quantity.alias("quantity"), F.round(rule + deviation, 1).alias("result_num"))
     rows = ev.dataset(rows, "result_num", 0, 250).withColumn("label", F.col("result_num") >= HIGH_YIELD)
     split, _ = stored(ev.temporal_split(rows, "trial_year"), "model-rows")
@@ -308,10 +308,14 @@ def gbt_regression(spark, sf_dir):
 WITH {MODEL_SQL} SELECT exp_id, rep, entry, year, species, region, result_num, CAST(rule AS DOUBLE) AS prediction,
   round(abs(result_num - rule), 1) AS abs_error FROM test""")
 def prediction_export(spark, sf_dir):
-    """Export of each test row with its prediction in whole units and its error, refused if rows repeat (ML-17)."""
+    """Export of each test row with its prediction in whole units and its error (ML-17).
+
+    Two plots may agree in all that is shown, so it is refused only if a row of the source comes twice.
+    """
     train, test = _parts(spark, sf_dir)
     rows = ml.with_prediction(test, *_regressor(train)).withColumn("prediction", F.round("prediction", 0))
-    out = ml.export_predictions(rows, ["exp_id", "rep", "entry", "year", "species", "region"], "result_num")
+    out = ml.export_predictions(rows, ["exp_id", "rep", "entry", "year", "species", "region"], "result_num",
+                                source_row=["source_row"])
     return out.withColumn("abs_error", F.round("abs_error", 1))
 
 

@@ -130,6 +130,18 @@ def test_export_refuses_duplicates(fitted):
         ml.export_predictions(scored.union(scored), ["g", "noise"], "target")
 
 
+def test_export_keeps_plots_that_look_alike(spark, parts):
+    rows = spark.createDataFrame([(1, 7, 40.3, 40.0, 11), (1, 7, 40.3, 40.0, 12)],
+                                 "exp_id int, rep int, target double, prediction double, line int")
+    out = ml.export_predictions(rows, ["exp_id", "rep"], "target", source_row=["line"])
+    assert [tuple(r) for r in out.collect()] == [(1, 7, 40.3, 40.0, 0.3)] * 2
+    with pytest.raises(ValueError, match="2 duplicate"):
+        ml.export_predictions(rows.union(rows), ["exp_id", "rep"], "target", source_row=["line"])
+    train, test = parts
+    both = train.union(test)
+    assert both.select("source_row").distinct().count() == both.count() > 0
+
+
 def test_codes_are_a_table(spark):
     """Values are coded in their order, however many; nulls count as the mode; what is new is -1."""
     words = [f"w{k:05d}" for k in range(3000)]
