@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from fieldlens.operators.quality import column_counts
 from fieldlens.operators.ranking import first_per_key
+from fieldlens.session import discard, stored
 
 # --- fixed values: letters folded before tokens are compared ------------------
 ACCENTED = "àâäáãåçéèêëíìîïñóòôöõúùûüýÿ"
@@ -61,18 +62,31 @@ def entity_rows(df: DataFrame, entity_type: str, key: str, title: str,
 def token_index(entities: DataFrame, columns: Sequence[str] = ("entity_type", "title", "description")) -> DataFrame:
     """Inverted index: token, entity, its frequency and its places, over whole texts (CAT-4).
 
-    The type of an entity is searchable like its title.
+    ``entities`` has one row per entity, as from ``entity_rows``. The type of an entity is searchable like its title.
 
-    Places count the tokens of all columns, with a gap between two columns, so that no phrase crosses them. The text
-    is exploded and folded again inside each task; the key includes the entity, so a token present
-    everywhere spreads over all tasks, and the places of one row are those of one entity.
+    Places count the tokens of all columns, with a gap between two columns, so that no phrase crosses them. The tokens
+    of an entity are sorted inside its row, where equal ones stand together, so no word is shuffled before the index
+    itself is dealt out.
     """
     apart = F.array(F.lit(""))
     lists = [F.coalesce(tokens(F.col(c)), F.array().cast("array<string>")) for c in columns]
     row = F.concat(*[x for c in lists for x in (c, apart)])
-    words = entities.select("entity_type", "entity_id", F.posexplode(row).alias("place", "token")).filter("token <> ''")
-    return words.groupBy("token", "entity_type", "entity_id").agg(
-        F.count(F.lit(1)).alias("tf"), F.array_sort(F.collect_list("place")).alias("places"))
+    placed = F.filter(F.transform(row, lambda t, i: F.struct(t.alias("token"), i.alias("place"))), lambda w: w["token"] != "")
+    found = F.transform(F.array(F.sort_array(placed)), _postings)[0]      # an array of one: the sorted words have a name then
+    return entities.select(F.inline(found), "entity_type", "entity_id").select("token", "entity_type", "entity_id", "tf", "places")
+
+
+def _postings(words: Column) -> Column:
+    """token, tf and places of each distinct token among words (token, place) in their order."""
+    n = F.size(words)
+    numbers = F.filter(F.sequence(F.lit(0), n), lambda i: i < n)
+    starts = F.filter(numbers, lambda i: (i == 0) | (F.get(words, i)["token"] != F.get(words, i - 1)["token"]))
+
+    def posting(first: Column, start: Column, k: Column) -> Column:
+        tf = F.coalesce(F.get(first, k + 1), n) - start
+        return F.struct(F.get(words, start)["token"].alias("token"), tf.cast("long").alias("tf"),
+                        F.transform(F.slice(words, start + 1, tf), lambda w: w["place"]).alias("places"))
+    return F.transform(F.array(starts), lambda first: F.transform(first, lambda start, k: posting(first, start, k)))[0]
 
 
 def write_index(index: DataFrame, path: str) -> DataFrame:
@@ -80,10 +94,13 @@ def write_index(index: DataFrame, path: str) -> DataFrame:
 
     Range partitions and sorted files give every file and row group a narrow span of tokens, so a
     filter on a token, or on the start of one, skips the others by their statistics. A frequent token
-    spreads over several ranges, because the entity is part of the order.
+    spreads over several ranges, because the entity is part of the order. The rows are stored before they are
+    dealt out, since the cuts of the ranges take a pass of their own.
     """
     order = ["token", "entity_type", "entity_id"]
-    index.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+    rows, _ = stored(index, "postings")
+    rows.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+    discard(rows)
     return index.sparkSession.read.schema(index.schema).parquet(path)
 
 

@@ -5,6 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from fieldlens.operators import catalog as cat
 from fieldlens.operators import search_index as si
 from fieldlens.operators.catalog import Term, parse_query
 from fieldlens.plans import catalog_views
@@ -122,3 +123,13 @@ def test_queries_find_the_index_again(spark, small):
     assert again.version == first.version and os.path.getmtime(f"{folder}/postings/_SUCCESS") == made
     QUERIES["search_query"](spark, small).collect()
     assert Snapshots(spark, first.root).numbers()[0] == 1 and os.path.getmtime(f"{folder}/postings/_SUCCESS") == made
+
+
+def test_postings_need_no_shuffle_of_words(spark):
+    """The tokens of an entity are grouped inside its row, gaps and repeats included."""
+    rows = spark.createDataFrame([("document", "1", "Fr", "b a c a. B é"), ("document", "2", None, None)], si.ENTITIES)
+    index = cat.token_index(rows)
+    assert "Exchange" not in index._jdf.queryExecution().executedPlan().toString()
+    got = {(r["token"], r["entity_id"]): (r["tf"], r["places"]) for r in index.collect()}
+    assert got == {("document", "1"): (1, [0]), ("fr", "1"): (1, [2]), ("b", "1"): (2, [4, 8]), ("a", "1"): (2, [5, 7]),
+                   ("c", "1"): (1, [6]), ("e", "1"): (1, [9]), ("document", "2"): (1, [0])}
