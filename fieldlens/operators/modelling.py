@@ -33,6 +33,8 @@ class Boosting:
 REGRESSION = Boosting(step=0.07, rounds=250, depth=5)
 CLASSIFICATION = Boosting(step=0.08, rounds=150, depth=4)
 SEARCH = (Boosting(0.08, 150, 4), Boosting(0.06, 350, 5), Boosting(0.05, 400, 5))
+# Rows of a fit that one task holds, at most and at least.
+MOST_ROWS, LEAST_ROWS = 1_000_000, 20_000
 # ------------------------------------------------------------------------------
 
 
@@ -98,23 +100,34 @@ def fit_features(train: DataFrame, numeric: Sequence[str], text: Sequence[str])
 def _fit(trainer, train: DataFrame, features: Features, target: Column, settings: Boosting, group: str | None):
     """Fit on all rows of ``train``, with the settings that both kinds of trees share.
 
-    The features are stored once, so that no round computes them again, and lineage is cut in the shared folder.
+    The features are stored once, so that no round computes them again, and lineage is cut in the shared folder. They
+    are dealt out anew by their number, because each round goes over all of them.
     With ``group``, a tenth of the groups is held back: fitting ends when their error no longer falls.
     """
     ensure_checkpointing(train.sparkSession)
     held_back = F.pmod(F.xxhash64(group), F.lit(10)) == 0 if group else F.lit(False)
-    rows, _ = stored(features.transform(train).select("features", target.cast("double").alias("__target"),
+    rows, n = stored(features.transform(train).select("features", target.cast("double").alias("__target"),
                                                       held_back.alias("__held")), "fit-rows")
     trainer = trainer.setFeaturesCol("features").setLabelCol("__target").setStepSize(settings.step).setMaxIter(
         settings.rounds).setMaxDepth(settings.depth).setMaxBins(64).setMinInstancesPerNode(20).setSeed(
         settings.seed).setCheckpointInterval(10)
     if group:
         trainer = trainer.setValidationIndicatorCol("__held")
-    model = trainer.fit(rows)
+    model = trainer.fit(rows.repartition(fit_tasks(train.sparkSession, n)))
     discard(rows)
     return model
 
 
+def fit_tasks(spark, rows: int) -> int:
+    """Parts that the rows of a fit are dealt into.
+
+    Vectors are small in a file and large in memory, so the sizes of files say little: every core has a part as soon
+    as there are rows enough, and a part does not grow with the table.
+    """
+    cores = min(spark.sparkContext.defaultParallelism, -(-rows // LEAST_ROWS))
+    return max(1, cores, -(-rows // MOST_ROWS))
+
+
 def fit_regressor(train: DataFrame, features: Features, target: str, settings: Boosting = REGRESSION,
                   group: str | None = None):
     """Boosted regression trees on every row of ``train`` (ML-5)."""

@@ -153,6 +153,21 @@ def test_codes_are_a_table(spark):
     assert features.transform(df.limit(0)).collect() == []
 
 
+def test_fit_rows_are_dealt_by_their_number(spark, monkeypatch, fitted):
+    """A small file does not mean few tasks, and a part does not grow with the table."""
+    cores = spark.sparkContext.defaultParallelism
+    assert ml.fit_tasks(spark, 0) == ml.fit_tasks(spark, 10) == 1
+    assert ml.fit_tasks(spark, cores * ml.LEAST_ROWS) == cores
+    assert ml.fit_tasks(spark, 216_000_001) == max(cores, 217)
+    seen = []
+    whole = ml.GBTClassifier.fit
+    monkeypatch.setattr(ml, "LEAST_ROWS", 100)
+    monkeypatch.setattr(ml.GBTClassifier, "fit", lambda self, rows: seen.append(rows.rdd.getNumPartitions()) or whole(self, rows))
+    df, features, *_ = fitted
+    ml.fit_classifier(df, features, "label", ml.Boosting(rounds=1, depth=2))
+    assert seen == [min(cores, 6)]
+
+
 class Constant:
     """A model that says the same of every row."""
 
