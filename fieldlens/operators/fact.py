@@ -52,10 +52,14 @@ def pivot_first(df: DataFrame, keys: Sequence[str], column: str, value: str,
 
 def pivot_mean(df: DataFrame, keys: Sequence[str], column: str, value: str,
                names: Sequence[str] | None = None) -> DataFrame:
-    """Trait rows to columns, averaging repeats (AGG-18)."""
+    """Trait rows to columns, averaging repeats (AGG-18).
+
+    With ``names``, all traits of a unit fold into one row before the only shuffle; without, each trait is a row of it.
+    """
     grouped = df.filter(F.col(value).isNotNull()).groupBy(*keys)
-    pivoted = grouped.pivot(column, list(names)) if names else grouped.pivot(column)
-    return pivoted.agg(F.avg(value))
+    if not names:
+        return grouped.pivot(column).agg(F.avg(value))
+    return grouped.agg(*[F.avg(F.when(F.col(column) == n, F.col(value))).alias(n) for n in names])
 
 
 def assemble_fact(results: DataFrame, trials: DataFrame, plots: DataFrame, materials: DataFrame,

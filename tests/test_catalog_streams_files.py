@@ -205,3 +205,30 @@ def test_intermediate_tables_live_in_the_configured_folder(spark):
     table, rows = session.stored(spark.range(5), "probe")
     assert rows == 5 and table.count() == 5
     assert session.work_path(spark, "a") != session.work_path(spark, "a")
+
+
+def test_named_traits_pivot_in_one_shuffle(spark):
+    rows = spark.createDataFrame([(1, "A", 1.0), (1, "A", 3.0), (1, "B", 5.0), (2, "C", 7.0), (None, "B", 2.0), (3, None, 1.0), (4, "A", None)],
+                                 "u int, t string, v double")
+    wide = facts.pivot_mean(rows, ["u"], "t", "v", ["A", "B"])
+    assert wide._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert wide.columns == ["u", "A", "B"]
+    assert sorted(map(str, map(tuple, wide.collect()))) == sorted(map(str, [(1, 2.0, 5.0), (2, None, None), (None, None, 2.0), (3, None, None)]))
+
+
+def test_results_move_without_their_trials(spark):
+    """The trials join last, and their qualifications join them first; trials and keys without a match stay."""
+    results = spark.createDataFrame([(1, 1, 5.0), (1, 2, 6.0), (2, 1, 7.0), (None, 1, 8.0)], "exp int, rep int, v double")
+    trials = spark.createDataFrame([(1, 10, "N"), (2, None, "S")], "exp int, loc int, region string")
+    plots = spark.createDataFrame([(1, 1, 100), (1, 1, 100), (1, 1, 101), (1, 2, 999)], "exp int, rep int, stock int")
+    materials = spark.createDataFrame([(100, "b"), (100, "a"), (101, "c")], "stock int, name string")
+    quals = spark.createDataFrame([(10, "good")], "loc int, grade string")
+    fact = facts.assemble_fact(results, trials, plots, materials, quals, trial_key=["exp"], plot_keys=["exp", "rep"],
+                               material_key=["stock"], qualification_keys=["loc"])
+    assert set(fact.columns) == {"exp", "rep", "v", "loc", "region", "stock", "name", "grade"}
+    got = {tuple(r) for r in fact.select("exp", "rep", "v", "region", "stock", "name", "grade").collect()}
+    assert got == {(1, 1, 5.0, "N", 100, "a", "good"), (1, 1, 5.0, "N", 101, "c", "good"), (1, 2, 6.0, "N", 999, None, "good"),
+                   (2, 1, 7.0, "S", None, None, None), (None, 1, 8.0, None, None, None, None)}
+    plan = fact._jdf.queryExecution().optimizedPlan().toString()
+    top = next(line for line in plan.splitlines() if "Join LeftOuter" in line)
+    assert "exp#" in top and "loc#" not in top
