@@ -72,9 +72,24 @@ def assemble_fact(results: DataFrame, trials: DataFrame, plots: DataFrame, mater
     fan-out is part of the data and is kept. Materials are cut to one row per
     key in a fixed order. Small dimensions are broadcast by Spark when their
     measured size allows; otherwise the joins shuffle and split skewed keys.
+
+    The results stay narrow as long as they move: plots and materials come first, and the trials last, with their
+    qualifications joined to them before, where the keys of these are columns of the trials.
     """
-    fact = attach(results, trials, trial_key)
-    fact = attach(fact, plots.distinct(), plot_keys)
     rest = [c for c in materials.columns if c not in material_key]
+    late = [c for c in qualifications.columns if c not in qualification_keys]
+    of_trials = all(k in trials.columns and k not in trial_key for k in qualification_keys)
+    if of_trials:
+        trials = attach(trials, qualifications, qualification_keys)
+    alone = plots.repartition(*plot_keys).distinct()       # dealt out once, by what the join needs
+    first = all(k in results.columns for k in plot_keys) and not set(material_key) & set(trials.columns)
+    fact = results if first else attach(results, trials, trial_key)
+    fact = attach(fact, alone, plot_keys)
     fact = attach(fact, first_per_key(materials, material_key, rest), material_key)
-    return attach(fact, qualifications, qualification_keys)
+    if first:
+        fact = attach(fact, trials, trial_key)
+    if not of_trials:
+        fact = attach(fact, qualifications, qualification_keys)
+    middle = [c for c in trials.columns if c not in trial_key and c not in late]
+    own = [c for c in plots.columns if c not in plot_keys]
+    return fact.select(*results.columns, *middle, *own, *[c for c in rest if c not in own], *late)
