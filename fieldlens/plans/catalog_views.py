@@ -13,7 +13,7 @@ from fieldlens.operators import search_index as si
 from fieldlens.operators import sketches
 from fieldlens.operators.quality import column_counts
 from fieldlens.operators.ranking import first_per_key
-from fieldlens.plans.driver import FACT_SQL, fact, materials, table, with_fact
+from fieldlens.plans.driver import FACT_SQL, fact, materials, table, trials, with_fact
 from fieldlens.plans.registry import query
 from fieldlens.session import shared_dir, work_path
 from fieldlens.sources import sinks, tables
@@ -31,8 +31,11 @@ def _trial_rows(spark, sf_dir, cells=None):
     columns = [c for family in _TRIAL_CELLS.values() for c in family]
     chosen = list(cells or columns)
     assert columns[:len(chosen)] == chosen      # the smallest row of a trial is found by its cells in this order
-    located = any(c in chosen for c in columns[2:])
-    one = agg.entities(fact(spark, sf_dir, ["QTY"], located=located), "exp_id", chosen)
+    of_plots, of_trials = chosen[:2], chosen[2:]
+    # The smallest row of a trial is the smallest of its plots next to the trial's own cells, so these join afterwards.
+    one = agg.entities(fact(spark, sf_dir, ["QTY"], located=False), "exp_id", of_plots)
+    if of_trials:
+        one = one.join(agg.entities(trials(spark, sf_dir), "exp_id", of_trials), "exp_id", "left")
     families = {f: [c for c in cs if c in chosen] for f, cs in _TRIAL_CELLS.items()}
     keys = ["year", "exp_id"] if "year" in chosen else ["exp_id"]
     return wide.wide_rows(one, keys, {f: cs for f, cs in families.items() if cs})
