@@ -142,8 +142,7 @@ WITH {TRIALS_SQL} SELECT exp_id, round(lat, 4) AS lat, round(lon, 4) AS lon, reg
 def stream_geo_events(spark, sf_dir):
     """One message per located trial, as a stream with a watermark, drained to a sink (STR-4)."""
     source, sink, group = (work_path(spark, n) for n in ("geo-in", "geo-out", "geo-group"))
-    located = trials(spark, sf_dir).join(table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("exp_id"), F.col("o_orderdate").cast("timestamp").alias("at")), "exp_id")
+    located = trials(spark, sf_dir, at="at").filter("lat IS NOT NULL AND lon IS NOT NULL")
     located.select("exp_id", "lat", "lon", "region", "at").write.parquet(source)
     stream = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
     topics.drain(topics.first_located(stream, "exp_id", time="at"), sink, group)

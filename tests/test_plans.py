@@ -67,3 +67,15 @@ def test_no_text_enters_a_shuffle_key(spark, small, name):
     text = plan(entry.queries()[name](spark, small))
     keys = [line for line in text.split("\n") if "Exchange hashpartitioning" in line]
     assert keys and not any("text#" in k or "p_name#" in k or "value#" in k.split("[")[0] and "value.a" not in k for k in keys if "struct" in k)
+
+
+def test_trials_join_what_is_already_one_row_a_trial(spark):
+    """Wide trials take the trial's own cells after their plots are folded; their time needs no second pass over the orders."""
+    from fieldlens.plans import catalog_views, driver
+    folder = "/root/testdata/sf0.001"
+    plan = catalog_views._trial_rows(spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+    steps = [line.strip(" :+-") for line in plan.splitlines()]
+    assert next(s for s in steps if s.startswith(("Join", "Aggregate"))).startswith("Join LeftOuter")
+    timed = driver.trials(spark, folder, at="at")
+    assert timed.columns == [*driver.trials(spark, folder).columns, "at"]
+    assert timed.filter("at IS NULL").isEmpty()
