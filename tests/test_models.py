@@ -227,3 +227,19 @@ def test_fits_use_every_row_and_the_full_settings(spark, monkeypatch, parts):
     features = ml.fit_features(train, plans.MODEL_NUMERIC, plans.MODEL_TEXT)
     model = ml.fit_classifier(train, features, "label", ml.Boosting(rounds=3, depth=2), group="exp_id")
     assert seen == [train.count()] and model.getMaxIter() == 3 and model.getNumTrees <= 3
+
+
+def test_fits_side_by_side_share_rows_and_cores(spark, monkeypatch, fitted):
+    """The rows of a fold are stored once for all configurations, and few fits run at once when a fit fills the cores."""
+    cores = spark.sparkContext.defaultParallelism
+    assert ml.fits_at_once(spark, 600, 9) == 9
+    assert ml.fits_at_once(spark, 3 * cores * ml.MOST_ROWS + 1, 9) == 1
+    assert ml.fit_tasks(spark, 2_400_000, 9) == max(3, -(-cores // 9))
+    labels, parts = [], []
+    whole, fit = ml.stored, ml.GBTClassifier.fit
+    monkeypatch.setattr(ml, "LEAST_ROWS", 10)
+    monkeypatch.setattr(ml, "stored", lambda df, label: labels.append(label) or whole(df, label))
+    monkeypatch.setattr(ml.GBTClassifier, "fit", lambda self, rows: parts.append(rows.rdd.getNumPartitions()) or fit(self, rows))
+    quick = ml.Boosting(rounds=1, depth=2)
+    ml.tune_classifier(fitted[0], ["year", "noise"], ["kind"], "label", "g", [quick, quick, quick]).collect()
+    assert labels.count("fit-rows") == 3 and parts == [-(-cores // 9)] * 9
