@@ -376,8 +376,8 @@ def score_batch(spark, sf_dir):
     """
     train, test = _parts(spark, sf_dir)
     best = ml.tune_classifier(train, MODEL_NUMERIC, MODEL_TEXT, "label", "exp_id", [ml.CLASSIFICATION]).first()
-    features, regressor = _regressor(train)
-    classifier = ml.fit_classifier(train, features, "label", group="exp_id")
+    features = ml.fit_features(train, MODEL_NUMERIC, MODEL_TEXT)
+    regressor, classifier = ml.fit_both(train, features, "result_num", "label", "exp_id")
     out = ml.score_rows(test.select("exp_id", *MODEL_NUMERIC, *MODEL_TEXT), MODEL_NUMERIC, MODEL_TEXT, features, regressor, classifier,
                         best["threshold"])
     return out.select("exp_id", "rep", "entry", F.round("prediction", 0).alias("prediction"), "high_yield",
