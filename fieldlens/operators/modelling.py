@@ -70,15 +70,22 @@ class Features:
             **{f"{c}__f": F.coalesce(F.col(c).cast("double"), F.lit(float(self.medians.get(c) or 0.0))) for c in self.numeric},
             **{f"{c}__t": F.coalesce(F.col(c).cast("string"), F.lit(self.modes.get(c, ""))) for c in self.text}})
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        """``df`` with a vector column ``features``; a text value that was not seen in training is -1."""
+    def coded(self, df: DataFrame) -> DataFrame:
+        """``df`` with the number of each feature as ``<c>__f``; a text value that was not seen in training is -1."""
         out = self.filled(df)
         for c in self.text:
             known = self.codes.filter(F.col("column_name") == c).select(
                 F.col("value").alias(f"{c}__t"), F.col("code").cast("double").alias(f"{c}__c"))
             out = out.join(known, f"{c}__t", "left").withColumn(f"{c}__f", F.coalesce(f"{c}__c", F.lit(-1.0)))
-        vector = VectorAssembler(inputCols=[f"{c}__f" for c in (*self.numeric, *self.text)], outputCol="features")
-        return vector.transform(out).select(*df.columns, "features")
+        return out.select(*df.columns, *[f"{c}__f" for c in (*self.numeric, *self.text)])
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` with a vector column ``features``."""
+        return as_vectors(self.coded(df), [f"{c}__f" for c in (*self.numeric, *self.text)]).select(*df.columns, "features")
+
+
+def as_vectors(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return VectorAssembler(inputCols=list(columns), outputCol="features").transform(df)
 
 
 def fit_features(train: DataFrame, numeric: Sequence[str], text: Sequence[str]) -> Features:
@@ -221,39 +228,59 @@ def tune_classifier(train: DataFrame, numeric: Sequence[str], text: Sequence[str
     return reduce(lambda a, b: a.unionByName(b), rows)
 
 
+def feature_importance(test: DataFrame, features: Features, label: str, model, repeats: int = 5) -> DataFrame:
+    """Permutation importance of a fitted classifier's features (ML-14).
+
+    The test rows get their numbers once, before any is shuffled; a code moves as its value would. A feature
+    that no tree splits on cannot change a score, so its loss is zero and its shuffles are not scored.
+    """
+    names = [*features.numeric, *features.text]
+    rows = features.coded(test).select(label, *[F.col(f"{c}__f").alias(c) for c in names])
+    splits = getattr(model, "featureImportances", None)      # only trees tell which features they split on
+    used = set(names) if splits is None else {names[i] for i in splits.indices}
+    return permutation_importance(rows, names, label, lambda df: model.transform(as_vectors(df, names)).select(
+        *df.columns, vector_to_array("probability")[1].alias("probability")), repeats, [c for c in names if c not in used])
+
+
 def permutation_importance(test: DataFrame, columns: Sequence[str], label: str, score,
-                           repeats: int = 5) -> DataFrame:
+                           repeats: int = 5, unused: Sequence[str] = ()) -> DataFrame:
     """Mean and deviation of the AUC lost when one feature is shuffled (ML-14).
 
     Rows are numbered once in hash order. Shifting the numbers by a different
     distance per repeat pairs every row with another one, which is a shuffle
     without a global sort per feature. All features and repeats are scored and
-    compared in one job. ``score`` adds a ``probability`` column to a DataFrame.
+    compared in one job. ``score`` adds a ``probability`` column to a DataFrame. Columns of ``unused`` are
+    known to have no part in it: they lose nothing.
     """
+    shuffled_columns = [c for c in columns if c not in set(unused)]
+    nothing = test.sparkSession.createDataFrame([(c, 0.0, 0.0) for c in columns if c not in shuffled_columns],
+                                                "feature string, importance_mean double, importance_std double")
     held, n = stored(test.select(*columns, label).withColumn(
         "row_id", F.monotonically_increasing_id()), "test-rows")     # row ids are fixed now
     rows, _ = stored(row_positions(held, [], [F.xxhash64("row_id"), F.col("row_id")], "place"),
                      "test-places")
     if n == 0:
         raise ValueError("no test rows")
+    if not shuffled_columns:
+        return nothing.orderBy("feature")
     shifts = [1 + (r * n) // (repeats + 1) for r in range(1, repeats + 1)]
-    others = rows.select("place", *[F.col(c).alias(f"__{c}") for c in columns])
+    others = rows.select("place", *[F.col(c).alias(f"__{c}") for c in shuffled_columns])
     pairs = rows.withColumn("shuffle", F.explode(F.array(*[
         F.struct(F.lit(r).alias("repeat"), F.pmod(F.col("place") + s, F.lit(n)).alias("partner"))
         for r, s in enumerate(shifts)])))
     joined = pairs.select("*", F.col("shuffle.repeat").alias("repeat"),
                           F.col("shuffle.partner").alias("partner")).drop("shuffle", "place").join(
         others, F.col("partner") == others["place"])
-    mixed = joined.withColumn("feature", F.explode(F.array(*[F.lit(c) for c in columns]))).select(
+    mixed = joined.withColumn("feature", F.explode(F.array(*[F.lit(c) for c in shuffled_columns]))).select(
         "feature", "repeat", label,
-        *[F.when(F.col("feature") == c, F.col(f"__{c}")).otherwise(F.col(c)).alias(c)
+        *[F.when(F.col("feature") == c, F.col(f"__{c}")).otherwise(F.col(c)).alias(c) if c in shuffled_columns else c
           for c in columns])
     base = ev.roc_auc(score(rows.select(*columns, label)), label, "probability").select("auc")
     shuffled = ev.roc_auc(score(mixed), label, "probability", ["feature", "repeat"])
     lost = shuffled.withColumn("lost", base.scalar() - F.col("auc"))
     return lost.groupBy("feature").agg(
         F.round(F.avg("lost"), 6).alias("importance_mean"),
-        F.round(F.stddev_pop("lost"), 6).alias("importance_std")).orderBy(
+        F.round(F.stddev_pop("lost"), 6).alias("importance_std")).unionByName(nothing).orderBy(
         F.col("importance_mean").desc(), "feature")
 
 

@@ -362,7 +362,7 @@ def permutation_importance(spark, sf_dir):
     """
     train, test = _parts(spark, sf_dir)
     features, model = _classifier(train)
-    lost = ml.permutation_importance(test, [*MODEL_NUMERIC, *MODEL_TEXT], "label", lambda df: ml.with_probability(df, features, model))
+    lost = ml.feature_importance(test, features, "label", model)
     return lost.select("feature", (F.col("importance_mean") > 0.001).alias("matters"))
 
 

@@ -243,3 +243,39 @@ def test_fits_side_by_side_share_rows_and_cores(spark, monkeypatch, fitted):
     quick = ml.Boosting(rounds=1, depth=2)
     ml.tune_classifier(fitted[0], ["year", "noise"], ["kind"], "label", "g", [quick, quick, quick]).collect()
     assert labels.count("fit-rows") == 3 and parts == [-(-cores // 9)] * 9
+
+
+def test_both_models_learn_from_rows_stored_once(spark, monkeypatch, fitted):
+    df, features, *_ = fitted
+    quick, labels, whole = ml.Boosting(rounds=2, depth=2), [], ml.stored
+    monkeypatch.setattr(ml, "REGRESSION", quick)
+    monkeypatch.setattr(ml, "CLASSIFICATION", quick)
+    monkeypatch.setattr(ml, "stored", lambda df, label: labels.append(label) or whole(df, label))
+    regressor, classifier = ml.fit_both(df, features, "target", "label", "g")
+    assert labels == ["fit-rows"]
+    asked = []
+    monkeypatch.setattr(ml.Features, "transform", lambda self, d, t=ml.Features.transform: asked.append(1) or t(self, d))
+    got = ml.score_rows(df, ["year", "noise"], ["kind"], features, regressor, classifier, 0.5)
+    assert len(asked) == 1
+    want = ml.with_probability(ml.with_prediction(df, features, regressor), features, classifier)
+    fields = ["g", "target", F.round("prediction", 3), F.round("probability", 4)]
+    assert sorted(map(tuple, got.select(*fields).collect())) == sorted(map(tuple, want.select(*fields).collect()))
+
+
+def test_importance_numbers_rows_once(spark, fitted):
+    """The same losses as by shuffling the given values; no join with the codes after the shuffle; unused features are not scored."""
+    df, features, _, model = fitted
+    df = df.withColumn("flat", F.lit(1.0))
+    features = ml.fit_features(df, ["year", "noise", "flat"], ["kind"])
+    model = ml.fit_classifier(df, features, "label", ml.Boosting(rounds=3, depth=3))
+    names, sizes = ["year", "noise", "flat", "kind"], []
+    fast = {tuple(r) for r in ml.feature_importance(df, features, "label", model, 2).collect()}
+    slow = {tuple(r) for r in ml.permutation_importance(df, names, "label", lambda d: ml.with_probability(d, features, model), 2).collect()}
+    assert {f for f, *_ in fast} == set(names) and ("flat", 0.0, 0.0) in fast
+    assert {f: m > 0.05 for f, m, _ in fast} == {f: m > 0.05 for f, m, _ in slow}
+
+    def score(d):
+        sizes.append(d)
+        return ml.with_probability(d, features, model)
+    ml.permutation_importance(df, names, "label", score, 2, unused=["flat"]).collect()
+    assert sizes[1].select("feature").distinct().count() == 3
