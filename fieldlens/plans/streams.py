@@ -156,11 +156,23 @@ def stream_topic_stats(spark, sf_dir):
     return topics.latest_updates(spark, sink, ["topic", "bucket"])
 
 
-def _topic(spark, sf_dir, files):
-    """The event table written as a topic of several files, cut by event_id."""
+# Messages in one file of a topic, at most.
+FILE_ROWS = 1_000_000
+# Files of it that are numbered together: a bucket's share of them is sorted in one task.
+FILES_AT_ONCE = 3
+
+
+def _topic(spark, sf_dir, parts):
+    """The event table written as a topic in parts, cut by event_id; a part has more files as the table grows.
+
+    Each part is a pass of its own that streams into its files: nothing is dealt out or sorted, so no task holds a part.
+    """
     path = work_path(spark, "topic")
     events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    events.withColumn("part", F.pmod("event_id", F.lit(files)).cast("int")).repartition(files, "part").write.partitionBy("part").parquet(path)
+    files = max(1, -(-events.count() // (parts * FILE_ROWS)))
+    for part in range(parts):
+        mine = events.filter(F.pmod("event_id", F.lit(parts)) == part)
+        mine.coalesce(files).write.option("maxRecordsPerFile", FILE_ROWS).parquet(f"{path}/part={part}")
     return path, events.schema
 
 
@@ -177,8 +189,8 @@ def stream_offsets(spark, sf_dir):
     topic = work_path(spark, "topic-sent")
     for part in (0, 1):
         sent = spark.read.schema(StructType([*schema.fields, StructField("part", IntegerType())])).parquet(path)
-        sent.filter(F.col("part") == part).drop("part").write.mode("append").parquet(topic)
-        sent = topics.envelope(topics.read_topic(spark, topic, schema), "results", key, ["event_id"], {"source": "EVENTS"}, 3, F.col("ts"))
+        sent.filter(F.col("part") == part).drop("part").write.mode("append").option("maxRecordsPerFile", FILE_ROWS).parquet(topic)
+        sent = topics.envelope(topics.read_topic(spark, topic, schema, files_per_batch=FILES_AT_ONCE), "results", key, ["event_id"], {"source": "EVENTS"}, 3, F.col("ts"))
         flat = sent.select("topic", "bucket", F.col("value.event_id").alias("event_id"))
         with topics.counters(spark):
             topics.drain(topics.stamped(flat, ["event_id"]), sink, group)

@@ -232,3 +232,21 @@ def test_results_move_without_their_trials(spark):
     plan = fact._jdf.queryExecution().optimizedPlan().toString()
     top = next(line for line in plan.splitlines() if "Join LeftOuter" in line)
     assert "exp#" in top and "loc#" not in top
+
+
+def test_topics_are_cut_into_bounded_files(spark, small, monkeypatch):
+    """A larger event table makes more files of a topic, not larger ones, and offsets go on from batch to batch."""
+    from fieldlens.plans import streams
+    monkeypatch.setattr(streams, "FILE_ROWS", 50, raising=False)
+    path, schema = streams._topic(spark, small, 2)
+    messages = spark.read.parquet(path)
+    sizes = [r["count"] for r in messages.groupBy("part", F.col("_metadata.file_path").alias("f")).count().collect()]
+    n = spark.read.parquet(f"{small}/events.parquet").count()
+    assert sum(sizes) == messages.select("event_id").distinct().count() == n > 100 and max(sizes) <= 50
+    assert messages.filter("part <> event_id % 2").isEmpty()
+    rows = streams.stream_offsets(spark, small).collect()
+    for bucket in {r["bucket"] for r in rows}:
+        first, second = sorted((r for r in rows if r["bucket"] == bucket), key=lambda r: r["sent"])
+        assert (first["first_offset"], second["first_offset"]) == (0, first["n"])
+        assert second["last_offset"] == first["n"] + second["n"] - 1
+        assert second["sum_offsets"] == sum(range(first["n"], first["n"] + second["n"]))
