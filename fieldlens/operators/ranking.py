@@ -98,14 +98,15 @@ def row_positions(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
 
 
 def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float],
-                      weight: str | None = None) -> DataFrame:
+                      weight: str | None = None, folded: bool = False) -> DataFrame:
     """Exact percentiles with linear interpolation, one row per group.
 
     ``probs`` maps an output column to a probability. Equal values are counted
     before the shuffle, and only value ranges that hold a wanted rank are sorted.
-    ``weight`` names a column that says how many equal rows each row stands for.
+    ``weight`` names a column that says how many equal rows each row stands for. ``folded`` says that few rows of a
+    group are equal any more: they are dealt as they are, because counting again would hold a task's rows in memory.
     """
-    ranged, by = _folded_ranges(df, keys, value, weight, ["__n"])
+    ranged, by = _folded_ranges(df, keys, value, weight, ["__n"], folded)
     return _picked(ranged, by, value, probs).select(*keys, *probs)
 
 
@@ -126,10 +127,11 @@ def described(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, f
         *keys, "count", "mean", "std", "min", "max", *probs)
 
 
-def _folded_ranges(df, keys, value, weight, measures):
-    """Equal values counted (and summed), dealt into ranges; and the keys that group them."""
+def _folded_ranges(df, keys, value, weight, measures, folded=False):
+    """Equal values counted (and summed) unless they are, dealt into ranges; and the keys that group them."""
     base, by = _with_keys(df.select(*keys, value, *([weight] if weight else [])), keys)
-    counted = base.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(
+    known = base.filter(F.col(value).isNotNull())
+    counted = known.withColumnRenamed(weight, "__n") if folded else known.groupBy(*by, value).agg(
         (F.sum(weight) if weight else F.count(F.lit(1))).alias("__n"))
     if "__s" in measures:
         counted = counted.withColumn("__s", F.col("__n") * F.col(value).cast("double"))

@@ -167,3 +167,23 @@ def test_outliers_and_box(spark):
     box = st.box_summary(df, "k", "v", trim=(0, 1)).collect()
     assert len(box) == 1
     assert (box[0]["median"], box[0]["whisker_high"], box[0]["n_fliers"], box[0]["n_rows"]) == (50.0, 99.0, 1, 101)
+
+
+def test_box_folds_values_once(spark, monkeypatch):
+    """Trimming and quartiles deal the counted values as they are: counting them again would hold a task's rows."""
+    from fieldlens.operators import ranking
+    rows = [("ab"[i % 2], float(i // 3)) for i in range(300)]
+    plans, whole = [], ranking.stored
+
+    def seen(df, label):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return whole(df, label)
+    monkeypatch.setattr(ranking, "stored", seen)
+    got = {r["k"]: r for r in st.box_summary(spark.createDataFrame(rows, "k string, v double"), "k", "v").collect()}
+    dealt = [p.split("Relation")[0] for p in plans]
+    assert len(dealt) == 2 and not any("sum(__w" in p for p in dealt)
+    low, high = np.quantile([v for _, v in rows], [0.01, 0.99])
+    for k in "ab":
+        inside = [v for key, v in rows if key == k and low <= v <= high]
+        assert got[k]["n_rows"] == len(inside)
+        assert [got[k][c] for c in ("q1", "median", "q3")] == pytest.approx(list(np.quantile(inside, [0.25, 0.5, 0.75])))
