@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldlens.operators import evaluation as ev
+from fieldlens.operators.folding import Folding, fit_folded
 from fieldlens.operators.quality import require_columns, require_no_duplicates
 from fieldlens.operators.ranking import exact_percentiles, row_positions
 from fieldlens.session import discard, ensure_checkpointing, sent_if_small, stored
@@ -36,6 +37,8 @@ SEARCH = (Boosting(0.08, 150, 4), Boosting(0.06, 350, 5), Boosting(0.05, 400, 5)
 # Rows of a fit that one task holds, at most and at least; full tasks a core may hold of fits that run at the same time.
 MOST_ROWS, LEAST_ROWS = 1_000_000, 20_000
 HELD_TASKS = 3
+# Rows from which a classifier learns from folded rows; bins of a feature.
+FOLD_ROWS, BINS = 1_000_000, 64
 # ------------------------------------------------------------------------------
 
 
@@ -116,29 +119,44 @@ def fit_rows(train: DataFrame, features: Features, targets: Mapping[str, Column]
                                                    held_back.alias("__held")), "fit-rows")
 
 
-def _fit(trainer, rows: DataFrame, n: int, target: str, settings: Boosting, held_back: bool, side: int = 1):
+def folding_of(rows: DataFrame, n: int, target: str) -> Folding | None:
+    """What the classifiers that learn from the same rows share, if these are many."""
+    return Folding(rows, n, target, BINS) if n >= FOLD_ROWS else None
+
+
+def _fit(trainer, rows: DataFrame, n: int, target: str, settings: Boosting, held_back: bool, side: int = 1,
+         folding: Folding | None = None):
     """Fit on all rows from ``fit_rows``, with the settings that both kinds of trees share.
 
     The rows are dealt out anew by their number, because each round goes over all of them.
     With ``held_back``, fitting ends when the error of the groups held back no longer falls.
+    With ``folding``, equal rows are one row with a weight, if that loses nothing.
     """
     spark = rows.sparkSession
     ensure_checkpointing(spark)
     trainer = trainer.setFeaturesCol("features").setLabelCol(target).setStepSize(settings.step).setMaxIter(
-        settings.rounds).setMaxDepth(settings.depth).setMaxBins(64).setMinInstancesPerNode(20).setSeed(
+        settings.rounds).setMaxDepth(settings.depth).setMaxBins(BINS).setMinInstancesPerNode(20).setSeed(
         settings.seed).setCheckpointInterval(10)
     if held_back:
         trainer = trainer.setValidationIndicatorCol("__held")
-    return trainer.fit(rows.select("features", target, "__held").repartition(fit_tasks(spark, n, side)))
+    dealt = rows.select("features", target, "__held").repartition(fit_tasks(spark, n, side))
+    return (fit_folded(trainer, folding, dealt) if folding else None) or trainer.fit(dealt)
 
 
 def _fit_one(trainer, train, features, target, settings, group):
     rows, n = fit_rows(train, features, {"__target": target}, group)
-    model = _fit(trainer, rows, n, "__target", settings, group is not None)
-    discard(rows)
+    folding = folding_of(rows, n, "__target") if isinstance(trainer, GBTClassifier) else None
+    model = _fit(trainer, rows, n, "__target", settings, group is not None, folding=folding)
+    drop_rows(rows, folding)
     return model
 
 
+def drop_rows(rows: DataFrame, folding: Folding | None) -> None:
+    discard(rows)
+    if folding:
+        folding.discard()
+
+
 def fit_tasks(spark, rows: int, side: int = 1) -> int:
     """Parts that the rows of a fit are dealt into, when ``side`` fits run at the same time.
 
@@ -172,9 +190,11 @@ def fit_both(train: DataFrame, features: Features, target: str, label: str, grou
     rows, n = fit_rows(train, features, {"__target": F.col(target), "__label": F.col(label)}, group)
     jobs = [(GBTRegressor(), "__target", REGRESSION), (GBTClassifier(predictionCol="__class"), "__label", CLASSIFICATION)]
     side = fits_at_once(train.sparkSession, n, len(jobs))
+    folding = folding_of(rows, n, "__label")
     with ThreadPoolExecutor(side) as pool:
-        models = list(pool.map(lambda job: _fit(job[0], rows, n, job[1], job[2], group is not None, side), jobs))
-    discard(rows)
+        models = list(pool.map(lambda job: _fit(job[0], rows, n, job[1], job[2], group is not None, side,
+                                                folding if job[1] == "__label" else None), jobs))
+    drop_rows(rows, folding)
     return models
 
 
@@ -201,24 +221,25 @@ def tune_classifier(train: DataFrame, numeric: Sequence[str], text: Sequence[str
     held, _ = stored(train.join(fold_of, group), "folds")
 
     def prepared(k: int):
-        """Rows of a fold's fits, their number, and the vectors that its models score."""
+        """Rows of a fold's fits, their number, what the fits share, and the vectors that the models score."""
         rest = held.filter(F.col("fold") != k)
         features = fit_features(rest, numeric, text)
         out, _ = stored(features.transform(held.filter(F.col("fold") == k)).select(label, "features"), "fold-rows")
-        return *fit_rows(rest, features, {"__target": F.col(label)}, group), out
+        rows, n = fit_rows(rest, features, {"__target": F.col(label)}, group)
+        return rows, n, folding_of(rows, n, "__target"), out
 
     with ThreadPoolExecutor(folds) as pool:
         parts = list(pool.map(prepared, range(folds)))
-    jobs = [(config, *parts[k][:2]) for config in settings for k in range(folds)]
-    side = fits_at_once(spark, max(n for _, n, _ in parts), min(at_once, len(jobs)))
+    jobs = [(config, *parts[k][:3]) for config in settings for k in range(folds)]
+    side = fits_at_once(spark, max(n for _, n, *_ in parts), min(at_once, len(jobs)))
     with ThreadPoolExecutor(side) as pool:
         models = list(pool.map(lambda job: _fit(
-            GBTClassifier(predictionCol="__class"), job[1], job[2], "__target", job[0], True, side), jobs))
-    for fit_part, _, _ in parts:
-        discard(fit_part)
+            GBTClassifier(predictionCol="__class"), job[1], job[2], "__target", job[0], True, side, job[3]), jobs))
+    for fit_part, _, folding, _ in parts:
+        drop_rows(fit_part, folding)
     rows = []
     for number, config in enumerate(settings):
-        scores = [models[number * folds + k].transform(parts[k][2]).select(label, vector_to_array("probability")[1].alias("probability"))
+        scores = [models[number * folds + k].transform(parts[k][3]).select(label, vector_to_array("probability")[1].alias("probability"))
                   for k in range(folds)]
         sweep = ev.threshold_sweep(reduce(lambda a, b: a.unionByName(b), scores), label, "probability")
         rows.append(ev.best_threshold(sweep).select(
