@@ -145,6 +145,23 @@ def test_correlations_find_the_traits_and_ignore_what_is_missing(spark):
     assert st.trait_correlations(df.limit(0), ["s"], ["u"], "t", "v").collect() == []
 
 
+def test_correlations_of_entries_are_those_of_long_rows(spark, monkeypatch):
+    """Rows with traits side by side give the same; only units that come again are shuffled with their values."""
+    rng = np.random.default_rng(8)
+    rows = [(s, u % 290 if u < 300 else None, *[float(rng.normal()) if rng.random() < 0.8 else None for _ in "abc"])
+            for u in range(302) for s in ["x" if u % 2 else "y"]] + [(None, 1, 1.0, 2.0, 3.0)]
+    df = spark.createDataFrame(rows, "s string, u int, a double, b double, c double")
+    long = df.select("s", "u", F.inline(F.array(*[F.struct(F.lit(t).alias("t"), F.col(t).alias("v")) for t in "abc"])))
+    want = st.trait_correlations(long, ["s"], ["u"], "t", "v", digits=9).collect()
+    cells = df.select("s", "u", F.array(*[F.struct(F.lit(t).alias("trait"), F.col(t).alias("value")) for t in "abc"]).alias("cells"))
+    seen, whole = [], st._trait_lists
+    monkeypatch.setattr(st, "_trait_lists", lambda d, *a: seen.append(d) or whole(d, *a))
+    got = st.entry_correlations(cells, ["s"], ["u"], "cells", digits=9).collect()
+    assert {tuple(r)[:3]: r["r"] for r in got} == pytest.approx({tuple(r)[:3]: r["r"] for r in want}, abs=1e-8) and len(got) == 18
+    assert seen[0].select("s", "u").distinct().count() == 12      # ten numbers come twice, in one species each, and two rows have none
+    assert st.entry_correlations(cells.limit(0), ["s"], ["u"], "cells").collect() == []
+
+
 def test_trend_equals_least_squares(trial_rows):
     df, rows = trial_rows
     got = st.with_t_p_value(st.trend(df, ["species"], "year", "v")).collect()
