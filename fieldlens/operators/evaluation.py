@@ -68,18 +68,20 @@ def binary_metrics(df: DataFrame, label: str, score: str, threshold: float | Col
         **_scores(tp, fp, fn, tn, digits)})
 
 
-def threshold_sweep(df: DataFrame, label: str, score: str) -> DataFrame:
+def threshold_sweep(df: DataFrame, label: str, score: str, weight: str | None = None) -> DataFrame:
     """Confusion counts at every threshold .10, .11, … .90 (ML-10, JN-15).
 
     Each row falls into the slot of the highest threshold it reaches; running
-    totals over the slots, at most 82 rows, give every threshold.
+    totals over the slots, at most 82 rows, give every threshold. ``weight`` names
+    a column that says how many equal rows each row stands for.
     """
     near = F.floor(F.col(score) * 100)
     exact = near + F.when(F.col(score) >= (near + 1) / 100.0, 1).otherwise(0) - F.when(
         F.col(score) < near / 100.0, 1).otherwise(0)
     slot = F.greatest(F.lit(FIRST_THRESHOLD - 1), F.least(F.lit(LAST_THRESHOLD), exact))
+    rows = (lambda yes: F.sum(F.when(yes, F.col(weight)).otherwise(0))) if weight else F.count_if
     slots = df.groupBy(slot.cast("int").alias("slot")).agg(
-        F.count_if(F.col(label)).alias("pos"), F.count_if(~F.col(label)).alias("neg"))
+        rows(F.col(label)).alias("pos"), rows(~F.col(label)).alias("neg"))
     ladder = df.sparkSession.range(FIRST_THRESHOLD - 1, LAST_THRESHOLD + 1).select(
         F.col("id").cast("int").alias("slot"))
     filled = ladder.join(slots, "slot", "left").fillna(0, ["pos", "neg"])

@@ -10,13 +10,14 @@ from counts over all training rows. A feature that beats a split of the trees is
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from threading import Lock
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import Bucketizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -107,9 +108,9 @@ class Folding:
 
 
 def tree_tables(model) -> list[dict[str, np.ndarray]]:
-    """The nodes of each tree in order: split feature (-1: leaf), threshold, children, gain, prediction, depth."""
+    """The nodes of each tree of a model, or of a model that is one, in order: split feature (-1: leaf), threshold, children, gain, prediction, depth."""
     out = []
-    for tree in model.trees:
+    for tree in getattr(model, "trees", None) or [model]:
         rows, todo = [], [(tree._java_obj.rootNode(), 0, None)]
         while todo:
             node, depth, parent = todo.pop()
@@ -189,33 +190,51 @@ def _unstopped(trainer, rounds: int):
 def fit_folded(trainer, folding: Folding, whole: DataFrame):
     """The classifier that ``trainer`` makes from all rows, learned from folded rows; None where folding does not help.
 
-    ``whole`` has the rows as the trainer would take them. The round that ends an early stop is not in the model;
-    it is fitted again for the check, because the stop depends on it.
+    ``whole`` has the rows as the trainer would take them.
     """
     first = _unstopped(trainer, 1).fit(whole.filter(~F.col("__held")))
     active = set(first.featureImportances.indices.tolist())
-    least, depth = trainer.getMinInstancesPerNode(), trainer.getMaxDepth()
     while active:
         chosen = tuple(sorted(active))
         cells = folding.cells(chosen)
         if cells is None:
             return None
-        cells = cells.coalesce(1)                                            # at most MOST_CELLS rows
-        n = cells.filter(~F.col("__held")).agg(F.sum("__n").alias("n")).first()["n"] or 0.0
-        if n < 2 * least:
-            return None
-        # a folded row is many rows, so the least rows of a node are asked for as weight
-        light = trainer.copy().setWeightCol("__n").setMinInstancesPerNode(1).setMinWeightFractionPerNode((least - 0.5) / n)
-        model = light.fit(cells)
-        rounds = min(trainer.getMaxIter(), model.getNumTrees + 1)
-        tested = _unstopped(light, rounds).fit(cells.filter(~F.col("__held")))
-        counts = folding.counts(chosen)
-        if counts is None:
-            return model
-        trees = tree_tables(tested)
-        missing = beaten_by(node_sums(counts, trees, list(tested.treeWeights), chosen, folding.target, folding.width,
-                                      folding.bins, depth), trees, least)
-        if not missing:
-            return model
-        active |= missing
+        made = checked_fit(trainer, cells, lambda: folding.counts(chosen), chosen, folding.target, folding.width, folding.bins)
+        if made is None or not made[1]:
+            return made and made[0]
+        active |= made[1]
     return None
+
+
+def checked_fit(trainer, cells: DataFrame, counts: Callable[[], DataFrame | None], active: tuple[int, ...], target: str, width: int,
+                bins: int) -> tuple | None:
+    """The classifier from folded rows, and the features left out that some node of some round should have split on.
+
+    The round that ends an early stop is not in the model; its tree is fitted again for the check, because the stop
+    depends on it. None if there are too few rows to split.
+    """
+    least, depth = trainer.getMinInstancesPerNode(), trainer.getMaxDepth()
+    cells = cells.coalesce(1)                                                # at most MOST_CELLS rows
+    learned = cells.filter(~F.col("__held"))
+    n = learned.agg(F.sum("__n").alias("n")).first()["n"] or 0.0
+    if n < 2 * least:
+        return None
+    # a folded row is many rows, so the least rows of a node are asked for as weight
+    light = trainer.copy().setWeightCol("__n").setMinInstancesPerNode(1).setMinWeightFractionPerNode((least - 0.5) / n)
+    model = light.fit(cells)
+    left_out = counts()
+    if left_out is None:
+        return model, set()
+    trees, weights = tree_tables(model), list(model.treeWeights)
+    if model.getNumTrees < trainer.getMaxIter():
+        trees, weights = trees + tree_tables(_next_tree(light, model, learned)), [*weights, trainer.getStepSize()]
+    return model, beaten_by(node_sums(left_out, trees, weights, active, target, width, bins, depth), trees, least)
+
+
+def _next_tree(light, model, learned: DataFrame):
+    """The tree that boosting would fit after those of the model: the gradient of its loss at every row."""
+    y, score = 2 * F.col(light.getLabelCol()) - 1, vector_to_array(F.col(model.getRawPredictionCol()))[1]
+    left = model.transform(learned).select("features", "__n", (4 * y / (1 + F.exp(2 * y * score))).alias("__left"))
+    return DecisionTreeRegressor(labelCol="__left", weightCol="__n", maxDepth=light.getMaxDepth(), maxBins=light.getMaxBins(),
+                                 minInstancesPerNode=1, minWeightFractionPerNode=light.getMinWeightFractionPerNode(),
+                                 seed=light.getSeed()).fit(left)

@@ -114,9 +114,13 @@ def fit_rows(train: DataFrame, features: Features, targets: Mapping[str, Column]
     They are stored once for all fits that learn from them, so that no round computes features again, and lineage is cut
     in the shared folder. With ``group``, a tenth of the groups is held back.
     """
-    held_back = F.pmod(F.xxhash64(group), F.lit(10)) == 0 if group else F.lit(False)
     return stored(features.transform(train).select("features", *[c.cast("double").alias(n) for n, c in targets.items()],
-                                                   held_back.alias("__held")), "fit-rows")
+                                                   held_back(group).alias("__held")), "fit-rows")
+
+
+def held_back(group: str | None) -> Column:
+    """Whether a row is of the tenth of the groups that is held back from a fit."""
+    return F.pmod(F.xxhash64(group), F.lit(10)) == 0 if group else F.lit(False)
 
 
 def folding_of(rows: DataFrame, n: int, target: str) -> Folding | None:
@@ -124,6 +128,14 @@ def folding_of(rows: DataFrame, n: int, target: str) -> Folding | None:
     return Folding(rows, n, target, BINS) if n >= FOLD_ROWS else None
 
 
+def set_up(trainer, target: str, settings: Boosting, held_back: bool):
+    """The trainer with the settings that all fits share."""
+    trainer = trainer.setFeaturesCol("features").setLabelCol(target).setStepSize(settings.step).setMaxIter(
+        settings.rounds).setMaxDepth(settings.depth).setMaxBins(BINS).setMinInstancesPerNode(20).setSeed(
+        settings.seed).setCheckpointInterval(10)
+    return trainer.setValidationIndicatorCol("__held") if held_back else trainer
+
+
 def _fit(trainer, rows: DataFrame, n: int, target: str, settings: Boosting, held_back: bool, side: int = 1,
          folding: Folding | None = None):
     """Fit on all rows from ``fit_rows``, with the settings that both kinds of trees share.
@@ -134,11 +146,7 @@ def _fit(trainer, rows: DataFrame, n: int, target: str, settings: Boosting, held
     """
     spark = rows.sparkSession
     ensure_checkpointing(spark)
-    trainer = trainer.setFeaturesCol("features").setLabelCol(target).setStepSize(settings.step).setMaxIter(
-        settings.rounds).setMaxDepth(settings.depth).setMaxBins(BINS).setMinInstancesPerNode(20).setSeed(
-        settings.seed).setCheckpointInterval(10)
-    if held_back:
-        trainer = trainer.setValidationIndicatorCol("__held")
+    trainer = set_up(trainer, target, settings, held_back)
     dealt = rows.select("features", target, "__held").repartition(fit_tasks(spark, n, side))
     return (fit_folded(trainer, folding, dealt) if folding else None) or trainer.fit(dealt)
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from fieldlens.operators import evaluation as ev
 from fieldlens.operators import modelling as ml
 from fieldlens.operators.quality import require_disjoint_groups, shared_groups
+from fieldlens.operators.tuning import tune_and_fit
 from fieldlens.plans.driver import FACT_SQL, entries, fact, results_wide, with_fact
 from fieldlens.plans.registry import query
 from fieldlens.session import stored
@@ -237,7 +238,7 @@ def _parts(spark, sf_dir):
         "source_row", "exp_id", "rep", F.when(F.col("rep") < 7, F.col("entry")).alias("entry"), "year", "trial_year", "species", "pedigree", "region",
         "design", quantity.alias("quantity"), F.round(rule + deviation, 1).alias("result_num"))
     rows = ev.dataset(rows, "result_num", 0, 250).withColumn("label", F.col("result_num") >= HIGH_YIELD)
-    split, _ = stored(ev.temporal_split(rows, "trial_year"), "model-rows")
+    split = ev.temporal_split(stored(rows, "model-rows")[0], "trial_year")      # the last year comes from the stored rows
     train, test = (split.filter(F.col("part") == p).drop("part") for p in ("train", "test"))
     require_disjoint_groups(train, test, "exp_id")
     return train, test
@@ -375,10 +376,7 @@ def score_batch(spark, sf_dir):
     The prediction counts in whole units and the probability in whole ones, which the rule behind the target tells.
     """
     train, test = _parts(spark, sf_dir)
-    best = ml.tune_classifier(train, MODEL_NUMERIC, MODEL_TEXT, "label", "exp_id", [ml.CLASSIFICATION]).first()
-    features = ml.fit_features(train, MODEL_NUMERIC, MODEL_TEXT)
-    regressor, classifier = ml.fit_both(train, features, "result_num", "label", "exp_id")
-    out = ml.score_rows(test.select("exp_id", *MODEL_NUMERIC, *MODEL_TEXT), MODEL_NUMERIC, MODEL_TEXT, features, regressor, classifier,
-                        best["threshold"])
+    threshold, *models = tune_and_fit(train, MODEL_NUMERIC, MODEL_TEXT, "result_num", "label", "exp_id")
+    out = ml.score_rows(test.select("exp_id", *MODEL_NUMERIC, *MODEL_TEXT), MODEL_NUMERIC, MODEL_TEXT, *models, threshold)
     return out.select("exp_id", "rep", "entry", F.round("prediction", 0).alias("prediction"), "high_yield",
                       F.round("probability", 0).alias("probability"), "decision_threshold")
