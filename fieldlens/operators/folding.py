@@ -187,6 +187,15 @@ def _unstopped(trainer, rounds: int):
     return out
 
 
+def weighted(trainer, learned: DataFrame):
+    """The same trainer for folded rows; None if there are too few rows to split.
+
+    A folded row is many rows, so the least rows of a node are asked for as weight.
+    """
+    least, n = trainer.getMinInstancesPerNode(), learned.agg(F.sum("__n").alias("n")).first()["n"] or 0.0
+    return None if n < 2 * least else trainer.copy().setWeightCol("__n").setMinInstancesPerNode(1).setMinWeightFractionPerNode((least - 0.5) / n)
+
+
 def fit_folded(trainer, folding: Folding, whole: DataFrame):
     """The classifier that ``trainer`` makes from all rows, learned from folded rows; None where folding does not help.
 
@@ -216,11 +225,9 @@ def checked_fit(trainer, cells: DataFrame, counts: Callable[[], DataFrame | None
     least, depth = trainer.getMinInstancesPerNode(), trainer.getMaxDepth()
     cells = cells.coalesce(1)                                                # at most MOST_CELLS rows
     learned = cells.filter(~F.col("__held"))
-    n = learned.agg(F.sum("__n").alias("n")).first()["n"] or 0.0
-    if n < 2 * least:
+    light = weighted(trainer, learned)
+    if light is None:
         return None
-    # a folded row is many rows, so the least rows of a node are asked for as weight
-    light = trainer.copy().setWeightCol("__n").setMinInstancesPerNode(1).setMinWeightFractionPerNode((least - 0.5) / n)
     model = light.fit(cells)
     left_out = counts()
     if left_out is None:
